@@ -22,6 +22,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocab("word_bpe_49k.json"))
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.fingerprint import fingerprint
+
+    return fingerprint(table(spark, sf_dir, "documents"))
+
+
+def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.sharding import shard_rows
+
+    return shard_rows(table(spark, sf_dir, "documents"), shards=24)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit() and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
