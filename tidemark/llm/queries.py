@@ -28,12 +28,30 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), vocab("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.sharding import shard_rows
 
     return shard_rows(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.urlfilter import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit() and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
