@@ -16,12 +16,24 @@ def vocab(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.quality import classify
+
+    return classify(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.bpe import encode_digests
 
     return encode_digests(table(spark, sf_dir, "documents"), vocab("word_bpe_49k.json"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.toxicity import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.fingerprint import fingerprint
 
