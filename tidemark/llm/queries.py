@@ -46,6 +46,12 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocab("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.tokenfile import write_and_read
+
+    return write_and_read(table(spark, sf_dir, "documents"), vocab("byte_bpe_50k.json"), end_id=2)
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.sharding import shard_rows
 
