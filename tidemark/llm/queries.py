@@ -40,6 +40,12 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.ngramjoin import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.packing import pack
 
