@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from tidemark.plans.oracle import all_sql
+from tidemark.plans.queries import all_queries, q_indicator_grid
+
 
 def flagship(spark, sf_dir):
-    raise NotImplementedError
+    return q_indicator_grid(spark, sf_dir)
 
 
 def queries() -> dict:
-    return {}
+    return all_queries()
 
 
 def oracle_sql() -> dict:
-    return {}
+    return all_sql()
