@@ -26,10 +26,14 @@ def decimal_text(c: Column, places: int = 10) -> Column:
     return F.when(short == "-0", "0").otherwise(short)
 
 
+def field(name: str):
+    return lambda x: x[name]
+
+
 def series_arrays(df: DataFrame, keys: list[str], date: str, metrics: list[str]) -> DataFrame:
     """Parallel arrays per key in date order."""
     packed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(date, *metrics))).alias("_s"))
-    return packed.select(*keys, F.transform("_s", lambda x: x[date]).alias("dates"), *[F.transform("_s", lambda x, m=m: x[m]).alias(m) for m in metrics])
+    return packed.select(*keys, F.transform("_s", lambda x: x[date]).alias("dates"), *[F.transform("_s", field(m)).alias(m) for m in metrics])
 
 
 def merge_series(current: DataFrame, new: DataFrame, keys: list[str], overwrite: bool = True) -> DataFrame:

@@ -156,6 +156,10 @@ def within_days(ts: str, start: str, end: str) -> Column:
     return F.to_date(ts).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
+def starts_with(word: str):
+    return lambda x: F.trim(x).startswith(word.upper())
+
+
 def selection(rules: list[dict], columns: list[str]) -> Column:
     """Any-of selection rules; a missing column or an unreadable value never selects, no rules select nothing."""
     preds = []
@@ -169,5 +173,5 @@ def selection(rules: list[dict], columns: list[str]) -> Column:
             preds.append(F.coalesce(F.col(c).try_cast("double") < r["value"], F.lit(False)))
         else:
             parts = F.split(F.upper(F.coalesce(F.col(c), F.lit(""))), ",")
-            preds += [F.exists(parts, lambda x, t=t: F.trim(x).startswith(t.upper())) for t in r["values"]]
+            preds += [F.exists(parts, starts_with(t)) for t in r["values"]]
     return reduce(lambda a, b: a | b, preds, F.lit(False))
