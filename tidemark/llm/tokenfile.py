@@ -42,13 +42,13 @@ from tidemark.llm.ordering import partition_starts, partitions, start_column
 
 MAGIC, VERSION = b"TMCM", 1
 HEAD = struct.Struct("<4sHIQQIIII")
-CLASSES, SLOT_BITS = 16, 10
+CLASSES, SLOT_BITS = 16, 9
 A_BITS, B_BITS = 15, 16
 LOW_BITS, WORD_BITS = 62, 16
 LOW_MASK = (1 << LOW_BITS) - 1
 KEEP_BITS = LOW_BITS - WORD_BITS
 BOTTOM = 1 << 40
-LANES, MOST_TOKENS = 2048, 6_000_000
+LANES, MOST_TOKENS = 8192, 8_000_000
 
 
 def logistic_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -88,9 +88,9 @@ class Lanes:
         self.weight2 = np.full(n, 1 << 15, dtype=np.int32)
         self.weight1 = np.full(n, 1 << 14, dtype=np.int32)
         self.bias = np.zeros(n, dtype=np.int32)
-        self.cum = np.repeat(np.arange(0, 4 * CLASSES + 1, 4, dtype=np.int32)[:, None], n, axis=1)
+        self.cum = np.repeat(np.arange(CLASSES + 1, dtype=np.int32)[:, None], n, axis=1)
         self.cum_flat = self.cum.reshape(-1)
-        self.steps_of = np.where(np.arange(CLASSES)[:, None] >= np.arange(CLASSES), 16, 0).astype(np.int32)
+        self.ends = np.arange(CLASSES, dtype=np.int8)[:, None]
         self.at = self.slot_base.copy()
         self.before = np.zeros(n, dtype=np.int64)  # hash of the id before the last
         self.fresh = np.zeros(2 * n, dtype=np.int32)
@@ -140,7 +140,7 @@ class Lanes:
         """Ids whose intervals hold ``t``, their classes and the classes' shares."""
         a = t >> B_BITS
         inside = a - self.hits
-        cls = np.add.reduce((self.cum[1:CLASSES] * self.rest).astype(np.int32) <= inside, axis=0, dtype=np.int8).astype(np.int64)
+        cls = np.add.reduce(self.cum[1:CLASSES] * self.rest < inside + 1, axis=0, dtype=np.int8).astype(np.int64)
         s, f = self.bounds(cls)
         b = ((t - (s << B_BITS)) / np.maximum(f, 1)).astype(np.int64)
         ids = named.take((cls << B_BITS) + b, mode="clip")
@@ -163,9 +163,9 @@ class Lanes:
         self.state += self.c
         self.fresh[:n] = self.fresh[n:] = ids * 8 + 1
         self.slots[self.at] = np.where(KEEPS.take(self.state), self.e + CHANGE.take(self.state), self.fresh)
-        self.cum[1:] += self.steps_of.take(cls, axis=1)
+        self.cum[1:] += self.ends >= cls.astype(np.int8)
         self.steps += 1
-        if self.steps & 63 == 0:
+        if self.steps & 255 == 0:
             counts = (np.diff(self.cum, axis=0) + 1) >> 1
             np.cumsum(counts, axis=0, out=self.cum[1:])
         h = HASH1.take(ids)
@@ -248,14 +248,14 @@ def write_file(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> byt
     class_of, start_b, share_b = lookup(names, cls, f)
     payload, records = [], []
     if n:
-        grid = np.full(count * block, names[0], dtype=np.int64)
+        grid = np.full(count * block, names[0], dtype=np.uint16)
         grid[:n] = ids
         grid = grid.reshape(count, block).T.copy()
         lanes = Lanes(count, class_of, start_b, share_b)
         words = np.zeros((count, 2 * block + 16), dtype="<u2")
         used = np.zeros(count, dtype=np.int64)
         for t in range(block):
-            x = grid[t]
+            x = grid[t].astype(np.int64)
             k = class_of.take(x)
             lanes.predict()
             narrow(lanes, *lanes.intervals(x, *lanes.bounds(k)))
