@@ -252,9 +252,11 @@ def write_file(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> byt
         grid[:n] = ids
         grid = grid.reshape(count, block).T.copy()
         lanes = Lanes(count, class_of, start_b, share_b)
-        words = np.zeros((count, 2 * block + 16), dtype="<u2")
+        words = np.zeros((count, block + 2048), dtype="<u2")
         used = np.zeros(count, dtype=np.int64)
         for t in range(block):
+            if t & 255 == 0 and int(used.max()) + 6 * 256 + 8 > words.shape[1]:  # a step puts out 5 words at most
+                words = np.pad(words, ((0, 0), (0, block + 2048)))
             x = grid[t].astype(np.int64)
             k = class_of.take(x)
             lanes.predict()
