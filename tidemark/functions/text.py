@@ -10,14 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 
-@pandas_udf("string")
-def nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+def normalised(form: str):
+    """Arrow function for a Unicode form, made on use: making it needs a session."""
 
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: unicodedata.normalize(form, x), na_action="ignore")
 
-@pandas_udf("string")
-def nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
+    return pandas_udf(run, "string")
+
+
+def nfc(c: Column) -> Column:
+    return normalised("NFC")(c)
+
+
+def nfkc(c: Column) -> Column:
+    return normalised("NFKC")(c)
 
 
 def universe_code(c: Column) -> Column:
