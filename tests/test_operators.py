@@ -183,3 +183,18 @@ def test_ops(spark):
     got = {r["workflow"]: r["success_rate"] for r in ops.success_rates(runs, "2026-01-25").collect()}
     assert got == {"w": 0.5, "v": None}
     assert ops.stale_running(runs, ["v"], "2026-01-02").count() == 1
+
+
+def test_decimal_of_exact_binary_value_and_fingerprint(spark):
+    from tidemark.operators import rules
+
+    df = spark.createDataFrame([(1.23,), (-0.0,), (1e-11,), (2.5,), (None,)], "x double").select(rules.exact_decimal(F.col("x")).alias("t"))
+    assert [r["t"] for r in df.collect()] == ["1.23", "0", "0", "2.5", None]
+    assert rules.json_fingerprint({"b": 1, "a": "é"}) == rules.json_fingerprint({"a": "é", "b": 1})
+
+
+def test_action_and_dominant_gaps(spark):
+    rows = bars_of(spark, [(D(2026, 1, 1), (99, 100, 98, 99, 1)), (D(2026, 1, 2), (140, 141, 139, 140, 1))])
+    f = candles.range_rank(candles.features(rows, textbook=True)).withColumn("gap_atr", F.col("gap") / 2.0)
+    got = candles.labels(f).where("date = '2026-01-02'").select("candle_labels", candles.price_text(F.col("candle_labels")).alias("t")).first()
+    assert "ACTION_SUSPECT" in got["candle_labels"] and "GAP_DOMINANT" in got["candle_labels"] and got["t"] == "S高完全張り付き疑い"

@@ -23,9 +23,9 @@ def test_same_rows_as_sql(spark, con, name):
     assert oracle.differences(spark, SF, QUERIES[name], SQL[name], con) == ""
 
 
-def test_html_items(spark):
-    rows = QUERIES["html_items"](spark, SF).collect()
-    assert rows and all(r["n"] == 6 for r in rows)
+def test_prompt_block(spark):
+    rows = QUERIES["prompt_block"](spark, SF).collect()
+    assert rows and all(r["shown"] == r["code"] and r["n"] > 150 for r in rows)
 
 
 def test_entry_imports(spark):

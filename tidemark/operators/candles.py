@@ -86,19 +86,28 @@ def limit_label(prev: str = "prev_close") -> Column:
 
 
 def labels(rows: DataFrame) -> DataFrame:
-    """Adds ``candle_labels``: limit, validity, size, body, wick, direction and window labels, comma-joined."""
+    """Adds ``candle_labels``: limit, validity, size, body, wick, direction and window labels, comma-joined.
+
+    A column ``gap_atr`` (gap over the smoothed range), where present, also
+    gives the labels of suspected actions and dominant gaps.
+    """
     limit = limit_label()
     q, br, ur, dr = (F.col(x) for x in ("q_sr", "br", "ur", "dr"))
-    size = F.when(q >= 0.95, "VERY_LARGE_RANGE").when(q >= 0.85, "LARGE_RANGE").when(q < 0.15, "VERY_SMALL_RANGE").when(q < 0.40, "SMALL_RANGE")
+    size = F.when(q >= 0.95, "RANGE_VERY_LARGE").when(q >= 0.85, "RANGE_LARGE").when(q < 0.15, "RANGE_VERY_SMALL").when(q < 0.40, "RANGE_SMALL")
     doji = br <= 0.10
-    body = F.when(doji, "DOJI").when(br >= 0.70, F.when(F.greatest(ur, dr) <= 0.15, "MARUBOZU")).when(br >= 0.55, "LONG_BODY").when(br <= 0.25, "SMALL_BODY").otherwise("MIDDLE_BODY")
+    body = F.when(doji, "DOJI").when(br >= 0.70, F.when(F.greatest(ur, dr) <= 0.15, "BODY_MARUBOZU_LIKE")).when(br >= 0.55, "BODY_LONG").when(br <= 0.25, "BODY_SMALL").otherwise("BODY_MIDDLE")
     wick = (
-        F.when((ur >= 0.45) & (dr >= 0.45), "LONG_BOTH_WICKS").when((ur >= 0.25) & (dr >= 0.25), "BOTH_WICKS").when(ur >= 0.45, "LONG_UPPER_WICK").when(dr >= 0.45, "LONG_LOWER_WICK").when(ur >= 0.25, "UPPER_WICK").when(dr >= 0.25, "LOWER_WICK")
+        F.when((ur >= 0.45) & (dr >= 0.45), "WICK_BOTH_LONG").when((ur >= 0.25) & (dr >= 0.25), "WICK_BOTH_PRESENT").when(ur >= 0.45, "WICK_UPPER_LONG").when(dr >= 0.45, "WICK_LOWER_LONG").when(ur >= 0.25, "WICK_UPPER_PRESENT").when(dr >= 0.25, "WICK_LOWER_PRESENT")
     )
-    way = F.when(~doji, F.when(F.col("direction") > 0, "BULLISH").when(F.col("direction") < 0, "BEARISH"))
+    way = F.when(~doji, F.when(F.col("direction") > 0, "DIR_BULL").when(F.col("direction") < 0, "DIR_BEAR"))
     window = F.when(F.col("prev_high") < F.col("low"), "GAP_UP").when(F.col("prev_low") > F.col("high"), "GAP_DOWN")
     invalid = F.when((F.col("tr") == 0) & limit.isNull(), "INVALID_TR0")
-    found = F.array_join(F.array_compact(F.array(limit, invalid, size, body, wick, way, window)), ",")
+    action = dominant = F.lit(None).cast("string")
+    if "gap_atr" in rows.columns:
+        near = F.nullif(F.col("open") - F.col("gap"), F.lit(0.0))
+        action = F.when((F.col("gap_atr") >= 5) | (F.abs(F.col("gap") / near) >= 0.30), "ACTION_SUSPECT")
+        dominant = F.when((F.col("gap_atr") >= 1.0) & (F.col("tr") > 0) & (F.abs(F.col("gap")) / F.col("tr") >= 0.6), "GAP_DOMINANT")
+    found = F.array_join(F.array_compact(F.array(limit, invalid, action, dominant, size, body, wick, way, window)), ",")
     return rows.withColumn("candle_labels", F.when(F.col("k") < 2, "").otherwise(found))
 
 
@@ -108,3 +117,35 @@ def swap_gap_tokens(labels_col: Column) -> Column:
     both = F.array_contains(parts, "GAP_UP") & F.array_contains(parts, "GAP_DOWN")
     other = F.transform(parts, lambda t: F.when(t == "GAP_UP", "GAP_DOWN").when(t == "GAP_DOWN", "GAP_UP").otherwise(t))
     return F.when(both, F.raise_error(F.lit("both window tokens"))).otherwise(F.array_join(other, ","))
+
+
+# Texts of the labels; the first that is present of each part.
+LIMIT_TEXTS = [
+    ("LIMIT_HIGH_TOUCH", "S高タッチ疑い"), ("LIMIT_LOW_TOUCH", "S安タッチ疑い"), ("LIMIT_HIGH_TOUCH_STUCK", "S高タッチ後張付き疑い"), ("LIMIT_LOW_TOUCH_STUCK", "S安タッチ後張付き疑い"),
+    ("LIMIT_HIGH_OPEN_ONLY", "S高寄天疑い"), ("LIMIT_LOW_OPEN_ONLY", "S安寄底疑い"), ("LIMIT_HIGH_FULL_STUCK", "S高完全張り付き疑い"), ("LIMIT_LOW_FULL_STUCK", "S安完全張り付き疑い"),
+]
+ALONE_TEXTS = [("INVALID_TR0", "レンジ0"), ("INVALID_NAN", "判定不能"), ("ACTION_SUSPECT", "構造要因疑い"), ("SPLIT_CONFIRMED", "分割明示")]
+PART_TEXTS = [
+    [("GAP_DOMINANT", "ギャップ主導")],
+    [("GAP_UP", "上窓＋"), ("GAP_DOWN", "下窓＋")],
+    [("RANGE_VERY_LARGE", "<極大>"), ("RANGE_LARGE", "<大>"), ("RANGE_SMALL", "<小>"), ("RANGE_VERY_SMALL", "<極小>")],
+    [("WICK_BOTH_LONG", "長上下ヒゲ"), ("WICK_BOTH_PRESENT", "上下ヒゲ"), ("WICK_UPPER_LONG", "長上ヒゲ"), ("WICK_LOWER_LONG", "長下ヒゲ"), ("WICK_UPPER_PRESENT", "上ヒゲ"), ("WICK_LOWER_PRESENT", "下ヒゲ")],
+    [("DOJI", "十字線"), ("BODY_MARUBOZU_LIKE", "丸坊主"), ("BODY_LONG", "長"), ("BODY_SMALL", "短"), ("BODY_MIDDLE", "中")],
+    [("DIR_BULL", "陽線"), ("DIR_BEAR", "陰線")],
+]
+
+
+def price_text(labels_col: Column) -> Column:
+    """Text of a label list: a limit or an anomaly stands alone, the other parts follow one another."""
+    parts = F.split(labels_col, ",")
+
+    def first(options: list[tuple[str, str]]) -> Column:
+        out = None
+        for label, words in options:
+            hit = F.array_contains(parts, label)
+            out = F.when(hit, words) if out is None else out.when(hit, words)
+        return out
+
+    way = F.when(~F.array_contains(parts, "DOJI"), first(PART_TEXTS[-1]))
+    joined = F.concat(*[F.coalesce(first(p), F.lit("")) for p in PART_TEXTS[:-1]], F.coalesce(way, F.lit("")))
+    return F.coalesce(first(LIMIT_TEXTS + ALONE_TEXTS), joined)

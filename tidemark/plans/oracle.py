@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.operators.candles import LIMITS
+from tidemark.operators.candles import ALONE_TEXTS, LIMIT_TEXTS, LIMITS, PART_TEXTS
 from tidemark.operators.events import CATEGORY, Weights
+from tidemark.operators.rules import LINKS
 
 RUN = "DATE '1998-06-01'"
 BARS = """bars AS (SELECT n_name AS code, CAST(l_shipdate AS DATE) AS date,
@@ -75,10 +76,10 @@ LABELS = f"""{candle()}, l0 AS (SELECT *, CAST({limit_case('prev_close')} AS DOU
  WHEN low <= lo AND open <= lo AND close > lo THEN 'LIMIT_LOW_OPEN_ONLY' WHEN high >= hi AND open >= hi AND close < hi THEN 'LIMIT_HIGH_OPEN_ONLY' WHEN low <= lo AND close <= lo THEN 'LIMIT_LOW_TOUCH_STUCK'
  WHEN high >= hi AND close >= hi THEN 'LIMIT_HIGH_TOUCH_STUCK' WHEN low <= lo THEN 'LIMIT_LOW_TOUCH' WHEN high >= hi THEN 'LIMIT_HIGH_TOUCH' END AS limit_label FROM l1),
  lab AS (SELECT code, date, CASE WHEN k < 2 THEN '' ELSE concat_ws(',', limit_label, CASE WHEN tr = 0 AND limit_label IS NULL THEN 'INVALID_TR0' END,
- CASE WHEN q_sr >= 0.95 THEN 'VERY_LARGE_RANGE' WHEN q_sr >= 0.85 THEN 'LARGE_RANGE' WHEN q_sr < 0.15 THEN 'VERY_SMALL_RANGE' WHEN q_sr < 0.40 THEN 'SMALL_RANGE' END,
- CASE WHEN br <= 0.10 THEN 'DOJI' WHEN br >= 0.70 THEN CASE WHEN greatest(ur, dr) <= 0.15 THEN 'MARUBOZU' END WHEN br >= 0.55 THEN 'LONG_BODY' WHEN br <= 0.25 THEN 'SMALL_BODY' ELSE 'MIDDLE_BODY' END,
- CASE WHEN ur >= 0.45 AND dr >= 0.45 THEN 'LONG_BOTH_WICKS' WHEN ur >= 0.25 AND dr >= 0.25 THEN 'BOTH_WICKS' WHEN ur >= 0.45 THEN 'LONG_UPPER_WICK' WHEN dr >= 0.45 THEN 'LONG_LOWER_WICK' WHEN ur >= 0.25 THEN 'UPPER_WICK' WHEN dr >= 0.25 THEN 'LOWER_WICK' END,
- CASE WHEN br > 0.10 THEN CASE WHEN direction > 0 THEN 'BULLISH' WHEN direction < 0 THEN 'BEARISH' END END,
+ CASE WHEN q_sr >= 0.95 THEN 'RANGE_VERY_LARGE' WHEN q_sr >= 0.85 THEN 'RANGE_LARGE' WHEN q_sr < 0.15 THEN 'RANGE_VERY_SMALL' WHEN q_sr < 0.40 THEN 'RANGE_SMALL' END,
+ CASE WHEN br <= 0.10 THEN 'DOJI' WHEN br >= 0.70 THEN CASE WHEN greatest(ur, dr) <= 0.15 THEN 'BODY_MARUBOZU_LIKE' END WHEN br >= 0.55 THEN 'BODY_LONG' WHEN br <= 0.25 THEN 'BODY_SMALL' ELSE 'BODY_MIDDLE' END,
+ CASE WHEN ur >= 0.45 AND dr >= 0.45 THEN 'WICK_BOTH_LONG' WHEN ur >= 0.25 AND dr >= 0.25 THEN 'WICK_BOTH_PRESENT' WHEN ur >= 0.45 THEN 'WICK_UPPER_LONG' WHEN dr >= 0.45 THEN 'WICK_LOWER_LONG' WHEN ur >= 0.25 THEN 'WICK_UPPER_PRESENT' WHEN dr >= 0.25 THEN 'WICK_LOWER_PRESENT' END,
+ CASE WHEN br > 0.10 THEN CASE WHEN direction > 0 THEN 'DIR_BULL' WHEN direction < 0 THEN 'DIR_BEAR' END END,
  CASE WHEN prev_high < low THEN 'GAP_UP' WHEN prev_low > high THEN 'GAP_DOWN' END) END AS candle_labels FROM l2)"""
 
 
@@ -115,6 +116,13 @@ DAYS = "SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, max(o_totalprice) AS v
 STATUS = "CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed' ELSE 'running' END"
 
 
+def text_case(options: list[tuple[str, str]]) -> str:
+    return "CASE " + " ".join(f"WHEN list_contains(p, '{k}') THEN '{v}'" for k, v in options) + " END"
+
+
+ALIAS = "CASE p_partkey % 3 WHEN 0 THEN '東証P ' || p_name WHEN 1 THEN p_name || ' quote' ELSE left(p_brand, 4) END"
+
+
 def all_sql() -> dict[str, str]:
     return {
         "bars": f"WITH {BARS} SELECT * FROM bars",
@@ -189,6 +197,17 @@ def all_sql() -> dict[str, str]:
         "history_quality": "WITH u AS (SELECT o_custkey AS generation, CASE WHEN o_orderstatus = 'F' THEN 'c' WHEN o_orderkey % 11 = 0 THEN 'b' ELSE 'o' END AS s FROM orders) SELECT generation, CASE WHEN bool_or(s = 'b') AND bool_or(s = 'c') THEN 'partial_backfill' WHEN bool_or(s = 'b') THEN 'blocked_backfill' WHEN bool_and(s = 'c') THEN 'full' ELSE 'partial' END AS quality FROM u GROUP BY 1",
         "pair_pointers": "SELECT CAST(o_orderdate AS DATE) AS date, last(o_orderkey ORDER BY o_orderdate, o_orderkey) FILTER (o_orderstatus = 'F') AS topix, last(o_orderkey ORDER BY o_orderdate, o_orderkey) FILTER (o_orderstatus <> 'F') AS nikkei, count(*) FILTER (o_orderstatus = 'F') > 0 AND count(*) FILTER (o_orderstatus <> 'F') > 0 AS complete FROM orders GROUP BY 1",
         "merge_aliases": "WITH o AS (SELECT o_custkey AS code, substr(o_orderpriority, 3, 20) AS k, o_orderkey AS ordinal, o_orderkey % 3 = 0 AS low, o_orderstatus AS st FROM orders), x AS (SELECT DISTINCT code, k FROM o WHERE st = 'P'), n AS (SELECT *, row_number() OVER (PARTITION BY code, k ORDER BY ordinal) AS i FROM o WHERE st <> 'P') SELECT n.code, ordinal, CASE WHEN x.code IS NOT NULL OR i > 1 THEN 'skip' WHEN low THEN 'review' ELSE 'add' END AS action FROM n LEFT JOIN x ON x.code = n.code AND x.k = n.k",
+        "price_text": f"WITH {LABELS}, t AS (SELECT *, string_split(candle_labels, ',') AS p FROM lab WHERE date >= DATE '1998-05-01') SELECT code, date, coalesce({text_case(LIMIT_TEXTS + ALONE_TEXTS)}, concat({', '.join(text_case(x) for x in PART_TEXTS[:-1])}, CASE WHEN NOT list_contains(p, 'DOJI') THEN {text_case(PART_TEXTS[-1])} END)) AS price_text FROM t",
+        "links": "SELECT n_name AS code, " + ", ".join(f"replace('{t}', '%s', n_name) AS {k}" for k, t in LINKS.items()) + " FROM nation",
+        "history_eligibility": "SELECT o_custkey, CASE WHEN o_custkey < 10 THEN 'expected_short_history' WHEN count(*) >= 10 THEN 'eligible' ELSE 'insufficient' END AS eligibility FROM orders GROUP BY 1",
+        "backfill_outcome": "WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(DISTINCT o_custkey) % 60 AS a, count(DISTINCT CAST(o_orderdate AS DATE)) AS d FROM orders GROUP BY 1) SELECT month, CASE WHEN month < '1996-01' THEN 'grandfather' WHEN d <= 5 THEN 'blocked' WHEN a = 0 THEN 'noop' WHEN a > 50 OR d = 0 OR a * d > 900 THEN 'blocked' ELSE 'runnable' END AS outcome, CASE WHEN month < '1996-01' THEN 'before_feature_start' WHEN d <= 5 THEN 'missing_previous_core' WHEN a = 0 THEN NULL WHEN a > 50 THEN 'added_codes_over_limit' WHEN d = 0 THEN 'coverage_empty' WHEN a * d > 900 THEN 'work_units_over_limit' END AS reason FROM m",
+        "terminal_status": "SELECT CASE WHEN o_orderstatus = 'P' THEN 'success' WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 'failed' ELSE 'success' END AS status, count(*) AS n FROM orders GROUP BY 1",
+        "coverage_gate": f"WITH {ASOF}, rs AS (SELECT pos, {rs(31)} FROM asof_), g AS (SELECT count(*) AS n_eligible, avg(CASE WHEN rs31 IS NOT NULL THEN 1.0 ELSE 0.0 END) AS rate FROM rs WHERE pos >= 25) SELECT n_eligible, round(coalesce(rate, 0), 6) AS rate, n_eligible > 0 AND rate >= 0.98 AS allowed FROM g",
+        "alias_rules": f"WITH a AS (SELECT p_partkey, {ALIAS} AS alias FROM part), b AS (SELECT *, regexp_replace(lower(trim(alias)), '[\\s・･\\-‐－_／/&＆,，.。]+', '', 'g') AS k FROM a) SELECT p_partkey, k, CASE WHEN starts_with(alias, '東証P ') THEN trim(substr(alias, 5)) ELSE alias END AS stripped, CASE WHEN length(k) <= 1 OR contains(lower(alias), 'quote') OR regexp_full_match(alias, '[A-Za-z]{{1,5}}') THEN 'low' ELSE 'medium' END AS confidence FROM b",
+        "logical_digest": """WITH r AS (SELECT n_name AS code, '{"instrument_code":"' || n_name || '","values":[{"metric_key":"share","type":"float","value":"' || regexp_replace(regexp_replace(CAST(CAST(n_nationkey / 4.0 AS DECIMAL(18, 4)) AS VARCHAR), '0+$', ''), '\\.$', '') || '"},{"metric_key":"region","type":"int","value":' || n_regionkey || '}],"flags":{"missing_metrics":[],"non_finite_metrics":[],"po_indeterminate":false}}' AS j FROM nation) SELECT sha256('{"schema_version":1,"trade_date":"2026-01-01","metric_set_version_id":"set","rows":[' || string_agg(j, ',' ORDER BY code) || ']}') AS digest FROM r""",
+        "reconcile": f"WITH {BARS} SELECT code FROM {at_run('bars', 'code')} WHERE length(code) % 2 = 0",
+        "events_daily": "SELECT CAST(ts AS DATE) AS d, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2",
+        "html_items": "SELECT * FROM (SELECT page_id, len(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li>')) AS n FROM pages) WHERE n > 0",
         "json_props": "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1",
         "issuer_counts": "SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, o_orderpriority) <= 2",
         "status_counts": "WITH o AS (SELECT o_custkey, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS l FROM orders GROUP BY 1) SELECT CASE WHEN n < 8 THEN 'insufficient' WHEN l < DATE '1996-01-01' THEN 'stale' ELSE 'ok' END AS status, count(*) AS n FROM o GROUP BY 1",

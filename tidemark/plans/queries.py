@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import html, text
-from tidemark.operators import calendar, candles, derived, events, grid, indicators, ops, universe
+from tidemark.operators import calendar, candles, derived, events, grid, indicators, ops, rules, universe
 from tidemark.sources import tables
 from tidemark.sources.tables import table
 
@@ -437,5 +437,64 @@ def q_status_counts(spark, sf):
     return o.select(s.alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_price_text(spark, sf):
+    rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf)), 60)).where("date >= '1998-05-01'")
+    return rows.select("code", "date", candles.price_text(F.col("candle_labels")).alias("price_text"))
+
+
+def q_links(spark, sf):
+    return rules.with_links(table(spark, sf, "nation").select(F.col("n_name").alias("code")))
+
+
+def q_prompt_block(spark, sf):
+    g = calendar.at_run_date(indicators.turnover_metrics(tables.bars(spark, sf)), RUN_DATE, ["code"]).select("code", "date", F.round("turnover_yen").alias("turnover_yen"))
+    return g.select("code", F.get_json_object(rules.prompt_block(g), "$.銘柄の基本情報.銘柄コード").alias("shown"), F.length(rules.prompt_block(g)).cast("long").alias("n"))
+
+
+def q_history_eligibility(spark, sf):
+    n = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return n.select("o_custkey", rules.history_eligibility(F.col("n"), 10, F.col("o_custkey")).alias("eligibility"))
+
+
+def q_backfill_outcome(spark, sf):
+    m = table(spark, sf, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count_distinct("o_custkey").alias("added"), F.count_distinct(day("o_orderdate")).alias("dates"))
+    out = rules.backfill_outcome(F.col("month"), F.lit("1996-01"), F.col("dates") > 5, F.col("added") % 60, F.col("dates"), 50, 900)
+    return m.select("month", out.alias("o")).select("month", "o.outcome", "o.reason")
+
+
+def q_terminal_status(spark, sf):
+    o = table(spark, sf, "orders")
+    job = lambda k: F.when(F.col("o_orderkey") % k == 0, "failure").otherwise("success")
+    got = rules.terminal_status(F.col("o_orderstatus") != "P", [job(5)], [job(7)], F.col("o_orderkey") % 11 != 0)
+    return o.select(got.alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_coverage_gate(spark, sf):
+    rs = indicators.relative_strength(calendar.with_asof(axis_of(spark, sf)), (31,)).withColumn("ok", F.col("pos") >= 25)
+    return rules.coverage_gate(rs, "rs31", "ok").select("n_eligible", R6("rate"), "allowed")
+
+
+def q_alias_rules(spark, sf):
+    p = table(spark, sf, "part").withColumn("alias", F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("東証P "), "p_name")).when(F.col("p_partkey") % 3 == 1, F.concat("p_name", F.lit(" quote"))).otherwise(F.substring("p_brand", 1, 4)))
+    return p.select("p_partkey", rules.alias_key(F.col("alias")).alias("k"), rules.strip_market_prefix(F.col("alias")).alias("stripped"), rules.alias_confidence(F.lit(1), F.col("alias"), F.lit(False)).alias("confidence"))
+
+
+def q_logical_digest(spark, sf):
+    n = table(spark, sf, "nation").select(F.col("n_name").alias("code"), F.col("n_regionkey").cast("long").alias("region"), (F.col("n_nationkey") / 4).alias("share"))
+    return rules.logical_digest(rules.digest_rows(n, "code", {"share": "float", "region": "int"}), "2026-01-01", "SET")
+
+
+def q_reconcile(spark, sf):
+    """Last bars recomputed from lines against stored ones: which differ beyond the tolerance."""
+    b = calendar.at_run_date(tables.bars(spark, sf), RUN_DATE, ["code"]).select("code", "close")
+    stored = b.withColumn("stored", F.when(F.length("code") % 2 == 0, F.col("close") + 1).otherwise(F.col("close"))).drop("close")
+    return b.join(stored, "code").where(F.abs(F.col("close") - F.col("stored")) > 1e-6).select("code")
+
+
+def q_events_daily(spark, sf):
+    e = table(spark, sf, "events")
+    return e.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")).select(F.to_date("w.start").alias("d"), "event_type", "n", "total")
+
+
 def all_queries() -> dict:
     return {k[2:]: f for k, f in globals().items() if k.startswith("q_")}
