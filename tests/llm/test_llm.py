@@ -339,3 +339,16 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     got = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, df, SF).collect())
     want = {c for _, c in brute_components([(r["doc_id"], r["text"]) for r in df.collect()], 5, 80, 100).values()}
     assert got == sorted(want)
+
+
+def test_null_ids_and_clashing_columns_do_not_crash(spark):
+    rows = [(None, "one two three four five", "en", "s", None, 0.1, "q", 1), (3, None, None, None, 4, None, None, None), (None, None, None, None, None, None, None, None), (7, "one two three four five", "en", "s", 1, 0.1, "q", 1), (7, "one two three four six", "en", None, 1, 0.1, "q", 1)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("seq", "node")
+    n = len(rows)
+    labels = spark.createDataFrame([(7, 1, 1), (None, None, None)], "doc_id long, quality int, toxic int")
+    assert quality.classify(df).count() == n and toxicity.classify(df, labels).count() == n
+    assert bpe.encode_digests(df, WORD).count() == n and tokenfile.write_and_read(df, BYTE, 2).count() == n
+    assert fingerprint.fingerprint(df).count() == n and sharding.shard_rows(df, 3).count() == n
+    assert packing.pack(df, WORD).count() == n
+    got = [(r["doc_id"], r["component_id"]) for r in ngramjoin.jaccard_components(df).collect()]
+    assert len(got) == n and (7, 7) in got

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import sql
 from tidemark.llm.common import table
 
 
@@ -82,4 +83,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of two queries; the others hold trained models, tokenizers, sketches or seeded orders and are tested against brute force."""
+    return {"op5_ngram": sql.NGRAM_JOIN, "op10_topk": sql.TOP_K}
