@@ -208,6 +208,8 @@ def all_sql() -> dict[str, str]:
         "reconcile": f"WITH {BARS} SELECT code FROM {at_run('bars', 'code')} WHERE length(code) % 2 = 0",
         "events_daily": "SELECT CAST(ts AS DATE) AS d, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2",
         "html_items": "SELECT * FROM (SELECT page_id, len(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li>')) AS n FROM pages) WHERE n > 0",
+        "stream_first_seen": "SELECT DISTINCT user_id, event_type FROM events",
+        "stream_latest": "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
         "json_props": "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1",
         "issuer_counts": "SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, o_orderpriority) <= 2",
         "status_counts": "WITH o AS (SELECT o_custkey, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS l FROM orders GROUP BY 1) SELECT CASE WHEN n < 8 THEN 'insufficient' WHEN l < DATE '1996-01-01' THEN 'stale' ELSE 'ok' END AS status, count(*) AS n FROM o GROUP BY 1",

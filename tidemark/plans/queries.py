@@ -9,6 +9,7 @@ from tidemark.functions import html, text
 from tidemark.operators import calendar, candles, derived, events, grid, indicators, ops, rules, universe
 from tidemark.sources import tables
 from tidemark.sources.tables import table
+from tidemark.streaming import events as streaming
 
 RUN_DATE = "1998-06-01"
 R6 = lambda c: F.round(F.col(c), 6).alias(c)
@@ -496,5 +497,28 @@ def q_events_daily(spark, sf):
     return e.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")).select(F.to_date("w.start").alias("d"), "event_type", "n", "total")
 
 
+def arriving(spark, sf, name):
+    """A table as a stream of files."""
+    return spark.readStream.schema(table(spark, sf, name).schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+
+
+def q_stream_first_seen(spark, sf):
+    """First event of each user and type, by a stream with bounded state."""
+    path = streaming.work_dir(spark, "first-seen")
+    rows = arriving(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    kept = streaming.first_seen(rows, "ts", ["user_id", "event_type"], "60 days")
+    streaming.drain(kept, streaming.append_sink(f"{path}/out"), path)
+    return spark.read.parquet(f"{path}/out").select("user_id", "event_type").distinct()
+
+
+def q_stream_latest(spark, sf):
+    """Latest event per user, kept by idempotent upserts of a stream."""
+    path = streaming.work_dir(spark, "latest")
+    rows = arriving(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    streaming.drain(rows, streaming.upsert_sink(f"{path}/out", ["user_id"], ["ts", "event_id"]), path)
+    versions = spark.read.parquet(f"{path}/out")
+    return versions.where(F.col("v") == versions.agg(F.max("v").alias("m")).first()["m"]).select("user_id", "event_id", "event_type")
+
+
 def all_queries() -> dict:
     return {k[2:]: f for k, f in globals().items() if k.startswith("q_")}

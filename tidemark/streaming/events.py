@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,6 +15,27 @@ def stream_of(spark: SparkSession, path: str, schema: StructType, files: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the cluster's shared folder (``spark.checkpoint.dir``); a temp folder only where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def drain(stream: DataFrame, sink, path: str) -> None:
+    """Runs a stream over all that has arrived, through a ``foreachBatch`` function, with its progress kept under ``path``."""
+    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def append_sink(path: str):
+    """``foreachBatch`` function writing each batch to a folder of its own; a replayed batch overwrites its folder."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/b={batch_id}")
+
+    return write
+
+
 def windowed_counts(events: DataFrame, time: str, key: str, size: str = "1 day", late: str = "2 days") -> DataFrame:
     """Counts per key and tumbling window; state older than the lateness goes."""
     return events.withWatermark(time, late).groupBy(F.window(time, size).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), key, "n")
