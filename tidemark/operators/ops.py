@@ -67,3 +67,48 @@ def merge_aliases(existing: DataFrame, found: DataFrame) -> DataFrame:
     repeat = F.row_number().over(Window.partitionBy("code", "dedup_key").orderBy("ordinal")) > 1
     rows = found.withColumn("_repeat", repeat).join(known, ["code", "dedup_key"], "left")
     return rows.withColumn("action", F.when(F.col("_known") | F.col("_repeat"), "skip").when(F.col("confidence") == "low", "review").otherwise("add")).drop("_known", "_repeat")
+
+
+def without_leases(work: DataFrame, leases: DataFrame, key: str, owners: list[str], now: str) -> DataFrame:
+    """Work whose key no active lease of the given owner kinds holds."""
+    held = leases.where(F.col("owner").isin(*owners) & (F.col("expires_at") > F.lit(now).cast("timestamp"))).select(key).distinct()
+    return work.join(held, key, "left_anti")
+
+
+def resolve_unique(objects: DataFrame, by: list[str], value: str) -> DataFrame:
+    """The one value of each key; an ambiguous key resolves to null."""
+    agg = objects.groupBy(*by).agg(F.count_distinct(value).alias("n"), F.min(value).alias("v"))
+    return agg.select(*by, F.when(F.col("n") == 1, F.col("v")).alias(value))
+
+
+def covering_runs(runs: DataFrame, day_start: str, skew_minutes: int) -> DataFrame:
+    """Newest run per workflow that started from the skew before the day's start to its end."""
+    start = F.lit(day_start).cast("timestamp")
+    inside = (F.col("started_at") >= start - F.make_dt_interval(mins=F.lit(skew_minutes))) & (F.col("started_at") < start + F.make_dt_interval(F.lit(1)))
+    return runs.where(inside).groupBy("workflow").agg(F.max_by("id", F.struct("started_at", "id")).alias("id"))
+
+
+def first_source(candidates: DataFrame, key: str, source: str, order: list[str], newest: str) -> DataFrame:
+    """Per key the newest candidate of the first source that has any."""
+    place = F.array_position(F.array(*[F.lit(o) for o in order]), F.col(source)).cast("int")
+    rows = candidates.withColumn("_p", place).where("_p > 0")
+    cols = [c for c in candidates.columns if c != key]
+    return rows.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct("_p", (-F.col(newest)).alias("n"))).alias("_r")).select(key, "_r.*")
+
+
+def dictionary_state(previous: DataFrame, found: DataFrame, keys: list[str], today: str) -> DataFrame:
+    """Upserts seen counts: first seen stays, last seen and counts follow the new findings."""
+    new = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("source")).alias("new_sources"))
+    rows = previous.join(new, keys, "full_outer")
+    return rows.select(
+        *keys,
+        F.coalesce("first_seen", F.lit(today).cast("date")).alias("first_seen"),
+        F.when(F.col("n").isNotNull(), F.lit(today).cast("date")).otherwise(F.col("last_seen")).alias("last_seen"),
+        (F.coalesce("seen_count", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("seen_count"),
+        F.array_sort(F.array_union(F.coalesce("sources", F.array().cast("array<string>")), F.coalesce("new_sources", F.array().cast("array<string>")))).alias("sources"),
+    )
+
+
+def favourites(lists: DataFrame, key: str, codes: str, cap: int) -> DataFrame:
+    """Per owner the distinct codes in first-seen order, at most ``cap`` of them (the cap is the list's own limit)."""
+    return lists.select(key, F.slice(F.array_distinct(codes), 1, cap).alias(codes))

@@ -210,6 +210,13 @@ def all_sql() -> dict[str, str]:
         "html_items": "SELECT * FROM (SELECT page_id, len(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li>')) AS n FROM pages) WHERE n > 0",
         "stream_first_seen": "SELECT DISTINCT user_id, event_type FROM events",
         "stream_latest": "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+        "lease_filter": "SELECT c_custkey AS code FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate > TIMESTAMP '2000-01-01')",
+        "resolve_unique": "SELECT p_brand, p_size, CASE WHEN count(DISTINCT p_type) = 1 THEN min(p_type) END AS p_type FROM part GROUP BY 1, 2",
+        "covering_runs": "SELECT o_orderpriority AS workflow, last(o_orderkey ORDER BY o_orderdate, o_orderkey) AS id FROM orders WHERE o_orderdate >= TIMESTAMP '1996-02-27' AND o_orderdate < TIMESTAMP '1996-03-02' GROUP BY 1",
+        "first_source": "SELECT o_custkey AS generation, o_orderpriority AS workflow, o_orderkey AS id FROM orders WHERE o_orderpriority IN ('2-HIGH', '1-URGENT', '5-LOW') QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '2-HIGH' THEN 1 WHEN '1-URGENT' THEN 2 ELSE 3 END, o_orderkey DESC) = 1",
+        "dictionary_state": "SELECT o_custkey, CAST(coalesce(min(o_orderdate) FILTER (o_orderdate < DATE '1996-01-01'), DATE '1997-01-01') AS DATE) AS first_seen, CAST(CASE WHEN count(*) FILTER (o_orderdate >= DATE '1996-01-01') > 0 THEN DATE '1997-01-01' ELSE max(o_orderdate) END AS DATE) AS last_seen, count(*) AS seen_count, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS sources FROM orders WHERE o_orderdate < DATE '1997-01-01' GROUP BY 1",
+        "favourites": "WITH f AS (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS k FROM orders GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY min(o_orderkey)) <= 3) SELECT o_custkey, string_agg(o_orderpriority, ',' ORDER BY k) AS codes FROM f GROUP BY 1",
+        "available_dates": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '1995-08-01' ORDER BY d DESC",
         "json_props": "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1",
         "issuer_counts": "SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, o_orderpriority) <= 2",
         "status_counts": "WITH o AS (SELECT o_custkey, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS l FROM orders GROUP BY 1) SELECT CASE WHEN n < 8 THEN 'insufficient' WHEN l < DATE '1996-01-01' THEN 'stale' ELSE 'ok' END AS status, count(*) AS n FROM o GROUP BY 1",

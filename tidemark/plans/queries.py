@@ -497,6 +497,43 @@ def q_events_daily(spark, sf):
     return e.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")).select(F.to_date("w.start").alias("d"), "event_type", "n", "total")
 
 
+def q_lease_filter(spark, sf):
+    o = runs(spark, sf)
+    leases = o.select(F.col("generation").alias("code"), F.when(F.col("workflow") == "1-URGENT", "daily").otherwise("other").alias("owner"), F.col("started_at").alias("expires_at"))
+    work = table(spark, sf, "customer").select(F.col("c_custkey").alias("code"))
+    return ops.without_leases(work, leases, "code", ["daily"], "2000-01-01 00:00:00")
+
+
+def q_resolve_unique(spark, sf):
+    return ops.resolve_unique(table(spark, sf, "part"), ["p_brand", "p_size"], "p_type")
+
+
+def q_covering_runs(spark, sf):
+    return ops.covering_runs(runs(spark, sf), "1996-03-01 00:00:00", 3 * 24 * 60)
+
+
+def q_first_source(spark, sf):
+    c = runs(spark, sf).select("generation", "workflow", "id")
+    return ops.first_source(c, "generation", "workflow", ["2-HIGH", "1-URGENT", "5-LOW"], "id")
+
+
+def q_dictionary_state(spark, sf):
+    o = table(spark, sf, "orders").withColumn("d", day("o_orderdate"))
+    old = o.where("d < '1996-01-01'").groupBy("o_custkey").agg(F.min("d").alias("first_seen"), F.max("d").alias("last_seen"), F.count(F.lit(1)).alias("seen_count"), F.array_sort(F.collect_set("o_orderpriority")).alias("sources"))
+    new = o.where("d between '1996-01-01' and '1996-12-31'").select("o_custkey", F.col("o_orderpriority").alias("source"))
+    return ops.dictionary_state(old, new, ["o_custkey"], "1997-01-01").withColumn("sources", F.array_join("sources", ","))
+
+
+def q_favourites(spark, sf):
+    lists = table(spark, sf, "orders").groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))), lambda x: x["o_orderpriority"]).alias("codes"))
+    return ops.favourites(lists, "o_custkey", "codes", 3).withColumn("codes", F.array_join("codes", ","))
+
+
+def q_available_dates(spark, sf):
+    o = table(spark, sf, "orders").select(day("o_orderdate").alias("d"))
+    return o.where("d < '1995-06-01'").union(o.where("d between '1995-05-01' and '1995-08-01'")).distinct().orderBy(F.desc("d"))
+
+
 def arriving(spark, sf, name):
     """A table as a stream of files."""
     return spark.readStream.schema(table(spark, sf, name).schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
