@@ -48,7 +48,7 @@ LOW_BITS, WORD_BITS = 62, 16
 LOW_MASK = (1 << LOW_BITS) - 1
 KEEP_BITS = LOW_BITS - WORD_BITS
 BOTTOM = 1 << 40
-LANES, MOST_TOKENS = 8192, 8_000_000
+LANES, MOST_TOKENS = 8192, 7_000_000
 
 
 def logistic_tables() -> tuple[np.ndarray, np.ndarray]:
