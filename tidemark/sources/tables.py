@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 BARS = T.StructType([T.StructField("date", T.StringType()), *[T.StructField(c, T.DoubleType()) for c in ("open", "high", "low", "close", "volume")]])
 EVENTS = T.StructType(
