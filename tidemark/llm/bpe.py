@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import only, row_chunks
+from tidemark.llm.common import hold, only, row_chunks
 
 WORD_END = "</w>"
 #: A character outside the byte alphabet stands for the word end inside the automaton.
@@ -53,7 +53,7 @@ class BacktrackingBPE:
     pre-tokeniser keeps no white space (word ends marked by a suffix).
     """
 
-    def __init__(self, path: str, cache_words: int = 1_500_000):
+    def __init__(self, path: str, cache_words: int = 700_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -252,14 +252,9 @@ class BacktrackingBPE:
         return b" ".join([slices[i] for i in ids])
 
 
-_LOADED: dict[str, BacktrackingBPE] = {}
-
-
 def encoder(path: str) -> BacktrackingBPE:
-    """One encoder a worker process and file; its word cache lives as long."""
-    if path not in _LOADED:
-        _LOADED[path] = BacktrackingBPE(path)
-    return _LOADED[path]
+    """One encoder a worker process; its word cache lives as long as the operator is served."""
+    return hold(("bpe", path), lambda: BacktrackingBPE(path))
 
 
 def encode_table(docs: DataFrame, vocab_path: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +40,18 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+#: What the operator that this worker process served last keeps between tasks.
+_HELD: dict = {}
+
+
+def hold(key: tuple, make: Callable[[], object]):
+    """``make()``, kept while the worker serves the same operator; what another one kept is dropped first."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def row_chunks(batches: Iterator, max_chars: int = 8_000_000) -> Iterator:
     """Cut pandas batches with a ``text`` column so that a piece holds bounded text."""
     for pdf in batches:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import materialize, only, row_chunks
+from tidemark.llm.common import hold, materialize, only, row_chunks
 from tidemark.llm.components import connected_components
 
 MOST_HEAVY, HEAVY_FROM = 200_000, 16
@@ -189,6 +189,7 @@ def heavy_shingles(docs: DataFrame, width: int) -> np.ndarray:
     """The most frequent shingles among those that repeat within a task; at most ``MOST_HEAVY``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold(("n-gram join",), dict)
         held, size = [], 0
 
         def flush() -> pd.DataFrame:
@@ -204,7 +205,7 @@ def heavy_shingles(docs: DataFrame, width: int) -> np.ndarray:
                     s = shingle_set(t, width)
                     held.append(s)
                     size += len(s)
-            if size > 4_000_000:
+            if size > 2_000_000:
                 yield flush()
                 held, size = [], 0
         if held:

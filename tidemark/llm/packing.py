@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import END_MARK, WORD_END, BacktrackingBPE
-from tidemark.llm.common import materialize, only, row_chunks
+from tidemark.llm.common import hold, materialize, only, row_chunks
 
 FAN_IN = 16
 #: Largest table of moved sequences that is broadcast: 100,000 rows of 32 bytes.
@@ -60,6 +60,7 @@ class RankBPE(BacktrackingBPE):
             if bytes([b]) not in ranks:
                 ranks[bytes([b])] = len(ids)
                 ids.append(raw.get(bytes([b]), 0))
+        self.automaton = self.split = self.joins = self.shorter = self.length = None  # only the backtracking encoder needs them
         self.core = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
         self.by_rank = ids
 
@@ -88,13 +89,8 @@ class RankBPE(BacktrackingBPE):
         return out
 
 
-_LOADED: dict[str, RankBPE] = {}
-
-
 def rank_encoder(path: str) -> RankBPE:
-    if path not in _LOADED:
-        _LOADED[path] = RankBPE(path)
-    return _LOADED[path]
+    return hold(("rank-bpe", path), lambda: RankBPE(path))
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

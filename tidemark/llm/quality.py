@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import only, row_chunks
+from tidemark.llm.common import hold, only, row_chunks
 
 GOOD, BAD, NONE = 1, 0, 2
 BITS = 14
@@ -109,7 +109,7 @@ def fit_labellers(codes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> di
 class Shapes:
     """Hashed features: shares of word shapes and a few binned shares."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 100_000):
         self.known: dict[str, int] = {}
         self.most = most
 
@@ -160,6 +160,7 @@ def fit(docs: DataFrame, max_train: int = 10_000) -> dict:
     texts = only(docs, "text")
 
     def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold(("quality",), Shapes)
         for pdf in row_chunks(batches):
             codes = [vote_pattern(t if isinstance(t, str) else "") for t in pdf["text"].array]
             u, n = np.unique(np.array(codes, dtype=np.int64), return_counts=True)
@@ -175,7 +176,7 @@ def fit(docs: DataFrame, max_train: int = 10_000) -> dict:
     sample = texts.where(F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(1_000_000)) < int(share * 1_000_000))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shapes = Shapes()
+        shapes = hold(("quality",), Shapes)
         for pdf in row_chunks(batches):
             rows = [(t if isinstance(t, str) else "") for t in pdf["text"].array]
             made = [shapes.features(t) for t in rows]
@@ -198,7 +199,7 @@ def score(docs: DataFrame, max_train: int = 10_000, threshold: float = 0.5) -> D
     fields = base.schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shapes = Shapes()
+        shapes = hold(("quality",), Shapes)
         for pdf in row_chunks(batches):
             s, q = [], []
             for t in pdf["text"].array:

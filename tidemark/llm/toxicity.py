@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import only, row_chunks
+from tidemark.llm.common import hold, only, row_chunks
 
 WINDOW, STRIDE, HIDDEN, ATTEND, INPUTS = 24, 12, 6, 6, 6
 WORD_BITS, GRAM_BITS = 17, 18
@@ -102,7 +102,7 @@ class Leans:
 class WordRows:
     """Input rows of words, computed once a worker while they fit."""
 
-    def __init__(self, leans: Leans, most: int = 600_000):
+    def __init__(self, leans: Leans, most: int = 300_000):
         self.leans, self.most = leans, most
         self.known: dict[str, int] = {}  # as written
         self.plain: dict[str, int] = {}  # lower-cased, without punctuation at the ends
@@ -337,15 +337,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_000) -> dict
     return model
 
 
-#: Network and word rows of the model that this worker process used last.
-_STATE: dict = {}
-
-
 def loaded(key: str, m: dict) -> tuple[Network, WordRows]:
-    """The worker's network and word rows; those of another model are dropped."""
-    if _STATE.get("key") != key:
-        _STATE.update(key=key, net=Network(m["net"]), words=WordRows(Leans(m["word"], m["gram"])))
-    return _STATE["net"], _STATE["words"]
+    """The worker's network and word rows of this model."""
+    return hold(("toxicity", key), lambda: (Network(m["net"]), WordRows(Leans(m["word"], m["gram"]))))
 
 
 def score(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_000) -> DataFrame:
