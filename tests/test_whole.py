@@ -25,8 +25,19 @@ def without(sql: str, *cuts: str) -> str:
     return sql
 
 
+DATES = [f" WHERE date >= DATE '1998-0{m}-01'" for m in (1, 5, 6)] + [" WHERE date BETWEEN DATE '1998-03-01' AND DATE '1998-06-01'"]
+ALL_BARS = ["candle_features", "true_range_textbook", "range_rank", "candle_labels", "gap_swap", "price_text", "smoothed_range", "rs_series", "series_arrays"]
+
+
 def test_asof_close_has_every_row_of_the_axis(spark, con):
     sql = without(SQL["asof_close"], " WHERE pos % 50 = 0")
     assert oracle.differences(spark, SF, QUERIES["asof_close"], sql, con) == ""
     n = QUERIES["union_axis"](spark, SF).agg({"n": "sum"}).first()[0]
     assert QUERIES["asof_close"](spark, SF).count() == n
+
+
+@pytest.mark.parametrize("name", ALL_BARS)
+def test_all_bars(spark, con, name):
+    sql = without(SQL[name].replace(" WHERE date >= DATE '1998-01-01' AND tr", " WHERE tr"), *DATES)
+    assert "DATE '1998" not in sql
+    assert oracle.differences(spark, SF, QUERIES[name], sql, con) == ""

@@ -48,7 +48,7 @@ def q_relative_strength(spark, sf):
 
 def q_rs_series(spark, sf):
     rs = indicators.relative_strength(calendar.with_asof(axis_of(spark, sf)), (31,))
-    return rs.where("date between '1998-03-01' and '1998-06-01'").select("code", "bench", "date", R6("rs31"))
+    return rs.select("code", "bench", "date", R6("rs31"))
 
 
 def q_rs_acceleration(spark, sf):
@@ -98,20 +98,20 @@ def q_null_ratio(spark, sf):
 
 
 def q_candle_features(spark, sf):
-    f = candles.features(tables.bars(spark, sf)).where("date >= '1998-01-01'")
+    f = candles.features(tables.bars(spark, sf))
     return f.select("code", "date", "tr", "direction", R6("br"), R6("ur"), R6("dr"), "gap", R6("close_pos"), "hit_high", "hit_low")
 
 
 def q_true_range_textbook(spark, sf):
-    return candles.features(tables.bars(spark, sf), textbook=True).where("date >= '1998-01-01'").select("code", "date", "tr", "gap")
+    return candles.features(tables.bars(spark, sf), textbook=True).select("code", "date", "tr", "gap")
 
 
 def q_range_rank(spark, sf):
-    return candles.range_rank(candles.features(tables.bars(spark, sf)), 60).where("date >= '1998-01-01'").select("code", "date", R6("q_sr"))
+    return candles.range_rank(candles.features(tables.bars(spark, sf)), 60).select("code", "date", R6("q_sr"))
 
 
 def q_smoothed_range(spark, sf):
-    return candles.smoothed_range(candles.features(tables.bars(spark, sf)).where("date >= '1998-01-01'")).select("code", R6("atr"))
+    return candles.smoothed_range(candles.features(tables.bars(spark, sf))).select("code", R6("atr"))
 
 
 def q_limit_lookup(spark, sf):
@@ -120,11 +120,11 @@ def q_limit_lookup(spark, sf):
 
 def q_candle_labels(spark, sf):
     rows = candles.range_rank(candles.features(tables.bars(spark, sf)), 60)
-    return candles.labels(rows).where("date >= '1998-01-01'").select("code", "date", "candle_labels")
+    return candles.labels(rows).select("code", "date", "candle_labels")
 
 
 def q_gap_swap(spark, sf):
-    rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf)), 60)).where("date >= '1998-06-01'")
+    rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf)), 60))
     return rows.select("code", "date", candles.swap_gap_tokens(F.col("candle_labels")).alias("swapped"))
 
 
@@ -325,7 +325,7 @@ def q_decimal_text(spark, sf):
 
 
 def q_series_arrays(spark, sf):
-    b = tables.bars(spark, sf).where("date >= '1998-05-01'")
+    b = tables.bars(spark, sf)
     s = derived.series_arrays(b, ["code"], "date", ["close"])
     return s.select("code", F.array_join(F.transform("dates", lambda d: d.cast("string")), ",").alias("dates"), F.size("close").cast("long").alias("n"), F.aggregate("close", F.lit(0.0), lambda a, x: a + x, lambda a: F.round(a, 2)).alias("total"))
 
@@ -439,7 +439,7 @@ def q_status_counts(spark, sf):
 
 
 def q_price_text(spark, sf):
-    rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf)), 60)).where("date >= '1998-05-01'")
+    rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf)), 60))
     return rows.select("code", "date", candles.price_text(F.col("candle_labels")).alias("price_text"))
 
 
