@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 # Daily price limits; (price below, limit).
@@ -58,14 +60,25 @@ def smoothed_range(rows: DataFrame, span: int = 14) -> DataFrame:
     return agg.select("code", F.when(F.size("trs") > 1, F.aggregate(F.slice(body, 2, F.greatest(F.size(body), F.lit(1))), F.get(body, F.lit(0)), lambda e, x: F.lit(alpha) * x + F.lit(1 - alpha) * e)).alias("atr"))
 
 
+def prior_range(rows: DataFrame, span: int = 14) -> DataFrame:
+    """Adds ``atr``: the exponentially smoothed true range up to the bar before (a recursion in date order, one Arrow table per code)."""
+
+    def run(bars: pa.Table) -> pa.Table:
+        bars = bars.sort_by("date")
+        atr = bars["tr"].to_pandas().ewm(span=span, adjust=False).mean().shift(1)
+        return bars.append_column("atr", pa.array(atr, pa.float64(), from_pandas=True))
+
+    return rows.groupBy("code").applyInArrow(run, T.StructType([*rows.schema.fields, T.StructField("atr", T.DoubleType())]))
+
+
 def range_rank(rows: DataFrame, window: int = 252) -> DataFrame:
-    """Adds ``q_sr``: average-tie share of the last ``window`` relative ranges not above the current one."""
+    """Adds ``q_sr``: average-tie share of the last ``window`` ranges, each over its prior smoothed range, not above the current one."""
     w = Window.partitionBy("code").orderBy("date").rowsBetween(-(window - 1), 0)
-    sr = F.col("tr") / F.nullif("close", F.lit(0.0))
-    r = rows.withColumn("sr", sr).withColumn("seen", F.collect_list("sr").over(w))
+    sr = F.col("tr") / F.nullif("atr", F.lit(0.0))
+    r = prior_range(rows).withColumn("sr", sr).withColumn("seen", F.collect_list("sr").over(w))
     below, same = F.size(F.filter("seen", lambda v: v < F.col("sr"))), F.size(F.filter("seen", lambda v: v == F.col("sr")))
     q = (below + (same + 1) / 2.0) / F.size("seen")
-    return r.withColumn("q_sr", F.when(F.col("sr").isNotNull() & (F.size("seen") >= min(20, window // 4)), q)).drop("seen", "sr")
+    return r.withColumn("q_sr", F.when(F.col("sr").isNotNull() & (F.size("seen") >= min(20, window // 4)), q)).drop("seen", "sr", "atr")
 
 
 def limit_label(prev: str = "prev_close") -> Column:

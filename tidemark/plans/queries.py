@@ -107,7 +107,7 @@ def q_true_range_textbook(spark, sf):
 
 
 def q_range_rank(spark, sf):
-    return candles.range_rank(candles.features(tables.bars(spark, sf)), 60).select("code", "date", R6("q_sr"))
+    return candles.range_rank(candles.features(tables.bars(spark, sf))).select("code", "date", R6("q_sr"))
 
 
 def q_smoothed_range(spark, sf):
@@ -119,12 +119,12 @@ def q_limit_lookup(spark, sf):
 
 
 def q_candle_labels(spark, sf):
-    rows = candles.range_rank(candles.features(tables.bars(spark, sf)), 60)
+    rows = candles.range_rank(candles.features(tables.bars(spark, sf)))
     return candles.labels(rows).select("code", "date", "candle_labels")
 
 
 def q_gap_swap(spark, sf):
-    rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf)), 60))
+    rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf))))
     return rows.select("code", "date", candles.swap_gap_tokens(F.col("candle_labels")).alias("swapped"))
 
 
@@ -439,7 +439,7 @@ def q_status_counts(spark, sf):
 
 
 def q_price_text(spark, sf):
-    rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf)), 60))
+    rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf))))
     return rows.select("code", "date", candles.price_text(F.col("candle_labels")).alias("price_text"))
 
 
