@@ -65,3 +65,15 @@ def test_range_is_ranked_over_the_smoothed_range_before_it(spark):
     got = candles.range_rank(candles.features(rows)).orderBy("date").collect()
     assert [r["q_sr"] is None for r in got] == [i < 20 for i in range(41)]
     assert got[-1]["q_sr"] == 1.0 and got[-2]["q_sr"] == 0.5 + 0.5 / 39
+
+
+def test_sma75(spark, con):
+    sql = SQL["sma75_rs"].replace("OVER l = 20", "OVER l = 75").replace("ROWS 19 PRECEDING", "ROWS 74 PRECEDING").replace("rs_sma20", "rs_sma75")
+    assert oracle.differences(spark, SF, QUERIES["sma75_rs"], sql, con) == ""
+
+
+def test_perfect_order_of_25_75_200(spark, con):
+    sql = SQL["perfect_order"].replace("max(k) >= 30", "max(k) >= 220")
+    for old, new in ((20, 200), (10, 75), (5, 25)):
+        sql = sql.replace(f"ROWS {old - 1} PRECEDING", f"ROWS {new - 1} PRECEDING").replace(f"PRECEDING) = {old} ", f"PRECEDING) = {new} ").replace(f"a{old}", f"a{new}")
+    assert oracle.differences(spark, "/root/testdata/sf0.01", QUERIES["perfect_order"], sql, oracle.connection("/root/testdata/sf0.01")) == ""

@@ -67,8 +67,8 @@ def q_information_ratio(spark, sf):
 
 
 def q_sma75_rs(spark, sf):
-    sma = indicators.sma_relative_strength(axis_of(spark, sf), window=20, t=31)
-    return calendar.at_run_date(sma, RUN_DATE, ["code", "bench"]).select("code", "bench", R6("rs_sma20"))
+    sma = indicators.sma_relative_strength(axis_of(spark, sf))
+    return calendar.at_run_date(sma, RUN_DATE, ["code", "bench"]).select("code", "bench", R6("rs_sma75"))
 
 
 def q_turnover(spark, sf):
@@ -79,7 +79,7 @@ def q_turnover(spark, sf):
 
 def q_perfect_order(spark, sf):
     b = tables.bars(spark, sf)
-    return indicators.perfect_order_days(b, "1998-05-29", (5, 10, 20), 30)
+    return indicators.perfect_order_days(b, "1998-05-29")
 
 
 def q_indicator_grid(spark, sf):
