@@ -27,10 +27,23 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group whose five-word shingle sets chain at Jaccard 0.8 or more."""
-    groups = ngramjoin.jaccard_components(docs, width=5, num=80, den=100)
-    stay = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(stay, "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group whose five-word shingle sets chain at Jaccard 0.8 or more: that of least id, null ids last.
+
+    Rows are told apart by a 64-bit hash of id and text, so null ids and ids
+    with several texts link by their texts as others do.  Of rows equal in id
+    and text one stays; rows without a shingle set all stay.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+    groups = ngramjoin.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"), width=5, num=80, den=100)
+    groups = groups.groupBy(F.col("doc_id").alias("_key")).agg(F.max("component_id").alias("c"), F.max("n_shingles").alias("k"), F.count(F.lit(1)).alias("n"))
+    ids = keyed.groupBy("_key").agg(F.min("doc_id").alias("id"))
+    first = F.struct(F.col("id").isNull(), "id", "_key")
+    kept = groups.join(ids, "_key").groupBy("c").agg(F.min_by(F.struct("_key", "k", "n"), first).alias("r"))
+    kept = materialize(kept.select("r._key", ((F.col("r.k") > 0) & (F.col("r.n") > 1)).alias("_repeats")), "near-kept")
+    rows = keyed.join(kept, "_key")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    once = rows.where("_repeats").groupBy("_key", "doc_id", "text").agg(F.min(F.struct(F.lit(0), *others)).alias("r")).select("doc_id", "text", *[F.col("r")[c].alias(c) for c in others])
+    return rows.where("not _repeats").select(*docs.columns).unionByName(once).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

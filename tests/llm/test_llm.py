@@ -341,6 +341,19 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     assert got == sorted(want)
 
 
+def test_near_duplicate_stage_decides_by_row(spark):
+    import corpus_pipeline
+
+    text = lambda a, n=60: " ".join(f"{a}{k}" for k in range(n))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b") + " more"), (2, text("c")), (2, text("c")), (3, text("d")), (4, text("d") + " more"), (4, text("e")), (5, None), (5, None), (None, ""), (1, text("f")), (None, text("f"))]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicate_stage(spark, df, SF).collect()]
+    sure = [(None, text("a")), (2, text("c")), (3, text("d")), (4, text("e")), (5, None), (5, None), (None, ""), (1, text("f"))]
+    either = [r for r in got if r not in sure]
+    assert len(either) == 1 and either[0] in rows[1:3]
+    assert sorted(map(repr, got)) == sorted(map(repr, sure + either))
+
+
 def test_null_ids_and_clashing_columns_do_not_crash(spark):
     rows = [(None, "one two three four five", "en", "s", None, 0.1, "q", 1), (3, None, None, None, 4, None, None, None), (None, None, None, None, None, None, None, None), (7, "one two three four five", "en", "s", 1, 0.1, "q", 1), (7, "one two three four six", "en", None, 1, 0.1, "q", 1)]
     df = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("seq", "node")
