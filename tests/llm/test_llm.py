@@ -279,6 +279,22 @@ def test_toxicity_finds_unseen_forms(spark):
     assert {r["score"] for r in toxicity.classify(df, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_reads_whole_unspaced_runs(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(333))
+    got = toxicity.steps(f"one {text} two")
+    assert got[0] == "one" and got[-1] == "two" and all(len(p) <= toxicity.PIECE for p in got[1:-1])
+    assert all(any(text[i : i + 5] in p for p in got) for i in range(len(text) - 4))
+    assert toxicity.steps("a " + "b" * 64 + " " + "-" * 100) == ["a", "b" * 64, "-" * 100]
+    data = labelled()
+    clean = [t.replace(" ", "_") for t, y in data if not y][:10]
+    late = [t + "_" + "_".join(["zorglehij"] * 3) for t in clean]
+    df = docs_of(spark, [t for t, _ in data] + clean + late)
+    labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(data)], "doc_id long, quality int, toxic int")
+    score = {r["doc_id"]: r["score"] for r in toxicity.classify(df, labels).collect()}
+    n = len(data)
+    assert all(score[n + 10 + i] > max(0.5, score[n + i]) for i in range(10))
+
+
 def test_gradients_match_differences():
     r = np.random.default_rng(1)
     net = toxicity.Network.start()

@@ -2,8 +2,10 @@
 
 Inputs of a word: how a hashed table of whole words and a hashed table of
 character 4- and 5-grams lean (log odds of document frequencies), the least,
-mean and largest lean of its n-grams, and its length.  The network reads
-windows of ``WINDOW`` words that overlap by half, in both directions;
+mean and largest lean of its n-grams, and its length.  A run of more than
+``LONGEST`` bytes without white space is read as overlapping pieces of
+``PIECE`` characters, each an input like a word.  The network reads windows
+of ``WINDOW`` inputs that overlap by half, in both directions;
 attention pools the states of a window.  A document's score is the calibrated
 score of its strongest window; every window of every whole text is scored.
 
@@ -33,6 +35,7 @@ from tidemark.llm.common import hold, only, row_chunks
 
 WINDOW, STRIDE, HIDDEN, ATTEND, INPUTS = 24, 12, 6, 6, 6
 WORD_BITS, GRAM_BITS = 17, 18
+LONGEST, PIECE, PIECE_STRIDE = 64, 16, 8
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»“”‘’…-–—*#$%&|"
 
 
@@ -40,9 +43,20 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
 
 
+def steps(text: str) -> list[str]:
+    """Words of a text; a longer run as pieces that overlap by half, so that every n-gram is inside a piece."""
+    out = []
+    for w in text.split():
+        if len(w) > PIECE and len(w.encode(errors="replace")) > LONGEST and len((core := w.strip(PUNCTUATION)).encode(errors="replace")) > LONGEST:
+            out += [core[i : i + PIECE] for i in range(0, len(core) - PIECE + PIECE_STRIDE, PIECE_STRIDE)]
+        else:
+            out.append(w)
+    return out
+
+
 def grams(word: bytes) -> list[int]:
     """Hashed character 4- and 5-grams of a marked word."""
-    w = b"^" + word[:64] + b"$"
+    w = b"^" + word + b"$"
     n, mask, crc = len(w), (1 << GRAM_BITS) - 1, zlib.crc32
     return [crc(w[i : i + k]) & mask for k in (4, 5) for i in range(n - k + 1)] or [crc(w) & mask]
 
@@ -237,7 +251,7 @@ def lay_out(lengths: list[int], first: list[int], padding: int) -> tuple[np.ndar
 
 def strongest(net: Network, words: WordRows, texts: list[str], pick: bool = False):
     """Largest window logit of each text; with ``pick`` also its window's rows."""
-    split = [t.split() for t in texts]
+    split = [steps(t) for t in texts]
     ids, rows = words.place([w for s in split for w in s])
     lengths = [len(s) for s in split]
     first = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64).tolist() if lengths else []
@@ -258,7 +272,7 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 3, epochs: int = 6
     y = labels.astype(np.int64)
     if len(y) < 8 or min(y[fold].sum(), (1 - y[fold]).sum(), y[~fold].sum(), (1 - y[~fold]).sum()) < 1:
         return None
-    sets = [{w.lower().strip(PUNCTUATION) for w in t.split()} - {""} for t, f in zip(texts, fold) if f]
+    sets = [{w.lower().strip(PUNCTUATION) for w in steps(t)} - {""} for t, f in zip(texts, fold) if f]
     leans = Leans.fit(sets, y[fold])
     words = WordRows(leans)
     other = [t for t, f in zip(texts, fold) if not f]
