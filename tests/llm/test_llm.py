@@ -216,6 +216,13 @@ def test_trust_spreads_as_in_numpy(spark):
         assert got[h] == pytest.approx((t[i], d[i]))
 
 
+def test_distrust_reaches_any_distance(spark):
+    n = 20  # each host links to the next; the last is blocked
+    rows = [(i, f"http://h{i}.xyz/", f'<a href="http://h{i + 1}.xyz/">') for i in range(n)] + [(n, f"http://h{n}.xyz/en/1", "")]
+    got = urlfilter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), [("block", "xyz/en/")]).collect()
+    assert all(r["verdict"] == "block" and r["distrust"] > 0 for r in got) and sum(r["distrust"] for r in got) == pytest.approx(1)
+
+
 @pytest.mark.parametrize("dims", [1, 8])
 def test_top_k_equals_brute_force(spark, dims):
     r = np.random.default_rng(dims)

@@ -15,6 +15,7 @@ all pages sends one row per task.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +25,10 @@ from tidemark.llm.common import materialize, only
 
 #: (verdict, rule); a rule is a host, then a path prefix.
 RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
-DAMPING, ITERATIONS, CUT_EVERY = 0.85, 12, 6
+#: Propagation stops when a step moves neither vector by more than ``TOLERANCE`` in sum (looked at every ``CUT_EVERY`` steps).
+DAMPING, TOLERANCE, CUT_EVERY = 0.85, 1e-9, 6
+#: Every step shrinks the movement (2 at most) by ``DAMPING`` at least, so the tolerance is always reached within so many steps.
+ITERATIONS = math.ceil(math.log(TOLERANCE / 2) / math.log(DAMPING))
 HREF = r"""(?i)href\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -65,7 +69,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def host_scores(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
-    """``host, trust, distrust`` after the propagation; each sums to 1 over hosts where it has a seed."""
+    """``host, trust, distrust`` at the fixed point of the propagation; each sums to 1 over hosts where it has a seed."""
     urls = pages.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).where("host <> ''")
     urls = urls.withColumn("v", matched_rule(F.col("host"), F.col("path"), rules)["verdict"])
     seeds = urls.groupBy("host").agg(F.count_if(F.col("v") == "allow").cast("double").alias("t"), F.count_if(F.col("v") == "block").cast("double").alias("d"))
@@ -82,13 +86,18 @@ def host_scores(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     forward = edges.join(out_w, edges["src"] == out_w["host"]).select(F.col("src").alias("a"), F.col("dst").alias("b"), (F.col("n") / F.col("w")).alias("wt"), F.lit(0.0).alias("wd"))
     backward = edges.join(in_w, edges["dst"] == in_w["host"]).select(F.col("dst").alias("a"), F.col("src").alias("b"), F.lit(0.0).alias("wt"), (F.col("n") / F.col("w")).alias("wd"))
     steps = materialize(forward.unionByName(backward).groupBy("a", "b").agg(F.sum("wt").alias("wt"), F.sum("wd").alias("wd")), "host-steps")
-    ranks = seeds
-    for i in range(1, ITERATIONS + 1):
+    ranks, i, moving = seeds, 0, True
+    while moving and i < ITERATIONS + CUT_EVERY:
+        i += 1
         moved = ranks.join(steps, ranks["host"] == steps["a"]).select(F.col("b").alias("host"), (F.lit(DAMPING) * F.col("t") * F.col("wt")).alias("t"), (F.lit(DAMPING) * F.col("d") * F.col("wd")).alias("d"))
         back = seeds.select("host", ((1 - DAMPING) * F.col("t")).alias("t"), ((1 - DAMPING) * F.col("d")).alias("d"))
+        last = ranks.select("host", F.col("t").alias("t0"), F.col("d").alias("d0"))
         ranks = moved.unionByName(back).groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
-        if i % CUT_EVERY == 0 or i == ITERATIONS:
-            ranks = materialize(ranks, "host-ranks")
+        if i % CUT_EVERY == 0:
+            gone = lambda x, y: F.sum(F.abs(F.coalesce(x, F.lit(0.0)) - F.coalesce(y, F.lit(0.0))))
+            both = materialize(ranks.join(last, "host", "full"), "host-ranks")
+            ranks = both.select("host", F.coalesce("t", F.lit(0.0)).alias("t"), F.coalesce("d", F.lit(0.0)).alias("d"))
+            moving = max((v or 0.0) for v in both.agg(gone("t", "t0"), gone("d", "d0")).first()) > TOLERANCE
     return ranks.select("host", F.col("t").alias("trust"), F.col("d").alias("distrust"))
 
 
