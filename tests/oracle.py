@@ -41,6 +41,7 @@ def differences(spark, sf_dir, query, sql, con):
     if na != nb:
         return f"columns {na} {nb}"
     if a != b:
-        x, y = [r for r in a if r not in set(b)], [r for r in b if r not in set(a)]
+        left, right = set(a), set(b)
+        x, y = [r for r in a if r not in right], [r for r in b if r not in left]
         return f"rows {len(a)} {len(b)}; only here {x[:3]}; only there {y[:3]}"
     return ""

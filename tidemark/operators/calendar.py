@@ -16,16 +16,17 @@ def pair_window() -> WindowSpec:
 def union_axis(bars: DataFrame, bench: DataFrame) -> DataFrame:
     """``code, bench, date, stock_close, bench_close, pos``: outer join of each instrument with each benchmark on date.
 
-    One exchange by (code, bench); merging equal dates and every later window
-    reuse it.  Benchmarks are a calendar of a few thousand days and are sent
-    to all tasks.
+    Bars are read once and shuffled once, by code; that partitioning serves
+    the merging of equal dates and every later window of a (code, bench)
+    pair.  An instrument's own series is an array in date order for a moment
+    (bounded by its days).  The benchmarks' calendar comes as one scalar
+    subquery, so there is no join: its size is the number of sessions.
     """
-    names = F.broadcast(bench.select("bench").distinct())
-    stock = bars.select("code", "date", F.col("close").alias("stock_close")).join(names).select("code", "bench", "date", "stock_close", F.lit(None).cast("double").alias("bench_close"))
-    days = F.broadcast(bench.select("bench", "date", F.col("close").alias("bench_close")))
-    ref = bars.select("code").distinct().join(days).select("code", "bench", "date", F.lit(None).cast("double").alias("stock_close"), "bench_close")
-    rows = stock.unionByName(ref).repartition(*PAIR)
-    merged = rows.groupBy("code", "bench", "date").agg(F.max("stock_close").alias("stock_close"), F.max("bench_close").alias("bench_close"))
+    own = bars.groupBy("code").agg(F.collect_list(F.struct("date", F.col("close").alias("stock_close"), F.lit(None).cast("double").alias("bench_close"))).alias("own"))
+    series = bench.groupBy("bench").agg(F.collect_list(F.struct("date", F.lit(None).cast("double").alias("stock_close"), F.col("close").alias("bench_close"))).alias("days"))
+    pairs = own.withColumn("_c", F.explode(series.agg(F.collect_list(F.struct("bench", "days")).alias("c")).scalar()))
+    rows = pairs.select("code", F.col("_c")["bench"].alias("bench"), F.explode(F.concat("own", F.col("_c")["days"])).alias("_r"))
+    merged = rows.groupBy("code", "bench", F.col("_r")["date"].alias("date")).agg(F.max(F.col("_r")["stock_close"]).alias("stock_close"), F.max(F.col("_r")["bench_close"]).alias("bench_close"))
     return merged.withColumn("pos", F.row_number().over(pair_window()))
 
 
@@ -40,9 +41,10 @@ def anchored_return(column: str, t: int, w: WindowSpec) -> Column:
     return F.col(column) / F.nullif(F.lag(column, t).over(w), F.lit(0.0)) - 1
 
 
-def run_anchor(axis: DataFrame, run_date: str) -> DataFrame:
-    """``code, bench, p``: position of the last axis date not after the run date."""
-    return axis.where(F.col("date") <= F.lit(run_date).cast("date")).groupBy(*PAIR).agg(F.max("pos").alias("p"))
+def with_run_anchor(axis: DataFrame, run_date: str) -> DataFrame:
+    """Adds ``p``: position of the pair's last axis date not after the run date (a window on the pair's own partition)."""
+    seen = F.when(F.col("date") <= F.lit(run_date).cast("date"), F.col("pos"))
+    return axis.withColumn("p", F.max(seen).over(Window.partitionBy(*PAIR)))
 
 
 def at_run_date(df: DataFrame, run_date: str, keys: list[str]) -> DataFrame:
@@ -53,8 +55,23 @@ def at_run_date(df: DataFrame, run_date: str, keys: list[str]) -> DataFrame:
 
 
 def align_to_axis(axis_dates: DataFrame, series: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Fixed-length array per key: the axis left-joined with the series, missing days null, in date order."""
-    members = series.select(*keys).distinct()
-    grid = members.join(F.broadcast(axis_dates.select("date")))
-    full = grid.join(series.select(*keys, "date", value), [*keys, "date"], "left")
-    return full.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("date", value))), lambda x: x[value]).alias(value))
+    """Fixed-length array per key: the axis left-joined with the series, missing days null, in date order.
+
+    The axis (one entry per session) is a scalar subquery; a key's values on
+    it are looked up in a map of at most as many entries.
+    """
+    axis = axis_dates.agg(F.array_sort(F.collect_set("date")).alias("a")).scalar()
+    rows = series.select(*keys, "date", value).withColumn("_a", axis)
+    on_axis = F.when(F.array_contains("_a", F.col("date")), F.struct("date", value))
+    packed = rows.groupBy(*keys).agg(F.map_from_entries(F.array_compact(F.collect_list(on_axis))).alias("_m"))
+    return packed.withColumn("_a", axis).select(*keys, F.transform("_a", lambda d: F.element_at("_m", d)).alias(value))
+
+
+def trailing_axis(df: DataFrame, axis_dates: DataFrame) -> DataFrame:
+    """Rows of a series form that fall on the axis: every metric of every axis day in one pass."""
+    return df.join(F.broadcast(axis_dates.select("date")), "date", "left_semi")
+
+
+def require_session(bench: DataFrame, as_of: str) -> DataFrame:
+    """``bench, has_bar``: whether each benchmark has a bar on the as-of day; a run stops on any False."""
+    return bench.groupBy("bench").agg(F.bool_or(F.col("date") == F.lit(as_of).cast("date")).alias("has_bar"))

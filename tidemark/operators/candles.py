@@ -41,13 +41,13 @@ def features(bars: DataFrame, textbook: bool = False) -> DataFrame:
     rows = bars.withColumns({"prev_close": prev, "prev_high": F.lag("high", 1).over(w), "prev_low": F.lag("low", 1).over(w), "x": x, "k": F.row_number().over(w)})
     rows = rows.withColumn("tr", F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("x")), F.abs(F.col("low") - F.col("x"))))
     body, up, down = F.abs(F.col("close") - F.col("open")), F.col("high") - F.greatest("open", "close"), F.least("open", "close") - F.col("low")
-    share = lambda c: F.coalesce(c / F.nullif("tr", F.lit(0.0)), F.lit(0.0))
+    share = lambda c: c / F.nullif("tr", F.lit(0.0))  # noqa: E731  (null on bars without a range)
     return rows.withColumns({
         "direction": F.signum(F.col("close") - F.col("open")).cast("int"),
         "br": share(body), "ur": share(up), "dr": share(down),
-        "gap": F.abs(F.col("open") - F.col("x")),
+        "gap": F.col("open") - F.col("x"),
         "close_pos": F.when(F.col("high") > F.col("low"), (F.col("close") - F.col("low")) / (F.col("high") - F.col("low"))),
-        "hit_high": F.col("close") >= F.col("high"), "hit_low": F.col("close") <= F.col("low"),
+        "hit_high": (F.col("close") == F.col("high")).cast("int"), "hit_low": (F.col("close") == F.col("low")).cast("int"),
     }).drop("x")
 
 
@@ -60,25 +60,27 @@ def smoothed_range(rows: DataFrame, span: int = 14) -> DataFrame:
     return agg.select("code", F.when(F.size("trs") > 1, F.aggregate(F.slice(body, 2, F.greatest(F.size(body), F.lit(1))), F.get(body, F.lit(0)), lambda e, x: F.lit(alpha) * x + F.lit(1 - alpha) * e)).alias("atr"))
 
 
-def prior_range(rows: DataFrame, span: int = 14) -> DataFrame:
-    """Adds ``atr``: the exponentially smoothed true range up to the bar before (a recursion in date order, one Arrow table per code)."""
+def range_rank(rows: DataFrame, window: int = 252, span: int = 14) -> DataFrame:
+    """Adds ``atr`` (smoothed true range up to the bar before), ``gap_atr`` (gap over it) and ``q_sr``.
+
+    ``q_sr`` is the average-tie share of the last ``window`` ranges, each over
+    its own prior smoothed range, that are not above the current one; null
+    with fewer than min(20, window / 4) of them.  The recursion runs in date
+    order over one Arrow table per instrument (bounded by its days).
+    """
 
     def run(bars: pa.Table) -> pa.Table:
         bars = bars.sort_by("date")
-        atr = bars["tr"].to_pandas().ewm(span=span, adjust=False).mean().shift(1)
-        return bars.append_column("atr", pa.array(atr, pa.float64(), from_pandas=True))
-
-    return rows.groupBy("code").applyInArrow(run, T.StructType([*rows.schema.fields, T.StructField("atr", T.DoubleType())]))
+        tr, gap = (bars[c].to_pandas().astype("float64") for c in ("tr", "gap"))
+        atr = tr.ewm(span=span, adjust=False).mean().shift(1)
+        base = atr.where(atr != 0)
+        rank = (tr / base).rolling(window, min_periods=min(20, window // 4)).rank(pct=True)
+        for name, values in (("atr", atr), ("gap_atr", gap.abs() / base), ("q_sr", rank)):
+            bars = bars.append_column(name, pa.array(values, pa.float64(), from_pandas=True))
+        return bars
 
-
-def range_rank(rows: DataFrame, window: int = 252) -> DataFrame:
-    """Adds ``q_sr``: average-tie share of the last ``window`` ranges, each over its prior smoothed range, not above the current one."""
-    w = Window.partitionBy("code").orderBy("date").rowsBetween(-(window - 1), 0)
-    sr = F.col("tr") / F.nullif("atr", F.lit(0.0))
-    r = prior_range(rows).withColumn("sr", sr).withColumn("seen", F.collect_list("sr").over(w))
-    below, same = F.size(F.filter("seen", lambda v: v < F.col("sr"))), F.size(F.filter("seen", lambda v: v == F.col("sr")))
-    q = (below + (same + 1) / 2.0) / F.size("seen")
-    return r.withColumn("q_sr", F.when(F.col("sr").isNotNull() & (F.size("seen") >= min(20, window // 4)), q)).drop("seen", "sr", "atr")
+    added = [T.StructField(c, T.DoubleType()) for c in ("atr", "gap_atr", "q_sr")]
+    return rows.groupBy("code").applyInArrow(run, T.StructType([*rows.schema.fields, *added]))
 
 
 def limit_label(prev: str = "prev_close") -> Column:
@@ -99,27 +101,21 @@ def limit_label(prev: str = "prev_close") -> Column:
 
 
 def labels(rows: DataFrame) -> DataFrame:
-    """Adds ``candle_labels``: limit, validity, size, body, wick, direction and window labels, comma-joined.
-
-    A column ``gap_atr`` (gap over the smoothed range), where present, also
-    gives the labels of suspected actions and dominant gaps.
-    """
+    """Adds ``candle_labels`` to ``range_rank`` rows, comma-joined: limit, validity, action, dominant gap, size, body, wick, direction, window."""
     limit = limit_label()
     q, br, ur, dr = (F.col(x) for x in ("q_sr", "br", "ur", "dr"))
     size = F.when(q >= 0.95, "RANGE_VERY_LARGE").when(q >= 0.85, "RANGE_LARGE").when(q < 0.15, "RANGE_VERY_SMALL").when(q < 0.40, "RANGE_SMALL")
     doji = br <= 0.10
-    body = F.when(doji, "DOJI").when(br >= 0.70, F.when(F.greatest(ur, dr) <= 0.15, "BODY_MARUBOZU_LIKE")).when(br >= 0.55, "BODY_LONG").when(br <= 0.25, "BODY_SMALL").otherwise("BODY_MIDDLE")
+    body = F.when(doji, "DOJI").when(br >= 0.70, F.when(F.greatest(ur, dr) <= 0.15, "BODY_MARUBOZU_LIKE")).when(br >= 0.55, "BODY_LONG").when(br <= 0.25, "BODY_SMALL").when(br.isNotNull(), "BODY_MIDDLE")
     wick = (
         F.when((ur >= 0.45) & (dr >= 0.45), "WICK_BOTH_LONG").when((ur >= 0.25) & (dr >= 0.25), "WICK_BOTH_PRESENT").when(ur >= 0.45, "WICK_UPPER_LONG").when(dr >= 0.45, "WICK_LOWER_LONG").when(ur >= 0.25, "WICK_UPPER_PRESENT").when(dr >= 0.25, "WICK_LOWER_PRESENT")
     )
-    way = F.when(~doji, F.when(F.col("direction") > 0, "DIR_BULL").when(F.col("direction") < 0, "DIR_BEAR"))
+    way = F.when(~F.coalesce(doji, F.lit(False)), F.when(F.col("direction") > 0, "DIR_BULL").when(F.col("direction") < 0, "DIR_BEAR"))
     window = F.when(F.col("prev_high") < F.col("low"), "GAP_UP").when(F.col("prev_low") > F.col("high"), "GAP_DOWN")
     invalid = F.when((F.col("tr") == 0) & limit.isNull(), "INVALID_TR0")
-    action = dominant = F.lit(None).cast("string")
-    if "gap_atr" in rows.columns:
-        near = F.nullif(F.col("open") - F.col("gap"), F.lit(0.0))
-        action = F.when((F.col("gap_atr") >= 5) | (F.abs(F.col("gap") / near) >= 0.30), "ACTION_SUSPECT")
-        dominant = F.when((F.col("gap_atr") >= 1.0) & (F.col("tr") > 0) & (F.abs(F.col("gap")) / F.col("tr") >= 0.6), "GAP_DOMINANT")
+    near = F.nullif(F.col("open") - F.col("gap"), F.lit(0.0))
+    action = F.when((F.col("gap_atr") >= 5) | (F.col("gap_atr").isNotNull() & (F.abs(F.col("gap") / near) >= 0.30)), "ACTION_SUSPECT")
+    dominant = F.when((F.col("gap_atr") >= 1.0) & (F.col("tr") > 0) & (F.abs("gap") / F.col("tr") >= 0.6), "GAP_DOMINANT")
     found = F.array_join(F.array_compact(F.array(limit, invalid, action, dominant, size, body, wick, way, window)), ",")
     return rows.withColumn("candle_labels", F.when(F.col("k") < 2, "").otherwise(found))
 

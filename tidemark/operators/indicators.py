@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.calendar import PAIR, anchored_return, pair_window, run_anchor
+from tidemark.operators.calendar import PAIR, anchored_return, pair_window, with_run_anchor
 
 RS_WINDOWS = (31, 63, 126, 252)
 
@@ -55,9 +55,9 @@ def rs_acceleration(rs: DataFrame, n: int = 60) -> DataFrame:
     return rows.withColumn("rs_acceleration_zscore", F.when((F.count(a).over(last) >= least_samples(n)) & (sd > 0), z))
 
 
-def slice_returns(axis: DataFrame, anchor: DataFrame, first: int, last: int) -> DataFrame:
+def slice_returns(axis: DataFrame, run_date: str, first: int, last: int) -> DataFrame:
     """Paired returns inside the axis slice ``p - first .. p - last``; filling and differencing never look outside it."""
-    cut = axis.join(anchor, PAIR).where((F.col("pos") >= F.col("p") - first) & (F.col("pos") <= F.col("p") - last))
+    cut = with_run_anchor(axis, run_date).where((F.col("pos") >= F.col("p") - first) & (F.col("pos") <= F.col("p") - last))
     w = pair_window()
     up = w.rowsBetween(Window.unboundedPreceding, 0)
     filled = cut.withColumns({"fs": F.last("stock_close", True).over(up), "fb": F.last("bench_close", True).over(up)})
@@ -65,20 +65,38 @@ def slice_returns(axis: DataFrame, anchor: DataFrame, first: int, last: int) ->
     return filled.select(*PAIR, "date", r("fs").alias("rs"), r("fb").alias("rb")).where("rs is not null and rb is not null")
 
 
-def beta_adjusted(axis: DataFrame, asof: DataFrame, run_date: str, window: int = 252, beta_window: int = 126) -> DataFrame:
-    """Return over ``window`` less beta times the benchmark's; beta from the ``beta_window`` axis rows that end where it starts."""
-    anchor = run_anchor(axis, run_date)
-    returns = slice_returns(axis, anchor, window + beta_window - 1, window)
-    beta = returns.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"), F.covar_pop("rs", "rb").alias("cov"), F.var_pop("rb").alias("var"))
-    beta = beta.select(*PAIR, F.when((F.col("n") >= least_samples(beta_window)) & (F.col("var") > 0), F.col("cov") / F.col("var")).alias("beta"))
+def beta_adjusted(asof: DataFrame, run_date: str, window: int = 252, beta_window: int = 126) -> DataFrame:
+    """Return over ``window`` less beta times the benchmark's; beta from the ``beta_window`` axis rows that end where it starts.
+
+    Everything is a window or an aggregate on the pair's own partition: the
+    beta slice's returns (filled inside the slice only) and the final returns
+    meet in one aggregation, without a join.
+    """
     w = pair_window()
-    total = asof.withColumns({"r_s": anchored_return("s", window, w), "r_b": anchored_return("b", window, w)}).join(anchor, PAIR).where("pos = p")
-    return total.join(beta, PAIR, "left").select(*PAIR, "beta", (F.col("r_s") - F.col("beta") * F.col("r_b")).alias("beta_adjusted_rs"))
+    first, last = window + beta_window - 1, window
+    rows = with_run_anchor(asof, run_date).withColumns({"r_s": anchored_return("s", window, w), "r_b": anchored_return("b", window, w)})
+    inside = (F.col("pos") >= F.col("p") - first) & (F.col("pos") <= F.col("p") - last)
+    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    part = lambda c: F.last(F.when(inside, F.col(c)), True).over(up)
+    rows = rows.withColumns({"fs": F.when(inside, part("stock_close")), "fb": F.when(inside, part("bench_close"))})
+    r = lambda c: F.col(c) / F.nullif(F.lag(c, 1).over(w), F.lit(0.0)) - 1
+    rows = rows.withColumns({"rs": r("fs"), "rb": r("fb")})
+    both = F.col("rs").isNotNull() & F.col("rb").isNotNull()
+    agg = rows.groupBy(*PAIR).agg(
+        F.count_if(both).alias("n"),
+        F.covar_pop(F.when(both, F.col("rs")), F.when(both, F.col("rb"))).alias("cov"),
+        F.var_pop(F.when(both, F.col("rb"))).alias("var"),
+        F.max(F.when(F.col("pos") == F.col("p"), F.col("r_s"))).alias("r_s"),
+        F.max(F.when(F.col("pos") == F.col("p"), F.col("r_b"))).alias("r_b"),
+        F.max("p").alias("p"),
+    )
+    beta = F.when((F.col("n") >= least_samples(beta_window)) & (F.col("var") > 0), F.col("cov") / F.col("var"))
+    return agg.where("p is not null").select(*PAIR, beta.alias("beta"), (F.col("r_s") - beta * F.col("r_b")).alias("beta_adjusted_rs"))
 
 
 def information_ratio(axis: DataFrame, run_date: str, window: int = 63) -> DataFrame:
     """Mean over standard deviation of excess returns in the last ``window`` axis rows."""
-    excess = slice_returns(axis, run_anchor(axis, run_date), window - 1, 0).withColumn("e", F.col("rs") - F.col("rb"))
+    excess = slice_returns(axis, run_date, window - 1, 0).withColumn("e", F.col("rs") - F.col("rb"))
     agg = excess.groupBy(*PAIR).agg(F.count("e").alias("n"), F.avg("e").alias("m"), F.stddev_samp("e").alias("sd"))
     return agg.select(*PAIR, F.when((F.col("n") >= least_samples(window)) & (F.col("sd") > 0), F.col("m") / F.col("sd")).alias("information_ratio"))
 
@@ -94,6 +112,13 @@ def sma_relative_strength(axis: DataFrame, window: int = 75, t: int = 31) -> Dat
     return rows.select(*PAIR, "date", (anchored_return("s", t, w) - anchored_return("b", t, w)).alias(f"rs_sma{window}"))
 
 
+def lookback_eligible(axis: DataFrame, as_of: str, least: int = 105) -> DataFrame:
+    """``code, bench, eligible``: whether both sides have ``least`` closes up to the as-of day."""
+    seen = F.col("date") <= F.lit(as_of).cast("date")
+    n = lambda c: F.count(F.when(seen, F.col(c)))
+    return axis.groupBy(*PAIR).agg(((n("stock_close") >= least) & (n("bench_close") >= least)).alias("eligible"))
+
+
 def perfect_order_days(bars: DataFrame, run_date: str, spans: tuple[int, int, int] = (25, 75, 200), least_bars: int = 220) -> DataFrame:
     """Trailing rows on which the short average exceeds the middle one and that the long one; null with few or stale bars."""
     w = Window.partitionBy("code").orderBy("date")
@@ -109,3 +134,11 @@ def null_ratio(df: DataFrame, columns: list[str]) -> DataFrame:
     """Guard: share of null slots over the given columns."""
     missing = sum((F.sum(F.col(c).isNull().cast("long")) for c in columns[1:]), F.sum(F.col(columns[0]).isNull().cast("long")))
     return df.agg(F.count(F.lit(1)).alias("n_rows"), missing.alias("n_null")).withColumn("null_ratio", F.col("n_null") / F.nullif(F.col("n_rows") * len(columns), F.lit(0)))
+
+
+def missing_guard(df: DataFrame, columns: list[str], windows: int, benches: int, most: float = 0.5) -> DataFrame:
+    """``null_ratio`` over the slots a run should fill, rows x (3 + (windows + 4) x benches), and whether it is too high."""
+    slots = 3 + (windows + 4) * benches
+    n_null = sum((F.sum(F.col(c).isNull().cast("long")) for c in columns), F.lit(0).cast("long"))
+    out = df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(n_null, F.lit(0)).alias("n_null"))
+    return out.withColumn("ratio", F.col("n_null") / F.nullif(F.col("n_rows") * slots, F.lit(0))).withColumn("too_many", F.coalesce(F.col("ratio") > most, F.lit(False)))

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from tidemark.operators.candles import ALONE_TEXTS, LIMIT_TEXTS, LIMITS, PART_TEXTS
-from tidemark.operators.events import CATEGORY, Weights
-from tidemark.operators.rules import LINKS
-
 RUN = "DATE '1998-06-01'"
 BARS = """bars AS (SELECT n_name AS code, CAST(l_shipdate AS DATE) AS date,
  first(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS open, max(l_extendedprice) AS high, min(l_extendedprice) AS low,
@@ -58,34 +54,55 @@ def sliced(first: int, last: int) -> str:
 
 
 def candle(textbook: bool = False) -> str:
+    """Bars with range shares, the smoothed range before each bar (span 14: a closed form of its recursion), and the 252-row rank."""
     x = "prev_close" if textbook else "CASE WHEN next_close IS NOT NULL THEN close END"
     return f"""{BARS}, c0 AS (SELECT *, lag(close) OVER w AS prev_close, lead(close) OVER w AS next_close, lag(high) OVER w AS prev_high, lag(low) OVER w AS prev_low, row_number() OVER w AS k FROM bars WINDOW w AS (PARTITION BY code ORDER BY date)),
  c1 AS (SELECT *, {x} AS x FROM c0), c2 AS (SELECT *, greatest(high - low, abs(high - x), abs(low - x)) AS tr FROM c1),
- c3 AS (SELECT *, CAST(sign(close - open) AS INT) AS direction, coalesce(abs(close - open) / nullif(tr, 0), 0) AS br, coalesce((high - greatest(open, close)) / nullif(tr, 0), 0) AS ur, coalesce((least(open, close) - low) / nullif(tr, 0), 0) AS dr,
- abs(open - x) AS gap, CASE WHEN high > low THEN (close - low) / (high - low) END AS close_pos, close >= high AS hit_high, close <= low AS hit_low, tr / nullif(close, 0) AS sr FROM c2),
- c4 AS (SELECT *, list(sr) FILTER (sr IS NOT NULL) OVER (PARTITION BY code ORDER BY date ROWS 59 PRECEDING) AS seen FROM c3),
- c5 AS (SELECT *, CASE WHEN sr IS NOT NULL AND len(seen) >= 15 THEN (len(list_filter(seen, lambda v: v < sr)) + (len(list_filter(seen, lambda v: v = sr)) + 1) / 2.0) / len(seen) END AS q_sr FROM c4)"""
+ c2a AS (SELECT *, pow(13.0::DOUBLE / 15, k - 1) * sum(CASE WHEN k = 1 THEN tr ELSE 2.0::DOUBLE / 15 * tr * pow(15.0::DOUBLE / 13, k - 1) END) OVER (PARTITION BY code ORDER BY date) AS e14 FROM c2),
+ c3 AS (SELECT *, CAST(sign(close - open) AS INT) AS direction, abs(close - open) / nullif(tr, 0) AS br, (high - greatest(open, close)) / nullif(tr, 0) AS ur, (least(open, close) - low) / nullif(tr, 0) AS dr,
+ open - x AS gap, CASE WHEN high > low THEN (close - low) / (high - low) END AS close_pos, CAST(close = high AS INT) AS hit_high, CAST(close = low AS INT) AS hit_low, lag(e14) OVER (PARTITION BY code ORDER BY date) AS atr FROM c2a),
+ c3a AS (SELECT *, tr / nullif(atr, 0) AS sr, abs(gap) / nullif(atr, 0) AS gap_atr FROM c3),
+ c4 AS (SELECT *, list(sr) FILTER (sr IS NOT NULL) OVER (PARTITION BY code ORDER BY date ROWS 251 PRECEDING) AS seen FROM c3a),
+ c5 AS (SELECT *, CASE WHEN sr IS NOT NULL AND len(seen) >= 20 THEN (len(list_filter(seen, lambda v: v < sr)) + (len(list_filter(seen, lambda v: v = sr)) + 1) / 2.0) / len(seen) END AS q_sr FROM c4)"""
 
 
 def limit_case(c: str) -> str:
-    return "CASE " + " ".join(f"WHEN {c} < {t} THEN {float(v)}" if t else f"WHEN {c} IS NOT NULL THEN {float(v)}" for t, v in LIMITS) + " END"
+    """Daily limit of a previous close, as the exchange's steps (below this price: this limit)."""
+    steps = "100 30, 200 50, 500 80, 700 100, 1000 150, 1500 300, 2000 400, 3000 500, 5000 700, 7000 1000, 10000 1500, 15000 3000, 20000 4000, 30000 5000, 50000 7000, 70000 10000, 100000 15000, 150000 30000, 200000 40000, 300000 50000, 500000 70000, 700000 100000, 1000000 150000, 1500000 300000, 2000000 400000, 3000000 500000, 5000000 700000, 7000000 1000000, 10000000 1500000, 15000000 3000000, 20000000 4000000, 30000000 5000000, 50000000 7000000"
+    return "CASE " + " ".join("WHEN {} < {} THEN {}".format(c, *step.split()) for step in steps.split(", ")) + f" WHEN {c} IS NOT NULL THEN 10000000 END"
 
 
-LABELS = f"""{candle()}, l0 AS (SELECT *, CAST({limit_case('prev_close')} AS DOUBLE) AS lim FROM c5), l1 AS (SELECT *, prev_close + lim AS hi, prev_close - lim AS lo FROM l0),
+def label_rows(textbook: bool = False) -> str:
+    return f"""{candle(textbook)}, l0 AS (SELECT *, CAST({limit_case('prev_close')} AS DOUBLE) AS lim FROM c5), l1 AS (SELECT *, prev_close + lim AS hi, prev_close - lim AS lo FROM l0),
  l2 AS (SELECT *, CASE WHEN high <= lo AND open <= lo AND close <= lo AND low <= lo THEN 'LIMIT_LOW_FULL_STUCK' WHEN high >= hi AND open >= hi AND close >= hi AND low >= hi THEN 'LIMIT_HIGH_FULL_STUCK'
  WHEN low <= lo AND open <= lo AND close > lo THEN 'LIMIT_LOW_OPEN_ONLY' WHEN high >= hi AND open >= hi AND close < hi THEN 'LIMIT_HIGH_OPEN_ONLY' WHEN low <= lo AND close <= lo THEN 'LIMIT_LOW_TOUCH_STUCK'
  WHEN high >= hi AND close >= hi THEN 'LIMIT_HIGH_TOUCH_STUCK' WHEN low <= lo THEN 'LIMIT_LOW_TOUCH' WHEN high >= hi THEN 'LIMIT_HIGH_TOUCH' END AS limit_label FROM l1),
  lab AS (SELECT code, date, CASE WHEN k < 2 THEN '' ELSE concat_ws(',', limit_label, CASE WHEN tr = 0 AND limit_label IS NULL THEN 'INVALID_TR0' END,
+ CASE WHEN gap_atr >= 5 OR (gap_atr IS NOT NULL AND open - gap <> 0 AND abs(gap / (open - gap)) >= 0.30) THEN 'ACTION_SUSPECT' END, CASE WHEN gap_atr >= 1.0 AND tr > 0 AND abs(gap) / tr >= 0.6 THEN 'GAP_DOMINANT' END,
  CASE WHEN q_sr >= 0.95 THEN 'RANGE_VERY_LARGE' WHEN q_sr >= 0.85 THEN 'RANGE_LARGE' WHEN q_sr < 0.15 THEN 'RANGE_VERY_SMALL' WHEN q_sr < 0.40 THEN 'RANGE_SMALL' END,
- CASE WHEN br <= 0.10 THEN 'DOJI' WHEN br >= 0.70 THEN CASE WHEN greatest(ur, dr) <= 0.15 THEN 'BODY_MARUBOZU_LIKE' END WHEN br >= 0.55 THEN 'BODY_LONG' WHEN br <= 0.25 THEN 'BODY_SMALL' ELSE 'BODY_MIDDLE' END,
+ CASE WHEN br IS NULL THEN NULL WHEN br <= 0.10 THEN 'DOJI' WHEN br >= 0.70 THEN CASE WHEN greatest(ur, dr) <= 0.15 THEN 'BODY_MARUBOZU_LIKE' END WHEN br >= 0.55 THEN 'BODY_LONG' WHEN br <= 0.25 THEN 'BODY_SMALL' ELSE 'BODY_MIDDLE' END,
  CASE WHEN ur >= 0.45 AND dr >= 0.45 THEN 'WICK_BOTH_LONG' WHEN ur >= 0.25 AND dr >= 0.25 THEN 'WICK_BOTH_PRESENT' WHEN ur >= 0.45 THEN 'WICK_UPPER_LONG' WHEN dr >= 0.45 THEN 'WICK_LOWER_LONG' WHEN ur >= 0.25 THEN 'WICK_UPPER_PRESENT' WHEN dr >= 0.25 THEN 'WICK_LOWER_PRESENT' END,
- CASE WHEN br > 0.10 THEN CASE WHEN direction > 0 THEN 'DIR_BULL' WHEN direction < 0 THEN 'DIR_BEAR' END END,
+ CASE WHEN coalesce(br > 0.10, true) THEN CASE WHEN direction > 0 THEN 'DIR_BULL' WHEN direction < 0 THEN 'DIR_BEAR' END END,
  CASE WHEN prev_high < low THEN 'GAP_UP' WHEN prev_low > high THEN 'GAP_DOWN' END) END AS candle_labels FROM l2)"""
 
 
+#: Text of the labels ``p``: a limit or an anomaly alone, else window, size, wick, body and direction in a row.
+PRICE_TEXT = """CASE WHEN list_contains(p, 'LIMIT_HIGH_TOUCH') THEN 'S高タッチ疑い' WHEN list_contains(p, 'LIMIT_LOW_TOUCH') THEN 'S安タッチ疑い' WHEN list_contains(p, 'LIMIT_HIGH_TOUCH_STUCK') THEN 'S高タッチ後張付き疑い'
+ WHEN list_contains(p, 'LIMIT_LOW_TOUCH_STUCK') THEN 'S安タッチ後張付き疑い' WHEN list_contains(p, 'LIMIT_HIGH_OPEN_ONLY') THEN 'S高寄天疑い' WHEN list_contains(p, 'LIMIT_LOW_OPEN_ONLY') THEN 'S安寄底疑い'
+ WHEN list_contains(p, 'LIMIT_HIGH_FULL_STUCK') THEN 'S高完全張り付き疑い' WHEN list_contains(p, 'LIMIT_LOW_FULL_STUCK') THEN 'S安完全張り付き疑い' WHEN list_contains(p, 'INVALID_TR0') THEN 'レンジ0' WHEN list_contains(p, 'ACTION_SUSPECT') THEN '構造要因疑い'
+ ELSE concat(CASE WHEN list_contains(p, 'GAP_DOMINANT') THEN 'ギャップ主導' END, CASE WHEN list_contains(p, 'GAP_UP') THEN '上窓＋' WHEN list_contains(p, 'GAP_DOWN') THEN '下窓＋' END,
+ CASE WHEN list_contains(p, 'RANGE_VERY_LARGE') THEN '<極大>' WHEN list_contains(p, 'RANGE_LARGE') THEN '<大>' WHEN list_contains(p, 'RANGE_SMALL') THEN '<小>' WHEN list_contains(p, 'RANGE_VERY_SMALL') THEN '<極小>' END,
+ CASE WHEN list_contains(p, 'WICK_BOTH_LONG') THEN '長上下ヒゲ' WHEN list_contains(p, 'WICK_BOTH_PRESENT') THEN '上下ヒゲ' WHEN list_contains(p, 'WICK_UPPER_LONG') THEN '長上ヒゲ' WHEN list_contains(p, 'WICK_LOWER_LONG') THEN '長下ヒゲ' WHEN list_contains(p, 'WICK_UPPER_PRESENT') THEN '上ヒゲ' WHEN list_contains(p, 'WICK_LOWER_PRESENT') THEN '下ヒゲ' END,
+ CASE WHEN list_contains(p, 'DOJI') THEN '十字線' WHEN list_contains(p, 'BODY_MARUBOZU_LIKE') THEN '丸坊主' WHEN list_contains(p, 'BODY_LONG') THEN '長' WHEN list_contains(p, 'BODY_SMALL') THEN '短' WHEN list_contains(p, 'BODY_MIDDLE') THEN '中' END,
+ CASE WHEN list_contains(p, 'DOJI') THEN '' WHEN list_contains(p, 'DIR_BULL') THEN '陽線' WHEN list_contains(p, 'DIR_BEAR') THEN '陰線' END) END"""
+
+
 def event_scores(mode: str) -> str:
-    w = getattr(Weights(), mode)
-    cat = "CASE cat " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in CATEGORY.items()) + " ELSE 0.5 END"
+    if mode == "v1":
+        w = {"time": 0.24, "specificity": 0.20, "material": 0.20, "source": 0.12, "novelty": 0.12, "alignment": 0.08, "confidence": 0.04}
+    else:
+        w = {"time": 0.22, "source": 0.16, "specificity2": 0.10, "channel": 0.16, "category": 0.12, "structure": 0.06, "name": 0.16, "confidence": 0.02}
+    cat = "CASE cat WHEN '開示' THEN 1.0 WHEN '業績' THEN 0.85 WHEN '材料' THEN 0.8 WHEN '市況' THEN 0.4 WHEN 'テク' THEN 0.25 WHEN '注目' THEN 0.0 WHEN '特集' THEN 0.0 ELSE 0.5 END"
     parts = {
         "time": "CASE WHEN days < 0 THEN 0.0 WHEN days = 0 THEN 1.0 WHEN days = 1 THEN 0.9 WHEN days <= 5 THEN 0.6 WHEN days <= 20 THEN 0.35 ELSE 0.1 END",
         "specificity": "CASE WHEN event_id % 2 = 0 THEN 1.0 ELSE 0.55 END",
@@ -116,10 +133,6 @@ DAYS = "SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, max(o_totalprice) AS v
 STATUS = "CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed' ELSE 'running' END"
 
 
-def text_case(options: list[tuple[str, str]]) -> str:
-    return "CASE " + " ".join(f"WHEN list_contains(p, '{k}') THEN '{v}'" for k, v in options) + " END"
-
-
 ALIAS = "CASE p_partkey % 3 WHEN 0 THEN '東証P ' || p_name WHEN 1 THEN p_name || ' quote' ELSE left(p_brand, 4) END"
 
 
@@ -128,27 +141,28 @@ def all_sql() -> dict[str, str]:
         "bars": f"WITH {BARS} SELECT * FROM bars",
         "benches": f"WITH {BENCH} SELECT * FROM bench",
         "union_axis": f"WITH {AXIS} SELECT code, bench, count(*) AS n, count(stock_close) AS n_stock, count(bench_close) AS n_bench, CAST(max(pos) AS INT) AS last_pos FROM axis GROUP BY 1, 2",
-        "asof_close": f"WITH {ASOF} SELECT code, bench, date, s AS stock_asof, b AS bench_asof FROM asof_ WHERE pos % 50 = 0",
+        "asof_close": f"WITH {ASOF} SELECT code, bench, date, s AS stock_asof, b AS bench_asof FROM asof_",
         "relative_strength": f"WITH {ASOF}, rs AS (SELECT code, bench, date, {rs(31, 63, 126, 252)} FROM asof_) SELECT code, bench, date, {r6('rs31', 'rs63', 'rs126', 'rs252')} FROM {at_run('rs', 'code, bench')}",
-        "rs_series": f"WITH {ASOF}, rs AS (SELECT code, bench, date, {rs(31)} FROM asof_) SELECT code, bench, date, {r6('rs31')} FROM rs WHERE date BETWEEN DATE '1998-03-01' AND DATE '1998-06-01'",
+        "rs_series": f"WITH {ASOF}, rs AS (SELECT code, bench, date, {rs(31)} FROM asof_) SELECT code, bench, date, {r6('rs31')} FROM rs",
         "rs_acceleration": f"WITH {ASOF}, rs AS (SELECT code, bench, date, {rs(31, 252)} FROM asof_), a AS (SELECT code, bench, date, rs31 - rs252 AS rs_acceleration FROM rs), z AS (SELECT code, bench, date, rs_acceleration, CASE WHEN count(rs_acceleration) OVER l >= 42 AND stddev_samp(rs_acceleration) OVER l > 0 THEN (last_value(rs_acceleration IGNORE NULLS) OVER l - avg(rs_acceleration) OVER l) / stddev_samp(rs_acceleration) OVER l END AS rs_acceleration_zscore FROM a WINDOW l AS ({W} ROWS 59 PRECEDING)) SELECT code, bench, {r6('rs_acceleration', 'rs_acceleration_zscore')} FROM {at_run('z', 'code, bench')}",
         "beta_adjusted_rs": f"WITH {sliced(377, 252)}, beta AS (SELECT code, bench, CASE WHEN count(*) >= 88 AND var_pop(rb) > 0 THEN covar_pop(rs, rb) / var_pop(rb) END AS beta FROM r GROUP BY 1, 2), tot AS (SELECT code, bench, pos, {ret('s', 252)} AS r_s, {ret('b', 252)} AS r_b FROM asof_) SELECT code, bench, round(beta, 6) AS beta, round(r_s - beta * r_b, 6) AS beta_adjusted_rs FROM tot JOIN anchor USING (code, bench) LEFT JOIN beta USING (code, bench) WHERE pos = p",
         "information_ratio": f"WITH {sliced(62, 0)} SELECT code, bench, round(CASE WHEN count(*) >= 44 AND stddev_samp(rs - rb) > 0 THEN avg(rs - rb) / stddev_samp(rs - rb) END, 6) AS information_ratio FROM r GROUP BY 1, 2",
-        "sma75_rs": f"WITH {AXIS}, m AS (SELECT code, bench, date, CASE WHEN count(stock_close) OVER l = 20 THEN avg(stock_close) OVER l END AS ss, CASE WHEN count(bench_close) OVER l = 20 THEN avg(bench_close) OVER l END AS sb FROM axis WINDOW l AS ({W} ROWS 19 PRECEDING)), m2 AS (SELECT code, bench, date, last_value(ss IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING) AS s, last_value(sb IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING) AS b FROM m WHERE ss IS NOT NULL OR sb IS NOT NULL), m3 AS (SELECT code, bench, date, {ret('s', 31)} - {ret('b', 31)} AS rs_sma20 FROM m2) SELECT code, bench, round(rs_sma20, 6) AS rs_sma20 FROM {at_run('m3', 'code, bench')}",
+        "sma75_rs": f"WITH {AXIS}, m AS (SELECT code, bench, date, CASE WHEN count(stock_close) OVER l = 75 THEN avg(stock_close) OVER l END AS ss, CASE WHEN count(bench_close) OVER l = 75 THEN avg(bench_close) OVER l END AS sb FROM axis WINDOW l AS ({W} ROWS 74 PRECEDING)), m2 AS (SELECT code, bench, date, last_value(ss IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING) AS s, last_value(sb IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING) AS b FROM m WHERE ss IS NOT NULL OR sb IS NOT NULL), m3 AS (SELECT code, bench, date, {ret('s', 31)} - {ret('b', 31)} AS rs_sma75 FROM m2) SELECT code, bench, round(rs_sma75, 6) AS rs_sma75 FROM {at_run('m3', 'code, bench')}",
         "turnover": f"WITH {TURN} SELECT code, date, {r6('turnover_yen', 'z_turnover_60', 'turnover_ma_ratio_60', 'price_change_pct')}, n_bars_used FROM {at_run('turn2', 'code')}",
-        "perfect_order": f"WITH {BARS}, p AS (SELECT code, date, row_number() OVER w AS k, " + ", ".join(f"CASE WHEN count(close) OVER (PARTITION BY code ORDER BY date ROWS {n - 1} PRECEDING) = {n} THEN round(avg(close) OVER (PARTITION BY code ORDER BY date ROWS {n - 1} PRECEDING), 9) END AS a{n}" for n in (5, 10, 20)) + " FROM bars WHERE date <= DATE '1998-05-29' WINDOW w AS (PARTITION BY code ORDER BY date)) SELECT code, CASE WHEN max(k) >= 30 AND max(date) = DATE '1998-05-29' THEN CAST(max(k) - coalesce(max(k) FILTER (NOT coalesce(a5 > a10 AND a10 > a20, false)), 0) AS INT) END AS perfect_order_days FROM p GROUP BY 1",
+        "perfect_order": f"WITH {BARS}, p AS (SELECT code, date, row_number() OVER w AS k, " + ", ".join(f"CASE WHEN count(close) OVER (PARTITION BY code ORDER BY date ROWS {n - 1} PRECEDING) = {n} THEN round(avg(close) OVER (PARTITION BY code ORDER BY date ROWS {n - 1} PRECEDING), 9) END AS a{n}" for n in (25, 75, 200)) + " FROM bars WHERE date <= DATE '1998-05-29' WINDOW w AS (PARTITION BY code ORDER BY date)) SELECT code, CASE WHEN max(k) >= 220 AND max(date) = DATE '1998-05-29' THEN CAST(max(k) - coalesce(max(k) FILTER (NOT coalesce(a25 > a75 AND a75 > a200, false)), 0) AS INT) END AS perfect_order_days FROM p GROUP BY 1",
         "indicator_grid": f"{grid()} SELECT * FROM grid",
         "all_negative": f"{grid()} SELECT code FROM grid WHERE rs31_topix < 0 AND rs63_topix < 0",
         "benchmark_switch": f"{grid()} SELECT code, rs31_nikkei FROM grid",
         "snapshot_flags": f"{grid()} SELECT code, concat_ws(',', CASE WHEN z_turnover_60 IS NULL THEN 'z_turnover_60' END, CASE WHEN rs31_topix IS NULL THEN 'rs31_topix' END, CASE WHEN rs252_nikkei IS NULL THEN 'rs252_nikkei' END) AS missing, '' AS non_finite FROM grid",
         "null_ratio": f"WITH {ASOF}, rs AS (SELECT {rs(31, 63, 126, 252)} FROM asof_), n AS (SELECT count(*) AS n_rows, 4 * count(*) - count(rs31) - count(rs63) - count(rs126) - count(rs252) AS n_null FROM rs) SELECT n_rows, n_null, round(n_null / (4.0 * n_rows), 6) AS null_ratio FROM n",
-        "candle_features": f"WITH {candle()} SELECT code, date, tr, direction, round(br, 6) AS br, round(ur, 6) AS ur, round(dr, 6) AS dr, gap, round(close_pos, 6) AS close_pos, hit_high, hit_low FROM c5 WHERE date >= DATE '1998-01-01'",
-        "true_range_textbook": f"WITH {candle(True)} SELECT code, date, tr, gap FROM c5 WHERE date >= DATE '1998-01-01'",
-        "range_rank": f"WITH {candle()} SELECT code, date, round(q_sr, 6) AS q_sr FROM c5 WHERE date >= DATE '1998-01-01'",
-        "smoothed_range": f"WITH RECURSIVE {candle()}, o AS (SELECT code, tr, row_number() OVER (PARTITION BY code ORDER BY date) AS i, count(*) OVER (PARTITION BY code) AS n FROM c5 WHERE date >= DATE '1998-01-01' AND tr IS NOT NULL), e AS (SELECT code, i, n, tr AS v FROM o WHERE i = 1 UNION ALL SELECT o.code, o.i, o.n, CAST(2.0 / 15 AS DOUBLE) * tr + CAST(1 - 2.0 / 15 AS DOUBLE) * v FROM e JOIN o ON o.code = e.code AND o.i = e.i + 1) SELECT code, round(v, 6) AS atr FROM e WHERE i = n - 1",
+        "candle_features": f"WITH {candle()} SELECT code, date, tr, direction, {r6('br', 'ur', 'dr', 'gap', 'close_pos')}, hit_high, hit_low FROM c5",
+        "true_range_textbook": f"WITH {candle(True)} SELECT code, date, tr, {r6('gap')} FROM c5",
+        "range_rank": f"WITH {candle()} SELECT code, date, {r6('gap_atr', 'q_sr')} FROM c5",
+        "smoothed_range": f"WITH {candle()} SELECT code, round(atr, 6) AS atr FROM c5 QUALIFY row_number() OVER (PARTITION BY code ORDER BY date DESC) = 1",
         "limit_lookup": f"SELECT o_orderkey, CAST({limit_case('o_totalprice')} AS DOUBLE) AS limit_range FROM orders",
-        "candle_labels": f"WITH {LABELS} SELECT * FROM lab WHERE date >= DATE '1998-01-01'",
-        "gap_swap": f"WITH {LABELS} SELECT code, date, replace(replace(replace(candle_labels, 'GAP_UP', 'GAP_X'), 'GAP_DOWN', 'GAP_UP'), 'GAP_X', 'GAP_DOWN') AS swapped FROM lab WHERE date >= DATE '1998-06-01'",
+        "candle_labels": f"WITH {label_rows()} SELECT * FROM lab",
+        "candle_labels_textbook": f"WITH {label_rows(True)}, t AS (SELECT *, string_split(candle_labels, ',') AS p FROM lab) SELECT code, date, candle_labels, {PRICE_TEXT} AS price_text FROM t",
+        "gap_swap": f"WITH {label_rows()} SELECT code, date, replace(replace(replace(candle_labels, 'GAP_UP', 'GAP_X'), 'GAP_DOWN', 'GAP_UP'), 'GAP_X', 'GAP_DOWN') AS swapped FROM lab",
         "universe_class": "SELECT CASE WHEN contains(p_type, 'ECON') THEN 'economy' WHEN contains(p_type, 'STAND') THEN 'standard' WHEN p_type = 'PROMO' THEN 'promo' WHEN contains(p_type, 'SMALL') THEN 'small' WHEN p_type = 'LARGE' THEN 'large' ELSE 'unknown' END AS cls, count(*) AS n, count(DISTINCT p_brand) AS brands FROM part GROUP BY 1",
         "duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",
         "trailing_median": f"WITH {MEDIAN} SELECT * FROM med",
@@ -181,7 +195,7 @@ def all_sql() -> dict[str, str]:
         "chunks": "WITH o AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders GROUP BY 1), c AS (SELECT o_custkey, b, a + CAST(i * 399 AS INT) AS s FROM o, range(0, 20) t(i) WHERE a + CAST(i * 399 AS INT) <= b) SELECT o_custkey, s AS chunk_start, least(s + 399, b) AS chunk_end FROM c",
         "key_digest": "SELECT o_custkey, sha256(string_agg(k, chr(10) ORDER BY k)) AS digest, count(*) AS n_keys FROM (SELECT DISTINCT o_custkey, CAST(o_orderkey AS VARCHAR) AS k FROM orders) GROUP BY 1",
         "decimal_text": "SELECT p_partkey, regexp_replace(regexp_replace(CAST(CAST(p_retailprice AS DECIMAL(28, 10)) AS VARCHAR), '0+$', ''), '\\.$', '') AS price FROM part",
-        "series_arrays": f"WITH {BARS} SELECT code, string_agg(CAST(date AS VARCHAR), ',' ORDER BY date) AS dates, count(*) AS n, round(sum(close), 2) AS total FROM bars WHERE date >= DATE '1998-05-01' GROUP BY 1",
+        "series_arrays": f"WITH {BARS} SELECT code, string_agg(CAST(date AS VARCHAR), ',' ORDER BY date) AS dates, count(*) AS n, round(sum(close), 2) AS total FROM bars GROUP BY 1",
         "series_merge": f"WITH o AS ({DAYS}), m AS (SELECT o_custkey, CASE WHEN d >= DATE '1995-06-01' THEN -v ELSE v END AS v FROM o) SELECT o_custkey, count(*) AS n, count(*) FILTER (v < 0) AS n_new FROM m GROUP BY 1",
         "series_seed": f"WITH o AS ({DAYS}), m AS (SELECT o_custkey, CASE WHEN d >= DATE '1996-01-01' THEN -v ELSE v END AS v FROM o) SELECT o_custkey, count(*) AS n, count(*) FILTER (v < 0) AS n_new FROM m GROUP BY 1",
         "upsert_latest": "WITH a AS (SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS d, max(o_orderkey) AS v, o_orderkey % 2 AS i FROM orders GROUP BY 1, 4) SELECT o_custkey, d, v FROM a QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY d DESC, i DESC) = 1",
@@ -197,8 +211,8 @@ def all_sql() -> dict[str, str]:
         "history_quality": "WITH u AS (SELECT o_custkey AS generation, CASE WHEN o_orderstatus = 'F' THEN 'c' WHEN o_orderkey % 11 = 0 THEN 'b' ELSE 'o' END AS s FROM orders) SELECT generation, CASE WHEN bool_or(s = 'b') AND bool_or(s = 'c') THEN 'partial_backfill' WHEN bool_or(s = 'b') THEN 'blocked_backfill' WHEN bool_and(s = 'c') THEN 'full' ELSE 'partial' END AS quality FROM u GROUP BY 1",
         "pair_pointers": "SELECT CAST(o_orderdate AS DATE) AS date, last(o_orderkey ORDER BY o_orderdate, o_orderkey) FILTER (o_orderstatus = 'F') AS topix, last(o_orderkey ORDER BY o_orderdate, o_orderkey) FILTER (o_orderstatus <> 'F') AS nikkei, count(*) FILTER (o_orderstatus = 'F') > 0 AND count(*) FILTER (o_orderstatus <> 'F') > 0 AS complete FROM orders GROUP BY 1",
         "merge_aliases": "WITH o AS (SELECT o_custkey AS code, substr(o_orderpriority, 3, 20) AS k, o_orderkey AS ordinal, o_orderkey % 3 = 0 AS low, o_orderstatus AS st FROM orders), x AS (SELECT DISTINCT code, k FROM o WHERE st = 'P'), n AS (SELECT *, row_number() OVER (PARTITION BY code, k ORDER BY ordinal) AS i FROM o WHERE st <> 'P') SELECT n.code, ordinal, CASE WHEN x.code IS NOT NULL OR i > 1 THEN 'skip' WHEN low THEN 'review' ELSE 'add' END AS action FROM n LEFT JOIN x ON x.code = n.code AND x.k = n.k",
-        "price_text": f"WITH {LABELS}, t AS (SELECT *, string_split(candle_labels, ',') AS p FROM lab WHERE date >= DATE '1998-05-01') SELECT code, date, coalesce({text_case(LIMIT_TEXTS + ALONE_TEXTS)}, concat({', '.join(text_case(x) for x in PART_TEXTS[:-1])}, CASE WHEN NOT list_contains(p, 'DOJI') THEN {text_case(PART_TEXTS[-1])} END)) AS price_text FROM t",
-        "links": "SELECT n_name AS code, " + ", ".join(f"replace('{t}', '%s', n_name) AS {k}" for k, t in LINKS.items()) + " FROM nation",
+        "price_text": f"WITH {label_rows()}, t AS (SELECT *, string_split(candle_labels, ',') AS p FROM lab) SELECT code, date, {PRICE_TEXT} AS price_text FROM t",
+        "links": "SELECT n_name AS code, 'https://kabutan.jp/stock/?code=' || n_name AS link_kabutan, 'https://kabutan.jp/stock/chart?code=' || n_name AS link_kabutan_chart, 'https://kabutan.jp/stock/news?code=' || n_name AS link_kabutan_news, 'https://minkabu.jp/stock/' || n_name AS link_minkabu, 'https://www.buffett-code.com/company/' || n_name AS link_buffett, 'https://finance.yahoo.co.jp/quote/' || n_name || '.T' AS link_yahoo FROM nation",
         "history_eligibility": "SELECT o_custkey, CASE WHEN o_custkey < 10 THEN 'expected_short_history' WHEN count(*) >= 10 THEN 'eligible' ELSE 'insufficient' END AS eligibility FROM orders GROUP BY 1",
         "backfill_outcome": "WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(DISTINCT o_custkey) % 60 AS a, count(DISTINCT CAST(o_orderdate AS DATE)) AS d FROM orders GROUP BY 1) SELECT month, CASE WHEN month < '1996-01' THEN 'grandfather' WHEN d <= 5 THEN 'blocked' WHEN a = 0 THEN 'noop' WHEN a > 50 OR d = 0 OR a * d > 900 THEN 'blocked' ELSE 'runnable' END AS outcome, CASE WHEN month < '1996-01' THEN 'before_feature_start' WHEN d <= 5 THEN 'missing_previous_core' WHEN a = 0 THEN NULL WHEN a > 50 THEN 'added_codes_over_limit' WHEN d = 0 THEN 'coverage_empty' WHEN a * d > 900 THEN 'work_units_over_limit' END AS reason FROM m",
         "terminal_status": "SELECT CASE WHEN o_orderstatus = 'P' THEN 'success' WHEN o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 'failed' ELSE 'success' END AS status, count(*) AS n FROM orders GROUP BY 1",

@@ -58,8 +58,7 @@ def q_rs_acceleration(spark, sf):
 
 
 def q_beta_adjusted_rs(spark, sf):
-    axis = axis_of(spark, sf)
-    return indicators.beta_adjusted(axis, calendar.with_asof(axis), RUN_DATE).select("code", "bench", R6("beta"), R6("beta_adjusted_rs"))
+    return indicators.beta_adjusted(calendar.with_asof(axis_of(spark, sf)), RUN_DATE).select("code", "bench", R6("beta"), R6("beta_adjusted_rs"))
 
 
 def q_information_ratio(spark, sf):
@@ -99,15 +98,15 @@ def q_null_ratio(spark, sf):
 
 def q_candle_features(spark, sf):
     f = candles.features(tables.bars(spark, sf))
-    return f.select("code", "date", "tr", "direction", R6("br"), R6("ur"), R6("dr"), "gap", R6("close_pos"), "hit_high", "hit_low")
+    return f.select("code", "date", "tr", "direction", R6("br"), R6("ur"), R6("dr"), R6("gap"), R6("close_pos"), "hit_high", "hit_low")
 
 
 def q_true_range_textbook(spark, sf):
-    return candles.features(tables.bars(spark, sf), textbook=True).select("code", "date", "tr", "gap")
+    return candles.features(tables.bars(spark, sf), textbook=True).select("code", "date", "tr", R6("gap"))
 
 
 def q_range_rank(spark, sf):
-    return candles.range_rank(candles.features(tables.bars(spark, sf))).select("code", "date", R6("q_sr"))
+    return candles.range_rank(candles.features(tables.bars(spark, sf))).select("code", "date", R6("gap_atr"), R6("q_sr"))
 
 
 def q_smoothed_range(spark, sf):
@@ -123,6 +122,12 @@ def q_candle_labels(spark, sf):
     return candles.labels(rows).select("code", "date", "candle_labels")
 
 
+def q_candle_labels_textbook(spark, sf):
+    """Labels over gaps to the previous close: suspected actions and dominant gaps occur here."""
+    rows = candles.range_rank(candles.features(tables.bars(spark, sf), textbook=True))
+    return candles.labels(rows).select("code", "date", "candle_labels", candles.price_text(F.col("candle_labels")).alias("price_text"))
+
+
 def q_gap_swap(spark, sf):
     rows = candles.labels(candles.range_rank(candles.features(tables.bars(spark, sf))))
     return rows.select("code", "date", candles.swap_gap_tokens(F.col("candle_labels")).alias("swapped"))
