@@ -102,6 +102,9 @@ def test_range_coder_round_trip_and_damage(n):
         data = tokenfile.write_file(np.array([4]), np.array([n]), ids)
         d, lengths, back = tokenfile.read_file(data)
         assert (back == ids).all() and d.tolist() == [4] and lengths.tolist() == [n]
+        block = tokenfile.BLOCK
+        for k in range(-(-n // block)):
+            assert (tokenfile.read_block(data, k) == ids[k * block : (k + 1) * block]).all()
         for at in (10, len(data) // 2, len(data) - 1):
             bad = bytearray(data)
             bad[at] ^= 1
@@ -109,6 +112,22 @@ def test_range_coder_round_trip_and_damage(n):
                 tokenfile.read_file(bytes(bad))
 
 
+def test_token_files_beat_zlib(corpus):
+    enc = tokenfile.ByteBPE(BYTE)
+    ids = np.frombuffer(b"".join(enc.encode(r["text"] or "") for r in corpus.collect()), dtype="<u2")
+    size = len(tokenfile.write_file(np.array([0]), np.array([len(ids)]), ids))
+    assert size < 0.95 * len(zlib.compress(ids.tobytes(), 9))
+
+
+def test_a_damaged_block_harms_no_other():
+    ids = np.random.default_rng(1).integers(0, 90, 5 * tokenfile.BLOCK).astype("<u2")
+    data = bytearray(tokenfile.write_file(np.array([4]), np.array([len(ids)]), ids))
+    data[-1] ^= 1  # in the last block
+    assert (tokenfile.read_block(bytes(data), 2) == ids[2 * tokenfile.BLOCK : 3 * tokenfile.BLOCK]).all()
+    with pytest.raises(ValueError, match="damaged block 4"):
+        tokenfile.read_block(bytes(data), 4)
+
+
 def brute_components(rows, width, num, den):
     sets = []
     for d, t in rows:

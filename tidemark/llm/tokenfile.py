@@ -6,14 +6,18 @@ the ids that occur (class and share within the class); a document index
 (ids and token counts); a section of block records (payload words, payload
 crc32, ids crc32); then the payloads.
 
-A block starts from a fresh state, so any block can be decoded or replaced
-alone.  Coding of one id:
+A block starts from the file's fresh state, so any block can be decoded
+(``read_block``) or replaced alone.  Coding of one id:
 
 * order-2 and order-1 contexts (hashed) each predict one id, with a small
-  adaptive confidence state; the two confidences are mixed in the logistic
-  domain by weights and a bias that learn online in every block;
+  adaptive confidence state; the two confidences and the order-0 weight of
+  the predicted id are mixed in the logistic domain by weights and a bias that
+  learn online in every block;
 * an id that neither predicts is coded by order 0: an adaptive distribution
-  over ``CLASSES`` frequency classes times the share within the class;
+  over ``CLASSES`` classes times the share within the class.  Classes are
+  bands of frequency inside ``TOPICS`` topics (ids that occur together, found
+  by the encoder and stated in the file), so order 0 follows the language or
+  subject within a few ids;
 * the resulting interval narrows a 62-bit carry-less range coder that puts out
   16-bit words.
 
@@ -37,18 +41,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, only, row_chunks
+from tidemark.llm.common import hold, materialize, only, row_chunks
 from tidemark.llm.ordering import partition_starts, partitions, start_column
 
 MAGIC, VERSION = b"TMCM", 1
 HEAD = struct.Struct("<4sHIQQIIII")
-CLASSES, SLOT_BITS = 16, 9
+CLASSES, TOPICS, SLOT_BITS = 16, 4, 10
 A_BITS, B_BITS = 15, 16
 LOW_BITS, WORD_BITS = 62, 16
 LOW_MASK = (1 << LOW_BITS) - 1
 KEEP_BITS = LOW_BITS - WORD_BITS
 BOTTOM = 1 << 40
-LANES, MOST_TOKENS = 8192, 7_000_000
+BLOCK, MOST_TOKENS = 1024, 7_000_000
+#: Topics are looked for in windows of so many ids, by so many of the most frequent ids, on at most so many windows.
+TOPIC_WINDOW, TOPIC_IDS, TOPIC_WINDOWS = 256, 512, 4096
 
 
 def logistic_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -72,8 +78,8 @@ CONFIDENCE = STRETCH.take(RATE)
 #: By confidence, plus 8 after a hit: change of the confidence, and whether the slot keeps its id.
 CHANGE = np.array([x - c for c, x in enumerate(AFTER_MISS)] + [min(c + 1, 7) - c for c in range(8)], dtype=np.int32)
 KEEPS = np.array([x > 0 for x in AFTER_MISS] + [True] * 8)
-HASH1 = (np.arange(1 << 16) * 40503 >> 6) & ((1 << SLOT_BITS) - 1)
-HASH2 = (np.arange(1 << 16) * 57649 >> 5) & ((1 << SLOT_BITS) - 1)
+HASH1 = (np.arange(1 << 16) * 40503 >> 5) & ((1 << SLOT_BITS) - 1)
+HASH2 = (np.arange(1 << 16) * 57649 >> 4) & ((1 << SLOT_BITS) - 1)
 
 
 class Lanes:
@@ -82,11 +88,14 @@ class Lanes:
     def __init__(self, n: int, class_of: np.ndarray, start_b: np.ndarray, share_b: np.ndarray):
         self.n = n
         self.class_of, self.start_b, self.share_b = class_of, start_b, share_b
+        # Order-0 weight of each id in the logistic domain: 177 (256 ln 2) for each halving of its share, from the bit length.
+        self.lean0 = (177 * (np.frexp(share_b.astype(np.float64))[1] - B_BITS)).astype(np.int32)
         self.base = np.arange(n)
         self.slot_base = np.arange(2 * n) << SLOT_BITS
         self.slots = np.zeros(2 * n << SLOT_BITS, dtype=np.int32)
         self.weight2 = np.full(n, 1 << 15, dtype=np.int32)
         self.weight1 = np.full(n, 1 << 14, dtype=np.int32)
+        self.weight0 = np.zeros(n, dtype=np.int32)
         self.bias = np.zeros(n, dtype=np.int32)
         self.cum = np.repeat(np.arange(CLASSES + 1, dtype=np.int32)[:, None], n, axis=1)
         self.cum_flat = self.cum.reshape(-1)
@@ -109,7 +118,8 @@ class Lanes:
         s = CONFIDENCE.take(self.c)
         agree = self.p1 == self.p2
         self.s1, self.s2 = s[:n] * agree, s[n:]
-        x = ((self.weight2 * self.s2 + self.weight1 * self.s1) >> 15) + (self.bias >> 6)
+        self.s0 = self.lean0.take(self.p2)
+        x = ((self.weight2 * self.s2 + self.weight1 * self.s1 + self.weight0 * self.s0) >> 15) + (self.bias >> 6)
         self.m2 = SQUASH.take(x + 2048, mode="clip")
         a2 = np.minimum(self.m2, 3300)
         a1 = np.minimum(RATE.take(self.c[:n]) * (4096 - a2) >> 12, 3500 - a2)
@@ -157,6 +167,7 @@ class Lanes:
         err = ((self.hit2.astype(np.int32) << 12) - self.m2) * 6
         self.weight2 += (self.s2 * err) >> 10
         self.weight1 += (self.s1 * err) >> 10
+        self.weight0 += (self.s0 * err) >> 12
         self.bias += err >> 3
         np.multiply(self.hit1, 8, out=self.state[:n])
         np.multiply(self.hit2, 8, out=self.state[n:])
@@ -165,7 +176,7 @@ class Lanes:
         self.slots[self.at] = np.where(KEEPS.take(self.state), self.e + CHANGE.take(self.state), self.fresh)
         self.cum[1:] += self.ends >= cls.astype(np.int8)
         self.steps += 1
-        if self.steps & 255 == 0:
+        if self.steps & 31 == 0:
             counts = (np.diff(self.cum, axis=0) + 1) >> 1
             np.cumsum(counts, axis=0, out=self.cum[1:])
         h = HASH1.take(ids)
@@ -196,14 +207,57 @@ def settle(lanes: Lanes, among: np.ndarray | None = None) -> np.ndarray:
     return i if among is None else among[i]
 
 
+def topics(ids: np.ndarray, place: np.ndarray, n_names: int) -> np.ndarray:
+    """Topic of each id (by its place in falling order of count): spherical k-means over windows, then the topic an id is commonest in."""
+    n = -(-len(ids) // TOPIC_WINDOW)
+    jump = -(-n // TOPIC_WINDOWS)
+    whole = len(ids) // TOPIC_WINDOW
+    if whole:
+        some = ids[: whole * TOPIC_WINDOW].reshape(whole, TOPIC_WINDOW)[::jump]
+    else:
+        some = ids[None, :]
+    r = place[some]
+    window = np.repeat(np.arange(len(some)), some.shape[1])
+    r = r.reshape(-1)
+    width = min(TOPIC_IDS, n_names)
+    use = r < width
+    x = np.bincount(window[use] * width + r[use], minlength=len(some) * width).reshape(-1, width)
+    x = np.sqrt(x)
+    x /= np.linalg.norm(x, axis=1, keepdims=True) + 1e-9
+    near, centres = x @ x.mean(axis=0), []
+    for _ in range(TOPICS):  # the window least like those chosen so far
+        pick = x[int(near.argmin())]
+        near = x @ pick if not centres else np.maximum(near, x @ pick)
+        centres.append(pick)
+    c = np.stack(centres)
+    for _ in range(8):
+        label = (x @ c.T).argmax(axis=1)
+        for k in np.unique(label):
+            mean = x[label == k].mean(axis=0)
+            c[k] = mean / (np.linalg.norm(mean) + 1e-9)
+    label = (x @ c.T).argmax(axis=1)
+    of = label[window]
+    seen = np.bincount(r * TOPICS + of, minlength=n_names * TOPICS).reshape(-1, TOPICS)
+    return (seen / (np.bincount(of, minlength=TOPICS) + 1.0)).argmax(axis=1)
+
+
 def share_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids that occur by falling count, their class, and their share (of ``1 << B_BITS``) within it."""
+    """Ids that occur by topic and falling count, their class, and their share (of ``1 << B_BITS``) within it."""
     count = np.bincount(ids)
     names = np.flatnonzero(count)
     names = names[np.argsort(-count[names], kind="stable")]
+    place = np.zeros(len(count), dtype=np.int64)
+    place[names] = np.arange(len(names))
+    topic = topics(ids, place, len(names))
+    order = np.argsort(topic, kind="stable")
+    names, topic = names[order], topic[order]
     n = count[names]
-    before = np.cumsum(n) - n
-    cls = np.minimum(before * CLASSES // max(1, int(n.sum())), CLASSES - 1)
+    bands = CLASSES // TOPICS
+    cls = np.zeros(len(n), dtype=np.int64)
+    for k in np.unique(topic):
+        i = np.flatnonzero(topic == k)
+        before = np.cumsum(n[i]) - n[i]
+        cls[i] = k * bands + np.minimum(before * bands // max(1, int(n[i].sum())), bands - 1)
     return names, cls, shares(cls, n)
 
 
@@ -242,7 +296,7 @@ def packed(a: np.ndarray) -> bytes:
 def write_file(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """One file of whole documents' ids."""
     n = len(ids)
-    block = int(min(max(-(-n // LANES), 512), 4096, max(n, 1)))
+    block = int(min(BLOCK, max(n, 1)))
     count = -(-n // block)
     names, cls, f = share_table(ids.astype(np.int64))
     class_of, start_b, share_b = lookup(names, cls, f)
@@ -286,60 +340,75 @@ def write_file(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> byt
     return head + sections + b"".join(payload)
 
 
+class TokenFile:
+    """A file's checked header and sections; its blocks are decoded on demand, each alone or many in lockstep."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+        magic, version, self.block, self.n, n_docs, n_table, n_index, n_record, crc = HEAD.unpack_from(data)
+        at = HEAD.size
+        sections = data[at : at + n_table + n_index + n_record]
+        if magic != MAGIC or version != VERSION or zlib.crc32(data[: at - 4] + sections) != crc:
+            raise ValueError("damaged header")
+        index = np.frombuffer(zlib.decompress(sections[n_table : n_table + n_index]), dtype="<i8")
+        self.doc_ids, self.lengths = index[:n_docs], index[n_docs:]
+        self.records = np.frombuffer(sections[n_table + n_index :], dtype="<u4").reshape(n_record // 12, 3)
+        if self.n:
+            names, cls, f = np.frombuffer(zlib.decompress(sections[:n_table]), dtype="<i8").reshape(3, -1)
+            self.tables, self.named = lookup(names, cls, f), by_share(names, cls, f)
+        self.sizes = self.records[:, 0].astype(np.int64)
+        self.ends = at + len(sections) + 2 * np.cumsum(self.sizes)
+
+    def decode(self, which: np.ndarray) -> np.ndarray:
+        """Ids of the given blocks one after another; raises ``ValueError`` on any damage in them."""
+        count, block, sizes = len(which), self.block, self.sizes[which]
+        words = np.zeros((count, int(sizes.max()) + 8), dtype=np.uint16)
+        for i, k in enumerate(which.tolist()):
+            body = self.data[self.ends[k] - 2 * self.sizes[k] : self.ends[k]]
+            if zlib.crc32(body) != self.records[k, 1]:
+                raise ValueError(f"damaged block {k}")
+            words[i, : sizes[i]] = np.frombuffer(body, dtype="<u2")
+        lanes = Lanes(count, *self.tables)
+        # The state holds the first 62 bits of the stream: three words and 14 bits of the fourth.
+        code = np.zeros(count, dtype=np.uint64)
+        for k in range(3):
+            code = (code << np.uint64(16)) | words[:, k].astype(np.uint64)
+        code = (code << np.uint64(KEEP_BITS - 32)) | (words[:, 3].astype(np.uint64) >> np.uint64(48 - KEEP_BITS))
+        used = np.ones(count, dtype=np.int64)
+        part = np.uint64(48 - KEEP_BITS)
+        out = np.empty((block, count), dtype="<u2")
+        for t in range(block):
+            lanes.predict()
+            r = lanes.range >> np.uint64(A_BITS + B_BITS)
+            value = ((code - lanes.low) & np.uint64(LOW_MASK)) // r
+            x, k, s, f = lanes.locate(np.minimum(value, np.uint64((1 << (A_BITS + B_BITS)) - 1)).view(np.int64), self.named)
+            narrow(lanes, *lanes.intervals(x, s, f))
+            lanes.learn(x, k)
+            out[t] = x
+            i = None
+            while len(i := settle(lanes, i)):
+                j = used[i]
+                new = (words[i, j + 2].astype(np.uint64) << np.uint64(16)) | words[i, j + 3].astype(np.uint64)
+                code[i] = ((code[i] << np.uint64(WORD_BITS)) & np.uint64(LOW_MASK)) | ((new >> part) & np.uint64(0xFFFF))
+                used[i] = j + 1
+                lanes.low[i] = (lanes.low[i] << np.uint64(WORD_BITS)) & np.uint64(LOW_MASK)
+                lanes.range[i] = lanes.range[i] << np.uint64(WORD_BITS)
+        parts = [out[: min(block, self.n - k * block), i] for i, k in enumerate(which.tolist())]
+        for k, ids in zip(which.tolist(), parts):
+            if zlib.crc32(np.ascontiguousarray(ids).tobytes()) != self.records[k, 2]:
+                raise ValueError(f"block {k} decodes to other ids")
+        return np.concatenate(parts)
+
+
+def read_block(data: bytes, k: int) -> np.ndarray:
+    """Ids of one block, decoded alone."""
+    return TokenFile(data).decode(np.array([k]))
+
+
 def read_file(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document ids, lengths and all ids; raises ``ValueError`` on any damage."""
-    magic, version, block, n, n_docs, n_table, n_index, n_record, crc = HEAD.unpack_from(data)
-    at = HEAD.size
-    sections = data[at : at + n_table + n_index + n_record]
-    if magic != MAGIC or version != VERSION or zlib.crc32(data[: at - 4] + sections) != crc:
-        raise ValueError("damaged header")
-    index = np.frombuffer(zlib.decompress(sections[n_table : n_table + n_index]), dtype="<i8")
-    doc_ids, lengths = index[:n_docs], index[n_docs:]
-    if not n:
-        return doc_ids, lengths, np.zeros(0, dtype="<u2")
-    names, cls, f = np.frombuffer(zlib.decompress(sections[:n_table]), dtype="<i8").reshape(3, -1)
-    records = np.frombuffer(sections[n_table + n_index :], dtype="<u4").reshape(-1, 3)
-    count = len(records)
-    class_of, start_b, share_b = lookup(names, cls, f)
-    named = by_share(names, cls, f)
-    sizes = records[:, 0].astype(np.int64)
-    ends = at + len(sections) + 2 * np.cumsum(sizes)
-    words = np.zeros((count, int(sizes.max()) + 8), dtype=np.uint16)
-    for k in range(count):
-        body = data[ends[k] - 2 * sizes[k] : ends[k]]
-        if zlib.crc32(body) != records[k, 1]:
-            raise ValueError(f"damaged block {k}")
-        words[k, : sizes[k]] = np.frombuffer(body, dtype="<u2")
-    lanes = Lanes(count, class_of, start_b, share_b)
-    # The state holds the first 62 bits of the stream: three words and 14 bits of the fourth.
-    code = np.zeros(count, dtype=np.uint64)
-    for k in range(3):
-        code = (code << np.uint64(16)) | words[:, k].astype(np.uint64)
-    code = (code << np.uint64(KEEP_BITS - 32)) | (words[:, 3].astype(np.uint64) >> np.uint64(48 - KEEP_BITS))
-    used = np.ones(count, dtype=np.int64)
-    part = np.uint64(48 - KEEP_BITS)
-    out = np.empty((block, count), dtype="<u2")
-    for t in range(block):
-        lanes.predict()
-        r = lanes.range >> np.uint64(A_BITS + B_BITS)
-        value = ((code - lanes.low) & np.uint64(LOW_MASK)) // r
-        x, k, s, f = lanes.locate(np.minimum(value, np.uint64((1 << (A_BITS + B_BITS)) - 1)).view(np.int64), named)
-        narrow(lanes, *lanes.intervals(x, s, f))
-        lanes.learn(x, k)
-        out[t] = x
-        i = None
-        while len(i := settle(lanes, i)):
-            j = used[i]
-            new = (words[i, j + 2].astype(np.uint64) << np.uint64(16)) | words[i, j + 3].astype(np.uint64)
-            code[i] = ((code[i] << np.uint64(WORD_BITS)) & np.uint64(LOW_MASK)) | ((new >> part) & np.uint64(0xFFFF))
-            used[i] = j + 1
-            lanes.low[i] = (lanes.low[i] << np.uint64(WORD_BITS)) & np.uint64(LOW_MASK)
-            lanes.range[i] = lanes.range[i] << np.uint64(WORD_BITS)
-    ids = out.T.reshape(-1)[:n].copy()
-    for k in range(count):
-        if zlib.crc32(ids[k * block : (k + 1) * block].tobytes()) != records[k, 2]:
-            raise ValueError(f"block {k} decodes to other ids")
-    return doc_ids, lengths, ids
+    f = TokenFile(data)
+    return f.doc_ids, f.lengths, f.decode(np.arange(len(f.records))) if f.n else np.zeros(0, dtype="<u2")
 
 
 class ByteBPE:
@@ -398,13 +467,8 @@ class ByteBPE:
         return self.plain(text)
 
 
-_LOADED: dict[str, ByteBPE] = {}
-
-
 def byte_encoder(path: str) -> ByteBPE:
-    if path not in _LOADED:
-        _LOADED[path] = ByteBPE(path)
-    return _LOADED[path]
+    return hold(("byte-bpe", path), lambda: ByteBPE(path))
 
 
 def write_table(docs: DataFrame, vocab_path: str, end_id: int, most_tokens: int = MOST_TOKENS) -> DataFrame:
