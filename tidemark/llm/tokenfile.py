@@ -209,6 +209,8 @@ def settle(lanes: Lanes, among: np.ndarray | None = None) -> np.ndarray:
 
 def topics(ids: np.ndarray, place: np.ndarray, n_names: int) -> np.ndarray:
     """Topic of each id (by its place in falling order of count): spherical k-means over windows, then the topic an id is commonest in."""
+    if not n_names:
+        return np.zeros(0, dtype=np.int64)
     n = -(-len(ids) // TOPIC_WINDOW)
     jump = -(-n // TOPIC_WINDOWS)
     whole = len(ids) // TOPIC_WINDOW
