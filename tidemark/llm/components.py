@@ -9,7 +9,10 @@ from tidemark.llm.common import materialize
 
 
 def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
-    """``node, component`` (the least node of each component) for ``edges`` of longs ``u, v``.
+    """``node, component`` (the least node of each component) for ``edges`` of ``u, v`` of one orderable type.
+
+    Loops, repeated edges and edges with a null end name nobody; no edges give
+    an empty table.
 
     Each round every node points to its least neighbour (or itself), edges are
     rewritten to the nodes pointed at, and loops and repeats go; at least half
@@ -34,5 +37,5 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
             labels = labels.join(step, "component", "left").select("node", F.coalesce("next", "component").alias("component"))
         labels = materialize(labels, f"{name}-labels{turn}")
     if labels is None:
-        return edges.sparkSession.createDataFrame([], "node long, component long")
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).limit(0)
     return labels.select("node", "component")

@@ -1,36 +1,47 @@
 """N-gram Jaccard join: T-occurrence search with DivideSkip inside candidate blocks.
 
 1. Every whole text becomes its set of distinct hashed word shingles; equal
-   sets collapse into one node (the least id), so copies cost nothing more.
+   sets collapse into one node (a 128-bit hash of the set), so copies cost
+   nothing more.
 2. Shingles that repeat within a task are counted over all tasks; the most
    frequent (at most ``MOST_HEAVY``, a fixed-size broadcast) go to the end of
    one global shingle order.  Two sets that can link share a shingle among the
    first ``n - ceil(J * n) + 1`` of each in that order, so sets sharing such a
    shingle form candidate blocks (connected components: a block loses no link).
 3. Each block is searched with an inverted index: for a set, lists of its
-   shingles are divided into short ones, merged, and the longest ones, probed
-   by binary search for the sets that the merge leaves able to reach the
-   required overlap T.  Overlaps are exact counts.
-4. A block too large for one task is cut into chunks that all hold a few pivot
-   sets; after that pass only sets outside the block's largest component
-   still meet every other chunk.  Links found are a spanning forest of each
-   cell, never all pairs; components of all links give the result.
+   shingles are divided into short ones, heap-merged, and the longest ones,
+   probed by binary search for the sets that the merge leaves able to reach
+   the required overlap T.  Overlaps are exact counts.
+4. A block too large for one task is cut by size class (sizes of linked sets
+   differ by one class at most) and hash into chunks that all hold a few pivot
+   sets; after that pass only sets outside the block's largest component still
+   meet the other chunks of their own and the neighbouring classes.  Links
+   found are a spanning forest of each cell, never all pairs; components of
+   all links give the result.
+
+Texts are never shuffled.  Candidates are marked in a bitmap of ``BITMAP_BITS``
+(a broadcast of 8 MB at every size); a second pass over the texts makes the
+sets of marked rows only, and those alone move.  A row marked by chance costs
+its set's shuffle and goes at the join.  Cells are bounded by the bytes of
+their sets, not by rows.
 
 Null and empty texts, and texts without words, have no set and link with
-nothing.  Repeated ids: rows are told apart by their sets, and an id's rows
-take the least component among them.  An empty table gives no rows.
+nothing.  Null ids: such rows link by their texts as others do; the component
+id is the least id in reach, null if there is none.  Repeated ids: rows are
+told apart by their sets.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.llm.common import hold, materialize, only, row_chunks
 from tidemark.llm.components import connected_components
@@ -39,8 +50,10 @@ MOST_HEAVY, HEAVY_FROM = 200_000, 16
 PIVOTS = 4
 #: Shingles below this hash (a quarter) are the pool whose document frequencies are counted.
 POOL = np.uint64(1 << 62)
-#: Largest table of (node, block) rows that is broadcast: 16 bytes each.
-BROADCAST_ROWS = 400_000
+#: Bits of the candidates' bitmap (8 MB).
+BITMAP_BITS = 1 << 26
+#: A chunk's sets hold at most about so many shingles (8 bytes each), and at least ``LEAST_WEIGHT`` where a block is cut; a set weighs ``SET_WEIGHT`` more.
+CHUNK_WEIGHT, LEAST_WEIGHT, SET_WEIGHT = 2_000_000, 50_000, 64
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD)]
 
 
@@ -105,6 +118,24 @@ class Forest:
         return True
 
 
+def merge_counts(lists: list[np.ndarray], low: int, high: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Members in ``low .. high - 1`` of at least ``least`` of the ascending lists, and how many: a heap merge of the lists."""
+    cand, count = [], []
+    last, seen = -1, 0
+    for x in heapq.merge(*[part.tolist() for r in lists if len(part := r[np.searchsorted(r, low) : np.searchsorted(r, high)])]):
+        if x == last:
+            seen += 1
+            continue
+        if seen >= least and seen:
+            cand.append(last)
+            count.append(seen)
+        last, seen = x, 1
+    if seen >= least and seen:
+        cand.append(last)
+        count.append(seen)
+    return np.array(cand, dtype=np.int64), np.array(count, dtype=np.int64)
+
+
 def search_links(sets: list[np.ndarray], num: int, den: int, groups: list[int] | None = None, queries: list[bool] | None = None) -> list[tuple[int, int]]:
     """Spanning links among sets with ``den * overlap >= num * union``.
 
@@ -157,13 +188,10 @@ def search_links(sets: list[np.ndarray], num: int, den: int, groups: list[int] |
         longest = int(length[lists[-1]])
         n_long = min(need - 1, int(need / (0.01 * np.log2(longest + 1) + 1)), len(lists) - 1)
         short, long = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
-        merged = np.concatenate([posted[starts[k] : starts[k + 1]] for k in short.tolist()])
-        merged = merged[(merged >= low) & (merged < q)]
-        cand, count = np.unique(merged, return_counts=True)
-        ok = count >= need - n_long
+        cand, count = merge_counts([posted[starts[k] : starts[k + 1]] for k in short.tolist()], low, q, need - n_long)
         if asks is not None and not asks[q]:
-            ok &= asks[cand]
-        cand, count = cand[ok], count[ok]
+            ok = asks[cand]
+            cand, count = cand[ok], count[ok]
         if groups is not None or m > 64:
             root = forest.find(q)
             fresh = np.array([forest.find(c) != root for c in cand.tolist()], dtype=bool)
@@ -216,63 +244,120 @@ def heavy_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(rows["s"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
+def row_key(doc, text: str | None) -> int:
+    """64-bit hash of an id (or none) and its text."""
+    seed = 0 if doc is None or doc is pd.NA or doc != doc else (int(doc) * 2 + 1) & 0xFFFFFFFFFFFFFFFF
+    return xxhash.xxh3_64_intdigest(text.encode() if isinstance(text, str) else b"", seed) - (1 << 63)
+
+
 def nodes_of(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``doc_id, n, node`` (hash of the set; null without one), ``p, pool, more`` of every row."""
+    """``doc_id, n, node`` (128-bit hash of the set; null without one), ``key`` of the row, ``p, pool, more`` of every row."""
     heavy = docs.sparkSession.sparkContext.broadcast(heavy_shingles(docs, width))  # at most 8 * MOST_HEAVY bytes
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = heavy.value
         for pdf in row_chunks(batches):
-            out = {"n": [], "node": [], "p": [], "pool": [], "more": []}
-            for t in pdf["text"].array:
+            out = {"n": [], "node": [], "key": [], "p": [], "pool": [], "more": []}
+            for d, t in zip(pdf["doc_id"].array, pdf["text"].array):
                 s = shingle_set(t, width)
                 p, pool, more = choose(s, often, num, den) if len(s) else (0, s, s)
-                for k, v in zip(out, (len(s), node_id(s), p, pool.view(np.int64), more.view(np.int64))):
+                for k, v in zip(out, (len(s), node_id(s), row_key(d, t), p, pool.view(np.int64), more.view(np.int64))):
                     out[k].append(v)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].array, **{k: pd.array(v, dtype="Int64") if k == "node" else v for k, v in out.items()}})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].array, **out})
 
-    return only(docs, "doc_id", "text").mapInPandas(run, "doc_id long, n long, node long, p int, pool array<long>, more array<long>")
+    return only(docs, "doc_id", "text").mapInPandas(run, "doc_id long, n long, node binary, key long, p int, pool array<long>, more array<long>")
 
 
-def node_id(s: np.ndarray) -> int | None:
-    """64-bit hash of a set; null for none."""
-    return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
+def node_id(s: np.ndarray) -> bytes | None:
+    """128-bit hash of a set; null for none."""
+    return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
+
+
+def short_id(node: Column) -> Column:
+    """64 bits of a node's id: candidate blocks may use it, since a collision only joins two blocks."""
+    return F.xxhash64(node)
 
 
 def candidate_edges(own: DataFrame) -> DataFrame:
-    """``u, v``: each node with the least node of every prefix shingle it shares."""
-    counted = own.select("node", F.explode("pool").alias("s")).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("s"))).where("c > 1")
-    shared = counted.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "s"))).alias("shared"))  # at most the node's own pool
-    picked = own.select("node", "p", F.size("pool").alias("k")).join(shared, "node")
+    """``u, v``: each node (short id) with the least node of every prefix shingle it shares."""
+    pooled = own.select("v", F.explode("pool").alias("s"))
+    counts = pooled.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    counted = pooled.join(counts, "s")  # a hot shingle is one pre-aggregated row on one side; AQE splits the other
+    shared = counted.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("c", "s"))).alias("shared"))  # at most the node's own pool
+    picked = own.select("v", "p", F.size("pool").alias("k")).join(shared, "v")
     room = F.col("p") - F.col("k") + F.size("shared")  # the pool's unshared shingles come first and meet nobody
-    picked = picked.where(room > 0).select("node", F.explode(F.slice("shared", F.lit(1), room)).alias("x")).select("node", F.col("x")["s"].alias("s"))
-    posts = materialize(picked.unionByName(own.select("node", F.explode("more").alias("s"))), "join-postings")
-    firsts = posts.groupBy("s").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    return posts.join(firsts, "s").where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
+    picked = picked.where(room > 0).select("v", F.explode(F.slice("shared", F.lit(1), room)).alias("x")).select("v", F.col("x")["s"].alias("s"))
+    posts = materialize(picked.unionByName(own.select("v", F.explode("more").alias("s"))), "join-postings")
+    firsts = posts.groupBy("s").agg(F.min("v").alias("u"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    return posts.join(firsts, "s").where("v <> u").select("u", "v")
+
+
+def bitmap_of(keys: DataFrame) -> np.ndarray:
+    """Bitmap of 64-bit keys: as many words as ``BITMAP_BITS / 64`` come to the driver at most, whatever the number of keys."""
+    bit = F.pmod(F.xxhash64(F.lit(9), "key"), F.lit(BITMAP_BITS))
+    words = keys.select(F.shiftright(bit, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int")).alias("m"))
+    got = words.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+    out = np.zeros(BITMAP_BITS >> 6, dtype=np.int64)
+    out[got["w"].to_numpy()] = got["m"].to_numpy()
+    return out.view(np.uint64)
+
+
+def marked_sets(docs: DataFrame, candidates: DataFrame, width: int) -> DataFrame:
+    """``node, set`` of the candidates (``node, key``), made from the texts of marked rows; texts stay where they are."""
+    spark = docs.sparkSession
+    marked = spark.sparkContext.broadcast(bitmap_of(candidates.select("key")))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = marked.value
+        seen: set[bytes] = set()
+        for pdf in row_chunks(batches):
+            key = np.array([row_key(d, t) for d, t in zip(pdf["doc_id"].array, pdf["text"].array)], dtype=np.int64)
+            at = spark_hash(key)
+            node, sets = [], []
+            for i in np.flatnonzero(bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).tolist():
+                s = shingle_set(pdf["text"].iat[i], width)
+                if len(s) and (x := node_id(s)) not in seen:
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(x)
+                    node.append(x)
+                    sets.append(s.tobytes())
+            yield pd.DataFrame({"node": node, "set": sets})
+
+    return only(docs, "doc_id", "text").mapInPandas(run, "node binary, set binary")
+
+
+def spark_hash(keys: np.ndarray) -> np.ndarray:
+    """Bit numbers of keys, as ``bitmap_of`` computes them."""
+    seed = xxhash.xxh64_intdigest((9).to_bytes(4, "little"), 42)
+    h = np.fromiter((xxhash.xxh64_intdigest(k, seed) for k in map(int.to_bytes, (keys.view(np.uint64)).tolist(), [8] * len(keys), ["little"] * len(keys))), dtype=np.uint64, count=len(keys))
+    return h & np.uint64(BITMAP_BITS - 1)
+
+
+def size_class(n: Column, num: int, den: int) -> Column:
+    """Linked sets differ by one class at most (a class spans a factor of den / num, and a little more against rounding)."""
+    if num >= den:
+        return F.lit(0)
+    return F.floor(F.log(n.cast("double")) / F.lit(math.log(den / num) * (1 + 1e-9))).cast("int")
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for links with ``den * overlap >= num * union``."""
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = materialize(nodes_of(docs, width, num, den), "join-nodes")
-    heads = materialize(base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("head")), "join-heads")
-    # One row a node: its head's (rows of one node have equal pools).
-    own = base.select("doc_id", "node", "p", "pool", "more").join(heads.select("node", F.col("head").alias("doc_id")), ["node", "doc_id"]).dropDuplicates(["node", "doc_id"])
-    blocks = connected_components(candidate_edges(own), "join-blocks").withColumnRenamed("component", "block")
-    total = blocks.count()
-    chunk_rows = int(min(4096, max(96, total // (2 * shuffles))))
-    sized = blocks.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("chunks"))
-    placed = materialize(blocks.join(sized, "block").select("node", "block", "chunks").join(heads, "node"), "join-placed")
-    near = placed.select(F.col("head").alias("doc_id"), "node", "block", "chunks")
-    texts = only(docs, "doc_id", "text").join(F.broadcast(near) if total <= BROADCAST_ROWS else near, "doc_id")
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in row_chunks(batches):
-            made = [shingle_set(t, width) for t in pdf["text"].array]
-            same = [node_id(s) == k for s, k in zip(made, pdf["node"].tolist())]  # an id may have several texts
-            yield pdf.drop(columns=["doc_id", "text"]).assign(set=[s.tobytes() for s in made])[same]
-
-    found = materialize(texts.mapInPandas(sets, "node long, block long, chunks int, set binary").dropDuplicates(["node"]), "join-sets")
+    one = F.min_by(F.struct("p", "pool", "more", "n"), "key").alias("r")
+    heads = base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("head"), F.min("key").alias("key"), one)
+    heads = materialize(heads.select("node", short_id(F.col("node")).alias("v"), "head", "key", "r.*"), "join-heads")
+    blocks = connected_components(candidate_edges(heads.select("v", "p", "pool", "more")), "join-blocks").select(F.col("node").alias("v"), F.col("component").alias("block"))
+    narrow = heads.select("node", "v", "key", "n", (F.col("n") + SET_WEIGHT).alias("weight"))
+    placed = materialize(narrow.join(blocks, "v").drop("v").withColumn("cls", size_class(F.col("n"), num, den)), "join-placed")
+    total = placed.agg(F.sum("weight").alias("w")).first()["w"] or 0
+    limit = min(CHUNK_WEIGHT, max(LEAST_WEIGHT, total // (2 * shuffles)))
+    chunks = F.ceil(F.sum("weight") / limit).cast("int")
+    large = placed.groupBy("block").agg(chunks.alias("c")).where("c > 1").select("block", F.lit(True).alias("large"))
+    placed = materialize(placed.join(large, "block", "left").withColumn("large", F.col("large").isNotNull()), "join-sized")
+    sets = marked_sets(docs, placed, width)
+    found = materialize(placed.select("node", "block", "cls", "large").join(sets.dropDuplicates(["node"]), "node"), "join-sets")
 
     def cell_links(pdf: pd.DataFrame) -> pd.DataFrame:
         u, v = [], []
@@ -285,34 +370,42 @@ def jaccard_components(docs: DataFrame, width: int = 4, num: int = 85, den: int
             got = search_links([np.frombuffer(b, dtype=np.uint64) for b in part["set"]], num, den, *known)
             u += [names[a] for a, _ in got]
             v += [names[b] for _, b in got]
-        return pd.DataFrame({"u": u, "v": v}, dtype="int64")
-
-    # Whole small blocks: many to a task.
-    small = found.where("chunks = 1").withColumn("cell", F.pmod(F.xxhash64("block"), F.lit(4 * shuffles)))
-    links = small.groupBy("cell").applyInPandas(cell_links, "u long, v long")
-    many = placed.where("chunks > 1").select("node", "block", "chunks")
+        return pd.DataFrame({"u": u, "v": v})
+
+    LINKS = "u binary, v binary"
+    # Whole small blocks, many to a cell of about half a chunk.
+    cells = max(4 * shuffles, 2 * total // CHUNK_WEIGHT)
+    small = found.where("not large").withColumn("cell", F.pmod(F.xxhash64("block"), F.lit(cells)))
+    links = small.groupBy("cell").applyInPandas(cell_links, LINKS)
+    many = placed.where("large").select("node", "block", "cls", "weight")
     if not many.isEmpty():
-        # Chunks of large blocks, each with the block's pivots: the nodes of least hash.
-        big = found.where("chunks > 1").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+        # Chunks of a size class of a large block, each with the block's pivots: the nodes of least hash.
+        counts = materialize(many.groupBy("block", "cls").agg(chunks.alias("chunks")), "join-chunks")
+        big = found.where("large").select("node", "block", "cls", "set").join(counts, ["block", "cls"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
         h = F.xxhash64(F.lit(2), "node")
         pivots = many.groupBy("block", F.pmod(F.xxhash64(F.lit(1), "node"), F.lit(PIVOTS)).alias("slot")).agg(F.min_by("node", h).alias("node")).select("node")
-        lead = big.join(pivots, "node").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        chunk_links = big.unionByName(lead).groupBy("block", "chunk").applyInPandas(cell_links, "u long, v long")
+        lead = big.select("node", "block", "set").join(pivots, "node").join(counts, "block").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        cell = ["node", "block", "cls", "chunk", "set"]
+        chunk_links = big.select(*cell).unionByName(lead.select(*cell)).groupBy("block", "cls", "chunk").applyInPandas(cell_links, LINKS)
         first = materialize(links.unionByName(chunk_links), "join-links")
         comps = connected_components(first, "join-first")
-        known = materialize(many.join(comps, "node", "left").select("node", "block", F.coalesce("component", "node").alias("group")), "join-known")
-        counts = known.groupBy("block", "group").agg(F.count(F.lit(1)).alias("c"))
-        main = counts.groupBy("block").agg(F.max_by("group", F.struct("c", "group")).alias("main"))
-        asked = materialize(known.join(main, "block").select("node", "block", "group", (F.col("group") != F.col("main")).alias("ask")), "join-asked")
-        # Nodes outside the largest component, ``chunk_rows`` at a time, meet every chunk of their block.
-        qchunks = asked.where("ask").groupBy("block").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("qchunks"))
-        full = big.join(asked.drop("block"), "node").join(qchunks, "block")
-        to_all = full.withColumn("ask", F.lit(False)).withColumn("qchunk", F.explode(F.sequence(F.lit(0), F.col("qchunks") - 1)))
-        asks = full.where("ask").withColumn("qchunk", F.pmod(F.xxhash64(F.lit(3), "node"), "qchunks").cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        links = first.unionByName(to_all.unionByName(asks).groupBy("block", "chunk", "qchunk").applyInPandas(cell_links, "u long, v long"))
+        known = materialize(many.join(comps, "node", "left").select("node", "block", "cls", "weight", F.coalesce("component", "node").alias("group")), "join-known")
+        sums = known.groupBy("block", "group").agg(F.count(F.lit(1)).alias("c"))
+        main = sums.groupBy("block").agg(F.max_by("group", F.struct("c", "group")).alias("main"))
+        asked = materialize(known.join(main, "block").select("node", "block", "cls", "weight", "group", (F.col("group") != F.col("main")).alias("ask")), "join-asked")
+        # Nodes outside the largest component, a chunk's worth at a time, meet the chunks of their own and the neighbouring classes.
+        asks = asked.where("ask").groupBy("block", F.col("cls").alias("qcls")).agg(chunks.alias("qchunks"))
+        full = big.join(asked.select("node", "group", "ask"), "node")
+        near = F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1))
+        key = ["block", "cls", "chunk", "qcls", "qchunk"]
+        out = ["node", "set", "group", "ask", *key]
+        targets = full.withColumn("ask", F.lit(False)).withColumn("qcls", near).join(asks, ["block", "qcls"]).withColumn("qchunk", F.explode(F.sequence(F.lit(0), F.col("qchunks") - 1)))
+        queries = full.where("ask").withColumnRenamed("cls", "qcls").drop("chunks", "chunk").join(asks, ["block", "qcls"]).withColumn("qchunk", F.pmod(F.xxhash64(F.lit(3), "node"), "qchunks").cast("int"))
+        queries = queries.withColumn("cls", F.explode(F.array(F.col("qcls") - 1, F.col("qcls"), F.col("qcls") + 1))).join(counts, ["block", "cls"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        links = first.unionByName(targets.select(*out).unionByName(queries.select(*out)).groupBy(*key).applyInPandas(cell_links, LINKS))
     comps = connected_components(links, "join-final")
-    least = comps.join(heads, "node").groupBy("component").agg(F.min("head").alias("component_id"))
+    least = comps.join(heads.select("node", "head"), "node").groupBy("component").agg(F.min("head").alias("component_id"))
     labels = comps.join(least, "component").select("node", "component_id")
-    labels = materialize(heads.join(labels, "node", "left").select("node", F.coalesce("component_id", "head").alias("component_id")), "join-labels")
+    labels = materialize(heads.select("node", "head").join(labels, "node", "left").select("node", F.coalesce("component_id", "head").alias("component_id")), "join-labels")
     out = base.select("doc_id", "n", "node").join(labels, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
