@@ -305,6 +305,52 @@ def test_toxicity_reads_whole_unspaced_runs(spark):
     assert all(score[n + 10 + i] > max(0.5, score[n + i]) for i in range(10))
 
 
+def plain_gru(net, x):
+    """Bidirectional network over the rows of one window, word by word, in plain Python."""
+    import math
+
+    p = {k: v.astype(float) for k, v in net.p.items()}
+    sig = lambda v: 1 / (1 + math.exp(-v))
+    h = toxicity.HIDDEN
+    states = {}
+    for d, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+        s = [0.0] * h
+        for t in order:
+            a = [sum(x[t][i] * p["W" + d][i][j] for i in range(len(x[t]))) + p["c" + d][j] for j in range(3 * h)]
+            g = [sum(s[i] * p["U" + d][i][j] for i in range(h)) for j in range(3 * h)]
+            r, z = [sig(a[j] + g[j]) for j in range(h)], [sig(a[h + j] + g[h + j]) for j in range(h)]
+            n = [math.tanh(a[2 * h + j] + r[j] * g[2 * h + j]) for j in range(h)]
+            s = [s[j] + (1 - z[j]) * (n[j] - s[j]) for j in range(h)]
+            states[d, t] = s
+    both = [states["f", t] + states["b", t] for t in range(len(x))]
+    e = [sum(math.tanh(sum(v[i] * p["A"][i][k] for i in range(2 * h)) + p["a"][k]) * p["v"][k] for k in range(toxicity.ATTEND)) for v in both]
+    w = [math.exp(v - max(e)) for v in e]
+    return sum(w[t] / sum(w) * sum(both[t][i] * p["w"][i] for i in range(2 * h)) for t in range(len(x))) + p["o"][0]
+
+
+def test_windows_and_network_equal_plain_loops():
+    r = np.random.default_rng(4)
+    net = toxicity.Network.start()
+    leans = toxicity.Leans(*(r.normal(0, 1, 1 << b).astype(np.float32) for b in (toxicity.WORD_BITS, toxicity.GRAM_BITS)))
+    leans.word_vec[:] = r.normal(0, 1, leans.word_vec.shape)
+    leans.gram_vec[:] = r.normal(0, 1, leans.gram_vec.shape)
+    text = " ".join(f"w{i * i % 37}" for i in range(61))
+    rows = leans.inputs(*leans.hashed(toxicity.steps(text)))
+    size, jump = toxicity.WINDOW, toxicity.STRIDE
+    starts = sorted({*range(0, 61 - size, jump), 61 - size})
+    want = max(plain_gru(net, rows[a : a + size].tolist()) for a in starts)
+    got = toxicity.strongest(net, toxicity.WordRows(leans), [text, "", "one"])
+    assert got[0] == pytest.approx(want, abs=1e-4)
+    one = leans.inputs(*leans.hashed(["one"]))
+    assert got[2] == pytest.approx(plain_gru(net, one.tolist()), abs=1e-4)
+
+
+def test_embeddings_are_learned():
+    data = labelled()
+    m = toxicity.train([t for t, _ in data], np.array([y for _, y in data]))
+    assert (m["tables"][2] != 0).any() and (m["tables"][3] != 0).any()
+
+
 def test_gradients_match_differences():
     r = np.random.default_rng(1)
     net = toxicity.Network.start()
@@ -331,6 +377,52 @@ def test_gradients_match_differences():
             assert g.reshape(-1)[i] == pytest.approx((up - down) / 2e-4, abs=2e-3)
 
 
+def test_labellers_equal_plain_expectation_maximisation():
+    r = np.random.default_rng(5)
+    codes = np.unique(r.integers(0, 3 ** len(quality.LABELLERS), 40))
+    counts = r.integers(1, 50, len(codes)).astype(float)
+    got = quality.fit_labellers(codes, counts, rounds=7)
+    m = len(quality.LABELLERS)
+    votes = [[c // 3 ** (m - 1 - j) % 3 for j in range(m)] for c in codes.tolist()]
+    prior = [0.1, 0.9]
+    theta = [[{0: 0.3, 1: 0.6, 2: 0.1} for _ in range(m)], [{0: 0.01, 1: 0.89, 2: 0.1} for _ in range(m)]]
+    for _ in range(7):
+        post = []
+        for v in votes:
+            p = [prior[k] * np.prod([theta[k][j][v[j]] for j in range(m)]) for k in (0, 1)]
+            post.append([x / sum(p) for x in p])
+        total = [sum(post[i][k] * counts[i] for i in range(len(votes))) for k in (0, 1)]
+        prior = [(total[0] + 1) / (sum(total) + 10), (total[1] + 9) / (sum(total) + 10)]
+        theta = [[{x: (sum(post[i][k] * counts[i] for i in range(len(votes)) if votes[i][j] == x) + (0.5 if x == 0 else 1.0)) / (total[k] + 2.5) for x in (0, 1, 2)} for j in range(m)] for k in (0, 1)]
+    for c, p in zip(codes.tolist(), post):
+        assert got["posterior"][c] == pytest.approx(p[1])
+
+
+def test_scorer_reads_words_and_pairs():
+    f = quality.Shapes().features
+    ids = [set(f(t)[0].tolist()) for t in ("hello world", "zorgle world", "world hello", "hello world")]
+    assert ids[0] != ids[1] and ids[0] != ids[2] and ids[0] == ids[3]
+    assert set(f("a1b2c3d4 " * 3)[0].tolist()) != set(f("a1b2c3z9x " * 3)[0].tolist())  # runs beyond the sixth count
+
+
+def test_scorer_equals_plain_gradient_steps():
+    rows = [(y, *quality.Shapes().features(t)) for t, y in (("good plain words", 1.0), ("bad ### words", 0.0), ("", 0.9))]
+    got = quality.fit_scorer(rows, epochs=2)
+    w, g2 = {}, {}
+    rng = np.random.default_rng(7)
+    for _ in range(2):
+        for i in rng.permutation(len(rows)):
+            y, ids, x = rows[i]
+            z = sum(w.get(k, 0.0) * float(v) for k, v in zip(ids.tolist(), x))
+            p = 1 / (1 + np.exp(-z))
+            for k, v in zip(ids.tolist(), x):
+                grad = (p - y) * float(v) + 1e-5 * w.get(k, 0.0)
+                g2[k] = g2.get(k, 1e-2) + grad * grad
+                w[k] = w.get(k, 0.0) - 0.5 * grad / np.sqrt(g2[k])
+    for k, v in w.items():
+        assert got[k] == pytest.approx(v, rel=1e-6)
+
+
 def test_quality(spark, corpus):
     good = [t for t, _ in labelled(120)]
     good = [" ".join(f"{w}." if k % 9 == 8 else w for k, w in enumerate(t.split())) for t in good]
@@ -380,6 +472,29 @@ def test_near_duplicate_stage_decides_by_row(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, sure + either))
 
 
+def test_columns_that_differ_in_case_alone(spark):
+    df = spark.createDataFrame([(1, "one two three four five", 7, "x", "keep me", 2.5)], "doc_id long, text string, DOC_ID int, TEXT string, quality_score string, toxicity double")
+    labels = spark.createDataFrame([(1, 1, 1, 0)], "doc_id long, quality int, toxic int, TOXIC int")
+    assert quality.classify(df).first()["doc_id"] == 1 and toxicity.classify(df, labels).first()["doc_id"] == 1
+    assert bpe.encode_digests(df, WORD).count() == fingerprint.fingerprint(df).count() == packing.pack(df, WORD).count() == 1
+    assert tokenfile.write_and_read(df, BYTE, 2).count() == 1 and ngramjoin.jaccard_components(df).first()["component_id"] == 1
+    for out in (quality.kept(df), toxicity.kept(df, labels)):
+        assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [tuple(r) for r in df.collect()]
+    pages = spark.createDataFrame([(1, "http://a.com/", "", "z", 1)], "page_id long, url string, html string, URL string, n int")
+    assert urlfilter.judge_urls(pages).first()["host"] == "a.com"
+    vec = spark.createDataFrame([(100, [1.0], 5), (1, [2.0], 5)], "vec_id long, embedding array<float>, EMBEDDING int")
+    assert topk.top_k(vec).first()["vec_id"] == 1
+
+
+def test_stages_bear_nulls_and_empty_tables(spark):
+    import corpus_pipeline
+
+    df = docs_of(spark).select(*corpus_pipeline.COLUMNS).unionByName(spark.createDataFrame([(None,) * 5], "doc_id long, text string, lang string, source string, n_chars long"))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, df, SF).count() > 0
+        assert stage(spark, df.limit(0), SF).count() == 0
+
+
 def test_null_ids_and_clashing_columns_do_not_crash(spark):
     rows = [(None, "one two three four five", "en", "s", None, 0.1, "q", 1), (3, None, None, None, 4, None, None, None), (None, None, None, None, None, None, None, None), (7, "one two three four five", "en", "s", 1, 0.1, "q", 1), (7, "one two three four six", "en", None, 1, 0.1, "q", 1)]
     df = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("seq", "node")

@@ -15,9 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder: ``spark.checkpoint.dir``; a temp folder only where it is unset."""
+    """The cluster's shared folder: ``spark.checkpoint.dir``; where it is unset, a temp folder on a local master and an error on a cluster."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         known = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.conf.set("spark.checkpoint.dir", known)
     return known.rstrip("/")
@@ -35,9 +37,32 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_place(df: DataFrame) -> DataFrame:
+    """The same columns as ``c0, c1, ...``: names that clash, even in case alone, do no harm."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place_of(df: DataFrame, name: str) -> int:
+    """Place of the column of exactly this name, else of the only one that differs in case."""
+    if name in df.columns:
+        return df.columns.index(name)
+    near = [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if len(near) != 1:
+        raise ValueError(f"no column {name!r} among {df.columns}")
+    return near[0]
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
-    """Select top-level columns by exact name; extra columns with any name are ignored."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
+    """Select top-level columns by name; extra columns with any name are ignored."""
+    return by_place(df).select(*[F.col(f"c{place_of(df, n)}").alias(n) for n in names])
+
+
+def with_results(df: DataFrame, run: Callable[[Iterator], Iterator], text: str, added: dict[str, str]) -> DataFrame:
+    """``df`` mapped by ``run``, which sees the given column as ``text`` and all others by place, and appends the ``added`` columns (name: type)."""
+    at = place_of(df, text)
+    base = by_place(df).withColumnRenamed(f"c{at}", "text")
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in base.schema] + [f"_r{i} {t}" for i, t in enumerate(added.values())]
+    return base.mapInPandas(run, ", ".join(fields)).toDF(*df.columns, *added)
 
 
 #: What the operator that this worker process served last keeps between tasks.

@@ -3,12 +3,13 @@
 Overlapping heuristic labellers vote on every document (good, bad, abstain).
 Expectation-maximisation over the counts of vote patterns estimates each
 labeller's accuracy per class; no true label is used.  The posterior of a
-pattern is the soft label of a document, and a hashed linear scorer over word
-shapes is fitted to it on a bounded sample (``max_train``); then it scores
-every whole text.
+pattern is the soft label of a document, and a hashed linear scorer over words,
+pairs of neighbouring words and word shapes is fitted to it on a bounded
+sample: the ``max_train`` distinct texts of least hash, the same ones in every
+run.  Then it scores every whole text.
 
 Driver memory: one row per vote pattern that occurs (at most 3 ** labellers)
-and the sample's hashed features.  Null and empty texts have no words: every
+and the sample's hashed features (some 8 bytes a word and pair).  Null and empty texts have no words: every
 labeller abstains and the score is the fitted prior.  An empty table gives no
 rows.  Repeated rows are scored alike.
 """
@@ -23,10 +24,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hold, only, row_chunks
+from tidemark.llm.common import hold, only, row_chunks, with_results
 
 GOOD, BAD, NONE = 1, 0, 2
-BITS = 14
+TOP = (1 << 63) - 1
+BITS = 18
+MASK = (1 << BITS) - 1
 SYMBOLS = "#$%&*^~@=+<>{}[]|\\_"
 
 #: (statistic, bad from, good to, least words); votes bad at or beyond "bad from", good at or below "good to".
@@ -107,37 +110,41 @@ def fit_labellers(codes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> di
 
 
 class Shapes:
-    """Hashed features: shares of word shapes and a few binned shares."""
+    """Hashed features of a text: square roots of the shares of words, neighbouring pairs and word shapes, and a few binned shares."""
 
     def __init__(self, most: int = 100_000):
         self.known: dict[str, int] = {}
         self.most = most
 
-    def shape(self, word: str) -> int:
+    def codes(self, word: str) -> int:
+        """Bucket of the word and, above it, of its shape (runs of character classes, whole)."""
         out, last = [], ""
         for ch in word:
             c = "A" if ch.isupper() else "a" if ch.isalpha() else "0" if ch.isdigit() else ch
             if c != last:
                 out.append(c)
                 last = c
-        bucket = zlib.crc32("".join(out[:6]).encode()) & ((1 << BITS) - 1)
+        shape = zlib.crc32("".join(out).encode(errors="replace"), 1) & MASK
+        both = shape << BITS | zlib.crc32(word.lower().encode(errors="replace")) & MASK
         if len(self.known) >= self.most:
             self.known.clear()
-        self.known[word] = bucket
-        return bucket
+        self.known[word] = both
+        return both
 
     def features(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Bucket ids and values; one constant feature."""
         words = text.split()
-        bias = zlib.crc32(b"bias") & ((1 << BITS) - 1)
+        bias = zlib.crc32(b"bias") & MASK
         if not words:
             return np.array([bias], dtype=np.int32), np.ones(1, dtype=np.float32)
         n = len(words)
-        get, miss = self.known.get, self.shape
-        ids = np.fromiter([g if (g := get(w)) is not None else miss(w) for w in words], dtype=np.int64, count=n)
+        get, miss = self.known.get, self.codes
+        both = np.fromiter([g if (g := get(w)) is not None else miss(w) for w in words], dtype=np.int64, count=n)
+        word, shape = both & MASK, both >> BITS
+        pair = (word[:-1] * 31 + word[1:] * 17 + 7) & MASK
         bins = [("stutter", sum(map(str.__eq__, words, words[1:])) / n), ("same", 1 - len(set(words)) / n if n >= 40 else 0.0)]
-        extra = [zlib.crc32(f"{k}:{int(10 * v)}".encode()) & ((1 << BITS) - 1) for k, v in bins]
-        uniq, cnt = np.unique(ids, return_counts=True)
+        extra = [zlib.crc32(f"{k}:{int(10 * v)}".encode()) & MASK for k, v in bins]
+        uniq, cnt = np.unique(np.concatenate([word, shape, pair]), return_counts=True)
         return np.concatenate([uniq, extra, [bias]]).astype(np.int32), np.concatenate([np.sqrt(cnt / n), np.ones(len(extra) + 1)]).astype(np.float32)
 
 
@@ -151,11 +158,11 @@ def fit_scorer(rows: list[tuple[float, np.ndarray, np.ndarray]], epochs: int = 1
             p = 1 / (1 + np.exp(-np.clip(w[ids] @ x, -30, 30)))
             grad = (p - y) * x + 1e-5 * w[ids]
             g2[ids] += grad * grad
-            w[ids] -= rate * grad / np.sqrt(g2[ids])
+            w[ids] -= rate * grad / np.sqrt(g2[ids])  # a bucket that occurs twice takes its last step
     return w
 
 
-def fit(docs: DataFrame, max_train: int = 10_000) -> dict:
+def fit(docs: DataFrame, max_train: int = 6_000) -> dict:
     """Labeller accuracies over all documents, scorer weights from at most about ``max_train`` of them."""
     texts = only(docs, "text")
 
@@ -172,48 +179,45 @@ def fit(docs: DataFrame, max_train: int = 10_000) -> dict:
     codes, counts = np.array([r["code"] for r in found]), np.array([r["n"] for r in found], dtype=float)
     model = fit_labellers(codes, counts)
     post = model["posterior"]
-    share = min(1.0, max_train / counts.sum())
-    sample = texts.where(F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    # Of the texts whose hash lies in a share of the 63-bit range that holds some ``2 * max_train`` rows, each distinct one once, least hash first.
+    limit = min(TOP, int(TOP * min(1.0, 2 * max_train / counts.sum())))
+    h = F.xxhash64(F.lit(11), "text").bitwiseAND(F.lit(TOP))
+    sample = texts.withColumn("h", h).where(F.col("h") <= limit).groupBy("h", "text").agg(F.count(F.lit(1)).alias("n")).orderBy("h", "text").limit(max_train).select("h", "text")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shapes = hold(("quality",), Shapes)
         for pdf in row_chunks(batches):
             rows = [(t if isinstance(t, str) else "") for t in pdf["text"].array]
             made = [shapes.features(t) for t in rows]
-            yield pd.DataFrame({"h": [zlib.crc32(t.encode()) for t in rows], "y": [post.get(vote_pattern(t), 1.0) for t in rows], "ids": [a.tobytes() for a, _ in made], "x": [b.tobytes() for _, b in made]})
+            yield pd.DataFrame({"h": pdf["h"].array, "y": [post.get(vote_pattern(t), 1.0) for t in rows], "ids": [a.tobytes() for a, _ in made], "x": [b.tobytes() for _, b in made]})
 
-    got = sample.mapInPandas(features, "h long, y double, ids binary, x binary").limit(2 * max_train).collect()
+    got = sample.mapInPandas(features, "h long, y double, ids binary, x binary").collect()  # at most ``max_train`` rows
     rows = [(r["y"], np.frombuffer(r["ids"], dtype=np.int32), np.frombuffer(r["x"], dtype=np.float32)) for r in sorted(got, key=lambda r: (r["h"], r["y"], bytes(r["ids"])))]
     return {"weights": fit_scorer(rows), "labellers": model}
 
 
-def score(docs: DataFrame, max_train: int = 10_000, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``quality_score`` (0 to 1, higher: better), ``quality_weak`` (posterior of its votes) and ``quality_keep``.
-
-    The output columns replace input columns of the same names; all others stay.
-    """
+def scorer(docs: DataFrame, max_train: int, threshold: float | None):
+    """Batch function that appends score and posterior, or (with a threshold) keeps the rows that reach it as they are."""
     model = fit(docs, max_train)
-    weights = model["weights"].astype(np.float32)
+    weights = docs.sparkSession.sparkContext.broadcast(model["weights"].astype(np.float32))  # 1 MB
     post, prior = model["labellers"]["posterior"], model["labellers"]["prior"]
-    base = docs.drop("quality_score", "quality_weak", "quality_keep")
-    fields = base.schema
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shapes = hold(("quality",), Shapes)
+        shapes, w = hold(("quality",), Shapes), weights.value
         for pdf in row_chunks(batches):
-            s, q = [], []
-            for t in pdf["text"].array:
-                t = t if isinstance(t, str) else ""
-                ids, x = shapes.features(t)
-                s.append(1 / (1 + float(np.exp(-np.clip(weights[ids] @ x, -30, 30)))))
-                q.append(post.get(vote_pattern(t), prior))
-            yield pdf.assign(quality_score=s, quality_weak=q)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", quality_score double, quality_weak double"
-    return base.mapInPandas(run, schema).withColumn("quality_keep", F.col("quality_score") >= threshold)
-
-
-def classify(docs: DataFrame, max_train: int = 10_000, threshold: float = 0.5) -> DataFrame:
-    """``doc_id, score, weak_posterior, keep`` of every whole text."""
-    out = score(only(docs, "doc_id", "text"), max_train, threshold)
-    return out.select("doc_id", F.col("quality_score").alias("score"), F.col("quality_weak").alias("weak_posterior"), F.col("quality_keep").cast("int").alias("keep"))
+            texts = [t if isinstance(t, str) else "" for t in pdf["text"].array]
+            s = np.array([1 / (1 + np.exp(-np.clip(w[ids] @ x, -30, 30))) for ids, x in map(shapes.features, texts)], dtype=np.float64)
+            yield pdf[s >= threshold] if threshold is not None else pdf.assign(_r0=s, _r1=[post.get(vote_pattern(t), prior) for t in texts])
+
+    return run
+
+
+def kept(docs: DataFrame, max_train: int = 6_000, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores ``threshold`` or more, with all their columns as they are."""
+    return with_results(docs, scorer(docs, max_train, threshold), "text", {})
+
+
+def classify(docs: DataFrame, max_train: int = 6_000, threshold: float = 0.5) -> DataFrame:
+    """``doc_id, score`` (0 to 1, higher: better), ``weak_posterior`` (of its votes) and ``keep`` of every whole text."""
+    out = with_results(only(docs, "doc_id", "text"), scorer(docs, max_train, None), "text", {"score": "double", "weak_posterior": "double"})
+    return out.select("doc_id", "score", "weak_posterior", (F.col("score") >= threshold).cast("int").alias("keep"))

@@ -1,23 +1,25 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-Inputs of a word: how a hashed table of whole words and a hashed table of
-character 4- and 5-grams lean (log odds of document frequencies), the least,
-mean and largest lean of its n-grams, and its length.  A run of more than
-``LONGEST`` bytes without white space is read as overlapping pieces of
-``PIECE`` characters, each an input like a word.  The network reads windows
-of ``WINDOW`` inputs that overlap by half, in both directions;
-attention pools the states of a window.  A document's score is the calibrated
-score of its strongest window; every window of every whole text is scored.
-
-The tables are fitted on one part of the training labels and the network, by
-back-propagation through time in numpy, on the other, so that it sees leans as
-they are on unseen text.  At most ``max_per_class`` labelled rows of each
-class are used (a documented bound; the choice is by a hash of the id), and
-never those whose crc32 of the id is divisible by 5.  Only the text enters a
-score.
-
-Nulls count as empty; an empty text is one window of padding.  Without labels
-of both classes every score is 0.  Ties and repeated rows score alike.
+Inputs of a word: a learned embedding of the (hashed) word, the mean of
+learned embeddings of its (hashed) character 4- and 5-grams, and prior
+features: how word and n-grams lean (log odds of document frequencies), the
+least, mean and largest lean of its n-grams, and its length.  A run of more
+than ``LONGEST`` bytes without white space is read as overlapping pieces of
+``PIECE`` characters, each an input like a word.  The network reads windows of
+``WINDOW`` inputs that overlap by half, in both directions; attention pools
+the states of a window.  A document's score is the calibrated score of its
+strongest window; every window of every whole text is scored.
+
+The leans are fitted on one part of the training labels, embeddings and
+network, by back-propagation through time in numpy, on the other, so that the
+network sees leans as they are on unseen text.  Words never seen in training
+have zero embeddings.  The ``max_per_class`` labelled ids of each class of
+least hash are used (a documented bound, the same ids in every run; an id with
+several texts gives its least one), never those whose crc32 is divisible by 5.
+Only the text enters a score.
+
+Nulls count as empty; an empty text is one window of padding.  Without
+training labels of both classes every score is 0.  Ties and repeated rows score alike.
 """
 
 from __future__ import annotations
@@ -31,9 +33,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hold, only, row_chunks
+from tidemark.llm.common import hold, only, row_chunks, with_results
 
-WINDOW, STRIDE, HIDDEN, ATTEND, INPUTS = 24, 12, 6, 6, 6
+WINDOW, STRIDE, HIDDEN, ATTEND = 24, 12, 6, 6
+PRIORS, EMBED = 6, 4  # prior features; dimensions of each of the two embeddings
+INPUTS = PRIORS + 2 * EMBED
 WORD_BITS, GRAM_BITS = 17, 18
 LONGEST, PIECE, PIECE_STRIDE = 64, 16, 8
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»“”‘’…-–—*#$%&|"
@@ -62,10 +66,12 @@ def grams(word: bytes) -> list[int]:
 
 
 class Leans:
-    """Log-odds tables of words and n-grams."""
+    """Word and n-gram tables: log odds, and embeddings (zero until learned)."""
 
-    def __init__(self, word: np.ndarray, gram: np.ndarray):
+    def __init__(self, word: np.ndarray, gram: np.ndarray, word_vec: np.ndarray | None = None, gram_vec: np.ndarray | None = None):
         self.word, self.gram = word, gram
+        self.word_vec = np.zeros((1 << WORD_BITS, EMBED), dtype=np.float32) if word_vec is None else word_vec
+        self.gram_vec = np.zeros((1 << GRAM_BITS, EMBED), dtype=np.float32) if gram_vec is None else gram_vec
 
     @staticmethod
     def fit(docs: list[set[str]], labels: np.ndarray) -> Leans:
@@ -76,7 +82,7 @@ class Leans:
             for w in words:
                 got = known.get(w)
                 if got is None:
-                    b = w.encode()
+                    b = w.encode(errors="replace")
                     got = known[w] = (zlib.crc32(b) & ((1 << WORD_BITS) - 1), np.array(grams(b), dtype=np.int32))
                 w_ids.append(got[0])
                 g_ids.append(got[1])
@@ -93,25 +99,40 @@ class Leans:
 
         return Leans(*(lean(counts[1][i], counts[0][i]) for i in (0, 1)))
 
-    def inputs(self, words: list[str]) -> np.ndarray:
-        """Input rows (words x INPUTS)."""
-        if not words:
+    @staticmethod
+    def hashed(words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Word buckets and each word's n-gram buckets."""
+        raw = [w.encode(errors="replace") for w in words]
+        return np.fromiter((zlib.crc32(b) & ((1 << WORD_BITS) - 1) for b in raw), dtype=np.int64, count=len(raw)), [np.array(grams(b), dtype=np.int64) for b in raw]
+
+    def inputs(self, ids: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
+        """Input rows (words x INPUTS) of ``hashed`` words."""
+        if not len(ids):
             return np.zeros((0, INPUTS), dtype=np.float32)
-        raw = [w.encode() for w in words]
-        parts = [grams(b) for b in raw]
-        sizes = np.array([len(p) for p in parts])
-        at = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        v = self.gram[np.fromiter((g for p in parts for g in p), dtype=np.int64, count=int(sizes.sum()))]
-        ids = np.fromiter((zlib.crc32(b) & ((1 << WORD_BITS) - 1) for b in raw), dtype=np.int64, count=len(raw))
-        out = np.empty((len(words), INPUTS), dtype=np.float32)
+        g, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
+        at = np.cumsum(sizes) - sizes
+        v = self.gram[g]
+        out = np.empty((len(ids), INPUTS), dtype=np.float32)
         out[:, 0] = self.word[ids]
         out[:, 1] = np.maximum.reduceat(v, at)
         out[:, 2] = np.minimum.reduceat(v, at)
         out[:, 3] = np.add.reduceat(v, at) / sizes
         out[:, 4] = np.add.reduceat((v > 0.75).astype(np.float32), at) / 4
         out[:, 5] = np.minimum(sizes, 60) / 60
+        out[:, PRIORS : PRIORS + EMBED] = self.word_vec[ids]
+        out[:, PRIORS + EMBED :] = np.add.reduceat(self.gram_vec[g], at) / sizes[:, None]
         return out
 
+    def learn(self, ids: np.ndarray, parts: list[np.ndarray], slope: np.ndarray, rate: float, seen: tuple[np.ndarray, np.ndarray]) -> None:
+        """Adagrad step of the embeddings of ``hashed`` words against the slope of the loss in their input rows."""
+        g, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
+        of_word, of_gram = slope[:, PRIORS : PRIORS + EMBED], slope[:, PRIORS + EMBED :] / sizes[:, None]
+        for table, total, rows, grad in ((self.word_vec, seen[0], ids, of_word), (self.gram_vec, seen[1], g, np.repeat(of_gram, sizes, axis=0))):
+            hit, back = np.unique(rows, return_inverse=True)
+            sums = np.stack([np.bincount(back, weights=grad[:, j], minlength=len(hit)) for j in range(EMBED)], axis=1) + 1e-4 * table[hit]
+            total[hit] += (sums * sums).sum(axis=1)
+            table[hit] -= (rate * sums / np.sqrt(total[hit] + 1e-6)[:, None]).astype(np.float32)
+
 
 class WordRows:
     """Input rows of words, computed once a worker while they fit."""
@@ -139,7 +160,7 @@ class WordRows:
                 grown[:used] = self.rows[:used]
                 self.rows = grown
             if fresh:
-                self.rows[used:need] = self.leans.inputs(fresh)
+                self.rows[used:need] = self.leans.inputs(*self.leans.hashed(fresh))
                 plain.update(zip(fresh, range(used, need)))
             known.update((w, plain[p]) for w, p in new.items())
             ids = [known[w] for w in words]
@@ -219,6 +240,7 @@ class Network:
         de = ds[:, :, None] * p["v"] * (1 - e * e)
         g["A"], g["a"] = np.einsum("tbh,tbk->hk", hs, de), de.sum(axis=(0, 1))
         dhs = alpha[:, :, None] * dc + de @ p["A"].T
+        self.input_slope = np.zeros_like(tape["x"])
         for d, part in (("f", dhs[:, :, :h]), ("b", dhs[:, :, h:])):
             dh = np.zeros_like(part[0])
             u = p["U" + d]
@@ -231,6 +253,7 @@ class Network:
                 dg = np.concatenate([dr, dz, dn * r], axis=1)
                 g["W" + d] += tape["x"][:, t].T @ dx
                 g["c" + d] += dx.sum(axis=0)
+                self.input_slope[:, t] += dx @ p["W" + d].T
                 g["U" + d] += state.T @ dg
                 dh = dh * (1 - m * (1 - z)) + dg @ u.T
         return g
@@ -268,7 +291,7 @@ def strongest(net: Network, words: WordRows, texts: list[str], pick: bool = Fals
 def train(texts: list[str], labels: np.ndarray, rounds: int = 3, epochs: int = 6, seed: int = 5) -> dict | None:
     """Tables, network and calibration from labelled texts; None without both classes."""
     rng = np.random.default_rng(seed)
-    fold = np.array([zlib.crc32(t.encode()) % 5 < 3 for t in texts])
+    fold = np.array([zlib.crc32(t.encode(errors="replace")) % 5 < 3 for t in texts])
     y = labels.astype(np.int64)
     if len(y) < 8 or min(y[fold].sum(), (1 - y[fold]).sum(), y[~fold].sum(), (1 - y[~fold]).sum()) < 1:
         return None
@@ -278,12 +301,15 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 3, epochs: int = 6
     other = [t for t, f in zip(texts, fold) if not f]
     oy = y[~fold]
     net = Network.start()
+    seen = (np.zeros(1 << WORD_BITS), np.zeros(1 << GRAM_BITS))
     adam = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for turn in range(rounds):
-        xs, ms, ys = [], [], []
+        chosen, ms, ys = [], [], []
+        words = WordRows(leans)  # the embeddings have moved
         for lo in range(0, len(other), 200):
             _, logit, x, index, mask, owner = strongest(net, words, other[lo : lo + 200], pick=True)
+            flat = [w.lower().strip(PUNCTUATION) for t in other[lo : lo + 200] for w in steps(t)] + [""]
             if turn == 0:  # before the network knows anything: the strongest leans
                 logit = x[:, :2].sum(axis=1)[index].max(axis=1)
             order = np.lexsort((-logit, owner))
@@ -291,18 +317,24 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 3, epochs: int = 6
             for i, k in zip(order.tolist(), rank.tolist()):
                 label = oy[lo + owner[i]]
                 if k == 0 or (label == 0 and (k == 1 or rng.random() < 0.05)):
-                    xs.append(x[index[i]])
+                    chosen.append([flat[j] for j in index[i].tolist()])
                     ms.append(mask[i])
                     ys.append(label)
-        xs, ms, ys = np.stack(xs), np.stack(ms), np.array(ys, dtype=np.float32)
+        names = sorted({w for ws in chosen for w in ws})
+        number = {w: i for i, w in enumerate(names)}
+        xs = np.array([[number[w] for w in ws] for ws in chosen])
+        buckets, parts = leans.hashed(names)
+        known = leans.inputs(buckets, parts)
+        ms, ys = np.stack(ms), np.array(ys, dtype=np.float32)
         weight = np.where(ys == 1, 0.5 / max(ys.mean(), 1e-6), 0.5 / max(1 - ys.mean(), 1e-6)).astype(np.float32)
-        for _ in range(max(epochs, min(60, 6000 // max(1, len(ys) // 128 + 1) // 4))):
+        for _ in range(max(epochs, min(20, 6000 // max(1, len(ys) // 128 + 1) // 4))):
             perm = rng.permutation(len(ys))
             for lo in range(0, len(perm), 128):
                 pick = perm[lo : lo + 128]
                 b = len(pick)
-                rows = xs[pick].reshape(b * WINDOW, INPUTS)
-                index = np.arange(b * WINDOW).reshape(b, WINDOW)
+                here, index = np.unique(xs[pick], return_inverse=True)
+                index = index.reshape(b, WINDOW)
+                rows = known[here]
                 tape: dict = {}
                 logit = net.forward(rows, index, ms[pick], tape)
                 grads = net.gradients(tape, (weight[pick] * (sigmoid(logit) - ys[pick]) / b).astype(np.float32))
@@ -312,8 +344,14 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 3, epochs: int = 6
                     m1 += 0.1 * (gr - m1)
                     m2 += 0.001 * (gr * gr - m2)
                     net.p[k] -= (0.01 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+                if step % 8 == 0:  # embeddings follow at an eighth of the steps
+                    slope = np.stack([np.bincount(index.reshape(-1), weights=net.input_slope[:, :, j].reshape(-1), minlength=len(here)) for j in range(INPUTS)], axis=1)
+                    some = buckets[here], [parts[i] for i in here.tolist()]
+                    leans.learn(*some, slope, 0.05, seen)
+                    known[here] = leans.inputs(*some)
+    words = WordRows(leans)
     best = np.concatenate([strongest(net, words, other[lo : lo + 200]) for lo in range(0, len(other), 200)])
-    return {"word": leans.word, "gram": leans.gram, "net": net.p, "logits": best, "y": oy}
+    return {"tables": (leans.word, leans.gram, leans.word_vec, leans.gram_vec), "net": net.p, "logits": best, "y": oy}
 
 
 def calibrate(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -329,16 +367,16 @@ def calibrate(logits: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[fl
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_000) -> dict | None:
-    """Model from at most about ``max_per_class`` labelled training rows of each class; texts are not shuffled."""
+    """Model from the ``max_per_class`` labelled training ids of each class of least hash; texts are not shuffled."""
     marked = only(labels, "doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return None
-    share = {c: min(1.0, max_per_class / n) for c, n in counts.items()}
-    h = F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(1_000_000))
-    chosen = marked.where(h < F.when(F.col("toxic") == 1, int(share[1] * 1e6)).otherwise(int(share[0] * 1e6)))
-    rows = only(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").limit(3 * max_per_class).collect()
+    least = lambda c: marked.where(F.col("toxic") == c).orderBy(F.xxhash64(F.lit(23), "doc_id"), "doc_id").limit(max_per_class)
+    chosen = least(0).unionByName(least(1))  # at most 2 * max_per_class rows
+    texts = only(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
+    rows = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     y = np.array([r["toxic"] for r in rows], dtype=np.int64)
     model = train([r["text"] for r in rows], y)
@@ -353,31 +391,35 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_000) -> dict
 
 def loaded(key: str, m: dict) -> tuple[Network, WordRows]:
     """The worker's network and word rows of this model."""
-    return hold(("toxicity", key), lambda: (Network(m["net"]), WordRows(Leans(m["word"], m["gram"]))))
+    return hold(("toxicity", key), lambda: (Network(m["net"]), WordRows(Leans(*m["tables"]))))
 
 
-def score(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_000) -> DataFrame:
-    """``docs`` with ``toxicity`` (0 to 1), which replaces an input column of that name."""
+def scorer(docs: DataFrame, labels: DataFrame, max_per_class: int, below: float | None):
+    """Batch function that appends the score, or (with a limit) keeps the rows that score below it as they are."""
     model = fit(docs, labels, max_per_class)
-    base = docs.drop("toxicity")
-    if model is None:
-        return base.withColumn("toxicity", F.lit(0.0))
     key = uuid.uuid4().hex
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: two tables and the network
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size: the tables (8 MB) and the network
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = sent.value
-        net, words = loaded(key, m)
         for pdf in row_chunks(batches, 1_500_000):
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"].array]
-            z = np.clip(m["slope"] * strongest(net, words, texts).astype(float) + m["offset"], -30, 30)
-            yield pdf.assign(toxicity=sigmoid(z))
+            if m is None:
+                s = np.zeros(len(pdf))
+            else:
+                net, words = loaded(key, m)
+                texts = [t if isinstance(t, str) else "" for t in pdf["text"].array]
+                s = sigmoid(np.clip(m["slope"] * strongest(net, words, texts).astype(float) + m["offset"], -30, 30))
+            yield pdf[s < below] if below is not None else pdf.assign(_r0=s)
+
+    return run
+
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema) + ", toxicity double"
-    return base.mapInPandas(run, schema)
+def kept(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_000, below: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text scores below the limit, with all their columns as they are."""
+    return with_results(docs, scorer(docs, labels, max_per_class, below), "text", {})
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_000) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every whole text."""
-    out = score(only(docs, "doc_id", "text"), labels, max_per_class)
-    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+    out = with_results(only(docs, "doc_id", "text"), scorer(docs, labels, max_per_class, None), "text", {"score": "double"})
+    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
