@@ -18,12 +18,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-label scorer keeps."""
-    return quality.score(docs).where("quality_keep").select(*docs.columns)
+    return quality.kept(docs)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 by the window network."""
-    return toxicity.score(docs, table(spark, sf_dir, "labels")).where("toxicity < 0.5").select(*docs.columns)
+    return toxicity.kept(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
