@@ -225,7 +225,7 @@ def heavy_shingles(docs: DataFrame, width: int) -> np.ndarray:
             keep = n > 1
             return pd.DataFrame({"s": u[keep].view(np.int64), "n": n[keep]})
 
-        for pdf in row_chunks(batches):
+        for pdf in row_chunks(batches, 3_000_000):
             seen = set()
             for t in pdf["text"].array:
                 if isinstance(t, str) and (key := hash(t)) not in seen:
@@ -233,7 +233,7 @@ def heavy_shingles(docs: DataFrame, width: int) -> np.ndarray:
                     s = shingle_set(t, width)
                     held.append(s)
                     size += len(s)
-            if size > 2_000_000:
+            if size > 1_000_000:
                 yield flush()
                 held, size = [], 0
         if held:
@@ -256,7 +256,7 @@ def nodes_of(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = heavy.value
-        for pdf in row_chunks(batches):
+        for pdf in row_chunks(batches, 3_000_000):
             out = {"n": [], "node": [], "key": [], "p": [], "pool": [], "more": []}
             for d, t in zip(pdf["doc_id"].array, pdf["text"].array):
                 s = shingle_set(t, width)
@@ -310,14 +310,14 @@ def marked_sets(docs: DataFrame, candidates: DataFrame, width: int) -> DataFrame
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = marked.value
         seen: set[bytes] = set()
-        for pdf in row_chunks(batches):
+        for pdf in row_chunks(batches, 3_000_000):
             key = np.array([row_key(d, t) for d, t in zip(pdf["doc_id"].array, pdf["text"].array)], dtype=np.int64)
             at = spark_hash(key)
             node, sets = [], []
             for i in np.flatnonzero(bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).tolist():
                 s = shingle_set(pdf["text"].iat[i], width)
                 if len(s) and (x := node_id(s)) not in seen:
-                    if len(seen) > 200_000:
+                    if len(seen) > 50_000:
                         seen.clear()
                     seen.add(x)
                     node.append(x)

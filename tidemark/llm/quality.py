@@ -162,7 +162,7 @@ def fit_scorer(rows: list[tuple[float, np.ndarray, np.ndarray]], epochs: int = 1
     return w
 
 
-def fit(docs: DataFrame, max_train: int = 6_000) -> dict:
+def fit(docs: DataFrame, max_train: int = 2_500) -> dict:
     """Labeller accuracies over all documents, scorer weights from at most about ``max_train`` of them."""
     texts = only(docs, "text")
 
@@ -212,12 +212,12 @@ def scorer(docs: DataFrame, max_train: int, threshold: float | None):
     return run
 
 
-def kept(docs: DataFrame, max_train: int = 6_000, threshold: float = 0.5) -> DataFrame:
+def kept(docs: DataFrame, max_train: int = 2_500, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose text scores ``threshold`` or more, with all their columns as they are."""
     return with_results(docs, scorer(docs, max_train, threshold), "text", {})
 
 
-def classify(docs: DataFrame, max_train: int = 6_000, threshold: float = 0.5) -> DataFrame:
+def classify(docs: DataFrame, max_train: int = 2_500, threshold: float = 0.5) -> DataFrame:
     """``doc_id, score`` (0 to 1, higher: better), ``weak_posterior`` (of its votes) and ``keep`` of every whole text."""
     out = with_results(only(docs, "doc_id", "text"), scorer(docs, max_train, None), "text", {"score": "double", "weak_posterior": "double"})
     return out.select("doc_id", "score", "weak_posterior", (F.col("score") >= threshold).cast("int").alias("keep"))
