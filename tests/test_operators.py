@@ -124,6 +124,32 @@ def test_codes_and_decimals(spark):
     assert [r["t"] for r in nums.collect()] == ["1.23", "0", "100", None]
 
 
+def test_decimals_round_the_exact_binary_value(spark):
+    nums = spark.createDataFrame([(5e-11,), (1e22,), (0.1,), (float("inf"),), (float("nan"),)], "x double").select(derived.decimal_text(F.col("x")).alias("t"))
+    assert [r["t"] for r in nums.collect()] == ["0.0000000001", "1" + "0" * 22, "0.1", None, None]
+
+
+def test_alias_actions_follow_confidence_not_arrival(spark):
+    rows = [("1", "k", "low", 9, "z", 1), ("1", "k", "high", 1, "y", 2), ("1", "m", "low", 1, "a", 3), ("1", "m", "low", 2, "b", 4), ("1", "n", "medium", 3, "B", 5), ("1", "n", "medium", 3, "a", 6), ("1", "o", "high", 1, "q", 7)]
+    found = spark.createDataFrame(rows, "code string, dedup_key string, confidence string, seen_count long, alias string, ordinal long")
+    known = spark.createDataFrame([("1", "o")], "code string, dedup_key string")
+    got = {r["ordinal"]: r["action"] for r in ops.merge_aliases(known, found).collect()}
+    assert got == {1: "skip", 2: "add", 3: "review", 4: "review", 5: "skip", 6: "add", 7: "skip"}
+
+
+def test_titles_and_aliases_meet_in_one_form(spark):
+    df = spark.createDataFrame([("Ａｂｃ（株） の決算", ["abc 株"]), ("other", ["abc"]), ("abc", [""])], "title string, name_aliases array<string>").withColumn("code", F.lit("1")).withColumn("ordinal", F.monotonically_increasing_id())
+    rows = events.rank_candidates(df, "2026-01-01", "v2").orderBy("ordinal").collect()
+    assert [r["score_name"] for r in rows] == [1.0, 0.0, 0.0]
+
+
+def test_blank_labels_and_unknown_rules_select_nothing(spark):
+    df = spark.createDataFrame([("GAP_UP",), (None,)], "candle_labels string")
+    for rule in ({"type": "candle_labels_contains_any", "values": ["", " "]}, {"type": "other", "column": "candle_labels", "values": ["GAP"]}):
+        assert df.where(events.selection([rule], df.columns)).count() == 0
+    assert df.where(events.selection([{"type": "candle_labels_contains_any", "values": [" gap "]}], df.columns)).count() == 1
+
+
 def test_flags(spark):
     df = spark.createDataFrame([(None, math.inf), (1.0, math.nan)], "a double, b double")
     rows = derived.snapshot_flags(df, ["a", "b"]).collect()

@@ -95,5 +95,12 @@ def release_tag(c: Column) -> tuple[Column, Column]:
 
 
 def bar_status(fetched: Column, wanted: Column, last: Column, run_date: Column) -> Column:
-    """insufficient, stale or ok."""
-    return F.when(fetched < wanted, "insufficient").when(last.isNull() | (last < run_date), "stale").otherwise("ok")
+    """insufficient, stale or ok; without a run date nothing is stale."""
+    return F.when(fetched < wanted, "insufficient").when(run_date.isNotNull() & (last.isNull() | (last < run_date)), "stale").otherwise("ok")
+
+
+def patched_key(c: Column) -> tuple[Column, Column]:
+    """Monthly tag and patch date of ``universe-patched-TAG-YYYY-MM-DD``; nulls where it is none."""
+    tag = F.regexp_extract(c, r"^universe-patched-(.+?)-*-(\d{4}-\d{2}-\d{2})$", 1)
+    date = F.try_to_date(F.nullif(F.regexp_extract(c, r"^universe-patched-(.+?)-*-(\d{4}-\d{2}-\d{2})$", 2), F.lit("")), "yyyy-MM-dd")
+    return F.when(date.isNotNull(), F.nullif(tag, F.lit(""))), date

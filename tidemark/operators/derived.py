@@ -19,11 +19,11 @@ def digest_of_keys(df: DataFrame, group: str, key: str) -> DataFrame:
     return df.groupBy(group).agg(F.sha2(F.array_join(F.sort_array(F.collect_set(key)), "\n"), 256).alias("digest"), F.count_distinct(key).alias("n_keys"))
 
 
-def decimal_text(c: Column, places: int = 10) -> Column:
-    """Canonical decimal text: fixed places, half-even, no trailing zeros, no negative zero."""
-    text = F.bround(c.cast(f"decimal(38,{places + 8})"), places).cast("string")
-    short = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    return F.when(short == "-0", "0").otherwise(short)
+def decimal_text(c: Column) -> Column:
+    """Canonical decimal text of the exact binary value: ten places, half-even, no trailing zeros, no negative zero."""
+    from tidemark.operators.rules import exact_decimal
+
+    return exact_decimal(c)
 
 
 def field(name: str):
@@ -60,3 +60,53 @@ def supersede(objects: DataFrame, generation: int) -> DataFrame:
 def zip_arrays(df: DataFrame, columns: list[str]) -> DataFrame:
     """Positional zip of parallel arrays, one row per place."""
     return df.select("*", F.posexplode(F.arrays_zip(*columns)).alias("n", "_z")).select(*[c for c in df.columns if c not in columns], "n", *[F.col("_z")[c].alias(c) for c in columns])
+
+
+def classify_int(c: Column, kind: str) -> tuple[Column, Column, Column]:
+    """Value, whether it counts as missing, and whether as not finite, of a column coerced to an integer metric.
+
+    Text that is no integer and numbers with a fraction are missing; infinite
+    and NaN numbers are not finite.
+    """
+    if kind == "string":
+        value = F.when(F.trim(c).rlike("^[+-]?[0-9]+$"), F.trim(c).try_cast("long"))
+        return value, value.isNull(), F.lit(False)
+    if kind in ("double", "float"):
+        off = F.coalesce(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(False))
+        value = F.when(~off & (c == F.floor(c)), c.cast("long"))
+        return value, value.isNull() & ~off, off
+    return c.cast("long"), c.isNull(), F.lit(False)
+
+
+def number_or_null(c: Column) -> Column:
+    """Number of a text to six places; blanks, words and NaN are null."""
+    x = F.trim(c).try_cast("double")
+    return F.when(~F.isnan(x), F.round(x, 6))
+
+
+def project_rows(df: DataFrame, bench: str, metrics: list[str], scalars: list[str], as_of: str, identity: list[str] | None = None) -> DataFrame:
+    """Grid rows of text columns for one benchmark: ``m_bench`` becomes ``m``; identity columns only where the row is of the as-of day."""
+    same = F.trim("date") == as_of
+    kept = [F.when(same, F.nullif(F.trim(c), F.lit(""))).alias(c) for c in identity or []]
+    return df.select(F.lpad(F.trim("code"), F.greatest(F.length(F.trim("code")), F.lit(4)), F.lit("0")).alias("code"), *[number_or_null(F.col(f"{m}_{bench}")).alias(m) for m in metrics], *[number_or_null(F.col(m)).alias(m) for m in scalars], *kept)
+
+
+def seed_outcome(candidates: DataFrame, existing: DataFrame, key: str, date: str, day: str) -> DataFrame:
+    """``key, outcome``: write, or noop where the day is already there."""
+    have = existing.where(F.col(date) == F.lit(day).cast("date")).select(key).distinct().withColumn("_have", F.lit(True))
+    rows = candidates.select(key).where(F.length(F.trim(F.col(key).cast("string"))) > 0)
+    return rows.join(have, key, "left").select(key, F.when(F.col("_have"), "resolved_noop").otherwise("write").alias("outcome"))
+
+
+def same_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Keys on one side only: an empty result means equal sets."""
+    a, b = left.select(key).distinct().withColumn("a", F.lit(True)), right.select(key).distinct().withColumn("b", F.lit(True))
+    return a.join(b, key, "full_outer").where("a is null or b is null").select(key, F.when(F.col("a").isNull(), "right").otherwise("left").alias("only_in"))
+
+
+def staged_rows(batches: DataFrame, payload: str, schema: str, keys: list[str], ordinal: str) -> DataFrame:
+    """Rows of JSON arrays, the last of a key winning (by batch, then place); rows without a key go."""
+    rows = batches.select(ordinal, F.posexplode(F.from_json(payload, f"array<struct<{schema}>>")).alias("_n", "_r")).select("_n", ordinal, "_r.*")
+    rows = rows.where(" and ".join(f"{k} is not null" for k in keys))
+    cols = [c for c in rows.columns if c not in {*keys, "_n", ordinal}]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(ordinal, "_n")).alias("_x")).select(*keys, "_x.*")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions.text import half_width
+
 # Title keywords and event types, first match wins.
 TITLE_TYPES = [
     (("業績予想の修正", "上方修正", "通期連結業績予想の修正"), "earnings_revision_up"),
@@ -64,6 +66,15 @@ def title_novelty(title: Column) -> Column:
     return F.when(t.contains("訂正"), "low").when(t.contains("経過"), "followup").otherwise("new")
 
 
+def match_text(c: Column) -> Column:
+    """Upper case, half width, without spaces, dots, dashes, ampersands, brackets and colons: the form in which names and titles meet.
+
+    Full-width signs are unified by a table instead of NFKC, which has no
+    built-in form; titles that need more pass through ``functions.text.nfkc`` first.
+    """
+    return F.regexp_replace(F.upper(half_width(F.coalesce(c, F.lit("")))), r"[ \u3000・\-－ｰ&()（）:：]", "")
+
+
 def clamp(c: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
 
@@ -89,7 +100,9 @@ def scores(run_date: str) -> dict[str, Column]:
     channel = F.when(src == "tdnet", F.lit(0.9) + F.when(xbrl, 0.1).otherwise(0.0)).when((src == "kabutan") & pdf, 0.78).when((src == "kabutan") & url.contains("/stock/news"), 0.5).otherwise(0.4)
     channel = clamp(channel - F.when(cat.isin("テク", "市況"), 0.2).otherwise(0.0) - F.when(cat.isin("注目", "特集"), 0.15).otherwise(0.0))
     structure = clamp(F.lit(0.5) + F.when(src == "tdnet", 0.15).otherwise(0.0) + F.when(pdf, 0.1).otherwise(0.0) + F.when(xbrl, 0.2).otherwise(0.0) - F.when(hist, 0.2).otherwise(0.0))
-    name = F.when(F.exists(F.coalesce("name_aliases", F.array().cast("array<string>")), lambda a: (F.length(a) > 0) & F.contains(F.col("title_match"), a)), 1.0).otherwise(0.0)
+    title = match_text(F.col("title"))
+    hit = F.exists(F.transform(F.coalesce("name_aliases", F.array().cast("array<string>")), match_text), lambda a: (F.length(a) > 0) & F.contains(title, a))
+    name = F.when(hit, 1.0).otherwise(0.0)
     return {
         "time": time,
         "specificity": lookup(low("issuer_specificity"), SPECIFICITY, lookup(low("event_scope"), SPECIFICITY, F.lit(0.4))),
@@ -107,7 +120,7 @@ def scores(run_date: str) -> dict[str, Column]:
 
 
 #: Columns a scored event needs; absent ones are null.
-SCORED = {"source": "string", "url": "string", "source_category": "string", "originality": "string", "event_type": "string", "event_polarity": "string", "issuer_specificity": "string", "event_scope": "string", "novelty_level": "string", "published_at": "timestamp", "confidence_base": "double", "price_change_pct": "double", "has_xbrl": "boolean", "has_update_history": "boolean", "name_aliases": "array<string>", "title_match": "string"}
+SCORED = {"source": "string", "url": "string", "source_category": "string", "originality": "string", "event_type": "string", "event_polarity": "string", "issuer_specificity": "string", "event_scope": "string", "novelty_level": "string", "published_at": "timestamp", "confidence_base": "double", "price_change_pct": "double", "has_xbrl": "boolean", "has_update_history": "boolean", "name_aliases": "array<string>", "title": "string"}
 
 
 def rank_candidates(events: DataFrame, run_date: str, mode: str = "v1", weights: Weights | None = None, ordinal: str = "ordinal") -> DataFrame:
@@ -164,14 +177,15 @@ def selection(rules: list[dict], columns: list[str]) -> Column:
     """Any-of selection rules; a missing column or an unreadable value never selects, no rules select nothing."""
     preds = []
     for r in rules:
-        c = r["column"]
-        if c not in columns:
-            continue
-        if r["type"] == "z_turnover_gt":
-            preds.append(F.coalesce(F.col(c).try_cast("double") > r["value"], F.lit(False)))
-        elif r["type"] == "z_turnover_lt":
-            preds.append(F.coalesce(F.col(c).try_cast("double") < r["value"], F.lit(False)))
-        else:
-            parts = F.split(F.upper(F.coalesce(F.col(c), F.lit(""))), ",")
-            preds += [F.exists(parts, starts_with(t)) for t in r["values"]]
+        kind = str(r.get("type", "")).strip().lower()
+        c = str(r.get("column", "")).strip()
+        if kind == "candle_labels_contains_any":
+            c = c or "candle_labels"
+            wanted = [t for t in (str(v).strip().upper() for v in r.get("values") or []) if t]
+            if c in columns:
+                parts = F.split(F.upper(F.coalesce(F.col(c), F.lit(""))), ",")
+                preds += [F.exists(parts, starts_with(t)) for t in wanted]
+        elif kind in ("z_turnover_gt", "z_turnover_lt") and c in columns and r.get("value") is not None:
+            x = F.col(c).try_cast("double")
+            preds.append(F.coalesce(x > r["value"] if kind == "z_turnover_gt" else x < r["value"], F.lit(False)) & ~F.coalesce(F.isnan(x), F.lit(False)))
     return reduce(lambda a, b: a | b, preds, F.lit(False))

@@ -8,11 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions.text import half_width
+
 
 def column_filter(column: str, op: str, a=None, b=None) -> Column:
     """One grid filter; null never passes a comparison; ``between`` takes bounds in any order and a missing bound passes."""
     c = F.col(column)
     if op == "contains":
+        if not str(a or "").strip():
+            return F.lit(True)
+        if column == "code":  # codes compare in half-width upper case
+            wide = lambda x: F.upper(F.trim(half_width(x.cast("string"))))
+            return F.coalesce(F.contains(wide(c), wide(F.lit(a))), F.lit(False))
         return F.coalesce(F.contains(F.lower(c.cast("string")), F.lower(F.lit(a))), F.lit(False))
     if op in ("isnull", "notnull"):
         return c.isNull() if op == "isnull" else c.isNotNull()
@@ -60,3 +67,17 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 def switch_benchmark(df: DataFrame, old: str, new: str) -> DataFrame:
     """Shows the other benchmark's columns: ``x_old`` goes, ``x_new`` stays."""
     return df.select(*[c for c in df.columns if not c.endswith(f"_{old}") or f"{c[: -len(old)]}{new}" not in df.columns])
+
+
+def favourite_filter(df: DataFrame, lists: DataFrame, code: str, chosen: list[str], blank: bool) -> DataFrame:
+    """Rows of the chosen lists, and with ``blank`` those in no list.
+
+    ``__none__`` among the chosen keeps nothing; without any list chosen,
+    members stay unless only blanks are asked for.
+    """
+    if "__none__" in chosen:
+        return df.where(F.lit(False))
+    hit = F.bool_or(F.col("list_id").isin(*chosen)) if chosen else F.lit(not blank)
+    member = lists.groupBy(F.col("code").alias(code)).agg(F.lit(True).alias("_in"), hit.alias("_hit"))
+    keep = F.when(F.col("_in").isNull(), F.lit(blank)).otherwise(F.col("_hit"))
+    return df.join(member, code, "left").where(keep).drop("_in", "_hit")

@@ -60,13 +60,33 @@ def pair_pointers(pointers: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def merge_aliases(existing: DataFrame, found: DataFrame) -> DataFrame:
-    """Action per candidate alias: skip known keys and repeats, review low confidence, add the rest."""
-    from pyspark.sql.window import Window
-
+    """Action per candidate alias: skip keys that are known or already added, review low confidence, add the rest.
+
+    Candidates of a key are taken by confidence, then seen count, then alias
+    (lower case): its first candidate above low is added and the other such
+    ones skipped; a low one comes after them, so it is skipped where one was
+    added, else reviewed, and never occupies the key.  The first is found by a
+    pre-aggregated minimum and joined back, not by a window over the key.
+    """
     known = existing.select("code", "dedup_key").distinct().withColumn("_known", F.lit(True))
-    repeat = F.row_number().over(Window.partitionBy("code", "dedup_key").orderBy("ordinal")) > 1
-    rows = found.withColumn("_repeat", repeat).join(known, ["code", "dedup_key"], "left")
-    return rows.withColumn("action", F.when(F.col("_known") | F.col("_repeat"), "skip").when(F.col("confidence") == "low", "review").otherwise("add")).drop("_known", "_repeat")
+    rank = F.when(F.col("confidence") == "high", 2).when(F.col("confidence") == "medium", 1).otherwise(0)
+    rows = found.withColumn("_order", F.struct((-rank).alias("r"), (-F.col("seen_count")).alias("s"), F.lower("alias").alias("a"), F.col("ordinal").alias("o")))
+    first = rows.where(F.col("confidence") != "low").groupBy("code", "dedup_key").agg(F.min("_order").alias("_first"))
+    rows = rows.join(known, ["code", "dedup_key"], "left").join(first, ["code", "dedup_key"], "left")
+    add = F.coalesce(F.col("_first") == F.col("_order"), F.lit(False))
+    action = F.when(F.col("_known"), "skip").when(add, "add").when(F.col("_first").isNotNull(), "skip").otherwise("review")
+    return rows.withColumn("action", action).drop("_known", "_order", "_first")
+
+
+def stale_generations(generations: DataFrame, before: str) -> DataFrame:
+    """Pending generations without a heartbeat since ``before``."""
+    t = F.lit(before).cast("timestamp")
+    return generations.where((F.col("status") == "pending") & (F.col("heartbeat_at").isNull() | (F.col("heartbeat_at") < t)))
+
+
+def high_water(progress: DataFrame, key: str, last: str, day: str) -> DataFrame:
+    """Per key the mark after a commit of ``day``: never back, and from the day before where there was none."""
+    return progress.groupBy(key).agg(F.greatest(F.coalesce(F.max(last), F.date_sub(F.max(day), 1)), F.max(day)).alias("mark"))
 
 
 def without_leases(work: DataFrame, leases: DataFrame, key: str, owners: list[str], now: str) -> DataFrame:

@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.functions.text import half_width
-
 # Link templates by column.
 LINKS = {
     "link_kabutan": "https://kabutan.jp/stock/?code=%s",
@@ -89,30 +87,60 @@ def coverage_gate(df: DataFrame, value: str, eligible: str, least: float = 0.98)
     return df.agg(F.count_if(eligible).alias("n_eligible"), F.coalesce(rate, F.lit(0.0)).alias("rate")).withColumn("allowed", (F.col("n_eligible") > 0) & (F.col("rate") >= least))
 
 
-def alias_key(alias: Column) -> Column:
-    return F.regexp_replace(F.lower(F.trim(half_width(alias))), r"[\s・･\-‐－_／/&＆,，.。]+", "")
+def plain_alias(alias: Column) -> Column:
+    """Entities resolved, compatibility forms unified (NFKC), trimmed, runs of white space as one space."""
+    import html
+    import re
+    import unicodedata
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: re.sub(r"\s+", " ", unicodedata.normalize("NFKC", html.unescape(x)).strip()), na_action="ignore")
+
+    return pandas_udf(run, "string")(alias)
+
 
+def alias_key(plain: Column) -> Column:
+    """Key of a ``plain_alias``."""
+    return F.regexp_replace(F.lower(plain), r"[\s・･\-‐－_／/&＆,，.。]+", "")
 
-def valid_alias(alias: Column) -> Column:
-    """Aliases long enough, short enough and free of noise words."""
-    s = F.trim(half_width(alias))
+
+def valid_alias(plain: Column) -> Column:
+    """Plain aliases long enough, short enough and free of noise words."""
     noise = F.lit(False)
     for w in NOISE_WORDS:
-        noise = noise | F.contains(F.lower(s), F.lit(w))
-    return (F.length(s) > 0) & (F.length(alias_key(alias)) > 1) & (F.length(s) <= 80) & ~s.rlike("^[A-Za-z]{1,2}$") & ~noise
+        noise = noise | F.contains(F.lower(plain), F.lit(w))
+    return (F.length(plain) > 0) & (F.length(alias_key(plain)) > 1) & (F.length(plain) <= 80) & ~plain.rlike("^[A-Za-z]{1,2}$") & ~noise
 
 
-def alias_confidence(n_sources: Column, alias: Column, in_base: Column) -> Column:
-    short = F.trim(half_width(alias)).rlike("^[A-Za-z]{3,5}$")
-    return F.when(in_base | (n_sources >= 2), "high").when(~valid_alias(alias) | short, "low").otherwise("medium")
+def alias_confidence(n_sources: Column, plain: Column, in_base: Column) -> Column:
+    short = plain.rlike("^[A-Za-z]{3,5}$")
+    return F.when(in_base | (n_sources >= 2), "high").when(~valid_alias(plain) | short, "low").otherwise("medium")
 
 
-def strip_market_prefix(alias: Column) -> Column:
-    s = F.regexp_replace(F.trim(half_width(alias)), r"^G-\s*", "")
+def strip_market_prefix(plain: Column) -> Column:
+    s = F.regexp_replace(plain, r"^G-\s*", "")
     s = F.regexp_replace(s, r"^(?:東証|名証|札証|福証)[A-Z0-9]*\s*", "")
     return F.trim(F.regexp_replace(s, r"(?i)^TOKYO\s+PRO\s+Market\s*", ""))
 
 
+def collect_candidates(found: DataFrame, known: DataFrame, state: DataFrame) -> DataFrame:
+    """One candidate per (code, key) of observations ``code, alias, source, n, ordinal``: first alias, sources united, counts summed.
+
+    ``known`` (code, dedup_key) marks aliases the base has; ``state`` (code,
+    dedup_key, seen_count) adds the counts of earlier runs; confidence follows
+    from all sources.
+    """
+    rows = found.withColumn("alias", plain_alias(F.col("alias")))
+    rows = rows.withColumn("dedup_key", alias_key(F.col("alias"))).where(F.length("dedup_key") > 0)
+    agg = rows.groupBy("code", "dedup_key").agg(F.min_by("alias", "ordinal").alias("alias"), F.array_sort(F.collect_set("source")).alias("sources"), F.sum("n").alias("n"), F.min("ordinal").alias("ordinal"))
+    base = known.select("code", "dedup_key").distinct().withColumn("_base", F.lit(True))
+    before = state.groupBy("code", "dedup_key").agg(F.max("seen_count").alias("_before"))
+    out = agg.join(base, ["code", "dedup_key"], "left").join(before, ["code", "dedup_key"], "left")
+    in_base = F.coalesce("_base", F.lit(False))
+    reason = F.when(~valid_alias(F.col("alias")), "invalid_alias").when(in_base, "exists_in_base").otherwise("new_candidate")
+    return out.select("code", "dedup_key", "alias", "sources", (F.col("n") + F.coalesce("_before", F.lit(0))).alias("seen_count"), alias_confidence(F.size("sources"), F.col("alias"), in_base).alias("confidence"), reason.alias("reason"), "ordinal")
+
+
 def anomalies(added: Column, media_rate: Column, low_ratio: Column) -> Column:
     """Names of the limits that a dictionary update breaks."""
     tests = [(added > 400, "added_aliases"), (media_rate < 0.85, "media_success_rate"), (low_ratio > 0.35, "low_ratio")]
@@ -120,18 +148,21 @@ def anomalies(added: Column, media_rate: Column, low_ratio: Column) -> Column:
 
 
 def exact_decimal(c: Column) -> Column:
-    """Canonical decimal text of the exact binary value: ten places, half-even, no trailing zeros."""
-    from decimal import ROUND_HALF_EVEN, Decimal
+    """Canonical decimal text of the exact binary value: ten places, half-even, no trailing zeros; null unless finite."""
+    from decimal import ROUND_HALF_EVEN, Context, Decimal
+
+    context = Context(prec=400, rounding=ROUND_HALF_EVEN)
 
-    def text(x: float) -> str:
-        d = Decimal(x).quantize(Decimal("0.0000000001"), rounding=ROUND_HALF_EVEN)
-        s = format(d, "f").rstrip("0").rstrip(".")
+    def text(x: float) -> str | None:
+        if x is None or x != x or abs(x) == float("inf"):
+            return None
+        s = format(Decimal(x).quantize(Decimal("0.0000000001"), context=context), "f").rstrip("0").rstrip(".")
         return "0" if s in ("-0", "") else s
 
     def run(s: pd.Series) -> pd.Series:
-        return s.map(text, na_action="ignore")
+        return pd.Series([text(x) for x in s], dtype=object)
 
-    return pandas_udf(run, "string")(c)
+    return pandas_udf(run, "string")(c.cast("double"))
 
 
 def digest_rows(df: DataFrame, code: str, metrics: dict[str, str]) -> DataFrame:

@@ -210,7 +210,22 @@ def all_sql() -> dict[str, str]:
         "sweep_plan": "SELECT o_custkey AS generation, CASE WHEN bool_and(o_orderstatus = 'F') THEN 'orphan_only' WHEN bool_or(o_orderstatus = 'F') THEN 'mixed' ELSE 'no_orphan' END AS plan FROM orders GROUP BY 1",
         "history_quality": "WITH u AS (SELECT o_custkey AS generation, CASE WHEN o_orderstatus = 'F' THEN 'c' WHEN o_orderkey % 11 = 0 THEN 'b' ELSE 'o' END AS s FROM orders) SELECT generation, CASE WHEN bool_or(s = 'b') AND bool_or(s = 'c') THEN 'partial_backfill' WHEN bool_or(s = 'b') THEN 'blocked_backfill' WHEN bool_and(s = 'c') THEN 'full' ELSE 'partial' END AS quality FROM u GROUP BY 1",
         "pair_pointers": "SELECT CAST(o_orderdate AS DATE) AS date, last(o_orderkey ORDER BY o_orderdate, o_orderkey) FILTER (o_orderstatus = 'F') AS topix, last(o_orderkey ORDER BY o_orderdate, o_orderkey) FILTER (o_orderstatus <> 'F') AS nikkei, count(*) FILTER (o_orderstatus = 'F') > 0 AND count(*) FILTER (o_orderstatus <> 'F') > 0 AS complete FROM orders GROUP BY 1",
-        "merge_aliases": "WITH o AS (SELECT o_custkey AS code, substr(o_orderpriority, 3, 20) AS k, o_orderkey AS ordinal, o_orderkey % 3 = 0 AS low, o_orderstatus AS st FROM orders), x AS (SELECT DISTINCT code, k FROM o WHERE st = 'P'), n AS (SELECT *, row_number() OVER (PARTITION BY code, k ORDER BY ordinal) AS i FROM o WHERE st <> 'P') SELECT n.code, ordinal, CASE WHEN x.code IS NOT NULL OR i > 1 THEN 'skip' WHEN low THEN 'review' ELSE 'add' END AS action FROM n LEFT JOIN x ON x.code = n.code AND x.k = n.k",
+        "merge_aliases": "WITH o AS (SELECT o_custkey AS code, substr(o_orderpriority, 3, 20) AS k, o_orderkey AS ordinal, o_orderpriority AS alias, o_orderkey % 5 AS seen, o_orderkey % 3 AS conf, o_orderstatus AS st FROM orders), x AS (SELECT DISTINCT code, k FROM o WHERE st = 'P'), n AS (SELECT *, row_number() OVER (PARTITION BY code, k ORDER BY conf DESC, seen DESC, lower(alias), ordinal) AS i, max(conf) OVER (PARTITION BY code, k) AS best FROM o WHERE st <> 'P') SELECT n.code, ordinal, CASE WHEN x.code IS NOT NULL THEN 'skip' WHEN conf = 0 THEN CASE WHEN best > 0 THEN 'skip' ELSE 'review' END WHEN i = 1 THEN 'add' ELSE 'skip' END AS action FROM n LEFT JOIN x ON x.code = n.code AND x.k = n.k",
+        "stale_generations": "SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F' AND (o_orderkey % 4 = 0 OR o_orderdate < TIMESTAMP '1996-06-01')",
+        "high_water": "SELECT o_custkey, greatest(coalesce(max(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'F'), DATE '1996-05-31'), DATE '1996-06-01') AS mark FROM orders GROUP BY 1",
+        "favourite_filter": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')",
+        "code_contains": "SELECT CAST(s_suppkey AS VARCHAR) AS code FROM supplier WHERE contains(CAST(s_suppkey AS VARCHAR), '1')",
+        "projected_rows": "SELECT CASE WHEN c_custkey < 1000 THEN lpad(CAST(c_custkey AS VARCHAR), 4, '0') ELSE CAST(c_custkey AS VARCHAR) END AS code, CASE WHEN c_custkey % 3 <> 0 THEN round(c_acctbal / 7, 6) END AS rs31, CAST(NULL AS DOUBLE) AS z, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name FROM customer",
+        "int_metric": "SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 AND p_partkey % 2 = 0 THEN CAST(floor(p_retailprice) AS BIGINT) END AS value, p_partkey % 5 <> 0 AND p_partkey % 2 = 1 AS missing, p_partkey % 5 = 0 AS non_finite FROM part",
+        "seed_outcome": "SELECT c_custkey AS o_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1996-03-01') THEN 'resolved_noop' ELSE 'write' END AS outcome FROM customer",
+        "same_keys": "SELECT c_custkey AS k, 'left' AS only_in FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'right' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)",
+        "staged_rows": "SELECT o_custkey AS code, last(o_orderkey ORDER BY year(o_orderdate) * 10 + CAST(left(o_orderpriority, 1) AS INT), o_orderkey) AS ord FROM orders GROUP BY 1",
+        "collect_candidates": "WITH a AS (SELECT p_size % 7 AS code, lower(p_brand) || p_size AS k, CASE WHEN p_partkey % 3 = 0 THEN 'tdnet' ELSE 'kabutan' END AS src FROM part), g AS (SELECT code, k, string_agg(DISTINCT src, ',' ORDER BY src) AS sources, count(*) AS n FROM a GROUP BY 1, 2) SELECT CAST(code AS BIGINT) AS code, k AS dedup_key, sources, n + CASE WHEN code = 1 AND k = 'brand#111' THEN 5 ELSE 0 END AS seen_count, CASE WHEN (code = 1 AND k = 'brand#111') OR contains(sources, ',') THEN 'high' ELSE 'medium' END AS confidence, CASE WHEN code = 1 AND k = 'brand#111' THEN 'exists_in_base' ELSE 'new_candidate' END AS reason FROM g",
+        "close_rs75": f"WITH {ASOF}, rs AS (SELECT code, bench, date, {rs(75)} FROM asof_) SELECT code, bench, {r6('rs75')} FROM {at_run('rs', 'code, bench')}",
+        "lookback_eligible": f"WITH {AXIS} SELECT code, bench, count(stock_close) FILTER (date <= DATE '1995-06-30') >= 105 AND count(bench_close) FILTER (date <= DATE '1995-06-30') >= 105 AS eligible FROM axis GROUP BY 1, 2",
+        "require_session": f"WITH {BENCH} SELECT bench, bool_or(date = {RUN}) AS has_bar FROM bench GROUP BY 1",
+        "axis_metrics": f"WITH {ASOF}, ax AS (SELECT DISTINCT date FROM bench WHERE date <= {RUN} ORDER BY date DESC LIMIT 60), rs AS (SELECT code, bench, date, {rs(31, 63, 126, 252)} FROM asof_) SELECT code, bench, date, {r6('rs31', 'rs63', 'rs126', 'rs252')} FROM rs WHERE date IN (SELECT date FROM ax)",
+        "patched_key": "SELECT CAST(max(o_orderdate) AS DATE) AS d, 'universe-patched-2-HIGH-' || strftime(max(o_orderdate), '%Y-%m-%d') AS key FROM orders WHERE o_orderpriority = '2-HIGH' AND CAST(o_orderdate AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-03-20'",
         "price_text": f"WITH {label_rows()}, t AS (SELECT *, string_split(candle_labels, ',') AS p FROM lab) SELECT code, date, {PRICE_TEXT} AS price_text FROM t",
         "links": "SELECT n_name AS code, 'https://kabutan.jp/stock/?code=' || n_name AS link_kabutan, 'https://kabutan.jp/stock/chart?code=' || n_name AS link_kabutan_chart, 'https://kabutan.jp/stock/news?code=' || n_name AS link_kabutan_news, 'https://minkabu.jp/stock/' || n_name AS link_minkabu, 'https://www.buffett-code.com/company/' || n_name AS link_buffett, 'https://finance.yahoo.co.jp/quote/' || n_name || '.T' AS link_yahoo FROM nation",
         "history_eligibility": "SELECT o_custkey, CASE WHEN o_custkey < 10 THEN 'expected_short_history' WHEN count(*) >= 10 THEN 'eligible' ELSE 'insufficient' END AS eligibility FROM orders GROUP BY 1",

@@ -416,12 +416,93 @@ def q_pair_pointers(spark, sf):
 
 
 def q_merge_aliases(spark, sf):
-    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("code"), F.substring("o_orderpriority", 3, 20).alias("dedup_key"), F.col("o_orderkey").alias("ordinal"), F.when(F.col("o_orderkey") % 3 == 0, "low").otherwise("high").alias("confidence"), "o_orderstatus")
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("code"), F.substring("o_orderpriority", 3, 20).alias("dedup_key"), F.col("o_orderkey").alias("ordinal"), F.col("o_orderpriority").alias("alias"), (F.col("o_orderkey") % 5).alias("seen_count"), F.when(F.col("o_orderkey") % 3 == 0, "low").when(F.col("o_orderkey") % 3 == 1, "medium").otherwise("high").alias("confidence"), "o_orderstatus")
     old = o.where("o_orderstatus = 'P'").select("code", "dedup_key")
     new = o.where("o_orderstatus <> 'P'").drop("o_orderstatus")
     return ops.merge_aliases(old, new).select("code", "ordinal", "action")
 
 
+def q_stale_generations(spark, sf):
+    g = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "committed").otherwise("pending").alias("status"), F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderdate").cast("timestamp")).alias("heartbeat_at"))
+    return ops.stale_generations(g, "1996-06-01 00:00:00").select("o_orderkey")
+
+
+def q_high_water(spark, sf):
+    o = table(spark, sf, "orders").select("o_custkey", F.when(F.col("o_orderstatus") == "F", day("o_orderdate")).alias("last"), F.lit("1996-06-01").cast("date").alias("day"))
+    return ops.high_water(o, "o_custkey", "last", "day")
+
+
+def q_favourite_filter(spark, sf):
+    lists = table(spark, sf, "orders").select(F.col("o_custkey").alias("code"), F.col("o_orderpriority").alias("list_id"))
+    c = table(spark, sf, "customer").select("c_custkey")
+    return grid.favourite_filter(c, lists, "c_custkey", ["1-URGENT"], True)
+
+
+def q_code_contains(spark, sf):
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("code"))
+    return grid.apply_filters(s, [("code", "contains", "１"), ("code", "contains", " ")])
+
+
+def q_projected_rows(spark, sf):
+    c = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.when(F.col("c_custkey") % 2 == 0, "1998-06-01").otherwise("1998-05-29").alias("date"), F.when(F.col("c_custkey") % 3 == 0, "n/a").otherwise((F.col("c_acctbal") / 7).cast("string")).alias("rs31_topix"), F.lit(" ").alias("z"), F.col("c_name").alias("name"))
+    return derived.project_rows(c, "topix", ["rs31"], ["z"], "1998-06-01", ["name"])
+
+
+def q_int_metric(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") % 5 == 0, F.lit(float("inf"))).when(F.col("p_partkey") % 2 == 0, F.floor("p_retailprice").cast("double")).otherwise(F.col("p_partkey") + 0.5).alias("x"))
+    value, missing, odd = derived.classify_int(F.col("x"), "double")
+    return p.select("p_partkey", value.alias("value"), missing.alias("missing"), odd.alias("non_finite"))
+
+
+def q_seed_outcome(spark, sf):
+    o = table(spark, sf, "orders").withColumn("d", day("o_orderdate"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return derived.seed_outcome(c, o, "o_custkey", "d", "1996-03-01")
+
+
+def q_same_keys(spark, sf):
+    return derived.same_keys(table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf, "orders").select(F.col("o_custkey").alias("k")), "k")
+
+
+def q_staged_rows(spark, sf):
+    o = table(spark, sf, "orders").groupBy("o_orderpriority", F.year("o_orderdate").alias("batch")).agg(F.to_json(F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("ord"), F.col("o_custkey").alias("code"), F.col("o_totalprice").alias("price"))))).alias("payload"))
+    return derived.staged_rows(o.withColumn("ordinal", F.col("batch") * 10 + F.substring("o_orderpriority", 1, 1).cast("int")), "payload", "ord:bigint,code:bigint,price:double", ["code"], "ordinal").select("code", "ord")
+
+
+def q_collect_candidates(spark, sf):
+    p = table(spark, sf, "part").select((F.col("p_size") % 7).cast("long").alias("code"), F.concat(F.col("p_brand"), F.when(F.col("p_partkey") % 2 == 0, " ").otherwise("&amp;"), F.col("p_size").cast("string")).alias("alias"), F.when(F.col("p_partkey") % 3 == 0, "tdnet").otherwise("kabutan").alias("source"), F.lit(1).cast("long").alias("n"), F.col("p_partkey").alias("ordinal"))
+    known = spark.createDataFrame([(1, "brand#111")], "code long, dedup_key string")
+    state = spark.createDataFrame([(1, "brand#111", 5)], "code long, dedup_key string, seen_count long")
+    return rules.collect_candidates(p, known, state).select("code", "dedup_key", F.array_join("sources", ",").alias("sources"), "seen_count", "confidence", "reason")
+
+
+def q_close_rs75(spark, sf):
+    rs = indicators.relative_strength(calendar.with_asof(axis_of(spark, sf)), (75,))
+    return calendar.at_run_date(rs, RUN_DATE, ["code", "bench"]).select("code", "bench", R6("rs75"))
+
+
+def q_lookback_eligible(spark, sf):
+    return indicators.lookback_eligible(axis_of(spark, sf), "1995-06-30")
+
+
+def q_require_session(spark, sf):
+    return calendar.require_session(tables.benches(spark, sf), RUN_DATE)
+
+
+def q_axis_metrics(spark, sf):
+    """Relative strength of every window on each of the last 60 sessions, in one pass."""
+    ref = tables.benches(spark, sf)
+    rs = indicators.relative_strength(calendar.with_asof(axis_of(spark, sf)))
+    return calendar.trailing_axis(rs, tables.sessions(ref, RUN_DATE, 60)).select("code", "bench", "date", *[R6(f"rs{t}") for t in indicators.RS_WINDOWS])
+
+
+def q_patched_key(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("universe-patched-"), "o_orderpriority", F.lit("-"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("key"))
+    tag, date = text.patched_key(F.col("key"))
+    rows = o.select("o_orderkey", "key", tag.alias("tag"), date.alias("d")).where((F.col("tag") == "2-HIGH") & F.col("d").between(F.lit("1996-03-01").cast("date"), F.lit("1996-03-20").cast("date")))
+    return rows.agg(F.max(F.struct("d", "key")).alias("r")).select("r.d", "r.key")
+
+
 def q_html_items(spark, sf):
     rows = html.table_rows(table(spark, sf, "pages"), "page_id", "html", row="nav", cells=("li",))
     return rows.select("page_id", F.size("cells").cast("long").alias("n"))
@@ -481,8 +562,8 @@ def q_coverage_gate(spark, sf):
 
 
 def q_alias_rules(spark, sf):
-    p = table(spark, sf, "part").withColumn("alias", F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("東証P "), "p_name")).when(F.col("p_partkey") % 3 == 1, F.concat("p_name", F.lit(" quote"))).otherwise(F.substring("p_brand", 1, 4)))
-    return p.select("p_partkey", rules.alias_key(F.col("alias")).alias("k"), rules.strip_market_prefix(F.col("alias")).alias("stripped"), rules.alias_confidence(F.lit(1), F.col("alias"), F.lit(False)).alias("confidence"))
+    p = table(spark, sf, "part").withColumn("alias", F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("東証P "), "p_name")).when(F.col("p_partkey") % 3 == 1, F.concat("p_name", F.lit(" quote"))).otherwise(F.substring("p_brand", 1, 4))).withColumn("plain", rules.plain_alias(F.col("alias")))
+    return p.select("p_partkey", rules.alias_key(F.col("plain")).alias("k"), rules.strip_market_prefix(F.col("plain")).alias("stripped"), rules.alias_confidence(F.lit(1), F.col("plain"), F.lit(False)).alias("confidence"))
 
 
 def q_logical_digest(spark, sf):
