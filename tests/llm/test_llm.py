@@ -235,6 +235,12 @@ def test_trust_spreads_as_in_numpy(spark):
         assert got[h] == pytest.approx((t[i], d[i]))
 
 
+def test_a_link_is_read_from_its_own_start(spark):
+    html = "".join(f'<a href="{h}">' for h in ("/go?u=http://evil.com/", "mailto:a@b.com", "#x", "//c.org/1", "HTTPS://D.org?x", "page.html", "page.html", "javascript:f('http://evil.com')"))
+    df = spark.createDataFrame([(1, "http://a.net/p", html), (2, None, html), (3, "http://a.net/q", None)], "page_id long, url string, html string")
+    assert {(r["src"], r["dst"]): r["n"] for r in urlfilter.host_edges(df).collect()} == {("a.net", "a.net"): 3.0, ("a.net", "c.org"): 1.0, ("a.net", "d.org"): 1.0}
+
+
 def test_distrust_reaches_any_distance(spark):
     n = 20  # each host links to the next; the last is blocked
     rows = [(i, f"http://h{i}.xyz/", f'<a href="http://h{i + 1}.xyz/">') for i in range(n)] + [(n, f"http://h{n}.xyz/en/1", "")]

@@ -1,7 +1,8 @@
 """URL verdicts: rules first, then trust and distrust spread over host links (native).
 
 Host links come from ``href`` values of each page, counted per pair of hosts
-(relative links point to the page's own host).  Trust starts at hosts whose
+(relative links point to the page's own host; fragments and other schemes such
+as mailto are no links).  Trust starts at hosts whose
 pages the allow rules cover and follows links (personalised PageRank); distrust
 starts at hosts whose pages the block rules cover and follows links backwards.
 A page no rule covers gets its host's verdict: block when the host's share of
@@ -58,14 +59,13 @@ def matched_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
 def host_edges(pages: DataFrame) -> DataFrame:
     """``src, dst, n``: links between hosts."""
     src = host_of(F.col("url"))
-    links = F.transform(
-        F.coalesce(F.regexp_extract_all("html", F.lit(HREF), F.lit(1)), F.array().cast("array<string>")),
-        lambda x: F.when(x.contains("://"), host_of(x)).when(x.startswith("//"), host_of(F.concat(F.lit("http:"), x))).otherwise(F.lit(None)),
-    )
-    # One row per page and linked host, counted within the page.
-    per_page = pages.select(src.alias("src"), F.transform(links, lambda h: F.coalesce(h, src)).alias("to"))
-    per_page = per_page.select("src", F.explode(F.transform(F.array_distinct("to"), lambda h: F.struct(h.alias("dst"), F.size(F.filter(F.col("to"), lambda y: y == h)).alias("n")))).alias("e"))
-    return per_page.select("src", F.col("e")["dst"].alias("dst"), F.col("e")["n"].alias("n")).where("src <> '' and dst <> ''").groupBy("src", "dst").agg(F.sum("n").cast("double").alias("n"))
+    found = F.coalesce(F.regexp_extract_all("html", F.lit(HREF), F.lit(1)), F.array().cast("array<string>"))
+    # A link's own start decides: scheme and host, host alone, another scheme or a fragment (no link), else the page's own host.
+    link = F.col("link")
+    dst = F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), host_of(link)).when(link.startswith("//"), host_of(F.concat(F.lit("http:"), link)))
+    dst = dst.when(link.startswith("#") | link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit("")).otherwise(F.col("src"))
+    rows = pages.select(src.alias("src"), F.explode(found).alias("link")).select("src", dst.alias("dst"))
+    return rows.where("src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).cast("double").alias("n"))
 
 
 def host_scores(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
