@@ -37,13 +37,35 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     groups = ngramjoin.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"), width=5, num=80, den=100)
     groups = groups.groupBy(F.col("doc_id").alias("_key")).agg(F.max("component_id").alias("c"), F.max("n_shingles").alias("k"), F.count(F.lit(1)).alias("n"))
     ids = keyed.groupBy("_key").agg(F.min("doc_id").alias("id"))
+    groups = materialize(groups.where("k > 0").join(ids, "_key"), "near-groups")
     first = F.struct(F.col("id").isNull(), "id", "_key")
-    kept = groups.join(ids, "_key").groupBy("c").agg(F.min_by(F.struct("_key", "k", "n"), first).alias("r"))
-    kept = materialize(kept.select("r._key", ((F.col("r.k") > 0) & (F.col("r.n") > 1)).alias("_repeats")), "near-kept")
-    rows = keyed.join(kept, "_key")
+    shared = groups.groupBy("c").agg(F.min_by(F.struct("_key", "n"), first).alias("r"), F.sum("n").alias("rows")).where("rows > 1")
+    # The keys of groups of several rows; a group's least key is its name c.
+    grouped = groups.where("c <> _key").select("_key").unionByName(shared.select(F.col("c").alias("_key")))
+    stays = shared.select("r._key", (F.col("r.n") > 1).alias("_repeats"))
+    judged = grouped.join(stays, "_key", "left").select("_key", F.when(F.col("_repeats").isNull(), "goes").when(F.col("_repeats"), "once").otherwise("stays").alias("_fate"))
+    judged = materialize(judged, "near-judged")
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    once = rows.where("_repeats").groupBy("_key", "doc_id", "text").agg(F.min(F.struct(F.lit(0), *others)).alias("r")).select("doc_id", "text", *[F.col("r")[c].alias(c) for c in others])
-    return rows.where("not _repeats").select(*docs.columns).unionByName(once).select(*docs.columns)
+    free, met = split_by_keys(keyed, judged, "_key")
+    met = met.join(judged, "_key", "left")
+    once = met.where("_fate = 'once'").groupBy("_key", "doc_id", "text").agg(F.min(F.struct(F.lit(0), *others)).alias("r")).select("doc_id", "text", *[F.col("r")[c].alias(c) for c in others])
+    straight = met.where("_fate is null or _fate = 'stays'")
+    return free.select(*docs.columns).unionByName(straight.select(*docs.columns)).unionByName(once.select(*docs.columns))
+
+
+def split_by_keys(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose key is surely not among ``keys``, and the others, some of them by chance.
+
+    Decided without a shuffle, by a bitmap of ``1 << 26`` bits in words of 64:
+    the broadcast side has at most ``1 << 20`` rows of two longs, however many
+    keys there are.
+    """
+    bit = F.pmod(F.xxhash64(F.lit(9), F.col(key)), F.lit(1 << 26))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
+    words = keys.select(F.shiftright(bit, 6).alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_mask"))
+    marked = rows.withColumn("_word", F.shiftright(bit, 6)).join(F.broadcast(words), "_word", "left")
+    hit = F.coalesce(F.col("_mask").bitwiseAND(mask) != 0, F.lit(False))
+    return marked.where(~hit).drop("_word", "_mask"), marked.where(hit).drop("_word", "_mask")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
