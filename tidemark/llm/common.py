@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,10 +75,19 @@ def hold(key: tuple, make: Callable[[], object]):
     """``make()``, kept while the worker serves the same operator; what another one kept is dropped first."""
     if key not in _HELD:
         _HELD.clear()
+        give_back()
         _HELD[key] = make()
     return _HELD[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker process stays idle beside later stages, which need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def row_chunks(batches: Iterator, max_chars: int = 8_000_000) -> Iterator:
     """Cut pandas batches with a ``text`` column so that a piece holds bounded text."""
     for pdf in batches:
@@ -89,3 +100,5 @@ def row_chunks(batches: Iterator, max_chars: int = 8_000_000) -> Iterator:
             size += n
         if lo < len(pdf):
             yield pdf.iloc[lo:]
+        pdf = None
+    give_back()
