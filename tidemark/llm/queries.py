@@ -77,11 +77,23 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.codes import compress
+
+    return compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.convtrie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"), base=100, heads=6)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit() and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    """SQL of two queries; the others hold trained models, tokenizers, sketches or seeded orders and are tested against brute force."""
-    return {"op5_ngram": sql.NGRAM_JOIN, "op10_topk": sql.TOP_K}
+    """SQL of the queries that it can express; the others hold trained models, tokenizers, sketches or seeded orders and are tested against brute force."""
+    return {"op5_ngram": sql.NGRAM_JOIN, "op10_topk": sql.TOP_K, "op11_codes": sql.vector_codes(), "op12_trie": sql.PREFIX_TRIE}
