@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import sql
 from tidemark.llm.common import table
@@ -89,6 +90,13 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"), base=100, heads=6)
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.substrings import without_repeats
+
+    found = without_repeats(table(spark, sf_dir, "documents"), width=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit() and callable(f)}
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
@@ -96,4 +104,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def llm_oracle_sql() -> dict[str, str]:
     """SQL of the queries that it can express; the others hold trained models, tokenizers, sketches or seeded orders and are tested against brute force."""
-    return {"op5_ngram": sql.NGRAM_JOIN, "op10_topk": sql.TOP_K, "op11_codes": sql.vector_codes(), "op12_trie": sql.PREFIX_TRIE}
+    return {"op5_ngram": sql.NGRAM_JOIN, "op10_topk": sql.TOP_K, "op11_codes": sql.vector_codes(), "op12_trie": sql.PREFIX_TRIE, "op13_repeats": sql.REPEATS}

@@ -88,3 +88,17 @@ book AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, k, i)) AS
 coded AS (SELECT vec_id, string_agg(format('{{:02x}}', m.k), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{rounds + 1} GROUP BY vec_id)
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256, label FROM coded JOIN v USING (vec_id), book
 """
+
+REPEATS = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS s FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 33)) AS i)),
+again AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY s) > 1),
+word AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+marked AS (
+  SELECT word.doc_id, word.i, word.word, max(CASE WHEN again.i IS NULL THEN 0 ELSE 1 END)
+    OVER (PARTITION BY word.doc_id ORDER BY word.i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM word LEFT JOIN again ON again.doc_id = word.doc_id AND again.i = word.i),
+kept AS (SELECT doc_id, sum(gone) AS gone, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS text FROM marked GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words, CAST(coalesce(kept.gone, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
