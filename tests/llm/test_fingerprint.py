@@ -1,6 +1,7 @@
 """Fingerprints against a plain-Python twin of syncmers, sketch and likeness."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ pytest.importorskip("tidemark.llm")
 import xxhash  # noqa: E402
 
 from tidemark.llm import fingerprint  # noqa: E402
-from tidemark.llm.fingerprint import DENSE, LEAST, SLACK, TOP, K, S  # noqa: E402
+from tidemark.llm.fingerprint import SLACK, TOP, K, S  # noqa: E402
 
 M64 = (1 << 64) - 1
 
@@ -29,36 +30,32 @@ def twin_anchors(text):
     for i in range(len(text) - K + 1):
         inner = s[i : i + K - S + 1]
         if min(inner) in (inner[0], inner[-1]):
-            out.append((spark_hash(inner[0], inner[S], inner[-1]) & TOP, i))
+            out.append((spark_hash(*inner[::S]) & TOP, i))
     return out
 
 
-def limit(n):
-    share = max(LEAST, DENSE / n)
-    return TOP if share >= 1 else int(share * 2.0**62) * 2
-
-
 def twin(text):
+    """All anchors: each hash once, with its first place and its count."""
     if not text:
         return []
     found = twin_anchors(text)
-    return [a for a in found if a[0] <= limit(len(text))] if found else [(spark_hash(text) & TOP, 0)]
+    times, first = Counter(h for h, _ in found), {h: p for h, p in reversed(found)}
+    return sorted((h, p, times[h]) for h, p in first.items()) or [(spark_hash(text) & TOP, 0, 1)]
 
 
-def twin_likeness(a, b, lim):
+def twin_likeness(a, b):
     if not a or not b:
         return float(not a and not b)
-    first = lambda xs: {h: p for h, p in reversed([x for x in xs if x[0] <= lim])}
-    x, y = first(a), first(b)
-    shifts = sorted(y[h] - x[h] for h in x if h in y)
-    if not shifts:
+    x, y = {h: (p, n) for h, p, n in a}, {h: (p, n) for h, p, n in b}
+    met = sorted((y[h][0] - x[h][0], min(x[h][1], y[h][1])) for h in x if h in y)
+    if not met:
         return 0.0
-    n = sum(abs(d - shifts[len(shifts) // 2]) <= SLACK for d in shifts)
-    return n / (len(x) + len(y) - n)
+    mid, common = met[len(met) // 2][0], sum(m for _, m in met)
+    return sum(m if abs(s - mid) <= SLACK else m / 2 for s, m in met) / (sum(n for _, _, n in (*a, *b)) - common)
 
 
 def as_text(a):
-    return ",".join(f"{h:016x}:{p:x}" for h, p in a)
+    return ",".join(f"{h:x}:{p:x}" + (f"x{n}" if n > 1 else "") for h, p, n in a)
 
 
 def texts():
@@ -80,15 +77,39 @@ def test_equals_plain_python(spark):
         assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert r["fingerprint"] == as_text(twin(t)), i
         assert r["edited_fingerprint"] == as_text(twin(edited)), i
-        lims = [min(limit(max(len(t), 1)), limit(max(len(x), 1))) for x in (edited, nxt)]
-        assert r["near_edited"] == pytest.approx(twin_likeness(twin(t), twin(edited), lims[0])), i
-        assert r["near_next"] == pytest.approx(twin_likeness(twin(t), twin(nxt), lims[1])), i
+        assert r["near_edited"] == pytest.approx(twin_likeness(twin(t), twin(edited))), i
+        assert r["near_next"] == pytest.approx(twin_likeness(twin(t), twin(nxt))), i
+
+
+@pytest.mark.parametrize("unit", [lambda c: c * 10_000, lambda c: (c + "xyz ") * 5000, lambda c: c * 600, lambda c: f"only {c} of these words " * 40])
+def test_repetitive_texts_are_alike_by_common_anchors_alone(spark, unit):
+    rows = [(i, unit(c)) for i, c in enumerate("abcdefgh")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in fingerprint.fingerprint(df).collect():
+        assert r["fingerprint"] and r["near_next"] == 0.0 and 0.2 < r["near_edited"] < 1.0, r
+
+
+def test_half_of_a_text_in_common(spark):
+    r = np.random.default_rng(1)
+    text = lambda n: " ".join("".join(r.choice(list("abcdefghij"), 5)) for _ in range(n))
+    df = spark.createDataFrame([(i, text(n)) for i, n in enumerate((12, 40, 90, 300, 3000, 12, 40))], "doc_id long, text string")
+    for row in fingerprint.fingerprint(df).collect():
+        assert row["near_edited"] > 0.05 and row["near_next"] == 0.0, row["doc_id"]
+
+
+def test_an_anchor_in_every_shared_run():
+    r = np.random.default_rng(4)
+    text = lambda n: "".join(r.choice(list("abcdefghij "), n))
+    for n in (2 * K - S - 1, 50, 400):
+        run = text(n)
+        a, b = text(900) + run + text(700), text(5) + run + text(3000)
+        assert {h for h, _, _ in twin(a)} & {h for h, _, _ in twin(b)}
 
 
 def test_one_insertion_keeps_the_other_anchors():
     khmer, more = texts()[9:11]
     a, b = {h for h, _ in twin_anchors(khmer)}, {h for h, _ in twin_anchors(more)}
-    assert len(a - b) <= 2 * K and len(a & b) > 500
+    assert len(a - b) <= 2 * K and len(a & b) > 0.9 * len(khmer) * 2 / (K - S + 1)  # closed syncmers are 2 of so many k-mers
 
 
 def test_a_long_text_keeps_a_growing_sketch():

@@ -7,15 +7,16 @@ only anchors within ``K`` characters of it, in spaced and unspaced scripts
 alike, and every run of ``2 * K - S - 1`` characters that two texts share
 gives at least one common anchor.
 
-A fingerprint lists its anchors (63-bit hash and place) in text order.  Texts
-of up to ``DENSE`` characters keep every anchor; of longer ones those whose
-hash is below a share ``DENSE / n_chars`` of the hash range are kept, but never
-less than a share ``LEAST`` of all, so the sketch grows with the text and its
-threshold follows from the length alone.
+A fingerprint lists every distinct anchor (63-bit hash) with its first place
+and its number of occurrences, by hash.  Nothing else decides which: neither
+the length of the text nor its other anchors.  So texts that share a run of
+that length have an anchor in common, and a phrase repeated a thousand times
+is a few entries that count a thousand.
 
-Likeness of two fingerprints: among hashes that both thresholds cover, the
-share (of the union of distinct hashes) found in both at places that agree
-with the median shift to within ``SLACK`` characters.
+Likeness of two fingerprints: of all occurrences (the union of both
+multisets) the share found in both; those of anchors whose first places do
+not agree with the median shift to within ``SLACK`` characters (a phrase that
+moved) count one half.  Without a common anchor it is 0.0.
 
 Nulls count as empty.  A text without an anchor (always, below ``K``
 characters) has one, the whole text; an empty text has an empty fingerprint,
@@ -35,13 +36,13 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.common import only
 
-K, S = 12, 4
-SPAN = K - S + 1  # inner substrings of a k-mer; the sliding minimum below is written for 9
-DENSE, LEAST, SLACK = 512, 1 / 16, 48
+K, S = 20, 4
+SPAN = K - S + 1  # inner substrings of a k-mer; the sliding minimum below is written for 17
+SLACK = 48
 TOP = (1 << 63) - 1
 #: Documents a bucket of neighbouring ids holds at most about; more than this many buckets are never made.
 BUCKET_ROWS, MOST_BUCKETS = 2_000, 20_000
-ANCHORS = "array<struct<h:bigint,p:int>>"
+COUNTED = "array<struct<h:bigint,p:int,n:int>>"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -55,52 +56,50 @@ def anchors(text: Column) -> Column:
     hashes = F.transform(grams, lambda g: F.xxhash64(g))
     lower = lambda a, by: F.zip_with(a, F.slice(a, F.lit(by + 1), F.greatest(F.size(a) - by, F.lit(0))), lambda x, y: F.least(x, y))
 
-    def closed(s: Column, least8: Column) -> Column:
-        # ``least8`` covers places i .. i + 7 of a k-mer, so it is at most the first.
-        kmer = lambda x, i: F.struct(F.xxhash64(x, F.get(s, i + S), F.get(s, i + (SPAN - 1))).bitwiseAND(F.lit(TOP)).alias("h"), i.cast("int").alias("p"))
+    def closed(s: Column, least16: Column) -> Column:
+        # An anchor's hash covers its whole k-mer. ``least16`` covers places i .. i + 15 of a k-mer, so it is at most the first.
+        kmer = lambda x, i: F.struct(F.xxhash64(x, *[F.get(s, i + j) for j in range(S, K, S)]).bitwiseAND(F.lit(TOP)).alias("h"), i.cast("int").alias("p"))
         firsts = F.slice(s, F.lit(1), F.greatest(F.size(s) - (SPAN - 1), F.lit(0)))
-        return F.array_compact(F.transform(firsts, lambda x, i: F.when(F.least(x, F.get(s, i + (SPAN - 1))) <= F.get(least8, i), kmer(x, i))))
+        return F.array_compact(F.transform(firsts, lambda x, i: F.when(F.least(x, F.get(s, i + (SPAN - 1))) <= F.get(least16, i), kmer(x, i))))
 
-    return let(hashes, lambda s: let(lower(lower(lower(s, 1), 2), 4), lambda least8: closed(s, least8)))
+    return let(hashes, lambda s: let(lower(lower(lower(lower(s, 1), 2), 4), 8), lambda least16: closed(s, least16)))
 
 
-def threshold(n_chars: Column) -> Column:
-    """Largest hash that a text of this length keeps."""
-    share = F.greatest(F.lit(LEAST), F.lit(float(DENSE)) / F.greatest(n_chars, F.lit(1)))
-    return F.when(share >= 1, F.lit(TOP)).otherwise((share * float(1 << 62)).cast("long") * 2)
-
-
-def kept(found: Column, text: Column, n_chars: Column) -> Column:
-    """The fingerprint out of all anchors: thresholded; without any, the whole text."""
-    whole = F.array(F.struct(F.xxhash64(text).bitwiseAND(F.lit(TOP)).alias("h"), F.lit(0).alias("p")))
-    limit = threshold(n_chars)
-    return F.when(n_chars == 0, F.array().cast(ANCHORS)).when(F.size(found) == 0, whole).otherwise(let(limit, lambda t: F.filter(found, lambda x: x["h"] <= t)))
+def distinct(found: Column, text: Column, n_chars: Column) -> Column:
+    """The fingerprint out of all anchors: each hash once, with first place and count, by hash; without any anchor, the whole text."""
+    whole = F.array(F.struct(F.xxhash64(text).bitwiseAND(F.lit(TOP)).alias("h"), F.lit(0).alias("p"), F.lit(1).alias("n")))
+    starts = lambda c: F.array_compact(F.transform(c, lambda x, i: F.when((i == 0) | (F.get(c, i - 1)["h"] != x["h"]), F.struct(x["h"].alias("h"), x["p"].alias("p"), i.alias("i")))))
+    counted = lambda c, f: F.transform(f, lambda x, j: F.struct(x["h"].alias("h"), x["p"].alias("p"), (F.coalesce(F.get(f, j + 1)["i"], F.size(c)) - x["i"]).alias("n")))
+    firsts = let(F.array_sort(found), lambda c: let(starts(c), lambda f: counted(c, f)))
+    return F.when(n_chars == 0, F.array().cast(COUNTED)).when(F.size(found) == 0, whole).otherwise(firsts)
 
 
 def as_text(a: Column) -> Column:
-    """``hash:position`` pairs in hexadecimal, comma-joined."""
-    return F.lower(F.array_join(F.transform(a, lambda x: F.concat(F.lpad(F.hex(x["h"]), 16, "0"), F.lit(":"), F.hex(x["p"]))), ","))
+    """``hash:position`` in hexadecimal, and ``xcount`` where it is not 1, comma-joined."""
+    times = lambda x: F.when(x["n"] > 1, F.concat(F.lit("x"), x["n"].cast("string"))).otherwise("")
+    return F.lower(F.array_join(F.transform(a, lambda x: F.concat(F.hex(x["h"]), F.lit(":"), F.hex(x["p"]), times(x))), ","))
 
 
-def likeness(a: Column, b: Column, limit: Column) -> Column:
-    """Share of distinct hashes up to ``limit`` that two fingerprints have in common at agreeing places (0 to 1).
+def likeness(a: Column, b: Column) -> Column:
+    """Share of occurrences that two fingerprints have in common (0 to 1), those at disagreeing places by half.
 
-    Both are sorted together by hash; a hash in both meets as neighbours (its
-    first places), so the cost is that of one sort.
+    Both are in order of hash, so sorting them together is a merge; a hash in
+    both meets as neighbours.
     """
-    side = lambda x, k, sign: F.transform(F.filter(x, lambda e: e["h"] <= limit), lambda e: F.struct(e["h"].alias("h"), F.lit(k).alias("k"), (e["p"] * sign).alias("p")))
+    side = lambda x, k, sign: F.transform(x, lambda e: F.struct(e["h"].alias("h"), F.lit(k).alias("k"), (e["p"] * sign).alias("p"), e["n"].alias("n")))
+    total = lambda xs, of: F.aggregate(xs, F.lit(0).cast("long"), lambda t, x: t + of(x))
 
     def score(c: Column) -> Column:
-        after = lambda i: F.get(c, i + 1)
-        ends = F.size(F.filter(c, lambda x, i: after(i).isNull() | (after(i)["h"] != x["h"]) | (after(i)["k"] != x["k"])))
-        shifts = F.array_sort(F.array_compact(F.transform(c, lambda x, i: F.when((after(i)["h"] == x["h"]) & (after(i)["k"] > x["k"]), after(i)["p"] + x["p"]))))
+        pair = lambda x, y: F.struct((y["p"] + x["p"]).alias("s"), F.least(x["n"], y["n"]).alias("m"))
+        met = F.array_sort(F.array_compact(F.transform(c, lambda x, i: F.when(F.get(c, i + 1)["h"] == x["h"], pair(x, F.get(c, i + 1))))))
 
         def agreed(d: Column) -> Column:
-            mid = F.get(d, F.floor(F.size(d) / 2).cast("int"))
-            n = F.size(F.filter(d, lambda x: F.abs(x - mid) <= SLACK))
-            return F.when(F.size(d) == 0, F.lit(0.0)).otherwise(n / (ends - n))
+            mid = F.get(d, F.floor(F.size(d) / 2).cast("int"))["s"]
+            twice = total(d, lambda x: F.when(F.abs(x["s"] - mid) <= SLACK, x["m"] * 2).otherwise(x["m"]))
+            share = twice / 2 / (total(c, lambda x: x["n"]) - total(d, lambda x: x["m"]))
+            return F.when(F.size(d) == 0, F.lit(0.0)).otherwise(share)
 
-        return let(shifts, agreed)
+        return let(met, agreed)
 
     both = F.array_sort(F.concat(side(a, 0, -1), side(b, 1, 1)))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(let(both, score))
@@ -174,7 +173,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     either part, plus the few across the joint.
     """
     own = only(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(own, lambda r: r.withColumns({"found": anchors(F.col("text")), "n": F.length("text")}), ["text", "found", "n"])
+    rows = with_next(own, lambda r: r.withColumns({"found": anchors(F.col("text")), "n": F.length("text")}).withColumn("fp", distinct(F.col("found"), F.col("text"), F.col("n"))), ["text", "found", "n", "fp"])
     half = F.floor(F.col("n") / 2).cast("int")
     rows = rows.withColumns({"keep": F.col("n") - half, "take": F.least(half, F.col("next")["n"])})
     text, after = F.col("text"), F.col("next")["text"]
@@ -187,11 +186,9 @@ def fingerprint(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.col("n").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        kept(F.col("found"), text, F.col("n")).alias("fp"),
-        kept(F.col("next")["found"], after, F.col("next")["n"]).alias("next_fp"),
-        kept(F.concat(inside(F.col("found"), F.col("keep")), moved(anchors(joint), from_), moved(inside(F.col("next")["found"], F.col("take")), F.col("keep"))), F.col("edited"), F.col("keep") + F.col("take")).alias("edited_fp"),
-        F.least(threshold(F.col("n")), threshold(F.col("keep") + F.col("take"))).alias("with_edited"),
-        F.least(threshold(F.col("n")), threshold(F.col("next")["n"])).alias("with_next"),
+        "fp",
+        F.col("next")["fp"].alias("next_fp"),
+        distinct(F.concat(inside(F.col("found"), F.col("keep")), moved(anchors(joint), from_), moved(inside(F.col("next")["found"], F.col("take")), F.col("keep"))), F.col("edited"), F.col("keep") + F.col("take")).alias("edited_fp"),
     )
     return rows.select(
         "doc_id",
@@ -199,6 +196,6 @@ def fingerprint(docs: DataFrame) -> DataFrame:
         "edited_sha256",
         as_text(F.col("fp")).alias("fingerprint"),
         as_text(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(F.col("fp"), F.col("edited_fp"), F.col("with_edited")).alias("near_edited"),
-        likeness(F.col("fp"), F.col("next_fp"), F.col("with_next")).alias("near_next"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
     )
