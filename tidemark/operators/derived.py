@@ -84,11 +84,27 @@ def number_or_null(c: Column) -> Column:
     return F.when(~F.isnan(x), F.round(x, 6))
 
 
-def project_rows(df: DataFrame, bench: str, metrics: list[str], scalars: list[str], as_of: str, identity: list[str] | None = None) -> DataFrame:
-    """Grid rows of text columns for one benchmark: ``m_bench`` becomes ``m``; identity columns only where the row is of the as-of day."""
-    same = F.trim("date") == as_of
-    kept = [F.when(same, F.nullif(F.trim(c), F.lit(""))).alias(c) for c in identity or []]
-    return df.select(F.lpad(F.trim("code"), F.greatest(F.length(F.trim("code")), F.lit(4)), F.lit("0")).alias("code"), *[number_or_null(F.col(f"{m}_{bench}")).alias(m) for m in metrics], *[number_or_null(F.col(m)).alias(m) for m in scalars], *kept)
+def project_rows(df: DataFrame, bench: str, metrics: list[str], scalars: list[str], as_of: str, identity: list[str] | None = None, news: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Grid rows of text columns for one benchmark: ``m_bench`` becomes ``m``; the name is always copied.
+
+    The row's day is ``date`` or, where that is blank or missing, ``trade_date``.  Only
+    rows of the as-of day keep identity columns (blank ones void, others as
+    they are) and their news: title and url of each ``news`` slot that has a
+    title, or null without any.
+    """
+    have = set(df.columns)
+    there = lambda c: F.col(c).cast("string") if c in have else F.lit(None).cast("string")
+    trimmed = lambda c: F.trim(F.coalesce(there(c), F.lit("")))
+    same = F.trim(F.coalesce(F.nullif(there("date"), F.lit("")), there("trade_date"), F.lit(""))) == as_of
+    code = trimmed("code")
+    kept = [F.when(same & (trimmed(c) != ""), F.col(c)).alias(c) for c in identity or [] if c in have]
+    items = [F.when(trimmed(t) != "", F.struct(trimmed(t).alias("title"), F.nullif(trimmed(u), F.lit("")).alias("url"))) for t, u in news or []]
+    bundle = F.array_compact(F.array(*items)) if items else F.array().cast("array<struct<title:string,url:string>>")
+    return df.select(
+        F.lpad(code, F.greatest(F.length(code), F.lit(4)), F.lit("0")).alias("code"), F.coalesce(there("name"), F.lit("")).alias("name"),
+        *[number_or_null(there(f"{m}_{bench}")).alias(m) for m in metrics], *[number_or_null(there(m)).alias(m) for m in scalars],
+        F.when(same & (F.size(bundle) > 0), bundle).alias("event_news_bundle"), *kept,
+    )
 
 
 def seed_outcome(candidates: DataFrame, existing: DataFrame, key: str, date: str, day: str) -> DataFrame:
@@ -105,8 +121,8 @@ def same_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def staged_rows(batches: DataFrame, payload: str, schema: str, keys: list[str], ordinal: str) -> DataFrame:
-    """Rows of JSON arrays, the last of a key winning (by batch, then place); rows without a key go."""
+    """Rows of JSON arrays, the last of a key winning (by batch, then place); a row without a key is an error."""
     rows = batches.select(ordinal, F.posexplode(F.from_json(payload, f"array<struct<{schema}>>")).alias("_n", "_r")).select("_n", ordinal, "_r.*")
-    rows = rows.where(" and ".join(f"{k} is not null" for k in keys))
+    rows = rows.withColumns({k: F.when(F.col(k).isNull(), F.raise_error(F.lit(f"staged row without {k}")).cast(rows.schema[k].dataType)).otherwise(F.col(k)) for k in keys})
     cols = [c for c in rows.columns if c not in {*keys, "_n", ordinal}]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(ordinal, "_n")).alias("_x")).select(*keys, "_x.*")

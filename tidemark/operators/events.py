@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 from pyspark.sql.window import Window
 
-from tidemark.functions.text import half_width
-
 # Title keywords and event types, first match wins.
 TITLE_TYPES = [
     (("業績予想の修正", "上方修正", "通期連結業績予想の修正"), "earnings_revision_up"),
@@ -66,13 +67,25 @@ def title_novelty(title: Column) -> Column:
     return F.when(t.contains("訂正"), "low").when(t.contains("経過"), "followup").otherwise("new")
 
 
-def match_text(c: Column) -> Column:
-    """Upper case, half width, without spaces, dots, dashes, ampersands, brackets and colons: the form in which names and titles meet.
+# Signs that names and titles lose before they meet.
+MATCH_DROPS = " \u3000・-－ｰ&＆()（）:："
 
-    Full-width signs are unified by a table instead of NFKC, which has no
-    built-in form; titles that need more pass through ``functions.text.nfkc`` first.
-    """
-    return F.regexp_replace(F.upper(half_width(F.coalesce(c, F.lit("")))), r"[ \u3000・\-－ｰ&()（）:：]", "")
+
+def match_form(value: str | None) -> str:
+    """Compatibility form (NFKC), upper case, without ``MATCH_DROPS``."""
+    text = unicodedata.normalize("NFKC", value or "").upper()
+    return text.translate({ord(c): None for c in MATCH_DROPS})
+
+
+def name_match(title: Column, aliases: Column) -> Column:
+    """1.0 where the title holds one of the aliases, both in ``match_form``, else 0.0."""
+
+    def run(titles: pd.Series, names: pd.Series) -> pd.Series:
+        held: dict = {}
+        form = lambda x: held[x] if x in held else held.setdefault(x, match_form(x))
+        return pd.Series([float(any(form(a) and form(a) in match_form(t) for a in (() if n is None else n))) for t, n in zip(titles, names)], dtype="float64")
+
+    return pandas_udf(run, "double")(title, aliases)
 
 
 def clamp(c: Column) -> Column:
@@ -100,9 +113,7 @@ def scores(run_date: str) -> dict[str, Column]:
     channel = F.when(src == "tdnet", F.lit(0.9) + F.when(xbrl, 0.1).otherwise(0.0)).when((src == "kabutan") & pdf, 0.78).when((src == "kabutan") & url.contains("/stock/news"), 0.5).otherwise(0.4)
     channel = clamp(channel - F.when(cat.isin("テク", "市況"), 0.2).otherwise(0.0) - F.when(cat.isin("注目", "特集"), 0.15).otherwise(0.0))
     structure = clamp(F.lit(0.5) + F.when(src == "tdnet", 0.15).otherwise(0.0) + F.when(pdf, 0.1).otherwise(0.0) + F.when(xbrl, 0.2).otherwise(0.0) - F.when(hist, 0.2).otherwise(0.0))
-    title = match_text(F.col("title"))
-    hit = F.exists(F.transform(F.coalesce("name_aliases", F.array().cast("array<string>")), match_text), lambda a: (F.length(a) > 0) & F.contains(title, a))
-    name = F.when(hit, 1.0).otherwise(0.0)
+    name = name_match(F.col("title"), F.col("name_aliases"))
     return {
         "time": time,
         "specificity": lookup(low("issuer_specificity"), SPECIFICITY, lookup(low("event_scope"), SPECIFICITY, F.lit(0.4))),
@@ -128,8 +139,12 @@ def rank_candidates(events: DataFrame, run_date: str, mode: str = "v1", weights:
     rows = events.withColumns({c: F.lit(None).cast(t) for c, t in SCORED.items() if c not in events.columns})
     parts = scores(run_date)
     w = getattr(weights or Weights(), mode)
-    rows = rows.withColumns({f"score_{k}": F.round(v, 6) for k, v in parts.items()})
+    if "name_aliases" not in events.columns:
+        parts["name"] = F.lit(0.0)
     total = reduce(lambda a, b: a + b, [parts[k] * F.lit(x) for k, x in w.items()])
+    if mode == "v2":  # the columns of the first mode carry their successors
+        parts |= {"specificity": parts["specificity2"], "material": parts["channel"], "novelty": parts["category"]}
+    rows = rows.withColumns({f"score_{k}": F.round(v, 6) for k, v in parts.items()})
     rows = rows.withColumn("cause_score", F.round(total, 6))
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("code").orderBy(F.desc("cause_score"), F.asc(ordinal))))
 
@@ -149,13 +164,49 @@ def summarise(spikes: DataFrame, ranked: DataFrame, mode: str = "v1", threshold:
     return spikes.join(top, "code", "left").select(*spikes.columns, cause_type(mode, threshold).alias("cause_type"), F.coalesce("cause_score", F.lit(0.0)).alias("cause_score"))
 
 
-def enrich(indicators: DataFrame, ranked: DataFrame, n: int = 3, title: str = "title", url: str = "url") -> DataFrame:
-    """Indicators with the ``n`` best candidates' titles and links in slots 1..n (a pivot of ranks, no shuffle beyond the join's)."""
-    slots = ranked.where(F.col("rank") <= n).groupBy("code").agg(*[F.max(F.when(F.col("rank") == i, F.col(c))).alias(f"news_{k}_{i}") for i in range(1, n + 1) for k, c in (("title", title), ("url", url))])
-    rows = indicators.join(slots, "code", "left")
-    none = F.coalesce("cause_type", F.lit("C")) == "C"
-    first = F.when(none, NO_CAUSE_TITLE).otherwise(F.coalesce("news_title_1", F.lit("")))
-    return rows.withColumns({"cause_type": F.coalesce("cause_type", F.lit("C")), "news_title_1": first, "news_url_1": F.when(none, "").otherwise(F.coalesce("news_url_1", F.lit("")))})
+def joined_code(c: str) -> Column:
+    return F.upper(F.trim(F.col(c).cast("string")))
+
+
+def enrich(indicators: DataFrame, summaries: DataFrame, candidates: DataFrame, n: int = 3) -> DataFrame:
+    """Indicators with cause class and the ``n`` best candidates' title, url, source and score in slots 1..n.
+
+    ``summaries``: code, cause_type, top_title, ordinal (the last summary of a
+    code counts); ``candidates``: code, title, url, source, rank, cause_score,
+    ordinal, taken by rank, then higher score (missing ones last), then place.
+    Codes meet trimmed and in upper case.  Instruments without a summary stay
+    blank.  Cause C has the one title that says so.  A first candidate without
+    a title takes the summary's; without that too, the cause becomes C.  Where
+    there is no candidate, the summary's title stands alone.
+
+    Candidates are cut to ``n`` a code by a ranking that each task limits
+    first: a hot code sends ``n`` rows a task.
+    """
+    text = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    order = [F.asc_nulls_last("rank"), F.desc_nulls_last("cause_score"), F.asc("ordinal")]
+    ranked = candidates.select(joined_code("code").alias("_code"), "rank", "cause_score", "ordinal", text("title").alias("title"), text("url").alias("url"), text("source").alias("source"))
+    top = ranked.withColumn("_k", F.row_number().over(Window.partitionBy("_code").orderBy(*order))).where(F.col("_k") <= n)
+    slots = top.groupBy("_code").agg(F.array_sort(F.collect_list(F.struct("_k", "title", "url", "source", F.col("cause_score").alias("score")))).alias("_c"))
+    said = summaries.groupBy(joined_code("code").alias("_code")).agg(F.max_by(F.struct(F.upper(text("cause_type")).alias("cause"), text("top_title").alias("top")), "ordinal").alias("_s"))
+    rows = indicators.withColumn("_code", joined_code("code")).join(said, "_code", "left").join(slots, "_code", "left")
+    known = F.col("_s").isNotNull() & (F.length("_code") > 0)
+    cause = F.coalesce(F.nullif(F.col("_s.cause"), F.lit("")), F.lit("C"))
+    fallback, first = F.col("_s.top"), F.get("_c", F.lit(0))
+    has = F.coalesce(F.size("_c"), F.lit(0)) > 0
+    untitled = has & (first["title"] == "")
+    lost = untitled & (fallback == "")
+    title = F.when(cause == "C", NO_CAUSE_TITLE).when(lost, NO_CAUSE_TITLE).when(untitled, fallback).when(has, first["title"]).otherwise(fallback)
+    added = {"event_cause_type": F.when(~known, "").when(lost, "C").otherwise(cause)}
+    for i in range(1, n + 1):
+        slot, there = F.get("_c", F.lit(i - 1)), known & (cause != "C") & (F.coalesce(F.size("_c"), F.lit(0)) >= i)
+        url = F.when(there & ~(lost if i == 1 else F.lit(False)), slot["url"]).otherwise("")
+        added |= {
+            f"event_news_{i}_title": F.when(known, title).otherwise("") if i == 1 else F.when(there, slot["title"]).otherwise(""),
+            f"event_news_{i}_url": url,
+            f"event_news_{i}_source": F.when(there, slot["source"]).otherwise(""),
+            f"event_news_{i}_score": F.when(there, slot["score"]),
+        }
+    return rows.select(*[F.col(c) for c in indicators.columns], *[v.alias(k) for k, v in added.items()])
 
 
 def dedup_with_preference(events: DataFrame, keys: list[str], preferred: Column, confidence: str, ordinal: str) -> DataFrame:
@@ -185,7 +236,22 @@ def selection(rules: list[dict], columns: list[str]) -> Column:
             if c in columns:
                 parts = F.split(F.upper(F.coalesce(F.col(c), F.lit(""))), ",")
                 preds += [F.exists(parts, starts_with(t)) for t in wanted]
-        elif kind in ("z_turnover_gt", "z_turnover_lt") and c in columns and r.get("value") is not None:
-            x = F.col(c).try_cast("double")
-            preds.append(F.coalesce(x > r["value"] if kind == "z_turnover_gt" else x < r["value"], F.lit(False)) & ~F.coalesce(F.isnan(x), F.lit(False)))
+        elif kind in ("z_turnover_gt", "z_turnover_lt") and c in columns and number(r.get("value")) is not None:
+            x, least = F.col(c).try_cast("double"), F.lit(number(r["value"]))
+            preds.append(F.coalesce(x > least if kind == "z_turnover_gt" else x < least, F.lit(False)) & ~F.coalesce(F.isnan(x), F.lit(False)))
     return reduce(lambda a, b: a | b, preds, F.lit(False))
+
+
+def number(value: object) -> float | None:
+    """A rule's threshold; None if it is missing, no number or NaN."""
+    try:
+        x = float(value)  # type: ignore[arg-type]
+    except (TypeError, ValueError):
+        return None
+    return None if x != x else x
+
+
+def selection_rules(given: dict | None, column: str = "z_turnover_60", threshold: float = 3.5) -> list[dict]:
+    """The any-of rules of a configuration; without any, turnover above the threshold."""
+    some = given.get("any_of") if isinstance(given, dict) else None
+    return list(some) if some else [{"type": "z_turnover_gt", "column": column, "value": float(threshold)}]

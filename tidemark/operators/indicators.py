@@ -142,3 +142,20 @@ def missing_guard(df: DataFrame, columns: list[str], windows: int, benches: int,
     n_null = sum((F.sum(F.col(c).isNull().cast("long")) for c in columns), F.lit(0).cast("long"))
     out = df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(n_null, F.lit(0)).alias("n_null"))
     return out.withColumn("ratio", F.col("n_null") / F.nullif(F.col("n_rows") * slots, F.lit(0))).withColumn("too_many", F.coalesce(F.col("ratio") > most, F.lit(False)))
+
+
+def missing_shares(df: DataFrame, columns: list[str], most: float = 0.5) -> DataFrame:
+    """``metric, n_rows, n_missing, share, too_many``: metrics missing (null or NaN) in more than ``most`` of the rows; one aggregate for all."""
+    void = lambda c: F.col(c).isNull() | F.isnan(F.col(c))
+    agg = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(void(c)).alias(f"_{c}") for c in columns])
+    rows = agg.select("n_rows", F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"_{c}").alias("n_missing")) for c in columns])).alias("r")).select("r.metric", "n_rows", "r.n_missing")
+    share = F.col("n_missing") / F.nullif("n_rows", F.lit(0))
+    return rows.withColumns({"share": F.round(share, 6), "too_many": F.coalesce(share > most, F.lit(False))})
+
+
+def reconcile(stored: DataFrame, rebuilt: DataFrame, keys: list[str], value: str, tolerance: float) -> DataFrame:
+    """Keys whose rebuilt value is off the stored one by more than ``tolerance`` (``differs``), or that one side lacks (``missing``, ``extra``)."""
+    a, b = stored.select(*keys, F.col(value).alias("_a"), F.lit(1).alias("_l")), rebuilt.select(*keys, F.col(value).alias("_b"), F.lit(1).alias("_r"))
+    off = F.coalesce(F.abs(F.col("_a") - F.col("_b")) > tolerance, F.col("_a").isNull() != F.col("_b").isNull())
+    state = F.when(F.col("_r").isNull(), "missing").when(F.col("_l").isNull(), "extra").when(off, "differs")
+    return a.join(b, keys, "full_outer").select(*keys, state.alias("state"), F.col("_a").alias("stored"), F.col("_b").alias("rebuilt")).where("state is not null")

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from tidemark.functions.text import nfc
+
 # Link templates by column.
 LINKS = {
     "link_kabutan": "https://kabutan.jp/stock/?code=%s",
@@ -165,6 +167,14 @@ def exact_decimal(c: Column) -> Column:
     return pandas_udf(run, "string")(c.cast("double"))
 
 
+def json_text(c: Column) -> Column:
+    """A text as a JSON string; control characters without a short form are written with small hex digits."""
+    quoted = F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
+    for digit in "ABCDEF":
+        quoted = F.regexp_replace(quoted, rf"(?<!\\)((?:\\\\)*\\u00[01]){digit}", f"$1{digit.lower()}")
+    return quoted
+
+
 def digest_rows(df: DataFrame, code: str, metrics: dict[str, str]) -> DataFrame:
     """``code, row``: each instrument's tagged values and flags as compact JSON (types: float, int, bool, string)."""
     off = lambda c: F.isnan(c) | (F.abs(c) == float("inf"))
@@ -176,14 +186,13 @@ def digest_rows(df: DataFrame, code: str, metrics: dict[str, str]) -> DataFrame:
             odd.append(F.when(off(c), F.lit(f'"{m}"')))
             value = quoted(exact_decimal(F.when(~off(c), c)))
         elif kind == "string":
-            value = F.expr(f"substring(to_json(array(`{m}`)), 2, length(to_json(array(`{m}`))) - 2)")
-            value = F.when(c.isNotNull(), value)
+            value = F.when(c.isNotNull(), json_text(nfc(c.cast("string"))))
         else:
             value = c.cast("string")
         missing.append(F.when(c.isNull(), F.lit(f'"{m}"')))
         atoms.append(F.concat(F.lit(f'{{"metric_key":"{m}","type":"{kind}","value":'), F.coalesce(value, F.lit("null")), F.lit("}")))
     names = lambda xs: F.concat(F.lit("["), F.array_join(F.array_compact(F.array(*xs)) if xs else F.array().cast("array<string>"), ","), F.lit("]"))
-    row = F.concat(F.lit('{"instrument_code":"'), F.col(code), F.lit('","values":['), F.concat_ws(",", *atoms), F.lit('],"flags":{"missing_metrics":'), names(missing), F.lit(',"non_finite_metrics":'), names(odd), F.lit(',"po_indeterminate":false}}'))
+    row = F.concat(F.lit('{"instrument_code":'), json_text(F.col(code).cast("string")), F.lit(',"values":['), F.concat_ws(",", *atoms), F.lit('],"flags":{"missing_metrics":'), names(missing), F.lit(',"non_finite_metrics":'), names(odd), F.lit(',"po_indeterminate":false}}'))
     return df.select(F.col(code).alias("code"), row.alias("row"))
 
 

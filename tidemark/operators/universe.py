@@ -62,10 +62,11 @@ def pick_as_of(releases: DataFrame, run_date: str) -> DataFrame:
 
 
 def winners(rows: DataFrame, month: str, order: list[str]) -> DataFrame:
-    """Labels each month's winner (greatest order) and its losers, who learn the winner."""
-    w = Window.partitionBy(month).orderBy(*[F.desc(o) for o in order])
+    """Labels each month's winner (greatest order) and its losers, who learn the winner: one pre-aggregated maximum, joined back."""
     key = order[-1]
-    return rows.withColumns({"is_winner": F.row_number().over(w) == 1, "winner": F.first(key).over(w)})
+    best = rows.groupBy(F.col(month).alias("_month")).agg(F.max(F.struct(*order)).alias("_best"))
+    out = rows.join(best, F.col(month).eqNullSafe(F.col("_month")))
+    return out.select(*[F.col(c) for c in rows.columns], (F.struct(*order) == F.col("_best")).alias("is_winner"), F.col(f"_best.{key}").alias("winner"))
 
 
 def set_delta(current: DataFrame, previous: DataFrame, key: str) -> DataFrame:

@@ -55,8 +55,8 @@ def sliced(first: int, last: int) -> str:
 
 def candle(textbook: bool = False) -> str:
     """Bars with range shares, the smoothed range before each bar (span 14: a closed form of its recursion), and the 252-row rank."""
-    x = "prev_close" if textbook else "CASE WHEN next_close IS NOT NULL THEN close END"
-    return f"""{BARS}, c0 AS (SELECT *, lag(close) OVER w AS prev_close, lead(close) OVER w AS next_close, lag(high) OVER w AS prev_high, lag(low) OVER w AS prev_low, row_number() OVER w AS k FROM bars WINDOW w AS (PARTITION BY code ORDER BY date)),
+    x = "prev_close" if textbook else "CAST(NULL AS DOUBLE)"
+    return f"""{BARS}, c0 AS (SELECT *, lag(close) OVER w AS prev_close, lag(high) OVER w AS prev_high, lag(low) OVER w AS prev_low, row_number() OVER w AS k FROM bars WINDOW w AS (PARTITION BY code ORDER BY date)),
  c1 AS (SELECT *, {x} AS x FROM c0), c2 AS (SELECT *, greatest(high - low, abs(high - x), abs(low - x)) AS tr FROM c1),
  c2a AS (SELECT *, pow(13.0::DOUBLE / 15, k - 1) * sum(CASE WHEN k = 1 THEN tr ELSE 2.0::DOUBLE / 15 * tr * pow(15.0::DOUBLE / 13, k - 1) END) OVER (PARTITION BY code ORDER BY date) AS e14 FROM c2),
  c3 AS (SELECT *, CAST(sign(close - open) AS INT) AS direction, abs(close - open) / nullif(tr, 0) AS br, (high - greatest(open, close)) / nullif(tr, 0) AS ur, (least(open, close) - low) / nullif(tr, 0) AS dr,
@@ -111,15 +111,18 @@ def event_scores(mode: str) -> str:
         "novelty": "1.0",
         "alignment": "CASE WHEN value > 50 THEN 1.0 ELSE 0.1 END",
         "confidence": "0.5",
-        "specificity2": "CASE WHEN event_id % 3 = 0 THEN 1.0 WHEN cat IN ('開示', '材料') THEN 0.68 ELSE 0.25 END",
-        "channel": "CASE WHEN event_id % 3 = 0 THEN 0.9 ELSE 0.4 END - CASE WHEN cat = '市況' THEN 0.2 ELSE 0.0 END",
+        "specificity2": "CASE WHEN event_id % 3 = 0 THEN 1.0 WHEN event_id % 3 = 1 AND event_id % 4 = 0 THEN 0.85 WHEN cat IN ('開示', '材料') THEN 0.68 ELSE 0.25 END",
+        "channel": "(CASE WHEN event_id % 3 = 0 THEN CASE WHEN event_id % 6 = 0 THEN 1.0 ELSE 0.9 END WHEN event_id % 3 = 1 AND event_id % 4 = 0 THEN 0.78 WHEN event_id % 3 = 1 AND event_id % 4 = 1 THEN 0.5 ELSE 0.4 END - CASE WHEN cat = '市況' THEN 0.2 ELSE 0.0 END)",
         "category": cat,
-        "structure": "CASE WHEN event_id % 3 = 0 THEN 0.65 ELSE 0.5 END",
-        "name": "0.0",
+        "structure": "least(1.0, 0.5 + CASE WHEN event_id % 3 = 0 THEN 0.15 ELSE 0.0 END + CASE WHEN event_id % 4 = 0 THEN 0.1 ELSE 0.0 END + CASE WHEN event_id % 6 = 0 THEN 0.2 ELSE 0.0 END - CASE WHEN event_id % 7 = 0 THEN 0.2 ELSE 0.0 END)",
+        "name": "CASE WHEN user_id % 3 < 2 AND user_id % 5 = user_id % 7 THEN 1.0 ELSE 0.0 END",
     }
+    if mode == "v2":
+        parts["source"] = f"greatest(0.0, least(1.0, {parts['source']} + CASE event_id % 10 WHEN 3 THEN 0.1 WHEN 4 THEN -0.15 ELSE 0.0 END))"
     total = " + ".join(f"CAST({parts[k]} AS DOUBLE) * CAST({x} AS DOUBLE)" for k, x in w.items())
     return f"""e0 AS (SELECT *, CAST((SELECT max(ts) FROM events) AS DATE) - CAST(ts AS DATE) AS days, CASE event_id % 5 WHEN 0 THEN '開示' WHEN 1 THEN '市況' ELSE '材料' END AS cat FROM events),
- e1 AS (SELECT user_id, event_id, round({total}, 6) AS cause_score, CAST({parts['specificity']} AS DOUBLE) AS spec, CAST({parts['material']} AS DOUBLE) AS mat FROM e0),
+ e1 AS (SELECT user_id, event_id, round({total}, 6) AS cause_score, CAST({parts['specificity']} AS DOUBLE) AS spec, CAST({parts['material']} AS DOUBLE) AS mat,
+ round(CAST({parts['name']} AS DOUBLE), 6) AS score_name, round(CAST({parts['channel']} AS DOUBLE), 6) AS score_channel, round(CAST({parts['structure']} AS DOUBLE), 6) AS score_structure, round(CAST({parts['category']} AS DOUBLE), 6) AS score_category FROM e0),
  ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY cause_score DESC, event_id) AS rank FROM e1)"""
 
 
@@ -170,16 +173,23 @@ def all_sql() -> dict[str, str]:
         "segment_counts": f"{SEGMENT} SELECT segment, count(*) AS n FROM seg GROUP BY 1",
         "pick_as_of": "SELECT CAST(o_orderdate AS DATE) AS snapshot_date, o_orderkey AS run_id, 'as_of' AS picked FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '1996-02-29' ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1",
         "pick_fallback": "SELECT CAST(o_orderdate AS DATE) AS snapshot_date, o_orderkey AS run_id, 'fallback_latest' AS picked FROM orders ORDER BY o_orderkey LIMIT 1",
-        "winners": "SELECT strftime(o_orderdate, '%Y-%m') AS month, last(o_orderkey ORDER BY o_orderdate, o_orderkey) AS run_id, last(o_orderkey ORDER BY o_orderdate, o_orderkey) AS winner FROM orders GROUP BY 1",
+        "winners": "SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderkey AS run_id, o_orderkey = last(o_orderkey) OVER w AS is_winner, last(o_orderkey) OVER w AS winner FROM orders WINDOW w AS (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY CAST(o_orderdate AS DATE), o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)",
         "core_delta": "WITH a AS (SELECT DISTINCT o_custkey FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1997-03'), b AS (SELECT DISTINCT o_custkey FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1997-02') SELECT *, 'added' AS change FROM (FROM a EXCEPT FROM b) UNION ALL SELECT *, 'removed' FROM (FROM b EXCEPT FROM a)",
         "delisted_patch": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-03-15')",
         "semi_members": "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)",
         "latest_per_key": "SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1",
         "last_line_wins": "SELECT user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1",
         "event_scores": f"WITH {event_scores('v1')} SELECT user_id, event_id, cause_score, rank FROM ranked",
-        "event_scores_v2": f"WITH {event_scores('v2')} SELECT user_id, event_id, cause_score, rank FROM ranked",
+        "event_scores_v2": f"WITH {event_scores('v2')} SELECT user_id, event_id, cause_score, rank, score_name, score_channel, score_structure, score_channel AS score_material, score_category AS score_novelty FROM ranked",
         "cause_type": f"{CAUSE} SELECT * FROM cause",
-        "enriched": f"{CAUSE} SELECT code, cause_type, CASE WHEN cause_type = 'C' THEN '材料不明・需給起因疑い' ELSE coalesce('event ' || r1.event_id, '') END AS news_title_1, CASE WHEN cause_type = 'C' THEN '' ELSE coalesce('/e/' || r1.event_id, '') END AS news_url_1, 'event ' || r2.event_id AS news_title_2 FROM cause LEFT JOIN ranked r1 ON r1.user_id = code AND r1.rank = 1 LEFT JOIN ranked r2 ON r2.user_id = code AND r2.rank = 2",
+        "enriched": f"""{CAUSE}, said AS (SELECT code, cause_type, CASE WHEN code % 2 = 0 THEN 'top ' || code ELSE '' END AS top FROM cause WHERE code % 5 > 0),
+ got AS (SELECT c_custkey, cause_type, top, r1.event_id AS e1, r1.cause_score AS s1, r2.event_id AS e2, r2.cause_score AS s2, r1.event_id % 4 = 0 AND top = '' AS lost FROM customer LEFT JOIN said ON said.code = c_custkey LEFT JOIN ranked r1 ON r1.user_id = c_custkey AND r1.rank = 1 LEFT JOIN ranked r2 ON r2.user_id = c_custkey AND r2.rank = 2),
+ flag AS (SELECT *, cause_type IS NOT NULL AND cause_type <> 'C' AS ok FROM got)
+ SELECT 'C' || c_custkey AS code, CASE WHEN cause_type IS NULL THEN '' WHEN ok AND lost THEN 'C' ELSE cause_type END AS event_cause_type,
+ CASE WHEN cause_type IS NULL THEN '' WHEN NOT ok OR lost THEN '材料不明・需給起因疑い' WHEN e1 IS NULL OR e1 % 4 = 0 THEN top ELSE 'event ' || e1 END AS event_news_1_title, CASE WHEN ok AND e1 IS NOT NULL AND NOT lost THEN '/e/' || e1 ELSE '' END AS event_news_1_url,
+ CASE WHEN ok AND e1 IS NOT NULL THEN CASE e1 % 3 WHEN 0 THEN 'tdnet' WHEN 1 THEN 'kabutan' ELSE 'other' END ELSE '' END AS event_news_1_source, CASE WHEN ok THEN s1 END AS event_news_1_score,
+ CASE WHEN ok AND e2 % 4 > 0 THEN 'event ' || e2 ELSE '' END AS event_news_2_title, CASE WHEN ok AND e2 IS NOT NULL THEN '/e/' || e2 ELSE '' END AS event_news_2_url,
+ CASE WHEN ok AND e2 IS NOT NULL THEN CASE e2 % 3 WHEN 0 THEN 'tdnet' WHEN 1 THEN 'kabutan' ELSE 'other' END ELSE '' END AS event_news_2_source, CASE WHEN ok THEN s2 END AS event_news_2_score FROM flag""",
         "event_dedup": "SELECT user_id, event_type, CAST(ts AS DATE) AS d, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY (event_id % 7 = 0) DESC, value DESC, event_id) = 1",
         "event_window": "SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events WHERE ts <= TIMESTAMP '2024-01-20 15:00:00' GROUP BY 1",
         "title_type": "SELECT doc_id, CASE WHEN contains(t, 'idiot') OR contains(t, 'moron') THEN 'insult' WHEN contains(t, 'the ') OR contains(t, 'and ') THEN 'english' WHEN contains(t, 'der ') OR contains(t, 'und ') THEN 'german' WHEN contains(t, 'que') THEN 'romance' ELSE 'other' END AS tag FROM (SELECT doc_id, lower(text) AS t FROM documents)",
@@ -215,7 +225,7 @@ def all_sql() -> dict[str, str]:
         "high_water": "SELECT o_custkey, greatest(coalesce(max(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'F'), DATE '1996-05-31'), DATE '1996-06-01') AS mark FROM orders GROUP BY 1",
         "favourite_filter": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')",
         "code_contains": "SELECT CAST(s_suppkey AS VARCHAR) AS code FROM supplier WHERE contains(CAST(s_suppkey AS VARCHAR), '1')",
-        "projected_rows": "SELECT CASE WHEN c_custkey < 1000 THEN lpad(CAST(c_custkey AS VARCHAR), 4, '0') ELSE CAST(c_custkey AS VARCHAR) END AS code, CASE WHEN c_custkey % 3 <> 0 THEN round(c_acctbal / 7, 6) END AS rs31, CAST(NULL AS DOUBLE) AS z, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name FROM customer",
+        "projected_rows": "SELECT CASE WHEN c_custkey < 1000 THEN lpad(CAST(c_custkey AS VARCHAR), 4, '0') ELSE CAST(c_custkey AS VARCHAR) END AS code, CASE WHEN c_custkey % 11 > 0 THEN c_name ELSE '' END AS name, CASE WHEN c_custkey % 3 <> 0 THEN round(c_acctbal / 7, 6) END AS rs31, CAST(NULL AS DOUBLE) AS z, CASE WHEN c_custkey % 2 = 0 OR c_custkey % 7 = 0 THEN ' ' || c_mktsegment END AS sector, CASE WHEN c_custkey % 2 = 0 OR c_custkey % 7 = 0 THEN nullif(concat_ws(',', CASE WHEN c_custkey % 4 > 1 THEN 't' || c_custkey || '|/u' END, CASE WHEN c_custkey % 5 = 0 THEN 's|-' END), '') END AS event_news_bundle FROM customer",
         "int_metric": "SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 AND p_partkey % 2 = 0 THEN CAST(floor(p_retailprice) AS BIGINT) END AS value, p_partkey % 5 <> 0 AND p_partkey % 2 = 1 AS missing, p_partkey % 5 = 0 AS non_finite FROM part",
         "seed_outcome": "SELECT c_custkey AS o_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1996-03-01') THEN 'resolved_noop' ELSE 'write' END AS outcome FROM customer",
         "same_keys": "SELECT c_custkey AS k, 'left' AS only_in FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT DISTINCT o_custkey, 'right' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)",
@@ -234,19 +244,28 @@ def all_sql() -> dict[str, str]:
         "coverage_gate": f"WITH {ASOF}, rs AS (SELECT pos, {rs(31)} FROM asof_), g AS (SELECT count(*) AS n_eligible, avg(CASE WHEN rs31 IS NOT NULL THEN 1.0 ELSE 0.0 END) AS rate FROM rs WHERE pos >= 25) SELECT n_eligible, round(coalesce(rate, 0), 6) AS rate, n_eligible > 0 AND rate >= 0.98 AS allowed FROM g",
         "alias_rules": f"WITH a AS (SELECT p_partkey, {ALIAS} AS alias FROM part), b AS (SELECT *, regexp_replace(lower(trim(alias)), '[\\s・･\\-‐－_／/&＆,，.。]+', '', 'g') AS k FROM a) SELECT p_partkey, k, CASE WHEN starts_with(alias, '東証P ') THEN trim(substr(alias, 5)) ELSE alias END AS stripped, CASE WHEN length(k) <= 1 OR contains(lower(alias), 'quote') OR regexp_full_match(alias, '[A-Za-z]{{1,5}}') THEN 'low' ELSE 'medium' END AS confidence FROM b",
         "logical_digest": """WITH r AS (SELECT n_name AS code, '{"instrument_code":"' || n_name || '","values":[{"metric_key":"share","type":"float","value":"' || regexp_replace(regexp_replace(CAST(CAST(n_nationkey / 4.0 AS DECIMAL(18, 4)) AS VARCHAR), '0+$', ''), '\\.$', '') || '"},{"metric_key":"region","type":"int","value":' || n_regionkey || '}],"flags":{"missing_metrics":[],"non_finite_metrics":[],"po_indeterminate":false}}' AS j FROM nation) SELECT sha256('{"schema_version":1,"trade_date":"2026-01-01","metric_set_version_id":"set","rows":[' || string_agg(j, ',' ORDER BY code) || ']}') AS digest FROM r""",
-        "reconcile": f"WITH {BARS} SELECT code FROM {at_run('bars', 'code')} WHERE length(code) % 2 = 0",
+        "reconcile": "WITH t AS (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS t FROM lineitem GROUP BY 1) SELECT coalesce(o_orderkey, l_orderkey) AS o_orderkey, CASE WHEN l_orderkey IS NULL THEN 'missing' WHEN o_orderkey IS NULL THEN 'extra' ELSE 'differs' END AS state FROM orders FULL JOIN t ON o_orderkey = l_orderkey WHERE l_orderkey IS NULL OR o_orderkey IS NULL OR abs(o_totalprice - t) > 0.5",
         "events_daily": "SELECT CAST(ts AS DATE) AS d, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2",
         "html_items": "SELECT * FROM (SELECT page_id, len(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li>')) AS n FROM pages) WHERE n > 0",
-        "stream_first_seen": "SELECT DISTINCT user_id, event_type FROM events",
+        "stream_first_seen": "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1",
         "stream_latest": "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
         "lease_filter": "SELECT c_custkey AS code FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate > TIMESTAMP '2000-01-01')",
         "resolve_unique": "SELECT p_brand, p_size, CASE WHEN count(DISTINCT p_type) = 1 THEN min(p_type) END AS p_type FROM part GROUP BY 1, 2",
         "covering_runs": "SELECT o_orderpriority AS workflow, last(o_orderkey ORDER BY o_orderdate, o_orderkey) AS id FROM orders WHERE o_orderdate >= TIMESTAMP '1996-02-27' AND o_orderdate < TIMESTAMP '1996-03-02' GROUP BY 1",
         "first_source": "SELECT o_custkey AS generation, o_orderpriority AS workflow, o_orderkey AS id FROM orders WHERE o_orderpriority IN ('2-HIGH', '1-URGENT', '5-LOW') QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '2-HIGH' THEN 1 WHEN '1-URGENT' THEN 2 ELSE 3 END, o_orderkey DESC) = 1",
-        "dictionary_state": "SELECT o_custkey, CAST(coalesce(min(o_orderdate) FILTER (o_orderdate < DATE '1996-01-01'), DATE '1997-01-01') AS DATE) AS first_seen, CAST(CASE WHEN count(*) FILTER (o_orderdate >= DATE '1996-01-01') > 0 THEN DATE '1997-01-01' ELSE max(o_orderdate) END AS DATE) AS last_seen, count(*) AS seen_count, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS sources FROM orders WHERE o_orderdate < DATE '1997-01-01' GROUP BY 1",
+        "dictionary_state": "SELECT o_custkey, CAST(coalesce(min(o_orderdate) FILTER (o_orderdate < DATE '1996-01-01'), DATE '1997-01-01') AS DATE) AS first_seen, CAST(CASE WHEN count(*) FILTER (o_orderdate >= DATE '1996-01-01') > 0 THEN DATE '1997-01-01' ELSE max(o_orderdate) END AS DATE) AS last_seen, count(*) AS seen_count, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS sources FROM orders GROUP BY 1",
         "favourites": "WITH f AS (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS k FROM orders GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY min(o_orderkey)) <= 3) SELECT o_custkey, string_agg(o_orderpriority, ',' ORDER BY k) AS codes FROM f GROUP BY 1",
-        "available_dates": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '1995-08-01' ORDER BY d DESC",
+        "available_dates": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders ORDER BY d DESC",
         "json_props": "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1",
         "issuer_counts": "SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, o_orderpriority) <= 2",
         "status_counts": "WITH o AS (SELECT o_custkey, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS l FROM orders GROUP BY 1) SELECT CASE WHEN n < 8 THEN 'insufficient' WHEN l < DATE '1996-01-01' THEN 'stale' ELSE 'ok' END AS status, count(*) AS n FROM o GROUP BY 1",
+        "prompt_block": """SELECT p_partkey, '{"銘柄の基本情報":{"観測日":' || CASE WHEN p_partkey % 3 > 0 THEN '"1998-06-01"' ELSE 'null' END || ',"銘柄コード":"' || p_partkey || '","銘柄名":' || CASE WHEN p_partkey % 4 > 0 THEN '"' || p_name || '"' ELSE 'null' END
+ || '},"当日の売買代金・値動きの指標":{"当日の売買代金（概算）":' || p_partkey * 1000 || ',"売買代金の異常度（過去60営業日基準のZスコア）":' || CASE WHEN p_partkey % 2 = 0 THEN CAST((p_partkey % 16) / 4 AS VARCHAR) ELSE 'null' END
+ || ',"売買代金の平常比（過去60営業日平均に対して何倍か）":' || CAST((p_partkey % 8) / 8 AS VARCHAR) || ',"当日騰落率（前営業日終値比）":' || CAST((p_partkey % 64) / 16 AS VARCHAR) || ',"当日のローソク足形状":null}}' AS block FROM part""",
+        "missing_guard": f"WITH {ASOF}, rs AS (SELECT {rs(31, 63, 126, 252)} FROM asof_), m AS (SELECT count(*) AS n_rows, 4 * count(*) - count(rs31) - count(rs63) - count(rs126) - count(rs252) AS n_null FROM rs) SELECT *, round(n_null / (11 * n_rows), 6) AS ratio, n_null / (11 * n_rows) > 0.01 AS too_many FROM m",
+        "missing_shares": f"WITH {ASOF}, rs AS (SELECT {rs(31, 63, 126, 252)} FROM asof_), m AS (" + " UNION ALL ".join(f"SELECT 'rs{t}' AS metric, count(*) AS n_rows, count(*) - count(rs{t}) AS n_missing FROM rs" for t in (31, 63, 126, 252)) + ") SELECT *, round(n_missing / n_rows, 6) AS share, n_missing / n_rows > 0.2 AS too_many FROM m",
+        "share_classes": "SELECT * FROM (SELECT p_partkey || CASE WHEN p_size % 2 = 0 THEN '0A' ELSE '' END AS code FROM part) WHERE length(replace(code, 'A', '')) < 5",
+        "title_novelty": "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'followup' ELSE 'new' END AS novelty FROM events",
+        "update_anomalies": "SELECT strftime(o_orderdate, '%Y-%m') AS month, concat_ws(',', CASE WHEN count(*) > 400 THEN 'added_aliases' END, CASE WHEN avg(CASE WHEN o_orderstatus <> 'P' THEN 1.0 ELSE 0.0 END) < 0.85 THEN 'media_success_rate' END, CASE WHEN avg(CASE WHEN o_orderpriority < '3' THEN 1.0 ELSE 0.0 END) > 0.35 THEN 'low_ratio' END) AS broken FROM orders GROUP BY 1",
+        "stream_windows": "SELECT CAST(ts AS DATE) AS d, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     }

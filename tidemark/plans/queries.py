@@ -173,7 +173,7 @@ def q_pick_fallback(spark, sf):
 
 def q_winners(spark, sf):
     rows = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), day("o_orderdate").alias("snapshot_date"), F.col("o_orderkey").alias("run_id"))
-    return universe.winners(rows, "month", ["snapshot_date", "run_id"]).where("is_winner").select("month", "run_id", "winner")
+    return universe.winners(rows, "month", ["snapshot_date", "run_id"]).select("month", "run_id", "is_winner", "winner")
 
 
 def month_customers(spark, sf, month):
@@ -216,6 +216,13 @@ def scored(spark, sf, mode="v1"):
         F.when(F.col("event_id") % 5 == 0, "開示").when(F.col("event_id") % 5 == 1, "市況").otherwise("材料").alias("source_category"),
         F.lit(0.5).alias("confidence_base"),
     )
+    if mode == "v2":
+        k = F.col("ordinal")
+        pdf = F.when(k % 4 == 0, "https://x.jp/disclosures/pdf/").when(k % 4 == 1, "https://x.jp/stock/news?").otherwise("https://x.jp/")
+        rows = rows.withColumns({
+            "url": F.concat(pdf, k.cast("string")), "has_xbrl": k % 6 == 0, "has_update_history": k % 7 == 0, "originality": F.when(k % 10 == 3, "Primary").when(k % 10 == 4, "recap"),
+            "title": F.concat(F.lit("ｿﾆｰ・Ｇ（Ｕ"), (F.col("code") % 7).cast("string"), F.lit("）、新製品")), "name_aliases": F.when(F.col("code") % 3 < 2, F.array(F.lit("－"), F.concat(F.lit("ソニーＧ u"), (F.col("code") % 5).cast("string")))),
+        })
     day_after = e.agg(F.to_date(F.max("ts")).alias("d")).first()["d"]
     return events.rank_candidates(rows, str(day_after), mode)
 
@@ -225,7 +232,9 @@ def q_event_scores(spark, sf):
 
 
 def q_event_scores_v2(spark, sf):
-    return scored(spark, sf, "v2").select(F.col("code").alias("user_id"), F.col("ordinal").alias("event_id"), "cause_score", F.col("rank").cast("long").alias("rank"))
+    """Second mode over titles, links, structure flags and aliases that vary; names meet in compatibility form."""
+    got = scored(spark, sf, "v2").select(F.col("code").alias("user_id"), F.col("ordinal").alias("event_id"), "cause_score", F.col("rank").cast("long").alias("rank"), "score_name", "score_channel", "score_structure", "score_material", "score_novelty")
+    return got
 
 
 def q_cause_type(spark, sf):
@@ -234,10 +243,14 @@ def q_cause_type(spark, sf):
 
 
 def q_enriched(spark, sf):
-    ranked = scored(spark, sf).withColumn("title", F.concat(F.lit("event "), F.col("ordinal"))).withColumn("url", F.concat(F.lit("/e/"), F.col("ordinal")))
-    base = events.summarise(table(spark, sf, "customer").select(F.col("c_custkey").alias("code")), ranked)
-    out = events.enrich(base, ranked, 2)
-    return out.select("code", "cause_type", "news_title_1", "news_url_1", "news_title_2")
+    """Customers as instruments: summaries and candidates meet them by code, with blank titles, a fallback and missing summaries."""
+    k = F.col("ordinal")
+    ranked = scored(spark, sf).withColumns({"title": F.when(k % 4 > 0, F.concat(F.lit(" event "), k)), "url": F.concat(F.lit("/e/"), k), "code": F.concat(F.lit(" c"), F.col("code"), F.lit(" "))})
+    spikes = table(spark, sf, "customer").where("c_custkey % 5 > 0").select(F.concat(F.lit(" c"), "c_custkey", F.lit(" ")).alias("code"), "c_custkey")
+    base = events.summarise(spikes, ranked).select(F.lower("code").alias("code"), "cause_type", F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("top "), "c_custkey")).alias("top_title"), F.lit(1).alias("ordinal"))
+    older = spikes.select("code", F.lit("A").alias("cause_type"), F.lit("old").alias("top_title"), F.lit(0).alias("ordinal"))
+    out = events.enrich(table(spark, sf, "customer").select(F.concat(F.lit("C"), "c_custkey").alias("code")), base.unionByName(older), ranked, 2)
+    return out
 
 
 def q_event_dedup(spark, sf):
@@ -444,8 +457,14 @@ def q_code_contains(spark, sf):
 
 
 def q_projected_rows(spark, sf):
-    c = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.when(F.col("c_custkey") % 2 == 0, "1998-06-01").otherwise("1998-05-29").alias("date"), F.when(F.col("c_custkey") % 3 == 0, "n/a").otherwise((F.col("c_acctbal") / 7).cast("string")).alias("rs31_topix"), F.lit(" ").alias("z"), F.col("c_name").alias("name"))
-    return derived.project_rows(c, "topix", ["rs31"], ["z"], "1998-06-01", ["name"])
+    k = F.col("c_custkey")
+    c = table(spark, sf, "customer").select(
+        k.cast("string").alias("code"), F.when(k % 2 == 0, "1998-06-01").when(k % 7 == 0, "").otherwise("1998-05-29").alias("date"), F.lit("1998-06-01").alias("trade_date"),
+        F.when(k % 3 == 0, "n/a").otherwise((F.col("c_acctbal") / 7).cast("string")).alias("rs31_topix"), F.lit(" ").alias("z"), F.when(k % 11 > 0, F.col("c_name")).alias("name"),
+        F.concat(F.lit(" "), "c_mktsegment").alias("sector"), F.when(k % 4 > 1, F.concat(F.lit("t"), k)).alias("t1"), F.lit("/u").alias("u1"), F.when(k % 5 == 0, " s ").alias("t2"), F.lit("").alias("u2"),
+    )
+    got = derived.project_rows(c, "topix", ["rs31"], ["z"], "1998-06-01", ["sector"], [("t1", "u1"), ("t2", "u2")])
+    return got.withColumn("event_news_bundle", F.array_join(F.transform("event_news_bundle", lambda x: F.concat(x["title"], F.lit("|"), F.coalesce(x["url"], F.lit("-")))), ","))
 
 
 def q_int_metric(spark, sf):
@@ -534,8 +553,13 @@ def q_links(spark, sf):
 
 
 def q_prompt_block(spark, sf):
-    g = calendar.at_run_date(indicators.turnover_metrics(tables.bars(spark, sf)), RUN_DATE, ["code"]).select("code", "date", F.round("turnover_yen").alias("turnover_yen"))
-    return g.select("code", F.get_json_object(rules.prompt_block(g), "$.銘柄の基本情報.銘柄コード").alias("shown"), F.length(rules.prompt_block(g)).cast("long").alias("n"))
+    """The whole JSON of every part: missing and blank fields are null, numbers come from their columns."""
+    k = F.col("p_partkey")
+    g = table(spark, sf, "part").select(
+        F.concat(F.lit(" "), k.cast("string")).alias("code"), F.when(k % 3 > 0, F.lit("1998-06-01")).alias("date"), F.when(k % 4 > 0, F.col("p_name")).otherwise(" ").alias("name"),
+        (k * 1000).cast("double").alias("turnover_yen"), F.when(k % 2 == 0, (k % 16) / 4).alias("z_turnover_60"), ((k % 8) / 8).alias("turnover_ma_ratio_20"), ((k % 64) / 16).alias("price_change_pct"),
+    )
+    return g.select(F.trim("code").cast("long").alias("p_partkey"), rules.prompt_block(g).alias("block"))
 
 
 def q_history_eligibility(spark, sf):
@@ -572,10 +596,44 @@ def q_logical_digest(spark, sf):
 
 
 def q_reconcile(spark, sf):
-    """Last bars recomputed from lines against stored ones: which differ beyond the tolerance."""
-    b = calendar.at_run_date(tables.bars(spark, sf), RUN_DATE, ["code"]).select("code", "close")
-    stored = b.withColumn("stored", F.when(F.length("code") % 2 == 0, F.col("close") + 1).otherwise(F.col("close"))).drop("close")
-    return b.join(stored, "code").where(F.abs(F.col("close") - F.col("stored")) > 1e-6).select("code")
+    """Order totals recomputed from their lines against the stored ones: which differ beyond the tolerance, or are on one side only."""
+    price = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum(price).alias("total"))
+    return indicators.reconcile(table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("total")), lines, ["o_orderkey"], "total", 0.5).select("o_orderkey", "state")
+
+
+def q_missing_guard(spark, sf):
+    rs = indicators.relative_strength(calendar.with_asof(axis_of(spark, sf)))
+    return indicators.missing_guard(rs, [f"rs{t}" for t in indicators.RS_WINDOWS], 4, 1, 0.01).select("n_rows", "n_null", R6("ratio"), "too_many")
+
+
+def q_missing_shares(spark, sf):
+    """Share of missing values of each metric over all bars, and which are missing in more than half."""
+    rs = indicators.relative_strength(calendar.with_asof(axis_of(spark, sf)))
+    return indicators.missing_shares(rs, [f"rs{t}" for t in indicators.RS_WINDOWS], 0.2)
+
+
+def q_share_classes(spark, sf):
+    p = table(spark, sf, "part").select(F.concat(F.col("p_partkey").cast("string"), F.when(F.col("p_size") % 2 == 0, "0A").otherwise("")).alias("code"))
+    return universe.drop_share_classes(p)
+
+
+def q_title_novelty(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.concat(F.when(F.col("event_id") % 3 == 0, "（訂正）").when(F.col("event_id") % 3 == 1, "開示事項の経過 ").otherwise(""), "event_type").alias("title"))
+    return e.select("event_id", events.title_novelty(F.col("title")).alias("novelty"))
+
+
+def q_update_anomalies(spark, sf):
+    """Limits that a month's dictionary update breaks, as if orders were added aliases."""
+    o = table(spark, sf, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("o_orderstatus") != "P", 1.0).otherwise(0.0)).alias("ok"), F.avg(F.when(F.col("o_orderpriority") < "3", 1.0).otherwise(0.0)).alias("low"))
+    return o.select("month", F.array_join(rules.anomalies(F.col("n"), F.col("ok"), F.col("low")), ",").alias("broken"))
+
+
+def q_stream_windows(spark, sf):
+    """Events a day and type by a stream with windows."""
+    path = streaming.work_dir(spark, "windows")
+    counts = streaming.windowed_counts(arriving(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type")
+    return streaming.drained_latest(counts, ["start", "event_type"], path, complete=True).select(F.to_date("start").alias("d"), "event_type", "n")
 
 
 def q_events_daily(spark, sf):
@@ -606,7 +664,7 @@ def q_first_source(spark, sf):
 def q_dictionary_state(spark, sf):
     o = table(spark, sf, "orders").withColumn("d", day("o_orderdate"))
     old = o.where("d < '1996-01-01'").groupBy("o_custkey").agg(F.min("d").alias("first_seen"), F.max("d").alias("last_seen"), F.count(F.lit(1)).alias("seen_count"), F.array_sort(F.collect_set("o_orderpriority")).alias("sources"))
-    new = o.where("d between '1996-01-01' and '1996-12-31'").select("o_custkey", F.col("o_orderpriority").alias("source"))
+    new = o.where("d >= '1996-01-01'").select("o_custkey", F.col("o_orderpriority").alias("source"))
     return ops.dictionary_state(old, new, ["o_custkey"], "1997-01-01").withColumn("sources", F.array_join("sources", ","))
 
 
@@ -617,7 +675,7 @@ def q_favourites(spark, sf):
 
 def q_available_dates(spark, sf):
     o = table(spark, sf, "orders").select(day("o_orderdate").alias("d"))
-    return o.where("d < '1995-06-01'").union(o.where("d between '1995-05-01' and '1995-08-01'")).distinct().orderBy(F.desc("d"))
+    return o.where("d < '1995-06-01'").union(o.where("d >= '1995-05-01'")).distinct().orderBy(F.desc("d"))
 
 
 def arriving(spark, sf, name):
@@ -626,12 +684,10 @@ def arriving(spark, sf, name):
 
 
 def q_stream_first_seen(spark, sf):
-    """First event of each user and type, by a stream with bounded state."""
+    """The first event of each user and type by time: a running minimum, each change of which replaces the row before it."""
     path = streaming.work_dir(spark, "first-seen")
-    rows = arriving(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    kept = streaming.first_seen(rows, "ts", ["user_id", "event_type"], "60 days")
-    streaming.drain(kept, streaming.append_sink(f"{path}/out"), path)
-    return spark.read.parquet(f"{path}/out").select("user_id", "event_type").distinct()
+    firsts = streaming.first_events(arriving(spark, sf, "events").select("user_id", "event_type", "ts", "event_id", "value"), ["user_id", "event_type"], ["ts", "event_id"])
+    return streaming.drained_latest(firsts, ["user_id", "event_type"], path).select("user_id", "event_type", "event_id", "value")
 
 
 def q_stream_latest(spark, sf):
