@@ -62,7 +62,9 @@ def anchors(text: Column) -> Column:
         firsts = F.slice(s, F.lit(1), F.greatest(F.size(s) - (SPAN - 1), F.lit(0)))
         return F.array_compact(F.transform(firsts, lambda x, i: F.when(F.least(x, F.get(s, i + (SPAN - 1))) <= F.get(least16, i), kmer(x, i))))
 
-    return let(hashes, lambda s: let(lower(lower(lower(lower(s, 1), 2), 4), 8), lambda least16: closed(s, least16)))
+    # Each step is bound before the next one, which names it more than once.
+    wider = lambda a, by, then: let(lower(a, by), then)
+    return let(hashes, lambda s: wider(s, 1, lambda a: wider(a, 2, lambda b: wider(b, 4, lambda c: wider(c, 8, lambda least16: closed(s, least16))))))
 
 
 def distinct(found: Column, text: Column, n_chars: Column) -> Column:
