@@ -478,6 +478,19 @@ def test_near_duplicate_stage_decides_by_row(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, sure + either))
 
 
+def test_near_duplicate_and_packing_stages_take_columns_by_place(spark):
+    """Names that clash with each other, with the stage's own and with its key; maps and repeated rows."""
+    import corpus_pipeline
+
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, text, "kept", 5, {"a": 1}), (1, text, "also", 6, {"b": 2}), (2, text + " more", "gone", 7, None), (3, "other words here", "own", 8, {}), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, TEXT string, _key long, key map<string,int>")
+    got = corpus_pipeline.near_duplicate_stage(spark, df, SF)
+    assert got.columns == df.columns
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, (rows[1], rows[3], rows[4])))  # of equal rows the one whose other columns come first
+    assert corpus_pipeline.packing_stage(spark, df, SF).count() == len(rows)
+
+
 def test_columns_that_differ_in_case_alone(spark):
     df = spark.createDataFrame([(1, "one two three four five", 7, "x", "keep me", 2.5)], "doc_id long, text string, DOC_ID int, TEXT string, quality_score string, toxicity double")
     labels = spark.createDataFrame([(1, 1, 1, 0)], "doc_id long, quality int, toxic int, TOXIC int")
