@@ -2,6 +2,11 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 writes every stage's result in the shared folder and rereads it for the next.
+
+All stages read whole texts of any length, take ``doc_id`` and ``text`` by
+name and other columns of any name and type by place, and give an empty table
+for an empty one.  A stage that keeps rows gives back all their columns as
+they are; null texts count as empty and are judged as such.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngramjoin, packing, quality, toxicity
-from tidemark.llm.common import materialize, table
+from tidemark.llm.common import by_place, materialize, only, place_of, table
 from tidemark.llm.queries import vocab
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,24 +38,26 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     with several texts link by their texts as others do.  Of rows equal in id
     and text one stays; rows without a shingle set all stay.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
-    groups = ngramjoin.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"), width=5, num=80, den=100)
-    groups = groups.groupBy(F.col("doc_id").alias("_key")).agg(F.max("component_id").alias("c"), F.max("n_shingles").alias("k"), F.count(F.lit(1)).alias("n"))
-    ids = keyed.groupBy("_key").agg(F.min("doc_id").alias("id"))
-    groups = materialize(groups.where("k > 0").join(ids, "_key"), "near-groups")
-    first = F.struct(F.col("id").isNull(), "id", "_key")
-    shared = groups.groupBy("c").agg(F.min_by(F.struct("_key", "n"), first).alias("r"), F.sum("n").alias("rows")).where("rows > 1")
+    base, id_, text = by_place(docs), f"c{place_of(docs, 'doc_id')}", f"c{place_of(docs, 'text')}"
+    keyed = base.withColumn("key", F.xxhash64(F.col(id_).isNull(), id_, text))
+    groups = ngramjoin.jaccard_components(keyed.select(F.col("key").alias("doc_id"), F.col(text).alias("text")), width=5, num=80, den=100)
+    groups = groups.groupBy(F.col("doc_id").alias("key")).agg(F.max("component_id").alias("c"), F.max("n_shingles").alias("k"), F.count(F.lit(1)).alias("n"))
+    ids = keyed.groupBy("key").agg(F.min(id_).alias("id"))
+    groups = materialize(groups.where("k > 0").join(ids, "key"), "near-groups")
+    first = F.struct(F.col("id").isNull(), "id", "key")
+    shared = groups.groupBy("c").agg(F.min_by(F.struct("key", "n"), first).alias("r"), F.sum("n").alias("rows")).where("rows > 1")
     # The keys of groups of several rows; a group's least key is its name c.
-    grouped = groups.where("c <> _key").select("_key").unionByName(shared.select(F.col("c").alias("_key")))
-    stays = shared.select("r._key", (F.col("r.n") > 1).alias("_repeats"))
-    judged = grouped.join(stays, "_key", "left").select("_key", F.when(F.col("_repeats").isNull(), "goes").when(F.col("_repeats"), "once").otherwise("stays").alias("_fate"))
+    grouped = groups.where("c <> key").select("key").unionByName(shared.select(F.col("c").alias("key")))
+    stays = shared.select("r.key", (F.col("r.n") > 1).alias("repeats"))
+    judged = grouped.join(stays, "key", "left").select("key", F.when(F.col("repeats").isNull(), "goes").when(F.col("repeats"), "once").otherwise("stays").alias("fate"))
     judged = materialize(judged, "near-judged")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    free, met = split_by_keys(keyed, judged, "_key")
-    met = met.join(judged, "_key", "left")
-    once = met.where("_fate = 'once'").groupBy("_key", "doc_id", "text").agg(F.min(F.struct(F.lit(0), *others)).alias("r")).select("doc_id", "text", *[F.col("r")[c].alias(c) for c in others])
-    straight = met.where("_fate is null or _fate = 'stays'")
-    return free.select(*docs.columns).unionByName(straight.select(*docs.columns)).unionByName(once.select(*docs.columns))
+    free, met = split_by_keys(keyed, judged, "key")
+    met = met.join(judged, "key", "left")
+    rest = F.struct(F.lit(0).alias("none"), *[c for c in base.columns if c not in (id_, text)])
+    once = met.where("fate = 'once'").groupBy("key", id_, text).agg(F.min_by(rest, F.to_json(rest)).alias("r")).select(id_, text, "r.*")
+    straight = met.where("fate is null or fate = 'stays'")
+    parts = [p.select(*base.columns) for p in (free, straight, once)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).toDF(*docs.columns)
 
 
 def split_by_keys(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -80,7 +87,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    docs = only(table(spark, sf_dir, "documents"), *COLUMNS)
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
