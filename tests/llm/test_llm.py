@@ -283,6 +283,16 @@ def labelled(n=160, seed=0):
     return out
 
 
+def test_top_k_of_huge_components(spark):
+    """Finite components of any size: integers stay exact, scores beyond a long are the nearest one."""
+    top = (1 << 63) - 1
+    rows = [(0, [1e308]), (100, [1e10, 1.0]), (1, [1e10, 0.0]), (2, [-1e10, 0.0]), (3, [1e11, 0.0]), (4, [2.0, 1.0]), (5, [3e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = [(r["vec_id"], r["score"]) for r in topk.top_k(df).orderBy("rank").collect()]
+    assert got == [(5, top), (3, top), (1, top), (4, 1024 * 10**10 * 2048 + 1024 * 1024), (2, -top - 1)]
+    assert topk.top_k(df.limit(0)).count() == 0
+
+
 def test_toxicity_finds_unseen_forms(spark):
     data = labelled()
     df = docs_of(spark, [t for t, _ in data] + ODD)
@@ -300,7 +310,9 @@ def test_toxicity_reads_whole_unspaced_runs(spark):
     got = toxicity.steps(f"one {text} two")
     assert got[0] == "one" and got[-1] == "two" and all(len(p) <= toxicity.PIECE for p in got[1:-1])
     assert all(any(text[i : i + 5] in p for p in got) for i in range(len(text) - 4))
-    assert toxicity.steps("a " + "b" * 64 + " " + "-" * 100) == ["a", "b" * 64, "-" * 100]
+    # One frame for every run: no length at which a run is read otherwise.
+    assert toxicity.steps("a " + "b" * 16 + " " + "-" * 100) == ["a", "b" * 16, "-" * 100]
+    assert [len(toxicity.steps("b" * n)) for n in (16, 17, 24, 25, 64, 65)] == [1, 2, 2, 3, 7, 8]
     data = labelled()
     clean = [t.replace(" ", "_") for t, y in data if not y][:10]
     late = [t + "_" + "_".join(["zorglehij"] * 3) for t in clean]
@@ -311,6 +323,22 @@ def test_toxicity_reads_whole_unspaced_runs(spark):
     assert all(score[n + 10 + i] > max(0.5, score[n + i]) for i in range(10))
 
 
+def test_toxicity_reacts_in_unspaced_scripts_of_any_length(spark):
+    """A toxic tail of ideographs after 12 to 10,000 others: each length reacts, none without it does."""
+    import random
+
+    r = random.Random(3)
+    han = lambda k: "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(k))
+    bad = "".join(chr(0x9000 + i) for i in (7, 400, 33, 90, 250, 61, 5, 800))
+    data = [(han(r.randrange(8, 60)) + (bad if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(240)]
+    sizes = (12, 13, 20, 21, 22, 40, 64, 65, 300, 10_000)
+    df = docs_of(spark, [t for t, _ in data] + [han(k) + bad for k in sizes] + [han(k) for k in sizes])
+    labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(data)], "doc_id long, quality int, toxic int")
+    score = {r_["doc_id"]: r_["score"] for r_ in toxicity.classify(df, labels).collect()}
+    n, k = len(data), len(sizes)
+    assert [score[n + i] > 0.5 for i in range(k)] == [True] * k and [score[n + k + i] > 0.5 for i in range(k)] == [False] * k
+
+
 def plain_gru(net, x):
     """Bidirectional network over the rows of one window, word by word, in plain Python."""
     import math

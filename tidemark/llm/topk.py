@@ -15,17 +15,20 @@ block of a task is searched for the whole chunk, so the vectors are shuffled
 once, whatever the number of queries, and a task returns at most ``k`` rows a
 query.
 
-Vectors that are null or hold null or non-finite components take no part;
+Vectors that are null or hold null or non-finite components, also once scaled, take no part;
 shorter vectors count as padded with zeros (rows of similar length share an
 index, so one long vector widens no other).  Ties go to the smaller id.
 Repeated ids are separate candidates, equal rows too; a query skips every row
 with its own id.  Equal query rows are one query; an id with several vectors
 is one query for each, told apart by nothing in the result.  Null ids take no
-part.  An empty table gives no rows.
+part.  Integers of any size are exact within a task; a score beyond a long is
+given as the nearest long, and such scores of different tasks are ranked as
+floating-point numbers.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +40,7 @@ from pyspark.sql.window import Window
 from tidemark.llm.common import materialize, only
 
 LEVELS, QUANTA = 8, 255
+LONG = (1 << 63) - 1
 #: Most components of an indexed block (with its postings some 100 MB), most rows of a block, and most components of a broadcast query chunk (32 MB).
 BLOCK_VALUES, BLOCK_ROWS, CHUNK_VALUES = 1 << 22, 1 << 16, 1 << 22
 
@@ -50,7 +54,7 @@ class ImpactIndex:
         cuts = np.unique(np.linspace(0, n, LEVELS + 1).astype(np.int64))
         self.segments = []  # (dim, rows, values)
         low, high = [], []
-        for d in range(dims):
+        for d in range(dims if vectors.dtype != object else 0):
             order = np.argsort(vectors[:, d], kind="stable")
             col = vectors[order, d].astype(np.float64)
             for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -61,6 +65,13 @@ class ImpactIndex:
         self.low, self.high = np.array(low), np.array(high)
         self.starts = np.arange(0, len(low), len(cuts) - 1)
 
+    def scan(self, query: np.ndarray, k: int, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every row scored in Python integers: floats bound nothing once 53 bits do not hold the products."""
+        rest = np.setdiff1d(np.arange(len(self.ids)), same)
+        exact = np.array([sum(int(a) * int(b) for a, b in zip(row, query)) for row in self.vectors[rest]] + [None], dtype=object)[:-1]
+        best = best_of(self.ids[rest], exact, k)
+        return self.ids[rest[best]], exact[best]
+
     def search(self, query: np.ndarray, k: int, own: int, known: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact scores of the best ``k`` rows that have another id than ``own`` and may score ``known`` or more."""
         n, dims = self.vectors.shape
@@ -68,6 +79,8 @@ class ImpactIndex:
         want = min(k, n - len(same))
         if want <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if query.dtype == object or self.vectors.dtype == object:
+            return self.scan(query, k, same)
         w = query.astype(np.float64)[self.dim]
         a, b = w * self.low, w * self.high
         base = np.minimum.reduceat(np.minimum(a, b), self.starts) if dims else np.zeros(0)
@@ -112,6 +125,14 @@ class ImpactIndex:
         return self.ids[alive[best]], exact[best]
 
 
+def as_float(score: int) -> float:
+    """The nearest floating-point number, never in another order than the scores."""
+    try:
+        return float(score)
+    except OverflowError:
+        return math.inf if score > 0 else -math.inf
+
+
 def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` best: score descending, then id."""
     if scores.dtype == object:
@@ -128,7 +149,7 @@ def to_integers(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray, dims:
         mask = at < length[:, None]
         out[mask] = values[(offsets[:-1][rows][:, None] + at)[mask]]
     out = np.floor(scale * out)
-    if out.size and float(np.abs(out).max()) ** 2 * max(dims, 1) >= 2.0**53:
+    if out.size and float(np.abs(out).max()) * math.sqrt(max(dims, 1)) >= 2.0**26.5:  # a product of 53 bits
         return np.array([[int(x) for x in row] for row in out], dtype=object).reshape(out.shape)
     return out.astype(np.int64)
 
@@ -157,7 +178,7 @@ def fit_length(query: np.ndarray, dims: int) -> np.ndarray:
 def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """The ``k`` best partners of each row whose id ``every`` divides, against all rows."""
     spark = vectors.sparkSession
-    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x * scale) == float("inf"))
     rows = only(vectors, id_col, vec_col).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.exists("v", bad))
     queries = rows.where(F.col("id") % every == 0).distinct()
@@ -188,7 +209,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
                             best = best_of(a, b, k)
                             found[q] = a[best], b[best]
                             if len(best) == k:
-                                floor[q] = float(b[best[-1]])
+                                floor[q] = as_float(int(b[best[-1]]))
 
             held, n, size = [], 0, 0
             for batch in batches:
@@ -202,8 +223,8 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
             counts = [len(f[0]) for f in found]
             if sum(counts):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.arange(len(q_ids)), counts)), pa.array(np.repeat(q_ids, counts)), pa.array(np.concatenate([f[0] for f in found])), pa.array([int(x) for f in found for x in f[1]], pa.int64())],
-                    names=["q", "query_id", "vec_id", "score"],
+                    [pa.array(np.repeat(np.arange(len(q_ids)), counts)), pa.array(np.repeat(q_ids, counts)), pa.array(np.concatenate([f[0] for f in found])), pa.array([min(max(int(x), -LONG - 1), LONG) for f in found for x in f[1]], pa.int64()), pa.array([as_float(int(x)) for f in found for x in f[1]])],
+                    names=["q", "query_id", "vec_id", "score", "near"],
                 )
 
         return run
@@ -215,10 +236,10 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: int = 1024,
         order = np.lexsort((np.diff(offsets), ids))
         made = [to_integers(values, offsets, order[i : i + 1], int(np.diff(offsets)[order[i]]), scale)[0] for i in range(len(order))]
         sent = spark.sparkContext.broadcast((ids[order], made))  # about CHUNK_VALUES components
-        part = spread.mapInArrow(searcher(sent), "q long, query_id long, vec_id long, score long").withColumn("chunk", F.lit(c))
+        part = spread.mapInArrow(searcher(sent), "q long, query_id long, vec_id long, score long, near double").withColumn("chunk", F.lit(c))
         parts.append(part if chunks == 1 else materialize(part, f"top-chunk{c}"))
     part = parts[0]
     for p in parts[1:]:
         part = part.unionByName(p)
-    order = Window.partitionBy("chunk", "q", "query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    order = Window.partitionBy("chunk", "q", "query_id").orderBy(F.desc("near"), F.desc("score"), F.asc("vec_id"))
     return part.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -3,9 +3,11 @@
 Inputs of a word: a learned embedding of the (hashed) word, the mean of
 learned embeddings of its (hashed) character 4- and 5-grams, and prior
 features: how word and n-grams lean (log odds of document frequencies), the
-least, mean and largest lean of its n-grams, and its length.  A run of more
-than ``LONGEST`` bytes without white space is read as overlapping pieces of
-``PIECE`` characters, each an input like a word.  The network reads windows of
+least, mean and largest lean of its n-grams, and its length.  Every run of
+characters without white space is read through a frame of ``PIECE`` characters
+that moves by half of it, whatever its length and script: a run that fits is
+one input, a word, and a longer one (scripts without spaces) has an input for
+each place of the frame.  The network reads windows of
 ``WINDOW`` inputs that overlap by half, in both directions; attention pools
 the states of a window.  A document's score is the calibrated score of its
 strongest window; every window of every whole text is scored.
@@ -39,7 +41,7 @@ WINDOW, STRIDE, HIDDEN, ATTEND = 24, 12, 6, 6
 PRIORS, EMBED = 6, 4  # prior features; dimensions of each of the two embeddings
 INPUTS = PRIORS + 2 * EMBED
 WORD_BITS, GRAM_BITS = 17, 18
-LONGEST, PIECE, PIECE_STRIDE = 64, 16, 8
+PIECE, PIECE_STRIDE = 16, 8
 PUNCTUATION = ".,;:!?\"'()[]{}<>«»“”‘’…-–—*#$%&|"
 
 
@@ -48,10 +50,10 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def steps(text: str) -> list[str]:
-    """Words of a text; a longer run as pieces that overlap by half, so that every n-gram is inside a piece."""
+    """Words of a text; a run longer than the frame as pieces that overlap by half, so that every n-gram is inside a piece."""
     out = []
     for w in text.split():
-        if len(w) > PIECE and len(w.encode(errors="replace")) > LONGEST and len((core := w.strip(PUNCTUATION)).encode(errors="replace")) > LONGEST:
+        if len(w) > PIECE and len(core := w.strip(PUNCTUATION)) > PIECE:
             out += [core[i : i + PIECE] for i in range(0, len(core) - PIECE + PIECE_STRIDE, PIECE_STRIDE)]
         else:
             out.append(w)
