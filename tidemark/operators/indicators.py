@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.calendar import PAIR, anchored_return, pair_window, with_run_anchor
+from tidemark.operators.calendar import PAIR, anchored_return, pair_window, union_axis, with_asof, with_run_anchor
 
 RS_WINDOWS = (31, 63, 126, 252)
 
@@ -112,6 +112,38 @@ def sma_relative_strength(axis: DataFrame, window: int = 75, t: int = 31) -> Dat
     return rows.select(*PAIR, "date", (anchored_return("s", t, w) - anchored_return("b", t, w)).alias(f"rs_sma{window}"))
 
 
+def own_average(rows: DataFrame, key: str, window: int = 75) -> DataFrame:
+    """Average of the last ``window`` closes of a series' own rows, as its ``close``; rows with fewer, or a null among them, go."""
+    last = Window.partitionBy(key).orderBy("date").rowsBetween(-(window - 1), 0)
+    avg = F.when(F.count("close").over(last) == window, F.avg("close").over(last))
+    return rows.select(key, "date", avg.alias("close")).where("close is not null")
+
+
+def axis_day_metrics(bars: DataFrame, bench: DataFrame, axis: DataFrame, names: tuple[str, ...] = ("topix", "nikkei"), windows: tuple[int, ...] = RS_WINDOWS) -> DataFrame:
+    """Every metric of every instrument on each day of ``axis``; days without a bar have a row of nulls.
+
+    Turnover scores come from an instrument's own rows, relative strength, its
+    acceleration and that one's score from the union axis, and the averaged
+    relative strength from averages of each series' own rows, which form an
+    axis of their own.  Each is computed over the whole history and cut to the
+    axis (a list of sessions) before it moves; the cut rows meet by code and day.
+    """
+    days = axis.select("date").distinct()
+    on_axis = lambda df: df.join(F.broadcast(days), "date", "left_semi")
+    z = on_axis(turnover_metrics(bars)).select("code", "date", "z_turnover_60")
+    rs = rs_acceleration(relative_strength(with_asof(union_axis(bars, bench)), windows))
+    columns = [*[f"rs{t}" for t in windows], "rs_acceleration", "rs_acceleration_zscore"]
+    wide = lambda df, cs: df.groupBy("code", "date").agg(*[F.max(F.when(F.col("bench") == n, F.col(c))).alias(f"{c}_{n}") for n in names for c in cs])
+    rs = wide(on_axis(rs.where("stock_close is not null")), columns)
+    averages = union_axis(own_average(bars, "code"), own_average(bench, "bench"))
+    sma = relative_strength(with_asof(averages), (31,)).withColumnRenamed("rs31", "rs_sma75")
+    sma = wide(on_axis(sma), ["rs_sma75"])
+    every = bars.select("code").distinct().withColumn("date", F.explode(days.agg(F.collect_set("date").alias("d")).scalar()))
+    have = every.join(z.withColumn("_bar", F.lit(True)), ["code", "date"], "left").join(rs, ["code", "date"], "left").join(sma, ["code", "date"], "left")
+    held = [c for c in have.columns if c not in ("code", "date", "_bar")]
+    return have.select("code", "date", *[F.when(F.col("_bar"), F.col(c)).alias(c) for c in held])
+
+
 def lookback_eligible(axis: DataFrame, as_of: str, least: int = 105) -> DataFrame:
     """``code, bench, eligible``: whether both sides have ``least`` closes up to the as-of day."""
     seen = F.col("date") <= F.lit(as_of).cast("date")

@@ -139,6 +139,27 @@ STATUS = "CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed' ELSE
 ALIAS = "CASE p_partkey % 3 WHEN 0 THEN '東証P ' || p_name WHEN 1 THEN p_name || ' quote' ELSE left(p_brand, 4) END"
 
 
+def axis_days() -> str:
+    """All metrics of the last 60 sessions, each from its own rows or axis."""
+    names = ("topix", "nikkei")
+    cols = ("rs31", "rs63", "rs126", "rs252", "rs_acceleration", "rs_acceleration_zscore")
+    wide = ", ".join(f"round(max(CASE WHEN bench = '{n}' THEN {c} END), 6) AS {c}_{n}" for n in names for c in cols)
+    sma = ", ".join(f"round(max(CASE WHEN bench = '{n}' THEN sma END), 6) AS rs_sma75_{n}" for n in names)
+    over = "(PARTITION BY code, bench ORDER BY date ROWS 59 PRECEDING)"
+    avg = lambda key: f"CASE WHEN count(close) OVER (PARTITION BY {key} ORDER BY date ROWS 74 PRECEDING) = 75 THEN avg(close) OVER (PARTITION BY {key} ORDER BY date ROWS 74 PRECEDING) END"
+    return f"""WITH {TURN}, {ASOF[len(BARS) + 2:]},
+ r1 AS (SELECT code, bench, date, stock_close, {rs(31, 63, 126, 252)} FROM asof_), r2 AS (SELECT *, rs31 - rs252 AS rs_acceleration FROM r1),
+ r3 AS (SELECT *, CASE WHEN count(rs_acceleration) OVER {over} >= 42 AND stddev_samp(rs_acceleration) OVER {over} > 0 THEN (last_value(rs_acceleration IGNORE NULLS) OVER {over} - avg(rs_acceleration) OVER {over}) / stddev_samp(rs_acceleration) OVER {over} END AS rs_acceleration_zscore FROM r2),
+ wide AS (SELECT code, date, {wide} FROM r3 GROUP BY code, date),
+ ms AS (SELECT * FROM (SELECT code, date, {avg('code')} AS close FROM bars) WHERE close IS NOT NULL), mb AS (SELECT * FROM (SELECT bench, date, {avg('bench')} AS close FROM bench) WHERE close IS NOT NULL),
+ ma AS (SELECT code, bench, date, a.close AS x, b.close AS y FROM (SELECT code, bench, date, ms.close FROM ms, (SELECT DISTINCT bench FROM mb)) a FULL JOIN (SELECT code, bench, date, mb.close FROM mb, (SELECT DISTINCT code FROM ms)) b USING (code, bench, date)),
+ mf AS (SELECT code, bench, date, last_value(x IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING) AS s, last_value(y IGNORE NULLS) OVER ({W} ROWS UNBOUNDED PRECEDING) AS b FROM ma),
+ mr AS (SELECT code, bench, date, {ret('s', 31)} - {ret('b', 31)} AS sma FROM mf), msma AS (SELECT code, date, {sma} FROM mr GROUP BY code, date),
+ days AS (SELECT DISTINCT date FROM bench WHERE bench = 'topix' AND date <= {RUN} ORDER BY date DESC LIMIT 60), every AS (SELECT code, date FROM (SELECT DISTINCT code FROM bars), days)
+ SELECT every.code, every.date, round(turn2.z_turnover_60, 6) AS z_turnover_60, {", ".join(f"CASE WHEN turn2.code IS NOT NULL THEN {c}_{n} END AS {c}_{n}" for n in names for c in (*cols, "rs_sma75"))}
+ FROM every LEFT JOIN turn2 USING (code, date) LEFT JOIN wide USING (code, date) LEFT JOIN msma USING (code, date)"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "bars": f"WITH {BARS} SELECT * FROM bars",
@@ -262,6 +283,14 @@ def all_sql() -> dict[str, str]:
         "prompt_block": """SELECT p_partkey, '{"銘柄の基本情報":{"観測日":' || CASE WHEN p_partkey % 3 > 0 THEN '"1998-06-01"' ELSE 'null' END || ',"銘柄コード":"' || p_partkey || '","銘柄名":' || CASE WHEN p_partkey % 4 > 0 THEN '"' || p_name || '"' ELSE 'null' END
  || '},"当日の売買代金・値動きの指標":{"当日の売買代金（概算）":' || p_partkey * 1000 || ',"売買代金の異常度（過去60営業日基準のZスコア）":' || CASE WHEN p_partkey % 2 = 0 THEN CAST((p_partkey % 16) / 4 AS VARCHAR) ELSE 'null' END
  || ',"売買代金の平常比（過去60営業日平均に対して何倍か）":' || CAST((p_partkey % 8) / 8 AS VARCHAR) || ',"当日騰落率（前営業日終値比）":' || CAST((p_partkey % 64) / 16 AS VARCHAR) || ',"当日のローソク足形状":null}}' AS block FROM part""",
+        "axis_day_metrics": axis_days(),
+        "catalogue_snapshot": """WITH p AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 7 > 0 THEN CAST(p_size AS BIGINT) END AS size, CASE WHEN p_partkey % 5 > 0 THEN (p_partkey % 64) / 16 END AS share, p_partkey % 2 = 1 AS odd,
+ CASE WHEN p_partkey % 3 > 0 THEN p_brand || 'é' END AS label, CASE WHEN p_partkey % 4 > 0 THEN p_partkey / 8 END AS raw FROM part)
+SELECT CASE WHEN k < 1000 THEN lpad(CAST(k AS VARCHAR), 4, '0') ELSE CAST(k AS VARCHAR) END AS instrument_code, size, share, odd, label, raw,
+ concat_ws(',', CASE WHEN size IS NULL THEN 'size' END, CASE WHEN share IS NULL AND k % 2 = 1 THEN 'share' END, CASE WHEN label IS NULL THEN 'label' END, CASE WHEN raw IS NULL THEN 'raw' END) AS missing_metrics,
+ CASE WHEN share IS NULL AND k % 2 = 0 THEN 'share' ELSE '' END AS non_finite_metrics,
+ length('{"size":,"share":,"odd":,"label":,"raw":}' || coalesce(CAST(size AS VARCHAR), 'null') || coalesce(CAST(share AS VARCHAR), 'null') || CAST(odd AS VARCHAR) || coalesce('"' || label || '"', 'null') || coalesce(CAST(raw AS VARCHAR), 'null')) AS n,
+ sha256('{"members":[{"metric_key":"size","value_type":"int"},{"metric_key":"share","value_type":"float"},{"metric_key":"odd","value_type":"bool"},{"metric_key":"label","value_type":"string"},{"metric_key":"raw","value_type":"float"}],"set_family":"parts"}') AS fingerprint FROM p""",
         "missing_guard": f"WITH {ASOF}, rs AS (SELECT {rs(31, 63, 126, 252)} FROM asof_), m AS (SELECT count(*) AS n_rows, 4 * count(*) - count(rs31) - count(rs63) - count(rs126) - count(rs252) AS n_null FROM rs) SELECT *, round(n_null / (11 * n_rows), 6) AS ratio, n_null / (11 * n_rows) > 0.01 AS too_many FROM m",
         "missing_shares": f"WITH {ASOF}, rs AS (SELECT {rs(31, 63, 126, 252)} FROM asof_), m AS (" + " UNION ALL ".join(f"SELECT 'rs{t}' AS metric, count(*) AS n_rows, count(*) - count(rs{t}) AS n_missing FROM rs" for t in (31, 63, 126, 252)) + ") SELECT *, round(n_missing / n_rows, 6) AS share, n_missing / n_rows > 0.2 AS too_many FROM m",
         "share_classes": "SELECT * FROM (SELECT p_partkey || CASE WHEN p_size % 2 = 0 THEN '0A' ELSE '' END AS code FROM part) WHERE length(replace(code, 'A', '')) < 5",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import html, text
-from tidemark.operators import calendar, candles, derived, events, grid, indicators, ops, rules, universe
+from tidemark.operators import calendar, candles, catalogue, derived, events, grid, indicators, ops, rules, universe
 from tidemark.sources import tables
 from tidemark.sources.tables import table
 from tidemark.streaming import events as streaming
@@ -515,6 +515,30 @@ def q_axis_metrics(spark, sf):
     return calendar.trailing_axis(rs, tables.sessions(ref, RUN_DATE, 60)).select("code", "bench", "date", *[R6(f"rs{t}") for t in indicators.RS_WINDOWS])
 
 
+def q_axis_day_metrics(spark, sf):
+    """Turnover score, four relative strengths, acceleration, its score and averaged strength on each of the last 60 sessions, for both benchmarks."""
+    b, ref = tables.bars(spark, sf), tables.benches(spark, sf)
+    got = indicators.axis_day_metrics(b, ref, tables.sessions(ref.where("bench = 'topix'"), RUN_DATE, 60))
+    return got.select("code", "date", *[R6(c) for c in got.columns if c not in ("code", "date")])
+
+
+CATALOGUE = [{"metric_key": k, "value_type": t} for k, t in (("size", "int"), ("share", "float"), ("odd", "bool"), ("label", "string"), ("raw", "float"))]
+
+
+def q_catalogue_snapshot(spark, sf):
+    """Parts as a snapshot of a metric set: typed values, flags in catalogue order, and the set's fingerprint."""
+    k = F.col("p_partkey")
+    p = table(spark, sf, "part").select(
+        k.cast("string").alias("code"), F.when(k % 7 > 0, F.col("p_size").cast("double")).alias("size"), F.when(k % 5 > 0, (k % 64) / 16).when(k % 2 == 0, F.lit(float("inf"))).alias("share"),
+        (k % 2 == 1).alias("odd"), F.when(k % 3 > 0, F.concat("p_brand", F.lit("e\u0301"))).alias("label"), F.when(k % 4 == 0, "x").otherwise((k / 8).cast("string")).alias("raw"), F.lit(1).alias("other"),
+    )
+    got = catalogue.snapshot(p, CATALOGUE)
+    js = catalogue.snapshot_json(got, CATALOGUE)
+    out = got.join(js, "instrument_code")
+    flags = lambda f: F.array_join(F.col(f"_flags.{f}"), ",").alias(f)
+    return out.select("instrument_code", "size", "share", "odd", "label", "raw", flags("missing_metrics"), flags("non_finite_metrics"), F.length("values_json").cast("long").alias("n"), F.lit(catalogue.set_fingerprint("parts", CATALOGUE)).alias("fingerprint"))
+
+
 def q_patched_key(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("universe-patched-"), "o_orderpriority", F.lit("-"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("key"))
     tag, date = text.patched_key(F.col("key"))

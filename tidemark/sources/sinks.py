@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def write_partitioned(df: DataFrame, path: str, by: str, dimension: list[str] | None = None) -> None:
-    """One folder per value of ``by``, files sized by rows of a value; ``dimension`` reports values without rows."""
-    df.repartition(by).write.mode("overwrite").partitionBy(by).parquet(path)
+    """One folder per value of ``by``; a value with many rows is written by many tasks; ``dimension`` reports values without rows."""
+    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
     if dimension is not None:
         have = df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"))
         want = df.sparkSession.createDataFrame([(d,) for d in dimension], f"{by} string")
@@ -26,9 +26,7 @@ def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
 
 def write_snapshot(df: DataFrame, path: str, trade_date: str) -> None:
     """Replace one trade date's partition of a snapshot table."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.withColumn("trade_date", F.lit(trade_date).cast("date")).write.mode("overwrite").partitionBy("trade_date").parquet(path)
+    df.withColumn("trade_date", F.lit(trade_date).cast("date")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").parquet(path)
 
 
 def put_create_only(df: DataFrame, path: str) -> None:

@@ -33,9 +33,14 @@ def session_date(c: Column, zone: str = "Asia/Tokyo") -> Column:
     return F.when(F.length(text) <= 10, F.try_to_date(text)).otherwise(F.to_date(F.from_utc_timestamp(F.try_to_timestamp(text), zone)))
 
 
+def line_order() -> Column:
+    """Order of the lines of text files: by file name, then place in the file, whatever the splits of the scan."""
+    return F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n"))
+
+
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
     """OHLCV CSV files, one per instrument (the file name is the code); the last row of a date wins."""
-    raw = spark.read.schema(BARS).option("header", True).option("enforceSchema", True).csv(path).withColumn("_f", F.col("_metadata.file_name")).withColumn("_o", F.monotonically_increasing_id())
+    raw = spark.read.schema(BARS).option("header", True).option("enforceSchema", True).csv(path).withColumn("_f", F.col("_metadata.file_name")).withColumn("_o", line_order())
     rows = raw.select(F.regexp_extract("_f", r"^(.*)\.csv", 1).alias("code"), session_date(F.col("date")).alias("date"), "open", "high", "low", "close", "volume", "_o")
     return nan_to_null(keep_last(rows.where("date is not null"), ["code", "date"], "_o").drop("_o"))
 
@@ -55,7 +60,7 @@ def read_manifest(spark: SparkSession, path: str, prefer: str = "symbol") -> Dat
     """Fetch manifest JSONL: corrupt lines are skipped, the last line of a key wins."""
     raw = spark.read.schema(T.StructType([*MANIFEST.fields, T.StructField("_corrupt", T.StringType())])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
     other = "code" if prefer == "symbol" else "symbol"
-    rows = raw.where("_corrupt is null").drop("_corrupt").withColumn("_o", F.monotonically_increasing_id()).withColumn("key", F.coalesce(prefer, other))
+    rows = raw.withColumn("_o", line_order()).where("_corrupt is null").drop("_corrupt").withColumn("key", F.coalesce(prefer, other))
     return keep_last(rows.where("key is not null"), ["key"], "_o").drop("_o")
 
 
