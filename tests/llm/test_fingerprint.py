@@ -11,7 +11,7 @@ pytest.importorskip("tidemark.llm")
 import xxhash  # noqa: E402
 
 from tidemark.llm import fingerprint  # noqa: E402
-from tidemark.llm.fingerprint import SLACK, TOP, K, S  # noqa: E402
+from tidemark.llm.fingerprint import COUNT, HASH, PLACE, SLACK, K, S  # noqa: E402
 
 M64 = (1 << 64) - 1
 
@@ -30,32 +30,35 @@ def twin_anchors(text):
     for i in range(len(text) - K + 1):
         inner = s[i : i + K - S + 1]
         if min(inner) in (inner[0], inner[-1]):
-            out.append((spark_hash(*inner[::S]) & TOP, i))
+            out.append((spark_hash(*inner[::S]) >> HASH + 1, i))
     return out
 
 
 def twin(text):
-    """All anchors: each hash once, with its first place and its count."""
+    """All anchors: each hash once, with its first place and the power of two below its count."""
     if not text:
         return []
     found = twin_anchors(text)
-    times, first = Counter(h for h, _ in found), {h: p for h, p in reversed(found)}
-    return sorted((h, p, times[h]) for h, p in first.items()) or [(spark_hash(text) & TOP, 0, 1)]
+    times, first = Counter(h for h, _ in found), {}
+    for h, p in found:
+        first[h] = min(first.get(h, PLACE), p & PLACE)
+    return sorted((h, p, times[h].bit_length() - 1) for h, p in first.items()) or [(spark_hash(text) >> HASH + 1, 0, 0)]
 
 
 def twin_likeness(a, b):
     if not a or not b:
         return float(not a and not b)
-    x, y = {h: (p, n) for h, p, n in a}, {h: (p, n) for h, p, n in b}
-    met = sorted((y[h][0] - x[h][0], min(x[h][1], y[h][1])) for h in x if h in y)
+    x, y = {h: (p, 1 << n) for h, p, n in a}, {h: (p, 1 << n) for h, p, n in b}
+    half = PLACE >> 1
+    met = sorted(((y[h][0] - x[h][0] + half) % (PLACE + 1) - half, min(x[h][1], y[h][1])) for h in x if h in y)
     if not met:
         return 0.0
     mid, common = met[len(met) // 2][0], sum(m for _, m in met)
-    return sum(m if abs(s - mid) <= SLACK else m / 2 for s, m in met) / (sum(n for _, _, n in (*a, *b)) - common)
+    return sum(m if abs(s - mid) <= SLACK else m / 2 for s, m in met) / (sum(n for d in (x, y) for _, n in d.values()) - common)
 
 
 def as_text(a):
-    return ",".join(f"{h:x}:{p:x}" + (f"x{n}" if n > 1 else "") for h, p, n in a)
+    return ",".join(f"{h << HASH | n << COUNT | p << 1:x}" for h, p, n in a)
 
 
 def texts():
@@ -92,7 +95,7 @@ def test_repetitive_texts_are_alike_by_common_anchors_alone(spark, unit):
 def test_half_of_a_text_in_common(spark):
     r = np.random.default_rng(1)
     text = lambda n: " ".join("".join(r.choice(list("abcdefghij"), 5)) for _ in range(n))
-    df = spark.createDataFrame([(i, text(n)) for i, n in enumerate((12, 40, 90, 300, 3000, 12, 40))], "doc_id long, text string")
+    df = spark.createDataFrame([(i, text(n)) for i, n in enumerate((20, 40, 90, 300, 3000, 20, 40))], "doc_id long, text string")
     for row in fingerprint.fingerprint(df).collect():
         assert row["near_edited"] > 0.05 and row["near_next"] == 0.0, row["doc_id"]
 

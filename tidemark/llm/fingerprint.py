@@ -7,16 +7,19 @@ only anchors within ``K`` characters of it, in spaced and unspaced scripts
 alike, and every run of ``2 * K - S - 1`` characters that two texts share
 gives at least one common anchor.
 
-A fingerprint lists every distinct anchor (63-bit hash) with its first place
-and its number of occurrences, by hash.  Nothing else decides which: neither
-the length of the text nor its other anchors.  So texts that share a run of
-that length have an anchor in common, and a phrase repeated a thousand times
-is a few entries that count a thousand.
-
-Likeness of two fingerprints: of all occurrences (the union of both
-multisets) the share found in both; those of anchors whose first places do
-not agree with the median shift to within ``SLACK`` characters (a phrase that
-moved) count one half.  Without a common anchor it is 0.0.
+A fingerprint lists every distinct anchor, by hash: 39 bits of its hash, how
+often it occurs (as a power of two, rounded down) and its first place (modulo
+2^18), in one long.  Nothing else decides which: neither the length of the
+text nor its other anchors.  So texts that share a run of that length have an
+anchor in common, and a phrase repeated a thousand times is a few entries that
+weigh a thousand.
+
+Likeness of two fingerprints: of the weight of all anchors (of those in both
+the larger one) the share that is in both (the lesser one); anchors whose
+first places do not agree with the median shift to within ``SLACK``
+characters (a phrase that moved) count one half.  Without a common anchor it
+is 0.0; two different texts can only seem to have one if 39 bits of two
+hashes are equal.
 
 Nulls count as empty.  A text without an anchor (always, below ``K``
 characters) has one, the whole text; an empty text has an empty fingerprint,
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,13 +40,14 @@ from pyspark.sql.window import Window
 
 from tidemark.llm.common import only
 
-K, S = 20, 4
-SPAN = K - S + 1  # inner substrings of a k-mer; the sliding minimum below is written for 17
+K, S = 28, 4
+SPAN = K - S + 1  # inner substrings of a k-mer
 SLACK = 48
 TOP = (1 << 63) - 1
+#: An entry of a fingerprint: hash << 24 | log2(count) << 19 | place << 1 | side (0; 1 while two are compared).
+HASH, COUNT, PLACE = 24, 19, (1 << 18) - 1
 #: Documents a bucket of neighbouring ids holds at most about; more than this many buckets are never made.
 BUCKET_ROWS, MOST_BUCKETS = 2_000, 20_000
-COUNTED = "array<struct<h:bigint,p:int,n:int>>"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -51,59 +56,85 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def anchors(text: Column) -> Column:
-    """array<struct<h bigint, p int>>: every anchor of the text, in text order; empty below ``K`` characters."""
+    """array<struct<h bigint, p int>>: every anchor of the text (39-bit hash of the k-mer, place), in text order; empty below ``K`` characters."""
     grams = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{S}}}))."), F.lit(1))
     hashes = F.transform(grams, lambda g: F.xxhash64(g))
+
     lower = lambda a, by: F.zip_with(a, F.slice(a, F.lit(by + 1), F.greatest(F.size(a) - by, F.lit(0))), lambda x, y: F.least(x, y))
 
-    def closed(s: Column, least16: Column) -> Column:
-        # An anchor's hash covers its whole k-mer. ``least16`` covers places i .. i + 15 of a k-mer, so it is at most the first.
-        kmer = lambda x, i: F.struct(F.xxhash64(x, *[F.get(s, i + j) for j in range(S, K, S)]).bitwiseAND(F.lit(TOP)).alias("h"), i.cast("int").alias("p"))
-        firsts = F.slice(s, F.lit(1), F.greatest(F.size(s) - (SPAN - 1), F.lit(0)))
-        return F.array_compact(F.transform(firsts, lambda x, i: F.when(F.least(x, F.get(s, i + (SPAN - 1))) <= F.get(least16, i), kmer(x, i))))
+    def closed(s: Column, least8: Column) -> Column:
+        n = F.greatest(F.size(s) - (SPAN - 1), F.lit(0))
+        edges = F.zip_with(F.slice(s, F.lit(1), n), F.slice(s, F.lit(SPAN), n), lambda x, y: F.least(x, y))
+
+        def anchor(edge: Column, i: Column) -> Column:
+            # ``least8`` is the least of eight neighbours; three of them cover all but the last place, and most k-mers fail at the first.
+            least = (edge <= F.get(least8, i + 8)) & (edge <= F.get(least8, i + 16)) & (edge <= F.get(least8, i))
+            whole = F.xxhash64(*[F.get(s, i + j) for j in range(0, K, S)])
+            return F.when(least, F.struct(F.shiftrightunsigned(whole, HASH + 1).alias("h"), i.cast("int").alias("p")))
+
+        return F.array_compact(F.transform(edges, anchor))
 
     # Each step is bound before the next one, which names it more than once.
-    wider = lambda a, by, then: let(lower(a, by), then)
-    return let(hashes, lambda s: wider(s, 1, lambda a: wider(a, 2, lambda b: wider(b, 4, lambda c: wider(c, 8, lambda least16: closed(s, least16))))))
+    return let(hashes, lambda s: let(lower(s, 1), lambda a: let(lower(a, 2), lambda b: let(lower(b, 4), lambda least8: closed(s, least8)))))
+
+
+def entry(h: Column, p: Column) -> Column:
+    return F.shiftleft(h, HASH) + F.shiftleft(p.bitwiseAND(F.lit(PLACE)), 1)
+
+
+def hash_of(x: Column) -> Column:
+    return F.shiftright(x, HASH)
+
+
+def entries(found: Column, by: Column | int = 0) -> Column:
+    """Anchors as entries, moved by some places."""
+    return F.transform(found, lambda x: entry(x["h"], (x["p"] + by).cast("long")))
 
 
 def distinct(found: Column, text: Column, n_chars: Column) -> Column:
-    """The fingerprint out of all anchors: each hash once, with first place and count, by hash; without any anchor, the whole text."""
-    whole = F.array(F.struct(F.xxhash64(text).bitwiseAND(F.lit(TOP)).alias("h"), F.lit(0).alias("p"), F.lit(1).alias("n")))
-    starts = lambda c: F.array_compact(F.transform(c, lambda x, i: F.when((i == 0) | (F.get(c, i - 1)["h"] != x["h"]), F.struct(x["h"].alias("h"), x["p"].alias("p"), i.alias("i")))))
-    counted = lambda c, f: F.transform(f, lambda x, j: F.struct(x["h"].alias("h"), x["p"].alias("p"), (F.coalesce(F.get(f, j + 1)["i"], F.size(c)) - x["i"]).alias("n")))
-    firsts = let(F.array_sort(found), lambda c: let(starts(c), lambda f: counted(c, f)))
-    return F.when(n_chars == 0, F.array().cast(COUNTED)).when(F.size(found) == 0, whole).otherwise(firsts)
+    """The fingerprint out of all anchors' entries: one per hash, at its first place, by hash; without any anchor, the whole text.
+
+    Entries come in any order and sort as longs.  Among equal hashes the least place modulo 2^18
+    comes first, which is the first place in texts of up to that length.
+    """
+    whole = F.array(entry(F.shiftrightunsigned(F.xxhash64(text), HASH + 1), F.lit(0).cast("long")))
+    starts = lambda c: F.array_compact(F.transform(c, lambda x, i: F.when((i == 0) | (hash_of(F.get(c, i - 1)) != hash_of(x)), i)))
+    times = lambda n: F.when(n == 1, F.lit(0)).otherwise(F.floor(F.log2(n.cast("double")))).cast("long")
+    counted = lambda c, f: F.transform(f, lambda i, j: F.get(c, i) + F.shiftleft(times(F.coalesce(F.get(f, j + 1), F.size(c)) - i), COUNT))
+    some = let(F.array_sort(found), lambda c: let(starts(c), lambda f: counted(c, f)))
+    return F.when(n_chars == 0, F.array().cast("array<bigint>")).when(F.size(found) == 0, whole).otherwise(some)
 
 
 def as_text(a: Column) -> Column:
-    """``hash:position`` in hexadecimal, and ``xcount`` where it is not 1, comma-joined."""
-    times = lambda x: F.when(x["n"] > 1, F.concat(F.lit("x"), x["n"].cast("string"))).otherwise("")
-    return F.lower(F.array_join(F.transform(a, lambda x: F.concat(F.hex(x["h"]), F.lit(":"), F.hex(x["p"]), times(x))), ","))
+    """Entries in hexadecimal, comma-joined."""
+    return F.lower(F.array_join(F.transform(a, lambda x: F.hex(x)), ","))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of occurrences that two fingerprints have in common (0 to 1), those at disagreeing places by half.
+    """Share of the weight of two fingerprints that they have in common (0 to 1), anchors at disagreeing places by half.
 
     Both are in order of hash, so sorting them together is a merge; a hash in
     both meets as neighbours.
     """
-    side = lambda x, k, sign: F.transform(x, lambda e: F.struct(e["h"].alias("h"), F.lit(k).alias("k"), (e["p"] * sign).alias("p"), e["n"].alias("n")))
+    weight = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, COUNT).bitwiseAND(F.lit(31)).cast("int"))
+    place = lambda x: F.shiftright(x, 1).bitwiseAND(F.lit(PLACE))
     total = lambda xs, of: F.aggregate(xs, F.lit(0).cast("long"), lambda t, x: t + of(x))
+    # The shift from the first text to the second, modulo 2^18, around 0.
+    ahead = lambda x, y: F.pmod(F.when(x.bitwiseAND(F.lit(1)) == 0, place(y) - place(x)).otherwise(place(x) - place(y)) + (PLACE >> 1), F.lit(PLACE + 1)) - (PLACE >> 1)
 
     def score(c: Column) -> Column:
-        pair = lambda x, y: F.struct((y["p"] + x["p"]).alias("s"), F.least(x["n"], y["n"]).alias("m"))
-        met = F.array_sort(F.array_compact(F.transform(c, lambda x, i: F.when(F.get(c, i + 1)["h"] == x["h"], pair(x, F.get(c, i + 1))))))
+        pair = lambda x, y: F.struct(ahead(x, y).alias("s"), F.least(weight(x), weight(y)).alias("m"))
+        met = F.array_sort(F.array_compact(F.transform(c, lambda x, i: F.when(hash_of(F.get(c, i + 1)) == hash_of(x), pair(x, F.get(c, i + 1))))))
 
         def agreed(d: Column) -> Column:
             mid = F.get(d, F.floor(F.size(d) / 2).cast("int"))["s"]
             twice = total(d, lambda x: F.when(F.abs(x["s"] - mid) <= SLACK, x["m"] * 2).otherwise(x["m"]))
-            share = twice / 2 / (total(c, lambda x: x["n"]) - total(d, lambda x: x["m"]))
+            share = twice / 2 / (total(c, weight) - total(d, lambda x: x["m"]))
             return F.when(F.size(d) == 0, F.lit(0.0)).otherwise(share)
 
         return let(met, agreed)
 
-    both = F.array_sort(F.concat(side(a, 0, -1), side(b, 1, 1)))
+    both = F.array_sort(F.concat(a, F.transform(b, lambda x: x + 1)))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(let(both, score))
 
 
@@ -175,13 +206,12 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     either part, plus the few across the joint.
     """
     own = only(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(own, lambda r: r.withColumns({"found": anchors(F.col("text")), "n": F.length("text")}).withColumn("fp", distinct(F.col("found"), F.col("text"), F.col("n"))), ["text", "found", "n", "fp"])
+    rows = with_next(own, lambda r: r.withColumns({"found": anchors(F.col("text")), "n": F.length("text")}).withColumn("fp", distinct(entries(F.col("found")), F.col("text"), F.col("n"))), ["text", "found", "n", "fp"])
     half = F.floor(F.col("n") / 2).cast("int")
     rows = rows.withColumns({"keep": F.col("n") - half, "take": F.least(half, F.col("next")["n"])})
     text, after = F.col("text"), F.col("next")["text"]
     rows = rows.withColumn("edited", F.concat(F.substring(text, F.lit(1), F.col("keep")), F.substring(after, F.lit(1), F.col("take"))))
     inside = lambda a, end: F.filter(a, lambda x: x["p"] <= end - K)
-    moved = lambda a, by: F.transform(a, lambda x: F.struct(x["h"].alias("h"), (x["p"] + by).cast("int").alias("p")))
     from_ = F.greatest(F.col("keep") - (K - 1), F.lit(0))
     joint = F.concat(F.substring(text, from_ + 1, F.col("keep") - from_), F.substring(after, F.lit(1), F.least(F.col("take"), F.lit(K - 1))))
     rows = rows.select(
@@ -190,7 +220,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         "fp",
         F.col("next")["fp"].alias("next_fp"),
-        distinct(F.concat(inside(F.col("found"), F.col("keep")), moved(anchors(joint), from_), moved(inside(F.col("next")["found"], F.col("take")), F.col("keep"))), F.col("edited"), F.col("keep") + F.col("take")).alias("edited_fp"),
+        distinct(F.concat(entries(inside(F.col("found"), F.col("keep"))), entries(anchors(joint), from_), entries(inside(F.col("next")["found"], F.col("take")), F.col("keep"))), F.col("edited"), F.col("keep") + F.col("take")).alias("edited_fp"),
     )
     return rows.select(
         "doc_id",
