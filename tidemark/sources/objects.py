@@ -143,7 +143,7 @@ def series_objects(series: DataFrame, key: str, date: str, metrics: list[str], p
 
 
 def scan_objects(spark: SparkSession, folder: str) -> DataFrame:
-    """``key, size_bytes, sha256`` of every object under ``folder``; the manifest and hidden files do not count."""
+    """``key, size_bytes, sha256`` of every object under ``folder``; the manifest, hidden and empty files do not count (no object is empty)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!_.]*").load(folder)
     key = F.regexp_replace(F.substring_index("path", urlparse(folder).path.rstrip("/"), -1), "^/+", "")
     return files.select(key.alias("key"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")).where(F.col("key") != MANIFEST)
