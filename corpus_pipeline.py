@@ -19,15 +19,26 @@ from tidemark.llm.common import by_place, materialize, only, place_of, table
 from tidemark.llm.queries import vocab
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Rows of a batch between Spark and a Python worker: texts are long, and batches wait on both sides.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what executors hold beside their heap; a smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-label scorer keeps."""
+    small_batches(spark)
     return quality.kept(docs)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5 by the window network."""
+    small_batches(spark)
     return toxicity.kept(docs, table(spark, sf_dir, "labels"))
 
 
@@ -38,6 +49,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     with several texts link by their texts as others do.  Of rows equal in id
     and text one stays; rows without a shingle set all stay.
     """
+    small_batches(spark)
     base, id_, text = by_place(docs), f"c{place_of(docs, 'doc_id')}", f"c{place_of(docs, 'text')}"
     keyed = base.withColumn("key", F.xxhash64(F.col(id_).isNull(), id_, text))
     groups = ngramjoin.jaccard_components(keyed.select(F.col("key").alias("doc_id"), F.col(text).alias("text")), width=5, num=80, den=100)
@@ -77,6 +89,7 @@ def split_by_keys(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens."""
+    small_batches(spark)
     return packing.pack(docs, vocab("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
