@@ -55,6 +55,15 @@ def rs_acceleration(rs: DataFrame, n: int = 60) -> DataFrame:
     return rows.withColumn("rs_acceleration_zscore", F.when((F.count(a).over(last) >= least_samples(n)) & (sd > 0), z))
 
 
+def acceleration_at(rs: DataFrame, run_date: str, n: int = 60) -> DataFrame:
+    """``rs_acceleration`` and its z-score at each pair's last axis row not after the run date: one aggregate of the ``n`` rows that end there, no sliding frames."""
+    rows = with_run_anchor(rs.select(*PAIR, "date", "pos", (F.col("rs31") - F.col("rs252")).alias("a")), run_date)
+    last = rows.where((F.col("pos") > F.col("p") - n) & (F.col("pos") <= F.col("p")))
+    agg = last.groupBy(*PAIR).agg(F.count("a").alias("k"), F.avg("a").alias("m"), F.stddev_samp("a").alias("sd"), F.max_by("a", F.when(F.col("a").isNotNull(), F.col("pos"))).alias("now"), F.max(F.when(F.col("pos") == F.col("p"), F.col("a"))).alias("rs_acceleration"))
+    z = F.when((F.col("k") >= least_samples(n)) & (F.col("sd") > 0), (F.col("now") - F.col("m")) / F.col("sd"))
+    return agg.select(*PAIR, "rs_acceleration", z.alias("rs_acceleration_zscore"))
+
+
 def slice_returns(axis: DataFrame, run_date: str, first: int, last: int) -> DataFrame:
     """Paired returns inside the axis slice ``p - first .. p - last``; filling and differencing never look outside it."""
     cut = with_run_anchor(axis, run_date).where((F.col("pos") >= F.col("p") - first) & (F.col("pos") <= F.col("p") - last))

@@ -41,7 +41,7 @@ def q_asof_close(spark, sf):
 
 
 def q_relative_strength(spark, sf):
-    rs = indicators.relative_strength(calendar.with_asof(axis_of(spark, sf)))
+    rs = indicators.relative_strength(calendar.with_asof(axis_of(spark, sf))).select("code", "bench", "date", *[f"rs{t}" for t in indicators.RS_WINDOWS])
     last = calendar.at_run_date(rs, RUN_DATE, ["code", "bench"])
     return last.select("code", "bench", "date", *[R6(f"rs{t}") for t in indicators.RS_WINDOWS])
 
@@ -52,8 +52,7 @@ def q_rs_series(spark, sf):
 
 
 def q_rs_acceleration(spark, sf):
-    rs = indicators.rs_acceleration(indicators.relative_strength(calendar.with_asof(axis_of(spark, sf)), (31, 252)))
-    last = calendar.at_run_date(rs, RUN_DATE, ["code", "bench"])
+    last = indicators.acceleration_at(indicators.relative_strength(calendar.with_asof(axis_of(spark, sf)), (31, 252)), RUN_DATE)
     return last.select("code", "bench", R6("rs_acceleration"), R6("rs_acceleration_zscore"))
 
 
@@ -84,11 +83,14 @@ def q_perfect_order(spark, sf):
 def q_indicator_grid(spark, sf):
     """Flagship: turnover and relative strength per instrument at the run date, in one sorted grid."""
     b, ref = tables.bars(spark, sf), tables.benches(spark, sf)
-    rs = indicators.rs_acceleration(indicators.relative_strength(calendar.with_asof(calendar.union_axis(b, ref))))
-    last = calendar.at_run_date(rs, RUN_DATE, ["code", "bench"])
+    # Only what the grid shows goes through the windows and to the run date's row.
+    rs = indicators.relative_strength(calendar.with_asof(calendar.union_axis(b, ref))).select("code", "bench", "date", *[f"rs{t}" for t in indicators.RS_WINDOWS])
+    last = calendar.at_run_date(rs, RUN_DATE, ["code", "bench"]).withColumn("rs_acceleration", F.col("rs31") - F.col("rs252"))
     wide = last.groupBy("code").agg(*[F.round(F.max(F.when(F.col("bench") == n, F.col(c))), 6).alias(f"{c}_{n}") for n in ("topix", "nikkei") for c in ("rs31", "rs63", "rs126", "rs252", "rs_acceleration")])
-    z = calendar.at_run_date(indicators.turnover_metrics(b), RUN_DATE, ["code"]).select("code", R6("z_turnover_60"), R6("turnover_ma_ratio_60"), R6("price_change_pct"))
-    return grid.sort_null_last(z.join(wide, "code"), "z_turnover_60", True, "code")
+    z = indicators.turnover_metrics(b).select("code", "date", "z_turnover_60", "turnover_ma_ratio_60", "price_change_pct")
+    z = calendar.at_run_date(z, RUN_DATE, ["code"]).select("code", R6("z_turnover_60"), R6("turnover_ma_ratio_60"), R6("price_change_pct"))
+    # A sort samples its input first, and so runs its last stage twice: the few rows are exchanged before it, not the windows run again.
+    return grid.sort_null_last(z.join(wide, "code").repartition("code"), "z_turnover_60", True, "code")
 
 
 def q_null_ratio(spark, sf):
