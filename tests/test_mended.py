@@ -97,3 +97,18 @@ def test_pages_count_up_to_the_first_empty_one(spark):
     df = spark.createDataFrame([("a", p) for p in (1, 1, 2, 4, 5)] + [("b", 2)] + [("c", p) for p in range(1, 9)], "l string, p int")
     got = sorted((r["l"], r["p"]) for r in site_tables.until_empty(df, "l", "p", 5).collect())
     assert got == [("a", 1), ("a", 1), ("a", 2)] + [("c", p) for p in range(1, 6)]
+
+
+def test_cutoffs_are_wall_clock_times(spark):
+    df = spark.createDataFrame([("2026-03-06T15:30:00+09:00",), ("2026-03-06 15:30:01",), ("2026-03-06",), ("2026-03-06T15:29:59Z",), ("later",), (None,)], "t string")
+    assert [r[0] for r in df.select(events.within_cutoff(F.col("t"), "2026-03-06", "15:30")).collect()] == [True, False, True, True, False, False]
+    assert df.where(events.within_cutoff(F.col("t"), "2026-03-06", None)).count() == 6
+    for bad in ("1530", "24:00", "15:60", "a:b", ""):
+        with pytest.raises(ValueError):
+            events.cutoff_time("2026-03-06", bad)
+
+
+def test_categories_without_a_name_stay(spark):
+    df = spark.createDataFrame([(" x ",), ("y",), (None,)], "c string")
+    assert [r[0] for r in events.without_categories(df, "c", ["x", " "]).collect()] == ["y", None]
+    assert events.without_categories(df, "c", []).count() == 3

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from dataclasses import dataclass, field
+from datetime import date, datetime, time
 from functools import reduce
 
 import pandas as pd
@@ -220,6 +222,31 @@ def within_days(ts: str, start: str, end: str) -> Column:
     return F.to_date(ts).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
+def cutoff_time(run_date: str, cutoff: str | None) -> datetime | None:
+    """``HH:MM`` on the run date; anything else is an error, nothing is no cutoff."""
+    if cutoff is None:
+        return None
+    found = re.fullmatch(r"\s*(\d{1,2}):(\d{1,2})\s*", cutoff)
+    if not found or int(found[1]) > 23 or int(found[2]) > 59:
+        raise ValueError(f"a cutoff is HH:MM, not {cutoff!r}")
+    return datetime.combine(date.fromisoformat(run_date), time(int(found[1]), int(found[2])))
+
+
+def within_cutoff(published: Column, run_date: str, cutoff: str | None) -> Column:
+    """Whether an ISO time is not after the cutoff, by its wall clock: a zone does not count. No time that can be read: no; no cutoff: yes."""
+    at = cutoff_time(run_date, cutoff)
+    if at is None:
+        return F.lit(True)
+    wall = F.regexp_replace(F.trim(published.cast("string")), r"(Z|[+-]\d{2}:?\d{2})$", "")
+    return F.coalesce(wall.try_cast("timestamp_ntz") <= F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"), F.lit(False))
+
+
+def without_categories(events: DataFrame, column: str, excluded: list[str]) -> DataFrame:
+    """Events whose trimmed category is none of the excluded ones; those without a category stay."""
+    names = [x.strip() for x in excluded if x.strip()]
+    return events.where(~F.coalesce(F.trim(column).isin(names), F.lit(False))) if names else events
+
+
 def starts_with(word: str):
     return lambda x: F.trim(x).startswith(word.upper())
 

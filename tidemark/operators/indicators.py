@@ -12,6 +12,7 @@ RS_WINDOWS = (31, 63, 126, 252)
 
 
 def least_samples(n: int) -> int:
+    """At least 20 samples, and seven tenths of the window."""
     return max(20, int(0.7 * n))
 
 

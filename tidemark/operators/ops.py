@@ -129,6 +129,18 @@ def dictionary_state(previous: DataFrame, found: DataFrame, keys: list[str], tod
     )
 
 
+def allowed_keys(rows: DataFrame, key: str, ref: str, allowed: list[str]) -> DataFrame:
+    """Keys whose reference is allowed; an empty list allows all. Blank keys go."""
+    kept = rows.where(F.length(F.coalesce(F.col(key), F.lit(""))) > 0)
+    return (kept.where(F.coalesce(F.col(ref), F.lit("")).isin(allowed)) if allowed else kept).select(key)
+
+
+def union_favourites(lists: DataFrame, key: str, codes: str) -> DataFrame:
+    """All codes of all lists of an owner, once, in order; built from distinct codes, so a repeated code moves once a task."""
+    each = lists.select(key, F.explode(codes).alias("_c")).where("_c is not null").distinct()
+    return each.groupBy(key).agg(F.array_sort(F.collect_list("_c")).alias(codes))
+
+
 def favourites(lists: DataFrame, key: str, codes: str, cap: int) -> DataFrame:
     """Per owner the distinct codes in first-seen order, at most ``cap`` of them (the cap is the list's own limit)."""
     return lists.select(key, F.slice(F.array_distinct(codes), 1, cap).alias(codes))

@@ -101,9 +101,14 @@ def plain_alias(alias: Column) -> Column:
     return pandas_udf(run, "string")(alias)
 
 
+# Signs that an alias key loses, and prefixes of markets.
+KEY_DROPS = r"[\s・･\-‐－_／/&＆,，.。]+"
+MARKET_PREFIXES = (r"^G-\s*", r"^(?:東証|名証|札証|福証)[A-Z0-9]*\s*", r"(?i)^TOKYO\s+PRO\s+Market\s*")
+
+
 def alias_key(plain: Column) -> Column:
     """Key of a ``plain_alias``."""
-    return F.regexp_replace(F.lower(plain), r"[\s・･\-‐－_／/&＆,，.。]+", "")
+    return F.regexp_replace(F.lower(plain), KEY_DROPS, "")
 
 
 def valid_alias(plain: Column) -> Column:
@@ -120,9 +125,9 @@ def alias_confidence(n_sources: Column, plain: Column, in_base: Column) -> Colum
 
 
 def strip_market_prefix(plain: Column) -> Column:
-    s = F.regexp_replace(plain, r"^G-\s*", "")
-    s = F.regexp_replace(s, r"^(?:東証|名証|札証|福証)[A-Z0-9]*\s*", "")
-    return F.trim(F.regexp_replace(s, r"(?i)^TOKYO\s+PRO\s+Market\s*", ""))
+    for prefix in MARKET_PREFIXES:
+        plain = F.regexp_replace(plain, prefix, "")
+    return F.trim(plain)
 
 
 def collect_candidates(found: DataFrame, known: DataFrame, state: DataFrame) -> DataFrame:
@@ -145,6 +150,7 @@ def collect_candidates(found: DataFrame, known: DataFrame, state: DataFrame) ->
 
 def anomalies(added: Column, media_rate: Column, low_ratio: Column) -> Column:
     """Names of the limits that a dictionary update breaks."""
+    # The three limits.
     tests = [(added > 400, "added_aliases"), (media_rate < 0.85, "media_success_rate"), (low_ratio > 0.35, "low_ratio")]
     return F.array_compact(F.array(*[F.when(t, F.lit(n)) for t, n in tests]))
 

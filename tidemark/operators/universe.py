@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.functions.text import universe_code
+
 # market/product texts and their classes, first match wins ("~": contained, "=": equal).
 MARKET_CLASSES = [
     ("~", "内国株式", "equity_domestic"),
@@ -69,6 +71,19 @@ def winners(rows: DataFrame, month: str, order: list[str]) -> DataFrame:
     return out.select(*[F.col(c) for c in rows.columns], (F.struct(*order) == F.col("_best")).alias("is_winner"), F.col(f"_best.{key}").alias("winner"))
 
 
+def previous_release(rows: DataFrame, month: str, order: list[str]) -> DataFrame:
+    """Each month (``yyyy-MM``) with the winner (greatest order) of the calendar month right before it; null where that month has none."""
+    best = rows.groupBy(F.col(month).alias("_m")).agg(F.max_by(order[-1], F.struct(*order)).alias("previous"))
+    after = F.date_format(F.add_months(F.to_date(F.concat("_m", F.lit("-01"))), 1), "yyyy-MM")
+    return rows.select(month).distinct().join(best.select(after.alias(month), "previous"), month, "left")
+
+
+def with_names(rows: DataFrame, names: DataFrame, code: str = "code") -> DataFrame:
+    """Rows with the ``name`` of their normalised code (the last of a list, by ``ordinal``); blank where there is none."""
+    known = names.groupBy(universe_code(F.col(code)).alias("_code")).agg(F.max_by("name", "ordinal").alias("name"))
+    return rows.withColumn("_code", universe_code(F.col(code))).join(known, "_code", "left").select(*rows.columns, F.coalesce(F.trim("name"), F.lit("")).alias("name"))
+
+
 def set_delta(current: DataFrame, previous: DataFrame, key: str) -> DataFrame:
     """``key, change``: added and removed keys, one full outer join of distinct keys."""
     a = current.select(key).where(F.col(key).isNotNull()).distinct().withColumn("a", F.lit(True))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import site_tables
-from tidemark.operators import constraints, decisions, incremental, lifecycle, queue, sweep
+from tidemark.operators import constraints, decisions, events, incremental, lifecycle, ops, queue, sweep, universe
 from tidemark.operators.constraints import Check, Reference, Unique
 from tidemark.sources import ledger, objects, tables
 from tidemark.sources.shared import work_dir, written
@@ -264,5 +264,38 @@ def q_orphan_sweep(spark, sf):
     return out
 
 
+def q_event_cutoff(spark, sf):
+    """Events up to the afternoon cutoff of a day, by the wall clock of times with and without a zone, without two categories."""
+    e = table(spark, sf, "events")
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.when(F.col("event_id") % 3 == 0, "+09:00").when(F.col("event_id") % 3 == 1, "Z").otherwise(""))
+    rows = e.select("event_id", F.when(F.col("event_id") % 10 > 0, text).otherwise("soon").alias("at"), F.concat(F.lit(" "), "event_type").alias("kind"))
+    return events.without_categories(rows.where(events.within_cutoff(F.col("at"), "2024-01-20", "15:30")), "kind", ["click", " ", "view"]).select("event_id")
+
+
+def q_named_codes(spark, sf):
+    """Customers' codes with names of a list in which codes are padded, repeated or missing."""
+    c = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_custkey").alias("k"))
+    p = table(spark, sf, "customer").where("c_custkey % 3 > 0")
+    code = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
+    names = p.select(F.when(F.col("c_custkey") < 1000, F.substring(code, 3, 4)).otherwise(F.concat("c_custkey", F.lit(".0"))).alias("code"), "c_name", "c_mktsegment")
+    both = names.select("code", F.col("c_name").alias("name"), F.lit(1).alias("ordinal")).unionByName(names.select("code", F.concat("c_mktsegment", F.lit(" ")).alias("name"), F.lit(2).alias("ordinal")))
+    return universe.with_names(c, both).select("k", "name")
+
+
+def q_previous_release(spark, sf):
+    rows = table(spark, sf, "orders").where("month(o_orderdate) <> 4").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.to_date("o_orderdate").alias("day"), F.col("o_orderkey").alias("run_id"))
+    return universe.previous_release(rows, "month", ["day", "run_id"])
+
+
+def q_allowed_keys(spark, sf):
+    o = table(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 9 > 0, F.col("o_orderkey").cast("string")).otherwise("").alias("cache_key"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("source_ref"))
+    return ops.allowed_keys(o, "cache_key", "source_ref", ["1-URGENT", "2-HIGH"])
+
+
+def q_favourites_union(spark, sf):
+    lists = table(spark, sf, "orders").select("o_custkey", F.array("o_orderpriority", "o_orderstatus", F.lit(None).cast("string")).alias("codes"))
+    return ops.union_favourites(lists, "o_custkey", "codes").withColumn("codes", F.array_join("codes", ","))
+
+
 def control_queries() -> dict:
     return {k[2:]: f for k, f in globals().items() if k.startswith("q_")}

@@ -170,4 +170,10 @@ def control_sql() -> dict[str, str]:
         "manifest_faults": f"""{SERIES}, o AS (SELECT DISTINCT 'series/year=' || year(date) || '/code=' || regexp_replace(code, '[^0-9A-Za-z_.-]', '_', 'g') || '.json.gz' AS key, year(date) AS y FROM bars)
 SELECT key, CASE y WHEN 1993 THEN 'repeated' WHEN 1994 THEN 'extra' WHEN 1995 THEN 'extra' ELSE 'changed' END AS fault FROM o WHERE y BETWEEN 1993 AND 1996 UNION ALL SELECT key || '.old', 'missing' FROM o WHERE y = 1995""",
         "orphan_sweep": SWEEP,
+        "event_cutoff": "SELECT event_id FROM events WHERE date_trunc('second', ts) <= TIMESTAMP '2024-01-20 15:30:00' AND event_id % 10 > 0 AND event_type NOT IN ('click', 'view')",
+        "named_codes": "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment ELSE '' END AS name FROM customer",
+        "previous_release": """WITH b AS (SELECT date_trunc('month', o_orderdate) AS m, last(o_orderkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS k FROM orders WHERE month(o_orderdate) <> 4 GROUP BY 1)
+SELECT strftime(b.m, '%Y-%m') AS month, p.k AS previous FROM b LEFT JOIN b p ON p.m + INTERVAL 1 MONTH = b.m""",
+        "allowed_keys": "SELECT CAST(o_orderkey AS VARCHAR) AS cache_key FROM orders WHERE o_orderkey % 9 > 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH')",
+        "favourites_union": "SELECT o_custkey, string_agg(c, ',' ORDER BY c) AS codes FROM (SELECT o_custkey, o_orderpriority AS c FROM orders UNION SELECT o_custkey, o_orderstatus FROM orders) GROUP BY 1",
     }
