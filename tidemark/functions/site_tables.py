@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,46 +15,123 @@ from pyspark.sql.window import Window
 CELLS = "array<struct<text:string,href:string,header:boolean>>"
 #: Most columns or rows that one cell may span: what a page claims beyond that is an error in it.
 MOST_SPAN = 1000
+#: A batch of table rows is given on at so many cells or characters.
+BATCH_CELLS, BATCH_CHARS = 30_000, 4_000_000
+#: A tag without doubt: named attributes, quoted or plain, and no element whose content is no markup.
+PLAIN_TAG = r"""/?(?!(?:script|style|textarea|title|xmp|iframe|noembed|noframes|noscript|plaintext)\b)[a-z][a-z0-9]*(?:(?:[ \t\r\n]+[a-z][-a-z0-9_:]*(?:=(?:"[^"<>]*"|'[^'<>]*'|[-a-z0-9_.:%#]+))?)*[ \t\r\n]*|/)>"""
+TAG = re.compile(rf"<(/?)([a-z][a-z0-9]*)({PLAIN_TAG.split('[a-z][a-z0-9]*', 1)[1][:-1]})>", re.IGNORECASE | re.ASCII)
+ATTRIBUTE = re.compile(r"""([a-z][-a-z0-9_:]*)(?:=(?:"([^"]*)"|'([^']*)'|([-a-z0-9_.:%#]+)))?""", re.IGNORECASE | re.ASCII)
+#: What the standard parser must judge: any other ``<``, and attributes or a slash in an end tag.
+OTHER = re.compile(rf"<(?!{PLAIN_TAG})|</[a-z][a-z0-9]*[^a-z0-9>]", re.IGNORECASE | re.ASCII)
 # Places of the sites, for links without one.
 NEWS_SITE, DISCLOSURE_SITE, DISCLOSURE_LISTS = "https://kabutan.jp", "https://www.release.tdnet.info", "https://www.release.tdnet.info/inbs"
 
 
+class Cell:
+    __slots__ = ("text", "href", "header", "cols", "rows")
+
+    def __init__(self, header: bool, attrs: dict) -> None:
+        self.text, self.href, self.header = [], None, header
+        self.cols, self.rows = (span(attrs.get("colspan")), span(attrs.get("rowspan"))) if attrs else (1, 1)
+
+
 class Tables(HTMLParser):
-    """All tables of a page; a nested table is a table of its own, and its text is not its outer cell's."""
+    """All tables of a page; a nested table is a table of its own, and its text is not its outer cell's.
+
+    ``found`` takes each row once nothing can be added to it; only the open
+    row of each open table is held.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, found) -> None:
         super().__init__(convert_charrefs=True)
-        self.tables: list[dict] = []
-        self.stack: list[dict] = []
+        self.found, self.count, self.stack, self.cell = found, 0, [], None
 
     def handle_starttag(self, tag, attrs):
         top = self.stack[-1] if self.stack else None
         if tag == "table":
-            self.tables.append({"parent": None if top is None else top["number"], "number": len(self.tables), "rows": [], "cell": None})
-            self.stack.append(self.tables[-1])
-        elif top is not None and tag == "tr":
-            top["rows"].append([])
-            top["cell"] = None
-        elif top is not None and tag in ("td", "th"):
-            if not top["rows"]:
-                top["rows"].append([])
-            a = dict(attrs)
-            top["cell"] = {"text": [], "href": None, "header": tag == "th", "cols": span(a.get("colspan")), "rows": span(a.get("rowspan"))}
-            top["rows"][-1].append(top["cell"])
-        elif tag == "a" and top is not None and top["cell"] is not None and top["cell"]["href"] is None:
-            top["cell"]["href"] = dict(attrs).get("href")
+            self.stack.append({"parent": None if top is None else top["number"], "number": self.count, "row": None, "place": 0, "below": {}, "cell": None})
+            self.count += 1
+            self.cell = None
+        elif top is None:
+            return
+        elif tag == "tr":
+            self.end_row(top)
+            top["row"], top["cell"], self.cell = [], None, None
+        elif tag == "td" or tag == "th":
+            if top["row"] is None:
+                top["row"] = []
+            self.cell = top["cell"] = Cell(tag == "th", dict(attrs))
+            top["row"].append(self.cell)
+        elif tag == "a" and self.cell is not None and self.cell.href is None:
+            self.cell.href = dict(attrs).get("href")
 
     def handle_endtag(self, tag):
         if not self.stack:
             return
         if tag == "table":
-            self.stack.pop()
-        elif tag in ("td", "th", "tr"):
-            self.stack[-1]["cell"] = None
+            self.end_row(self.stack.pop())
+            self.cell = self.stack[-1]["cell"] if self.stack else None
+        elif tag == "td" or tag == "th" or tag == "tr":
+            self.stack[-1]["cell"] = self.cell = None
 
     def handle_data(self, data):
-        if self.stack and self.stack[-1]["cell"] is not None:
-            self.stack[-1]["cell"]["text"].append(data)
+        if self.cell is not None:
+            self.cell.text.append(data)
+
+    def end_row(self, table: dict) -> None:
+        if table["row"] is None:
+            return
+        for c in table["row"]:
+            c.text = " ".join(" ".join(c.text).split())
+        line, table["below"] = laid_out(table["row"], table["below"])
+        self.found(table["number"], table["parent"], table["place"], line)
+        table["row"], table["place"] = None, table["place"] + 1
+
+    def close(self) -> None:
+        super().close()
+        while self.stack:
+            self.end_row(self.stack.pop())
+        self.cell = None
+
+    def read(self, page: str) -> Iterator[None]:
+        """Takes a whole page, with a stop after every thousand tags; a page of plain tags is cut by one expression, any other by the standard parser."""
+        if OTHER.search(page):
+            self.feed(page)
+        else:
+            at = 0
+            for n, m in enumerate(TAG.finditer(page), 1):
+                i, end = m.span()
+                if self.cell is not None and at < i:
+                    text = page[at:i]
+                    self.cell.text.append(unescape(text) if "&" in text else text)
+                at = end
+                close, tag, rest = m.groups()
+                tag = tag.lower()
+                if tag in USED:
+                    if close:
+                        self.handle_endtag(tag)
+                    else:
+                        self.handle_starttag(tag, attributes(rest) if rest else ())
+                        if rest == "/":
+                            self.handle_endtag(tag)
+                if n % 1000 == 0:
+                    yield
+            if self.cell is not None and at < len(page):
+                self.handle_data(unescape(page[at:]))
+        self.close()
+        yield
+
+
+USED = frozenset(("table", "tr", "td", "th", "a"))
+
+
+def attributes(text: str) -> list[tuple[str, str | None]]:
+    """Names and values in a plain tag, as the standard parser gives them."""
+    out = []
+    for m in ATTRIBUTE.finditer(text):
+        value = m[m.lastindex] if m.lastindex > 1 else None
+        out.append((m[1].lower(), unescape(value) if value and "&" in value else value))
+    return out
 
 
 def span(value: str | None) -> int:
@@ -60,57 +139,92 @@ def span(value: str | None) -> int:
     return int(value) if value and value.strip().isascii() and value.strip().isdigit() and 1 <= int(value) <= MOST_SPAN else 1
 
 
-def laid_out(rows: list[list[dict]]) -> list[list[dict]]:
-    """Rows of a table with every cell in each place that it spans; rows that a span adds below the last one do not count."""
-    out: list[list[dict]] = []
-    below: dict[int, tuple[int, dict]] = {}  # column: rows still covered, cell
-    for row in rows:
-        line, later, column = [], {}, 0
-        cells = iter(row)
-        while True:
-            if column in below:
-                left, cell = below.pop(column)
-                line.append(cell)
-                if left > 1:
-                    later[column] = (left - 1, cell)
-                column += 1
-                continue
-            cell = next(cells, None)
-            if cell is None:
-                break
-            for _ in range(cell["cols"]):
-                line.append(cell)
-                if cell["rows"] > 1:
-                    later[column] = (cell["rows"] - 1, cell)
-                below.pop(column, None)
-                column += 1
-        for c in sorted(below):  # covered places to the right of a short row
-            left, cell = below[c]
+def laid_out(row: list[Cell], below: dict[int, tuple[int, Cell]]) -> tuple[list[Cell], dict[int, tuple[int, Cell]]]:
+    """A table row with every cell in each place that it spans, and what is still covered below it (column: rows, cell); rows that a span adds below the last one do not count."""
+    if not below and all(c.cols == 1 == c.rows for c in row):
+        return row, below
+    line, later, column = [], {}, 0
+    cells = iter(row)
+    while True:
+        if column in below:
+            left, cell = below.pop(column)
             line.append(cell)
             if left > 1:
-                later[c] = (left - 1, cell)
-        below = later
-        out.append(line)
-    return out
+                later[column] = (left - 1, cell)
+            column += 1
+            continue
+        cell = next(cells, None)
+        if cell is None:
+            break
+        for _ in range(cell.cols):
+            line.append(cell)
+            if cell.rows > 1:
+                later[column] = (cell.rows - 1, cell)
+            below.pop(column, None)
+            column += 1
+    for c in sorted(below):  # covered places to the right of a short row
+        left, cell = below[c]
+        line.append(cell)
+        if left > 1:
+            later[c] = (left - 1, cell)
+    return line, later
+
+
+class Batches:
+    """Table rows of the pages of one batch, as Arrow batches of bounded size."""
+
+    def __init__(self, keys: pa.Array) -> None:
+        self.keys, self.ready, self.page = keys, [], 0
+        self.start()
+
+    def start(self) -> None:
+        self.places, self.ends, self.text, self.href, self.header, self.chars = [], [0], [], [], [], 0
+
+    def add(self, table: int, parent: int | None, row: int, line: list[Cell]) -> None:
+        self.places.append((self.page, table, parent, row))
+        for c in line:
+            self.text.append(c.text)
+            self.href.append(c.href)
+            self.header.append(c.header)
+            self.chars += len(c.text) + len(c.href or "")
+        self.ends.append(len(self.text))
+        if len(self.text) + len(self.places) >= BATCH_CELLS or self.chars >= BATCH_CHARS:
+            self.flush()
+
+    def flush(self) -> None:
+        if not self.places:
+            return
+        page, *numbers = (pa.array(x, pa.int32()) for x in zip(*self.places))
+        cells = pa.StructArray.from_arrays([pa.array(self.text, pa.string()), pa.array(self.href, pa.string()), pa.array(self.header, pa.bool_())], ["text", "href", "header"])
+        cells = pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), cells)
+        self.ready.append(pa.RecordBatch.from_arrays([self.keys.take(page), *numbers, cells], ["key", "table", "parent", "row", "cells"]))
+        self.start()
+
+    def taken(self) -> list[pa.RecordBatch]:
+        out, self.ready = self.ready, []
+        return out
 
 
 def page_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """``key, table, parent, row, cells`` of every table row of each page, in document order; no page, no rows."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for k, text in zip(pdf["key"], pdf["html"]):
-                parser = Tables()
-                parser.feed(text if isinstance(text, str) else "")
-                parser.close()
-                for t in parser.tables:
-                    for i, row in enumerate(laid_out(t["rows"])):
-                        out.append((k, t["number"], t["parent"], i, [{"text": " ".join(" ".join(c["text"]).split()), "href": c["href"], "header": c["header"]} for c in row]))
-            yield pd.DataFrame(out, columns=["key", "table", "parent", "row", "cells"]).astype({"parent": "Int32"})
+    """``key, table, parent, row, cells`` of every table row of each page, in any order; no page, no rows.
+
+    A task holds a batch of pages (by Spark's limits), one page as a text and
+    a bounded batch of rows; of a page that needs the standard parser, its
+    rows in Arrow form.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = Batches(batch.column(0))
+            for i, text in enumerate(batch.column(1)):
+                out.page, page = i, text.as_py()
+                for _ in Tables(out.add).read(page if isinstance(page, str) else ""):
+                    yield from out.taken()
+            out.flush()
+            yield from out.taken()
 
     kind = pages.schema[key].dataType.simpleString()
-    return pages.select(F.col(key).alias("key"), F.col(html).alias("html")).mapInPandas(run, f"key {kind}, table int, parent int, row int, cells {CELLS}").withColumnRenamed("key", key)
+    return pages.select(F.col(key).alias("key"), F.col(html).alias("html")).mapInArrow(run, f"key {kind}, table int, parent int, row int, cells {CELLS}").withColumnRenamed("key", key)
 
 
 def cell(i: int) -> Column:
