@@ -203,15 +203,18 @@ def q_news_pages(spark, sf):
 
 
 def q_disclosure_pages(spark, sf):
-    """Disclosures of a month's lists, up to each list's first page that gave none; codes and flags typed, spans laid out."""
-    o = table(spark, sf, "orders").select(F.to_date(F.date_trunc("month", "o_orderdate")).alias("day"), (F.col("o_custkey") % 6 + 1).cast("int").alias("page"), "o_orderkey", "o_custkey", "o_orderstatus")
+    """Disclosures of a month's lists, up to each list's first page that gave none; codes and flags typed, spans laid out.
+
+    A page comes in parts of a million order keys each: there are more of them, not longer ones, as orders grow.
+    """
+    o = table(spark, sf, "orders").select(F.to_date(F.date_trunc("month", "o_orderdate")).alias("day"), (F.col("o_custkey") % 6 + 1).cast("int").alias("page"), "o_orderkey", "o_custkey", "o_orderstatus", F.floor(F.col("o_orderkey") / 1_000_000).alias("part"))
     cells = """concat('<tr><td', if(o_orderkey % 11 = 0, ' rowspan="1"', ''), '>', o_orderkey % 24, ':', lpad(o_orderkey % 60, 2, '0'), '</td><td>',
       if((month(day) + page) % 5 = 0, '-', concat(lpad(o_custkey % 10000, 4, '0'), if(o_custkey % 2 = 0, '0', 'a'))), '</td><td>name</td><td><a href="', if(o_orderkey % 3 = 0, '/d/', './'), o_orderkey, '">t', o_orderkey, '</a></td>',
       if(o_orderkey % 4 = 0, '', concat('<td>', if(o_orderstatus = 'F', 'XBRL', ''), '</td><td>', o_orderstatus, '</td>')), '</tr>')"""
-    pages = page_of(o, ["day", "page"], cells, "o_orderkey", "<tr><td>1</td><td>9999</td><td colspan=2>two places, no link</td></tr>")
+    pages = page_of(o, ["day", "page", "part"], cells, "o_orderkey", "<tr><td>1</td><td>9999</td><td colspan=2>two places, no link</td></tr>")
     rows = site_tables.page_tables(pages.withColumn("k", F.struct("day", "page")), "k", "html")
     found = site_tables.disclosure_rows(rows, "k", F.col("k.day")).select("k.day", "k.page", "code", "published_at", "title", "url", "has_xbrl", "listing_exchange")
-    return site_tables.until_empty(found, "day", "page", 5)
+    return site_tables.until_empty(written(found, "disclosures"), "day", "page", 5)  # read twice, parsed once
 
 
 def q_delisted_pages(spark, sf):
