@@ -218,10 +218,10 @@ def q_disclosure_pages(spark, sf):
 
 
 def q_delisted_pages(spark, sf):
-    """Codes of delisting tables in both date forms that fall into the look-back."""
+    """Codes of delisting tables in both date forms that fall into the look-back; a table has the orders of 4,096 keys."""
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     cells = """concat('<tr><td>', date_format(o_orderdate, if(o_orderkey % 2 = 0, 'yyyy/M/d', 'yyyy-MM-dd')), '</td><td>n</td><td> ', o_custkey, ' </td><td>', 'm</td></tr>')"""
-    pages = page_of(o.withColumn("part", F.col("o_orderkey") % 50), ["part"], cells, "o_orderkey", "<tr><td>day</td><td>name</td><td>code</td></tr>")
+    pages = page_of(o.withColumn("part", F.floor(F.col("o_orderkey") / 4096)), ["part"], cells, "o_orderkey", "<tr><td>day</td><td>name</td><td>code</td></tr>")
     return site_tables.delisted_codes(site_tables.page_tables(pages, "part", "html"), "1997-03-15", 2)
 
 
