@@ -4,27 +4,37 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
+#: Texts of a batch that are Python strings at a time.
+AT_ONCE = 64
 
-def normalised(form: str):
-    """Arrow function for a Unicode form, made on use: making it needs a session."""
 
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: unicodedata.normalize(form, x), na_action="ignore")
+def normalised(form: str, c: Column) -> Column:
+    """A Unicode form of a text; ASCII is every form of itself and stays in the JVM."""
 
-    return pandas_udf(run, "string")
+    def run(texts: pa.Array) -> pa.Array:
+        out = []
+        for i in range(0, len(texts), AT_ONCE):
+            piece = texts[i : i + AT_ONCE]
+            if piece.null_count < len(piece):
+                piece = pa.array([x if x is None or unicodedata.is_normalized(form, x) else unicodedata.normalize(form, x) for x in piece.to_pylist()], piece.type)
+            out.append(piece)
+        return pa.concat_arrays(out) if out else texts
+
+    wide = F.when(F.octet_length(c) > F.char_length(c), c)
+    return F.coalesce(arrow_udf(run, "string")(wide), c)
 
 
 def nfc(c: Column) -> Column:
-    return normalised("NFC")(c)
+    return normalised("NFC", c)
 
 
 def nfkc(c: Column) -> Column:
-    return normalised("NFKC")(c)
+    return normalised("NFKC", c)
 
 
 def universe_code(c: Column) -> Column:
