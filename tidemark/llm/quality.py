@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hold, only, row_chunks, with_results
+from tidemark.llm.common import give_back, hold, only, row_chunks, with_results
 
 GOOD, BAD, NONE = 1, 0, 2
 TOP = (1 << 63) - 1
@@ -193,7 +193,10 @@ def fit(docs: DataFrame, max_train: int = 2_500) -> dict:
 
     got = sample.mapInPandas(features, "h long, y double, ids binary, x binary").collect()  # at most ``max_train`` rows
     rows = [(r["y"], np.frombuffer(r["ids"], dtype=np.int32), np.frombuffer(r["x"], dtype=np.float32)) for r in sorted(got, key=lambda r: (r["h"], r["y"], bytes(r["ids"])))]
-    return {"weights": fit_scorer(rows), "labellers": model}
+    weights = fit_scorer(rows)
+    del rows, got
+    give_back()  # the driver keeps what the fit used otherwise, beside all later stages
+    return {"weights": weights, "labellers": model}
 
 
 def scorer(docs: DataFrame, max_train: int, threshold: float | None):

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hold, only, row_chunks, with_results
+from tidemark.llm.common import give_back, hold, only, row_chunks, with_results
 
 WINDOW, STRIDE, HIDDEN, ATTEND = 24, 12, 6, 6
 PRIORS, EMBED = 6, 4  # prior features; dimensions of each of the two embeddings
@@ -299,6 +299,7 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 3, epochs: int = 6
         return None
     sets = [{w.lower().strip(PUNCTUATION) for w in steps(t)} - {""} for t, f in zip(texts, fold) if f]
     leans = Leans.fit(sets, y[fold])
+    del sets
     words = WordRows(leans)
     other = [t for t, f in zip(texts, fold) if not f]
     oy = y[~fold]
@@ -382,6 +383,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = 2_000) -> dict
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     y = np.array([r["toxic"] for r in rows], dtype=np.int64)
     model = train([r["text"] for r in rows], y)
+    del rows
+    give_back()  # the driver keeps what the training used otherwise, beside all later stages
     if model is None:
         return None
     oy = model.pop("y")
