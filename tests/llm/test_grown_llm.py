@@ -1,8 +1,10 @@
-"""Memory and time that grew with the run: what training leaves on the driver."""
+"""Memory and time that grew with the run: what training leaves on the driver, lanes of a token file."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality, toxicity
+from tidemark.llm import quality, tokenfile, toxicity
+from tidemark.llm.queries import vocab
 
 
 def test_training_gives_memory_back(spark, monkeypatch):
@@ -14,3 +16,17 @@ def test_training_gives_memory_back(spark, monkeypatch):
     quality.fit(docs)
     toxicity.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")))
     assert given == [quality.__name__, toxicity.__name__]
+
+
+def test_token_files_are_half_as_many_as_partitions(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(64)], "doc_id long, text string")
+    files = tokenfile.write_table(docs, vocab("byte_bpe_50k.json"), 2)
+    assert files.count() <= int(spark.conf.get("spark.sql.shuffle.partitions")) // 2
+    got = tokenfile.read_table(files).orderBy("doc_id").collect()
+    assert [r["doc_id"] for r in got] == list(range(64)) and [r["start"] for r in got] == np.cumsum([0, *[r["n_tokens"] for r in got]])[:-1].tolist()
+
+
+def test_class_counts_stay_in_a_byte():
+    ids = np.zeros(5000, dtype="<u2")  # one class is hit at every step
+    assert np.array_equal(tokenfile.read_file(tokenfile.write_file(np.array([1]), np.array([5000]), ids))[2], ids)
+    assert tokenfile.Lanes(1, *tokenfile.lookup(*tokenfile.share_table(ids.astype(np.int64)))).cum.itemsize == 1
