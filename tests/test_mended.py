@@ -3,13 +3,16 @@
 import datetime as dt
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import plans
 from tidemark.functions import site_tables
 from tidemark.operators import candles, derived, events, rules
 
+SF = "/root/testdata/sf0.001"
 BARS = "code string, date date, open double, high double, low double, close double, volume double"
 
 
@@ -32,6 +35,21 @@ def test_more_bars_change_no_earlier_label(spark):
     assert not any("SUSPECT" in x or "DOMINANT" in x for x in long.values())
 
 
+def test_in_a_frame_every_bar_but_the_last_has_a_gap(spark):
+    """The previous close shifted back by one is the bar's own close, whatever the next one is; prices may be missing or out of range."""
+    prices = [(10.0, 12.0, 9.0, 11.0), (11.0, 13.0, 10.0, None), (9.0, 10.0, 8.0, 14.0), (9.0, 10.0, 8.0, 14.0)]
+    rows = spark.createDataFrame([("A", dt.date(2026, 1, 1 + i), *p, 1.0) for i, p in enumerate(prices)], BARS)
+    got = candles.features(rows, frame=True).orderBy("date").collect()
+    assert [r["gap"] for r in got] == [-1.0, None, -5.0, None]
+    assert [r["tr"] for r in got] == [3.0, 3.0, 6.0, 2.0]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
+def test_candle_features_have_the_gaps_of_all_bars(spark):
+    got = plans.queries()["candle_features"](spark, SF).groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.count("gap").alias("gaps")).collect()
+    assert got and all(r["gaps"] == r["n"] - 1 for r in got)
+
+
 def test_names_meet_titles_in_compatibility_form(spark):
     df = spark.createDataFrame([("ｿﾆｰ、新製品", ["ソニー"]), ("ＡＢＣ（株） news", ["x", "abc株"]), ("abc", ["－", None, ""]), (None, ["a"]), ("a", None)], "t string, a array<string>")
     assert [r[0] for r in df.select(events.name_match(F.col("t"), F.col("a"))).collect()] == [1.0, 1.0, 0.0, 0.0, 0.0]
