@@ -6,11 +6,13 @@ import json
 import os
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark import plans
 from tidemark.functions import site_tables
 from tidemark.operators import candles, derived, events, rules
+from tidemark.sources import tables
 
 SF = "/root/testdata/sf0.001"
 BARS = "code string, date date, open double, high double, low double, close double, volume double"
@@ -50,6 +52,22 @@ def test_candle_features_have_the_gaps_of_all_bars(spark):
     assert got and all(r["gaps"] == r["n"] - 1 for r in got)
 
 
+def test_gaps_of_a_frame_are_taken_over_the_smoothed_range_before_them(spark):
+    """Ranges of 2: the smoothed range is 2 from the second bar on, and a gap of 1 is half of it; the first bar has none before it, the last no gap."""
+    rows = spark.createDataFrame([("A", dt.date(2026, 1, 1 + i), 10.0, 12.0, 10.0, 11.0, 1.0) for i in range(4)], BARS)
+    got = candles.range_rank(candles.features(rows, frame=True)).orderBy("date").collect()
+    assert [r["gap_atr"] for r in got] == [None, 0.5, 0.5, None]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
+def test_range_rank_has_the_gaps_of_all_bars(spark):
+    """Only a code's last bar has no gap, and only bars whose smoothed range before is missing or 0 have none over it."""
+    base = candles.range_rank(candles.features(tables.bars(spark, SF))).select("code", "date", "atr", "k")
+    got = plans.queries()["range_rank"](spark, SF).join(base, ["code", "date"]).withColumn("last", F.max("k").over(Window.partitionBy("code")) == F.col("k")).collect()
+    assert got and all((r["gap_atr"] is not None) == (bool(r["atr"]) and not r["last"]) for r in got)
+    assert any(r["gap_atr"] for r in got)
+
+
 def test_names_meet_titles_in_compatibility_form(spark):
     df = spark.createDataFrame([("ｿﾆｰ、新製品", ["ソニー"]), ("ＡＢＣ（株） news", ["x", "abc株"]), ("abc", ["－", None, ""]), (None, ["a"]), ("a", None)], "t string, a array<string>")
     assert [r[0] for r in df.select(events.name_match(F.col("t"), F.col("a"))).collect()] == [1.0, 1.0, 0.0, 0.0, 0.0]
